@@ -21,10 +21,13 @@ def time_text(post: Column) -> Column:
 
 
 def clock(time_text: Column) -> Column:
-    """The written time as struct<hour, minute, pm>."""
+    """The written time as struct<hour, minute, pm>, all null if there is none."""
+    minute = F.when(
+        F.contains(time_text, F.lit(":")), tx.whole_number(F.regexp_extract(time_text, r":\D*(\d+)", 1))
+    )
     return F.struct(
-        F.regexp_extract(time_text, r"^(\d+)", 1).try_cast("int").alias("hour"),
-        F.coalesce(F.regexp_extract(time_text, r":\D*(\d+)", 1).try_cast("int"), F.lit(0)).alias("minute"),
+        tx.whole_number(F.regexp_extract(time_text, r"^(\d+)", 1)).alias("hour"),
+        F.coalesce(minute, F.lit(0)).alias("minute"),
         F.endswith(time_text, F.lit("PM")).alias("pm"),
     )
 
@@ -41,9 +44,8 @@ def clock_time(clock: Column) -> Column:
 
 def number_word(word: Column) -> Column:
     """Digits or ZERO..TEN as int, anything else (also beyond int range) null."""
-    return F.coalesce(
-        word.try_cast("int"), F.try_element_at(tx.literal_map(rules.NUMBER_WORDS), word)
-    )
+    known = F.try_element_at(tx.literal_map(rules.NUMBER_WORDS), word)
+    return F.coalesce(known, tx.whole_number(word))
 
 
 def lanes_text(post: Column) -> Column:
@@ -91,7 +93,7 @@ def place_name(words: Column) -> Column:
 
 def participants_text(post: Column) -> Column:
     """Who was involved, as written; for a rally the head-count, without leading zeros."""
-    heads = tx.first_group(post, rules.RALLY_COUNT_PATTERN).try_cast("decimal(38,0)")
+    heads = tx.whole_number(tx.first_group(post, rules.RALLY_COUNT_PATTERN), "decimal(38,0)")
     listed = tx.strip(tx.first_group(post, rules.PARTICIPANTS_PATTERN))
     return (
         F.when(is_rally(post), heads.cast("string"))
@@ -108,7 +110,10 @@ def post_date(value: Column, data_type: T.DataType) -> Column:
         return F.to_date(value)
     if isinstance(data_type, T.StringType):
         written = F.regexp_replace(tx.strip(value), rules.SPACES_PATTERN, " ")
-        tries = [F.try_to_timestamp(written, F.lit(f)) for f in rules.DATE_FORMATS]
+        tries = [
+            F.when(written.rlike(shape), F.try_to_timestamp(written, F.lit(form)))
+            for shape, form in rules.DATE_FORMATS.items()
+        ]
         return F.to_date(F.coalesce(*tries))
     return F.lit(None).cast("date")
 

@@ -37,10 +37,10 @@ def number_digits(text: Column) -> Column:
 
 
 def split_list(text: Column) -> Column:
-    """Entries of a list separated by commas and AND."""
-    words = F.replace(text, F.lit(","), F.lit(" AND "))
-    parts = F.transform(F.split(words, rules.AND_PATTERN), tx.strip)
-    return F.filter(parts, lambda p: p != "")
+    """Entries of a list separated by commas and AND. Only AND is searched by pattern:
+    splitting by a pattern would compile it anew for each row."""
+    commas = F.regexp_replace(text, rules.AND_PATTERN, ",")
+    return F.filter(F.transform(F.split(commas, ","), tx.strip), lambda p: p != "")
 
 
 # From the participants as written to their entries. Every step reads its input more
@@ -70,7 +70,7 @@ def count_entries(parts: Column) -> Column:
         read,
         lambda p: F.when(
             p["name"] != "",
-            F.struct(tx.strip(p["name"]).alias("name"), p["n"].try_cast(_BIG_COUNT).alias("n")),
+            F.struct(tx.strip(p["name"]).alias("name"), tx.whole_number(p["n"], _BIG_COUNT).alias("n")),
         ).otherwise(F.struct(p["whole"].alias("name"), F.lit(1).cast(_BIG_COUNT).alias("n"))),
     )
     for step in (singular, hyphenate, alias_name):
@@ -109,7 +109,7 @@ def involved_array(involved: Column) -> Column:
             p["name"] != "",
             F.struct(
                 F.upper(tx.strip(p["name"])).alias("vehicle_type"),
-                p["n"].try_cast("int").alias("vehicle_count"),
+                tx.whole_number(p["n"]).alias("vehicle_count"),
             ),
         ).otherwise(
             F.struct(F.upper(p["whole"]).alias("vehicle_type"), F.lit(1).alias("vehicle_count"))

@@ -25,6 +25,15 @@ def blank_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
+def whole_number(digits: Column, kind: str = "int") -> Column:
+    """Number of a text of digits; null if empty or beyond the type's range.
+
+    A failing ``try_cast`` raises and catches an exception inside, which costs more than
+    all searches in a post, so the usual failure is ruled out first.
+    """
+    return F.when(digits != "", digits.try_cast(kind))
+
+
 def literal_map(entries: dict) -> Column:
     return F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
 

@@ -1,7 +1,7 @@
 """One batch of raw posts to enriched events and classified vehicles."""
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -18,67 +18,90 @@ from roadlark.session import materialise
 Resolver = Callable[[DataFrame], DataFrame]
 
 
-@dataclass
-class BatchResult:
-    """Lazy tables over the parsed and resolved rows, which are already written.
+class Batch:
+    """The tables that come out of a batch of raw posts; see ``process_batch``.
 
-    ``unresolved`` lists the locations no resolver knew; they are asked again next time.
+    The posts are scanned and parsed once, into a written table, when the batch is made.
+    Each result is planned over that table when first asked for and reads only the
+    columns it needs.
     """
 
-    events: DataFrame
-    vehicles: DataFrame
-    new_locations: DataFrame
-    unresolved: DataFrame
-
-
-def process_batch(
-    posts: DataFrame,
-    dim_locations: DataFrame,
-    dim_vehicles: DataFrame,
-    order: str = "post_seq",
-    groups: tuple[str, ...] = (),
-    resolver: Resolver | None = None,
-    one_per_location: bool = True,
-    keep_unresolved: bool = False,
-    date_mode: str = "own",
-    drop_numeric: bool = False,
-) -> BatchResult:
+    def __init__(
+        self,
+        posts: DataFrame,
+        dim_locations: DataFrame,
+        dim_vehicles: DataFrame,
+        order: str = "post_seq",
+        groups: tuple[str, ...] = (),
+        resolver: Resolver | None = None,
+        one_per_location: bool = True,
+        keep_unresolved: bool = False,
+        date_mode: str = "own",
+        drop_numeric: bool = False,
+    ):
+        self.dim_locations, self.dim_vehicles = dim_locations, dim_vehicles
+        self.order, self.groups, self.resolver = order, groups, resolver
+        self.one_per_location, self.keep_unresolved = one_per_location, keep_unresolved
+        self.date_mode, self.drop_numeric = date_mode, drop_numeric
+        self.parsed = materialise(parse_posts(posts, carry=(order, *groups)), "parsed")
+
+    @cached_property
+    def resolved(self) -> DataFrame:
+        """The resolver's answers for the locations the dimension lacks, written once, as
+        a resolver may be slow or not repeatable."""
+        if self.resolver is None:
+            return self.parsed.sparkSession.createDataFrame([], schemas.RESOLVED_LOCATIONS)
+        return materialise(
+            self.resolver(missing_locations(self.parsed, self.dim_locations)), "resolved"
+        )
+
+    @cached_property
+    def new_locations(self) -> DataFrame:
+        """Rows to add to the location dimension. Locations without a city stay out, so
+        that they are asked again next time, unless they are to be kept."""
+        found = self.resolved if self.keep_unresolved else self.resolved.where(F.col("city") != "")
+        return new_locations(found, self.dim_locations)
+
+    @cached_property
+    def unresolved(self) -> DataFrame:
+        """Locations that neither the dimension nor the resolver knows."""
+        if self.resolver is None:
+            return missing_locations(self.parsed, self.dim_locations)
+        return self.resolved.where(F.col("city") == "").select("location")
+
+    @cached_property
+    def events(self) -> DataFrame:
+        """Enriched events: times filled, location attached."""
+        timed = fill_event_time(self.parsed, self.order, self.groups)
+        dim = self.dim_locations
+        if self.resolver is not None:
+            dim = dim.unionByName(self.new_locations)
+        if self.one_per_location:
+            dim = one_row_per_location(dim)
+        return known_locations(timed, dim).select(*schemas.EVENT_COLUMNS)
+
+    @cached_property
+    def vehicles(self) -> DataFrame:
+        """Classified vehicles with the date of their event, or of the batch."""
+        listed = explode_vehicles(self.parsed, ("date",), self.drop_numeric)
+        classified = classify_vehicles(listed, self.dim_vehicles)
+        if self.date_mode == "first":
+            return classified.withColumn("date", F.lit(first_date(self.parsed, self.order)))
+        return classified
+
+
+def process_batch(posts: DataFrame, dim_locations: DataFrame, dim_vehicles: DataFrame, **options) -> Batch:
     """Parse, fill times, resolve and attach locations, explode and classify vehicles.
 
-    The posts are scanned and parsed once, into a written table; each later step reads
-    only the columns it needs from there. Missing times are filled in ``order`` within
-    ``groups`` (such as the source file). ``resolver`` turns a table of unknown locations
-    into resolved ones. With ``keep_unresolved`` those without a city enter the dimension
-    too. ``date_mode="first"`` dates every vehicle row with the first date of the batch
-    in place of its event's own.
+    Options: missing times are filled in ``order`` within ``groups`` (such as the source
+    file); ``resolver`` turns a table of unknown locations into resolved ones;
+    ``one_per_location`` attaches the most accurate city where a location is known in
+    several, instead of one event row per city; ``keep_unresolved`` lets locations without
+    a city into the dimension; ``date_mode="first"`` dates every vehicle row with the
+    first date of the batch in place of its event's own; ``drop_numeric`` leaves out
+    vehicles that are only a number.
     """
-    carried = (order, *groups)
-    parsed = materialise(parse_posts(posts, carry=carried), "parsed")
-    timed = fill_event_time(parsed, order, groups)
-
-    missing = missing_locations(parsed, dim_locations)
-    if resolver is None:
-        unresolved = missing
-        added = new_locations(
-            posts.sparkSession.createDataFrame([], schemas.RESOLVED_LOCATIONS), dim_locations
-        )
-        dim = dim_locations
-    else:
-        resolved = materialise(resolver(missing), "resolved")
-        nowhere = F.col("city") == ""
-        unresolved = resolved.where(nowhere).select("location")
-        added = new_locations(resolved if keep_unresolved else resolved.where(~nowhere), dim_locations)
-        dim = dim_locations.unionByName(added)
-    if one_per_location:
-        dim = one_row_per_location(dim)
-    events = known_locations(timed, dim).select(*schemas.EVENT_COLUMNS)
-
-    listed = explode_vehicles(parsed, ("date",), drop_numeric)
-    vehicles = classify_vehicles(listed, dim_vehicles)
-    if date_mode == "first":
-        first = first_date(parsed, order)
-        vehicles = vehicles.withColumn("date", F.lit(first))
-    return BatchResult(events, vehicles, added, unresolved)
+    return Batch(posts, dim_locations, dim_vehicles, **options)
 
 
 def first_date(parsed: DataFrame, order: str):

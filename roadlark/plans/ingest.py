@@ -2,10 +2,10 @@
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from roadlark import schemas
-from roadlark.plans.batch import BatchResult, Resolver, process_batch
+from roadlark.plans.batch import Batch, Resolver, process_batch
 from roadlark.plans.load import load_locations, load_warehouse
 from roadlark.session import materialise, spread
 from roadlark.sources import posts as raw, tables
@@ -27,32 +27,32 @@ _VEHICLE_DDL = (
 def transform(
     posts: DataFrame, warehouse: Warehouse, clean_root: str | None, resolver: Resolver | None = None,
     replace_days: bool = False, groups: tuple[str, ...] = ("source_file",), **options,
-) -> BatchResult:
+) -> Batch:
     """Process raw posts against the warehouse's dimensions, add the locations it
     resolved to them, and write the clean folders."""
-    result = process_batch(
+    batch = process_batch(
         posts, warehouse.read("dim_locations"), warehouse.read("dim_vehicles"),
         groups=groups, resolver=resolver, **options,
     )
     if resolver is not None:
         # The enriched rows are planned over the dimension as it was plus these rows.
-        warehouse.append("dim_locations", result.new_locations)
+        warehouse.append("dim_locations", batch.new_locations)
     if clean_root is not None:
-        tables.write_by_date(result.events, f"{clean_root}/{EVENTS_FOLDER}", replace_days)
-        tables.write_by_date(result.vehicles, f"{clean_root}/{VEHICLES_FOLDER}", replace_days)
-    return result
+        tables.write_by_date(batch.events, f"{clean_root}/{EVENTS_FOLDER}", replace_days)
+        tables.write_by_date(batch.vehicles, f"{clean_root}/{VEHICLES_FOLDER}", replace_days)
+    return batch
 
 
 def ingest_range(
     warehouse: Warehouse, raw_root: str, clean_root: str, start: dt.date, end: dt.date, **options
-) -> BatchResult:
+) -> Batch:
     """All day files of an inclusive range in one job; missing days are skipped. Times
     are filled inside each file."""
     posts = _ordered(raw.read_days(warehouse.spark, raw_root, start, end))
     return transform(posts, warehouse, clean_root, **options)
 
 
-def ingest_daily(warehouse: Warehouse, raw_root: str, clean_root: str, as_of: dt.date, **options) -> BatchResult:
+def ingest_daily(warehouse: Warehouse, raw_root: str, clean_root: str, as_of: dt.date, **options) -> Batch:
     """The day before ``as_of``."""
     day = raw.day_before(as_of)
     return ingest_range(warehouse, raw_root, clean_root, day, day, **options)
@@ -60,7 +60,7 @@ def ingest_daily(warehouse: Warehouse, raw_root: str, clean_root: str, as_of: dt
 
 def ingest_historical(
     warehouse: Warehouse, path: str, clean_root: str, multi_line: bool = True, **options
-) -> BatchResult:
+) -> Batch:
     """One large file with pre-parsed columns, of which only the text is used."""
     posts = _ordered(raw.read_historical(warehouse.spark, path, multi_line))
     return transform(posts, warehouse, clean_root, **options)
@@ -77,19 +77,23 @@ def _ordered(posts: DataFrame) -> DataFrame:
     return spread(materialise(raw.with_file_order(posts), "raw"))
 
 
-def load_days(warehouse: Warehouse, clean_root: str, start: dt.date, end: dt.date | None = None) -> None:
-    """Clean rows of a day or range into the warehouse, as one partition-pruned scan."""
+def load_days(
+    warehouse: Warehouse, clean_root: str, start: dt.date, end: dt.date | None = None
+) -> dict[str, int]:
+    """Clean rows of a day or range into the warehouse, as one partition-pruned scan;
+    returns the rows inserted per table. The clean folders are the staging area: their
+    rows stay, and loading a day again inserts nothing."""
     spark = warehouse.spark
     events = tables.read_by_date(spark, f"{clean_root}/{EVENTS_FOLDER}", _EVENT_DDL, start, end)
     vehicles = tables.read_by_date(spark, f"{clean_root}/{VEHICLES_FOLDER}", _VEHICLE_DDL, start, end)
-    load_warehouse(warehouse, events, vehicles.drop("date"))
+    return load_warehouse(warehouse, events, vehicles.drop("date"))
 
 
-def load_daily(warehouse: Warehouse, clean_root: str, as_of: dt.date) -> None:
-    load_days(warehouse, clean_root, raw.day_before(as_of))
+def load_daily(warehouse: Warehouse, clean_root: str, as_of: dt.date) -> dict[str, int]:
+    return load_days(warehouse, clean_root, raw.day_before(as_of))
 
 
-def initial_locations(warehouse: Warehouse, path: str) -> None:
+def initial_locations(warehouse: Warehouse, path: str) -> int:
     """First load of the location dimension from a Parquet file of resolved places."""
     found = warehouse.spark.read.schema(schemas.RESOLVED_LOCATIONS).parquet(path)
-    load_locations(warehouse, found, truncate_first=True)
+    return load_locations(warehouse, found, truncate_first=True)

@@ -7,33 +7,39 @@ from roadlark.operators.audit import fk_audit, pk_audit
 from roadlark.sources.tables import Warehouse
 
 
-def load_locations(warehouse: Warehouse, staging: DataFrame, truncate_first: bool = False) -> None:
-    """Resolved locations into the dimension. ``truncate_first`` passes them through the
-    staging table, replacing what it holds, as the initial load does."""
+def load_locations(warehouse: Warehouse, staging: DataFrame, truncate_first: bool = False) -> int:
+    """Resolved locations into the dimension; returns the rows inserted. ``truncate_first``
+    passes them through the staging table, replacing what it holds, as the initial load
+    does."""
     if truncate_first:
         staging = warehouse.replace_staging("staging_locations", staging)
     have = warehouse.read("dim_locations")
-    warehouse.append("dim_locations", upsert.new_locations(staging, have, key_is_unique=True))
+    return warehouse.append("dim_locations", upsert.new_locations(staging, have, key_is_unique=True))
 
 
-def load_warehouse(warehouse: Warehouse, events: DataFrame, vehicles: DataFrame) -> None:
-    """Enriched events and classified vehicles into facts and the vehicle dimension.
+def load_warehouse(warehouse: Warehouse, events: DataFrame, vehicles: DataFrame) -> dict[str, int]:
+    """Enriched events and classified vehicles into facts and the vehicle dimension;
+    returns the rows inserted per table.
 
     Each step inserts only absent keys, so a load that was interrupted is simply run
     again: nothing is inserted twice.
     """
     have = warehouse.read
-    warehouse.append(
-        "fact_events",
-        upsert.new_events(events, have("dim_direction"), have("fact_events"), key_is_unique=True),
-    )
-    warehouse.append(
-        "dim_vehicles", upsert.new_vehicle_types(vehicles, have("dim_vehicles"), key_is_unique=True)
-    )
-    warehouse.append(
-        "fact_event_vehicles",
-        upsert.new_event_vehicles(vehicles, have("fact_event_vehicles"), key_is_unique=True),
-    )
+    append = warehouse.append
+    return {
+        "fact_events": append(
+            "fact_events",
+            upsert.new_events(events, have("dim_direction"), have("fact_events"), key_is_unique=True),
+        ),
+        "dim_vehicles": append(
+            "dim_vehicles",
+            upsert.new_vehicle_types(vehicles, have("dim_vehicles"), key_is_unique=True),
+        ),
+        "fact_event_vehicles": append(
+            "fact_event_vehicles",
+            upsert.new_event_vehicles(vehicles, have("fact_event_vehicles"), key_is_unique=True),
+        ),
+    }
 
 
 def audit(warehouse: Warehouse) -> tuple[DataFrame, DataFrame]:

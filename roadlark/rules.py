@@ -89,8 +89,13 @@ def whole_word(word: str) -> str:
 RALLY_WORD = "RALLY"
 STALLED_WORD = "STALLED"
 
-# Accepted texts of a post date, tried in this order.
-DATE_FORMATS = ["yyyy-M-d", "yyyy-M-d H:m:s", "M/d/yyyy", "M/d/yyyy H:m:s"]
+# Accepted texts of a post date: shape -> format.
+DATE_FORMATS = {
+    r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$": "yyyy-M-d",
+    r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$": "yyyy-M-d H:m:s",
+    r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$": "M/d/yyyy",
+    r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$": "M/d/yyyy H:m:s",
+}
 
 # ---- fixed values: spelling rules of place names -------------------------------
 # Literal replacements applied one after the other; the order decides the result,

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from roadlark import rules, schemas
 from roadlark.operators.upsert import absent_rows
@@ -64,10 +64,14 @@ class Warehouse:
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in schemas.TABLES}
 
-    def append(self, name: str, rows: DataFrame) -> None:
-        """Append rows already known to be absent, as an ``upsert`` operator returns them."""
+    def append(self, name: str, rows: DataFrame) -> int:
+        """Append rows already known to be absent, as an ``upsert`` operator returns them,
+        and count them on the way."""
         columns = self.spark.createDataFrame([], schemas.TABLES[name][0]).columns
-        rows.select(*columns).write.mode("append").parquet(self.path(name))
+        written = Observation()
+        counted = rows.select(*columns).observe(written, F.count(F.lit(1)).alias("rows"))
+        counted.write.mode("append").parquet(self.path(name))
+        return written.get["rows"]
 
     def seed(self) -> None:
         """Fixed directions and vehicle types; seeding again adds nothing."""

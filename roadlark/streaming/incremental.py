@@ -42,8 +42,8 @@ def start_ingest(
     def load(batch: DataFrame, batch_id: int) -> None:
         ordered = batch.withColumn("post_seq", F.monotonically_increasing_id())
         posts = spread(materialise(ordered, f"raw-{batch_id}"))
-        result = transform(posts, warehouse, clean_root, resolver, **options)
-        load_warehouse(warehouse, result.events, result.vehicles.drop("date"))
+        done = transform(posts, warehouse, clean_root, resolver, **options)
+        load_warehouse(warehouse, done.events, done.vehicles.drop("date"))
 
     return (
         post_stream(warehouse.spark, raw_root, max_files)
