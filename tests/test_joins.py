@@ -32,7 +32,6 @@ def test_salted_join_equals_plain_join(spark):
 
 
 def test_salted_join_spreads_the_hot_key_and_the_null_key(spark):
-    joined = lookup_join(skewed(spark), lookup(spark), "key", broadcast_bytes=0, salts=8)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
