@@ -16,7 +16,7 @@ from roadlark.operators.parse import parse_posts
 from roadlark.plans.batch import process_batch
 from roadlark.plans.ingest import ingest_historical
 from roadlark.plans.load import load_warehouse
-from roadlark.session import fresh_path, materialise
+from roadlark.session import empty_table, fresh_path, materialise
 from roadlark.sources import pages as timeline, posts as raw, tables
 from roadlark.sources.tables import Warehouse, seed_directions, seed_vehicles
 from roadlark.streaming.incremental import run_ingest
@@ -227,7 +227,7 @@ def _events_before_and_new(t):
     staged = locations.known_locations(bronze(t), t.dim_locations())
     directions = seed_directions(t.spark)
     first = staged.where(F.col("date") < SECOND_LOAD)
-    empty = t.spark.createDataFrame([], schemas.TABLES["fact_events"][0])
+    empty = empty_table(t.spark, schemas.TABLES["fact_events"][0])
     before = upsert.new_events(first, directions, empty)
     return before, upsert.new_events(staged.unionByName(staged), directions, before)
 
@@ -246,7 +246,7 @@ def upsert_dim_vehicles(t):
 @query
 def upsert_event_vehicles(t):
     staged = materialise(staged_vehicles(t), "vehicles")
-    empty = t.spark.createDataFrame([], schemas.TABLES["fact_event_vehicles"][0])
+    empty = empty_table(t.spark, schemas.TABLES["fact_event_vehicles"][0])
     before = upsert.new_event_vehicles(staged.where(F.col("date") < SECOND_LOAD), empty)
     return with_second_load(before, upsert.new_event_vehicles(staged, before))
 
@@ -312,7 +312,7 @@ def load_star(t):
     batch = _batch(t)
     warehouse.append("dim_locations", batch.new_locations)
     for _ in range(2):
-        load_warehouse(warehouse, batch.events, batch.vehicles.drop("date"))
+        load_warehouse(warehouse, batch.events, batch.vehicles)
     listed = warehouse.read("fact_event_vehicles").groupBy("event_id").agg(
         F.count("*").alias("vehicle_types"), F.sum("vehicle_count").alias("vehicles")
     )
@@ -369,10 +369,11 @@ def historical_round_trip(t):
 def partition_round_trip(t):
     """Parsed events through the date folders: appended, replaced whole, a range read back."""
     path = fresh_path(t.spark, "clean")
-    events = parsed(t)
+    events = bronze(t)
     tables.write_by_date(events, path)
     tables.write_by_date(events, path, replace_days=True)
-    return tables.read_by_date(t.spark, path, events.schema, dt.date(2024, 1, 5), dt.date(2024, 1, 20))
+    ddl = ", ".join(f"{name} {kind}" for name, kind in events.dtypes)
+    return tables.read_by_date(t.spark, path, ddl, dt.date(2024, 1, 5), dt.date(2024, 1, 20))
 
 
 @query

@@ -18,8 +18,10 @@ def direction_lookup(events: DataFrame, dim_direction: DataFrame, **join_options
     return joined.withColumn("direction_id", F.coalesce("direction_id", F.lit(rules.UNKNOWN)))
 
 
-def fact_rows(events: DataFrame, dim_direction: DataFrame, **join_options) -> DataFrame:
-    """Enriched events in the shape of the event fact table."""
+def fact_rows(
+    events: DataFrame, dim_direction: DataFrame, carry: tuple[str, ...] = (), **join_options
+) -> DataFrame:
+    """Enriched events in the shape of the event fact table, plus columns to ``carry``."""
     return direction_lookup(events, dim_direction, **join_options).select(
         "event_id",
         "event_timestamp",
@@ -30,4 +32,5 @@ def fact_rows(events: DataFrame, dim_direction: DataFrame, **join_options) -> Da
         "lanes_blocked",
         "post",
         "link",
+        *carry,
     )

@@ -15,37 +15,38 @@ BLOCK_BITS = 16
 ORDER_BITS = 48
 
 
-def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
+def _last_known(at: str) -> Column:
+    return F.max_by("known", F.when(F.col("known").isNotNull(), F.col(at))).alias("known")
+
+
+def _left_on(rows: DataFrame, blocks: DataFrame, groups: list[str], position: str) -> DataFrame:
+    """Attach ``entering`` of the block of each row; null groups match each other."""
+    right = blocks.select(
+        *[F.col(g).alias(f"_{g}") for g in groups], F.col("at").alias("_at"), F.col("entering")
+    )
+    on = rows[position] == right["_at"]
+    for g in groups:
+        on = on & rows[g].eqNullSafe(right[f"_{g}"])
+    return rows.join(right, on, "left").drop("_at", *[f"_{g}" for g in groups])
 
 
 def _entering(blocks: DataFrame, groups: list[str], bits: int, width: int) -> DataFrame:
-    """Add ``entering``: the last non-null ``known`` of the earlier blocks of the group.
+    """(groups, at, entering): the last non-null ``known`` of the earlier blocks of the group.
 
     ``blocks`` has one row per (groups, ``at``); ``width`` is the bit width of ``at``.
     """
     before = (Window.unboundedPreceding, -1)
+    known = F.last("known", ignorenulls=True)
     if width <= bits:
         w = Window.partitionBy(*groups).orderBy("at").rowsBetween(*before)
-        return blocks.withColumn("entering", F.last("known", ignorenulls=True).over(w))
-    upper = blocks.withColumn("up", F.shiftright("at", bits))
+        return blocks.select(*groups, "at", known.over(w).alias("entering"))
+    # Partitioned once; the window and the next level both read this exchange.
+    upper = blocks.withColumn("up", F.shiftright("at", bits)).repartition(*groups, "up")
     w = Window.partitionBy(*groups, "up").orderBy("at").rowsBetween(*before)
-    inside = upper.withColumn("near", F.last("known", ignorenulls=True).over(w))
-    parents = upper.groupBy(*groups, "up").agg(
-        F.max_by("known", F.when(F.col("known").isNotNull(), F.col("at"))).alias("known")
-    )
-    parents = _entering(parents.withColumnRenamed("up", "at"), groups, bits, width - bits)
-    far = parents.select(*[F.col(g).alias(f"_{g}") for g in groups], F.col("at").alias("_up"),
-                         F.col("entering").alias("far"))
-    on = inside["up"] == far["_up"]
-    for g in groups:
-        on = on & inside[g].eqNullSafe(far[f"_{g}"])
-    return inside.join(far, on, "left").select(
-        *groups, "at", "known", F.coalesce("near", "far").alias("entering")
-    )
+    inside = upper.withColumn("near", known.over(w)).drop("known")
+    parents = upper.groupBy(*groups, "up").agg(_last_known("at")).withColumnRenamed("up", "at")
+    joined = _left_on(inside, _entering(parents, groups, bits, width - bits), groups, "up")
+    return joined.select(*groups, "at", F.coalesce("near", "entering").alias("entering"))
 
 
 def forward_fill(
@@ -60,20 +61,17 @@ def forward_fill(
     same group; leading nulls stay.
 
     ``order`` must be a unique, non-negative integer column. Only (groups, order, value)
-    is shuffled for the running fill; of the wide rows only those that lack a value are
-    joined, the others pass through where they are. ``order_bits`` declares the width of
+    is shuffled, once, for the running fill; of the wide rows only those that lack a value
+    are joined, the others pass through where they are. ``df`` is read three times, so it
+    should be a table rather than a long computation. ``order_bits`` declares the width of
     the order values; wider values stay right but enlarge the topmost block.
     """
     groups = list(groups)
     block = F.shiftright(F.col(order).cast("bigint"), block_bits)
-    slim = df.select(*groups, F.col(order).alias("_order"), F.col(value).alias("known"),
-                     block.alias("at"))
-    blocks = slim.groupBy(*groups, "at").agg(
-        F.max_by("known", F.when(F.col("known").isNotNull(), F.col("_order"))).alias("known")
-    )
-    entering = _entering(blocks, groups, block_bits, order_bits - block_bits).select(
-        *[F.col(g).alias(f"_{g}") for g in groups], F.col("at").alias("_at"), "entering"
-    )
+    slim = df.select(
+        *groups, F.col(order).alias("_order"), F.col(value).alias("known"), block.alias("at")
+    ).repartition(*groups, "at")
+    blocks = slim.groupBy(*groups, "at").agg(_last_known("_order"))
     w = (
         Window.partitionBy(*groups, "at").orderBy("_order")
         .rowsBetween(Window.unboundedPreceding, 0)
@@ -81,11 +79,9 @@ def forward_fill(
     running = slim.withColumn("_run", F.last("known", ignorenulls=True).over(w)).where(
         F.col("known").isNull()
     )
-    on = running["at"] == entering["_at"]
-    for g in groups:
-        on = on & running[g].eqNullSafe(entering[f"_{g}"])
-    fills = running.join(entering, on, "left").select(
-        F.col("_order"), F.coalesce("_run", "entering").alias("_fill")
+    entering = _entering(blocks, groups, block_bits, order_bits - block_bits)
+    fills = _left_on(running, entering, groups, "at").select(
+        "_order", F.coalesce("_run", "entering").alias("_fill")
     )
     present = df.where(F.col(value).isNotNull())
     absent = df.where(F.col(value).isNull())

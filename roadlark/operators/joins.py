@@ -4,6 +4,8 @@ import math
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
+from roadlark.session import observed
+
 BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 0.01
 SALTS = 64
@@ -74,7 +76,7 @@ def hot_keys(rows: DataFrame, key: str, hot_share: float) -> list:
         .limit(math.ceil(1 / hot_share))
         .collect()
     )
-    total = seen.get["total"] or 0
+    total = observed(seen, "total")
     return [row[key] for row in top if row["count"] > total * hot_share]
 
 

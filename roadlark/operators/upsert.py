@@ -26,9 +26,14 @@ def new_locations(staging: DataFrame, dim_locations: DataFrame, key_is_unique: b
 
 
 def new_events(
-    staging: DataFrame, dim_direction: DataFrame, fact_events: DataFrame, key_is_unique: bool = False
+    staging: DataFrame,
+    dim_direction: DataFrame,
+    fact_events: DataFrame,
+    key_is_unique: bool = False,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    return absent_rows(fact_rows(staging, dim_direction), fact_events, ["event_id"], key_is_unique)
+    rows = fact_rows(staging, dim_direction, carry)
+    return absent_rows(rows, fact_events, ["event_id"], key_is_unique)
 
 
 def new_vehicle_types(staging: DataFrame, dim_vehicles: DataFrame, key_is_unique: bool = False) -> DataFrame:
@@ -39,10 +44,13 @@ def new_vehicle_types(staging: DataFrame, dim_vehicles: DataFrame, key_is_unique
 
 
 def new_event_vehicles(
-    staging: DataFrame, fact_event_vehicles: DataFrame, key_is_unique: bool = False
+    staging: DataFrame,
+    fact_event_vehicles: DataFrame,
+    key_is_unique: bool = False,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     pairs = staging.dropna(subset=["event_id", "vehicle_type"]).select(
-        "event_id", "vehicle_type", "vehicle_count"
+        "event_id", "vehicle_type", "vehicle_count", *carry
     )
     fresh = absent_rows(pairs, fact_event_vehicles, ["event_id", "vehicle_type"], key_is_unique)
     return fresh.select(

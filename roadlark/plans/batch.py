@@ -13,7 +13,7 @@ from roadlark.operators.locations import (
 from roadlark.operators.parse import parse_posts
 from roadlark.operators.upsert import new_locations
 from roadlark.operators.vehicles import classify_vehicles, explode_vehicles
-from roadlark.session import materialise
+from roadlark.session import empty_table, materialise
 
 Resolver = Callable[[DataFrame], DataFrame]
 
@@ -50,7 +50,7 @@ class Batch:
         """The resolver's answers for the locations the dimension lacks, written once, as
         a resolver may be slow or not repeatable."""
         if self.resolver is None:
-            return self.parsed.sparkSession.createDataFrame([], schemas.RESOLVED_LOCATIONS)
+            return empty_table(self.parsed.sparkSession, schemas.RESOLVED_LOCATIONS)
         return materialise(
             self.resolver(missing_locations(self.parsed, self.dim_locations)), "resolved"
         )

@@ -78,15 +78,17 @@ def _ordered(posts: DataFrame) -> DataFrame:
 
 
 def load_days(
-    warehouse: Warehouse, clean_root: str, start: dt.date, end: dt.date | None = None
+    warehouse: Warehouse, clean_root: str, start: dt.date, end: dt.date | None = None,
+    own_dates: bool = True,
 ) -> dict[str, int]:
     """Clean rows of a day or range into the warehouse, as one partition-pruned scan;
     returns the rows inserted per table. The clean folders are the staging area: their
-    rows stay, and loading a day again inserts nothing."""
+    rows stay, and loading a day again inserts nothing. Pass ``own_dates=False`` for
+    vehicles written with ``date_mode="first"``."""
     spark = warehouse.spark
     events = tables.read_by_date(spark, f"{clean_root}/{EVENTS_FOLDER}", _EVENT_DDL, start, end)
     vehicles = tables.read_by_date(spark, f"{clean_root}/{VEHICLES_FOLDER}", _VEHICLE_DDL, start, end)
-    return load_warehouse(warehouse, events, vehicles.drop("date"))
+    return load_warehouse(warehouse, events, vehicles if own_dates else vehicles.drop("date"))
 
 
 def load_daily(warehouse: Warehouse, clean_root: str, as_of: dt.date) -> dict[str, int]:

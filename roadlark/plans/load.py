@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 
 from roadlark.operators import upsert
 from roadlark.operators.audit import fk_audit, pk_audit
-from roadlark.sources.tables import Warehouse
+from roadlark.sources.tables import Warehouse, staged_days
 
 
 def load_locations(warehouse: Warehouse, staging: DataFrame, truncate_first: bool = False) -> int:
@@ -22,24 +22,27 @@ def load_warehouse(warehouse: Warehouse, events: DataFrame, vehicles: DataFrame)
     returns the rows inserted per table.
 
     Each step inserts only absent keys, so a load that was interrupted is simply run
-    again: nothing is inserted twice.
+    again: nothing is inserted twice. The facts are compared with those of the same days.
+    A ``date`` column of ``vehicles`` must be the date of their event; leave it out if it
+    is another one, and all days are compared.
     """
-    have = warehouse.read
-    append = warehouse.append
-    return {
-        "fact_events": append(
-            "fact_events",
-            upsert.new_events(events, have("dim_direction"), have("fact_events"), key_is_unique=True),
-        ),
-        "dim_vehicles": append(
-            "dim_vehicles",
-            upsert.new_vehicle_types(vehicles, have("dim_vehicles"), key_is_unique=True),
-        ),
-        "fact_event_vehicles": append(
-            "fact_event_vehicles",
-            upsert.new_event_vehicles(vehicles, have("fact_event_vehicles"), key_is_unique=True),
-        ),
-    }
+    have, append = warehouse.read, warehouse.append
+    event_days = staged_days(events)
+    new_events = upsert.new_events(
+        events, have("dim_direction"), have("fact_events", event_days), True, carry=("date",)
+    )
+    inserted = {"fact_events": append("fact_events", new_events, "date")}
+
+    types = upsert.new_vehicle_types(vehicles, have("dim_vehicles"), key_is_unique=True)
+    inserted["dim_vehicles"] = append("dim_vehicles", types)
+
+    date = "date" if "date" in vehicles.columns else None
+    vehicle_days = staged_days(vehicles) if date else None
+    new_pairs = upsert.new_event_vehicles(
+        vehicles, have("fact_event_vehicles", vehicle_days), True, carry=(date,) if date else ()
+    )
+    inserted["fact_event_vehicles"] = append("fact_event_vehicles", new_pairs, date)
+    return inserted
 
 
 def audit(warehouse: Warehouse) -> tuple[DataFrame, DataFrame]:

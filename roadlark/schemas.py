@@ -51,6 +51,10 @@ TABLES = {
     ),
 }
 
+# Tables kept in folders by event date; the folder column is not part of the table.
+DATED_TABLES = ("fact_events", "fact_event_vehicles")
+EVENT_DATE = "event_date"
+
 # (child table, child column, parent table, parent column)
 FOREIGN_KEYS = [
     ("fact_events", "location_id", "dim_locations", "location_id"),

@@ -3,7 +3,8 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 # Settings the jobs are written for; a cluster may set more (cores, memory, partitions).
 SETTINGS = {
@@ -50,6 +51,27 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/roadlark/{name}-{uuid.uuid4().hex}"
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A few fixed rows (texts, numbers, truth values) as a local relation, which plans as
+    one small task."""
+    schema = T.StructType.fromDDL(ddl)
+    if not rows:
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        return spark.range(0).select(*nothing)
+
+    def written(value) -> str:
+        return "'" + value.replace("'", "\\'") + "'" if isinstance(value, str) else str(value)
+
+    lines = ", ".join("(" + ", ".join(map(written, row)) + ")" for row in rows)
+    table = spark.sql(f"select * from values {lines}")
+    typed = [F.col(c).cast(f.dataType).alias(f.name) for c, f in zip(table.columns, schema)]
+    return table.select(*typed)
+
+
+def empty_table(spark: SparkSession, ddl: str) -> DataFrame:
+    return literal_rows(spark, [], ddl)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet and read it back.
 
@@ -61,6 +83,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def observed(counter: Observation, name: str) -> int:
+    """A count observed during an action; 0 where Spark found the plan to be empty while
+    it ran and left the counter out with it."""
+    try:
+        return counter.get[name] or 0
+    except Py4JJavaError as error:
+        if "assertion failed" not in str(error.java_exception):
+            raise
+        return 0
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Give the parser every core when a scan has fewer splits than there are cores, as
     one small or unsplittable file has. A large scan is left as it is.

@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadlark import schemas
+from roadlark.session import empty_table
 
 # Quoting that pandas and most tools write: a quote inside a quoted field is doubled.
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
@@ -37,7 +38,7 @@ def read_csv(spark: SparkSession, paths: str | list[str], schema: str, multi_lin
     """
     found = existing_paths(spark, [paths] if isinstance(paths, str) else paths)
     if not found:
-        return spark.createDataFrame([], schema)
+        return empty_table(spark, schema)
     options = {**READ_OPTIONS, "multiLine": multi_line}
     return spark.read.schema(schema).options(**options).csv(found)
 
@@ -124,7 +125,7 @@ def write_day_folders(posts: DataFrame, root: str, mode: str = "overwrite") -> N
 def read_day_folders(spark: SparkSession, root: str, start: dt.date, end: dt.date) -> DataFrame:
     """The posts of a date range, pruned to the folders of those days."""
     if not existing_paths(spark, [f"{root}/year=*"]):
-        return spark.createDataFrame([], schemas.RAW_POSTS)
+        return empty_table(spark, schemas.RAW_POSTS)
     parts = schemas.RAW_POSTS + ", year STRING, month STRING, day STRING"
     folder_day = F.concat("year", "month", "day")
     return (

@@ -2,10 +2,11 @@
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from roadlark import rules, schemas
 from roadlark.operators.upsert import absent_rows
+from roadlark.session import empty_table, literal_rows, observed
 from roadlark.sources.posts import existing_paths
 
 
@@ -22,24 +23,30 @@ def write_by_date(df: DataFrame, path: str, replace_days: bool = False) -> None:
 
 
 def read_by_date(
-    spark: SparkSession, path: str, schema, start: dt.date, end: dt.date | None = None
+    spark: SparkSession, path: str, schema: str, start: dt.date, end: dt.date | None = None
 ) -> DataFrame:
     """The rows of a day or of an inclusive range; other days are not listed or read.
 
-    ``schema`` (a StructType or DDL) includes ``date``.
+    ``schema`` (DDL) includes ``date``.
     """
     if not existing_paths(spark, [f"{path}/date=*"]):
-        return spark.createDataFrame([], schema)
+        return empty_table(spark, schema)
     return spark.read.schema(schema).parquet(path).where(F.col("date").between(start, end or start))
 
 
 def seed_directions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(rules.SEED_DIRECTIONS, schemas.TABLES["dim_direction"][0])
+    return literal_rows(spark, rules.SEED_DIRECTIONS, schemas.TABLES["dim_direction"][0])
 
 
 def seed_vehicles(spark: SparkSession) -> DataFrame:
     rows = [(t, g, rules.NO_SUGGESTION, True) for t, g in rules.SEED_VEHICLES]
-    return spark.createDataFrame(rows, schemas.TABLES["dim_vehicles"][0])
+    return literal_rows(spark, rows, schemas.TABLES["dim_vehicles"][0])
+
+
+def staged_days(staging: DataFrame, date: str = "date", most: int = 1000) -> list[dt.date] | None:
+    """The days of a staging table; None if some row has no date or there are very many."""
+    days = [row[0] for row in staging.select(date).distinct().limit(most + 1).collect()]
+    return None if None in days or len(days) > most else days
 
 
 class Warehouse:
@@ -47,6 +54,11 @@ class Warehouse:
 
     Tables only grow, by rows whose key they lack. A write that fails leaves no rows
     behind, and running it again inserts what is missing.
+
+    The fact tables lie in folders by event date. The date is part of what the event id
+    is a digest of, so a row can only be present already in the folder of its own date:
+    loading a day compares with that day, not with all of history. The folder of rows
+    without a date is always compared too.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -55,23 +67,38 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def read(self, name: str) -> DataFrame:
+    def read(self, name: str, days: list[dt.date] | None = None) -> DataFrame:
+        """A table; of a fact table, if ``days`` are given, only the rows a staging table
+        of these days could meet again."""
         ddl = schemas.TABLES[name][0]
         if not existing_paths(self.spark, [f"{self.path(name)}/_SUCCESS"]):
-            return self.spark.createDataFrame([], ddl)
-        return self.spark.read.schema(ddl).parquet(self.path(name))
+            return empty_table(self.spark, ddl)
+        if name not in schemas.DATED_TABLES:
+            return self.spark.read.schema(ddl).parquet(self.path(name))
+        date = F.col(schemas.EVENT_DATE)
+        dated = self.spark.read.schema(f"{ddl}, {schemas.EVENT_DATE} DATE").parquet(self.path(name))
+        if days is not None:
+            dated = dated.where(date.isin(days) | date.isNull())
+        return dated.drop(schemas.EVENT_DATE)
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in schemas.TABLES}
 
-    def append(self, name: str, rows: DataFrame) -> int:
+    def append(self, name: str, rows: DataFrame, date: str | None = None) -> int:
         """Append rows already known to be absent, as an ``upsert`` operator returns them,
-        and count them on the way."""
-        columns = self.spark.createDataFrame([], schemas.TABLES[name][0]).columns
+        and count them on the way. ``date`` names their event date column, if they have one.
+        """
+        columns = [f.name for f in T.StructType.fromDDL(schemas.TABLES[name][0])]
         written = Observation()
-        counted = rows.select(*columns).observe(written, F.count(F.lit(1)).alias("rows"))
-        counted.write.mode("append").parquet(self.path(name))
-        return written.get["rows"]
+        day = (F.col(date) if date else F.lit(None).cast("date")).alias(schemas.EVENT_DATE)
+        dated = name in schemas.DATED_TABLES
+        rows = rows.select(*columns, *([day] if dated else []))
+        counted = rows.observe(written, F.count(F.lit(1)).alias("rows"))
+        if dated:
+            counted = counted.hint("rebalance", schemas.EVENT_DATE)
+        writer = counted.write.mode("append")
+        (writer.partitionBy(schemas.EVENT_DATE) if dated else writer).parquet(self.path(name))
+        return observed(written, "rows")
 
     def seed(self) -> None:
         """Fixed directions and vehicle types; seeding again adds nothing."""

@@ -43,7 +43,8 @@ def start_ingest(
         ordered = batch.withColumn("post_seq", F.monotonically_increasing_id())
         posts = spread(materialise(ordered, f"raw-{batch_id}"))
         done = transform(posts, warehouse, clean_root, resolver, **options)
-        load_warehouse(warehouse, done.events, done.vehicles.drop("date"))
+        own_dates = options.get("date_mode", "own") == "own"
+        load_warehouse(warehouse, done.events, done.vehicles if own_dates else done.vehicles.drop("date"))
 
     return (
         post_stream(warehouse.spark, raw_root, max_files)

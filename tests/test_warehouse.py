@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 
@@ -80,7 +81,7 @@ def test_range_ingest_load_and_audit(spark, star, tmp_path):
     # A second run knows the resolved places and inserts nothing.
     again = ingest.ingest_range(star, root, None, DAY1, DAY2, resolver=gazetteer(spark))
     assert again.new_locations.count() == 0
-    assert load_warehouse(star, again.events, again.vehicles.drop("date")) == dict.fromkeys(inserted, 0)
+    assert load_warehouse(star, again.events, again.vehicles) == dict.fromkeys(inserted, 0)
 
 
 def test_daily_ingest_takes_the_day_before_and_only_that(spark, star, tmp_path):
@@ -154,6 +155,33 @@ def test_read_by_date_lists_only_the_range(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([(DAY1, 1), (DAY2, 2), (DAY2, 3)], "date date, n int")
     tables.write_by_date(df, path)
-    got = tables.read_by_date(spark, path, df.schema, DAY2)
+    got = tables.read_by_date(spark, path, "n int, date date", DAY2)
     assert sorted(r.n for r in got.collect()) == [2, 3]
     assert "PartitionFilters: [isnotnull(date" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_loading_a_day_reads_only_that_day_of_the_facts(spark, star, tmp_path):
+    root, clean = write_raw(tmp_path), str(tmp_path / "clean")
+    ingest.ingest_range(star, root, clean, DAY1, DAY2)
+    ingest.load_days(star, clean, DAY1, DAY2)
+    plan = star.read("fact_events", [DAY2])._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*event_date", plan)
+    assert star.read("fact_events", [DAY2]).count() == 2
+    assert star.read("fact_events").count() == 5
+    assert star.read("fact_events").columns == [f.split()[0] for f in schemas.TABLES["fact_events"][0].split(", ")]
+
+
+def test_rows_without_a_date_are_compared_with_all(spark, star, tmp_path):
+    root = write_raw(tmp_path)
+    batch = ingest.ingest_range(star, root, None, DAY1, DAY2)
+    # Once without dates, then with: still no pair twice, in either order.
+    first = load_warehouse(star, batch.events, batch.vehicles.drop("date"))
+    assert first["fact_event_vehicles"] == 6
+    assert load_warehouse(star, batch.events, batch.vehicles)["fact_event_vehicles"] == 0
+    other = Warehouse(spark, str(tmp_path / "star2"))
+    other.seed()
+    assert load_warehouse(other, batch.events, batch.vehicles)["fact_event_vehicles"] == 6
+    assert load_warehouse(other, batch.events, batch.vehicles.drop("date"))["fact_event_vehicles"] == 0
+    assert tables.staged_days(batch.vehicles) is not None
+    assert tables.staged_days(batch.vehicles.selectExpr("cast(null as date) date")) is None
+    assert tables.staged_days(batch.vehicles, most=1) is None
