@@ -78,7 +78,7 @@ class Batch:
             dim = dim.unionByName(self.new_locations)
         if self.one_per_location:
             dim = one_row_per_location(dim)
-        return known_locations(timed, dim).select(*schemas.EVENT_COLUMNS)
+        return known_locations(timed, dim, keys_from=self.parsed).select(*schemas.EVENT_COLUMNS)
 
     @cached_property
     def vehicles(self) -> DataFrame:

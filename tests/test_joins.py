@@ -26,7 +26,7 @@ def test_salted_join_equals_plain_join(spark):
     big, small = skewed(spark), lookup(spark)
     for how in ("left", "inner"):
         plain = rows_of(big.join(small, "key", how))
-        salted = lookup_join(big, small, "key", how, broadcast_bytes=0, salts=7)
+        salted = lookup_join(big, small, "key", how, broadcast_bytes=0, hot_share=0.05)
         assert rows_of(salted) == plain
         assert rows_of(lookup_join(big, small, "key", how)) == plain
 
@@ -35,7 +35,7 @@ def test_salted_join_spreads_the_hot_key_and_the_null_key(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = lookup_join(skewed(spark), lookup(spark), "key", broadcast_bytes=0, salts=8)
+        joined = lookup_join(skewed(spark), lookup(spark), "key", broadcast_bytes=0, hot_share=0.05)
         per_task = joined.withColumn("task", F.spark_partition_id()).groupBy("key", "task").count()
         tasks = Counter(r["key"] for r in per_task.collect())
     finally:
@@ -50,9 +50,10 @@ def test_small_lookup_is_broadcast_and_large_is_not(spark):
     assert measure(lookup(spark))[0] == 5
 
 
-def test_hot_keys_are_bounded(spark):
-    assert hot_keys(skewed(spark), "key", 0.25) == ["hot"]
-    assert hot_keys(skewed(spark).limit(0), "key", 0.25) == []
+def test_hot_keys_get_pieces_by_their_share(spark):
+    assert [tuple(r) for r in hot_keys(skewed(spark), "key", 0.25).collect()] == [("hot", 2)]
+    assert dict(map(tuple, hot_keys(skewed(spark), "key", 0.01).collect())) == {"hot": 50}
+    assert hot_keys(skewed(spark).limit(0), "key", 0.25).count() == 0
 
 
 def test_one_row_per_key_takes_the_smallest(spark):

@@ -26,7 +26,7 @@ def test_known_locations_fan_out_or_not(spark):
 def test_large_dimension_path_gives_the_same(spark):
     posts = events(spark, *(["EDSA"] * 50 + ["C5", "", None]))
     plain = locations.known_locations(posts, dim(spark))
-    salted = locations.known_locations(posts, dim(spark), broadcast_bytes=0, salts=4)
+    salted = locations.known_locations(posts, dim(spark), broadcast_bytes=0)
     key = lambda df: sorted(str(r.asDict()) for r in df.collect())
     assert key(plain) == key(salted)
 
