@@ -14,17 +14,13 @@ def drop_articles(text: Column) -> Column:
     return tx.strip(F.regexp_replace(F.upper(text), rules.ARTICLE_PATTERN, ""))
 
 
-def singular(name: Column) -> Column:
-    return tx.lookup_or_self(name, rules.VEHICLE_PLURALS)
-
-
-def hyphenate(name: Column) -> Column:
+def regular_name(name: Column) -> Column:
+    """Singular, alias and hyphenation of a whole name. No listed plural or alias is a
+    wheeler truck, and none is the outcome of another, so one lookup serves for both."""
+    listed = tx.literal_map({**rules.VEHICLE_PLURALS, **rules.VEHICLE_ALIASES})
     hyphenated = F.regexp_replace(name, rules.WHEELER_PATTERN, "$1-$2")
-    return F.when(F.contains(name, F.lit(rules.WHEELER_HINT)), hyphenated).otherwise(name)
-
-
-def alias_name(name: Column) -> Column:
-    return tx.lookup_or_self(name, rules.VEHICLE_ALIASES)
+    other = F.when(F.contains(name, F.lit(rules.WHEELER_HINT)), hyphenated).otherwise(name)
+    return F.coalesce(F.try_element_at(listed, name), other)
 
 
 def number_digits(text: Column) -> Column:
@@ -45,48 +41,48 @@ def split_list(text: Column) -> Column:
 
 # From the participants as written to their entries. Every step reads its input more
 # than once, so a plan gives each its own projection.
-LIST_STEPS = [drop_articles, singular, hyphenate, alias_name, number_digits, split_list]
+LIST_STEPS = [drop_articles, regular_name, number_digits, split_list]
 
 
-def _counted(part: Column) -> Column:
-    """``n NAME`` as (name, n), with an empty name if the text has another form."""
-    return F.struct(
-        F.regexp_extract(part, rules.COUNTED_PATTERN, 2).alias("name"),
-        F.regexp_extract(part, rules.COUNTED_PATTERN, 1).alias("n"),
-        part.alias("whole"),
-    )
+def _leading_count(part: Column) -> Column:
+    """The entry and its leading number, which is empty unless a name follows it."""
+    return F.struct(part.alias("whole"), F.regexp_extract(part, rules.COUNTED_PATTERN, 1).alias("n"))
 
 
-def _with_name(entries: Column, step) -> Column:
-    return F.transform(entries, lambda p: F.struct(step(p["name"]).alias("name"), p["n"].alias("n")))
+def _rest(p: Column) -> Column:
+    """The name of an entry: what follows the number, or all of it."""
+    return F.when(
+        p["n"] != "", tx.strip(F.substr(p["whole"], F.length(p["n"]) + 1))
+    ).otherwise(p["whole"])
 
 
 def count_entries(parts: Column) -> Column:
     """Entries as array<struct<name, n>>, equal names still apart; one without a number
     counts once."""
     # Chained transforms bind each intermediate once.
-    read = F.transform(parts, _counted)
+    read = F.transform(parts, _leading_count)
+    one = F.lit(1).cast(_BIG_COUNT)
     named = F.transform(
         read,
-        lambda p: F.when(
-            p["name"] != "",
-            F.struct(tx.strip(p["name"]).alias("name"), tx.whole_number(p["n"], _BIG_COUNT).alias("n")),
-        ).otherwise(F.struct(p["whole"].alias("name"), F.lit(1).cast(_BIG_COUNT).alias("n"))),
+        lambda p: F.struct(
+            _rest(p).alias("name"),
+            F.when(p["n"] != "", p["n"].try_cast(_BIG_COUNT)).otherwise(one).alias("n"),
+        ),
+    )
+    regular = F.transform(
+        named, lambda p: F.struct(regular_name(p["name"]).alias("name"), p["n"].alias("n"))
     )
-    for step in (singular, hyphenate, alias_name):
-        named = _with_name(named, step)
-    return F.sort_array(named)
+    return F.sort_array(regular)
 
 
 def involved_text(entries: Column) -> Column:
     """``1 CAR|2 MOTORCYCLE``: counts summed per name, names ascending; ``entries`` are
     sorted, so equal names are neighbours and one fold adds them up."""
-    zero = F.lit(0).cast(_BIG_COUNT)
     empty = F.array().cast(f"array<struct<name:string,n:{_BIG_COUNT}>>")
 
     def add(done, p):
         last = F.try_element_at(done, F.lit(-1))
-        total = (F.coalesce(last["n"], zero) + p["n"]).cast(_BIG_COUNT)
+        total = F.try_add(last["n"], p["n"]).cast(_BIG_COUNT)
         merged = F.struct(p["name"].alias("name"), total.alias("n"))
         return F.when(
             F.coalesce(last["name"] == p["name"], F.lit(False)),
@@ -104,14 +100,9 @@ def involved_array(involved: Column) -> Column:
     parts = F.when(tx.blank_to_null(involved).isNotNull(), F.split(involved, r"\|"))
     parts = F.transform(F.coalesce(parts, F.array().cast("array<string>")), tx.strip)
     return F.transform(
-        F.transform(parts, _counted),
-        lambda p: F.when(
-            p["name"] != "",
-            F.struct(
-                F.upper(tx.strip(p["name"])).alias("vehicle_type"),
-                tx.whole_number(p["n"]).alias("vehicle_count"),
-            ),
-        ).otherwise(
-            F.struct(F.upper(p["whole"]).alias("vehicle_type"), F.lit(1).alias("vehicle_count"))
+        F.transform(parts, _leading_count),
+        lambda p: F.struct(
+            F.upper(_rest(p)).alias("vehicle_type"),
+            F.when(p["n"] != "", p["n"].try_cast("int")).otherwise(F.lit(1)).alias("vehicle_count"),
         ),
     )

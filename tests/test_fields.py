@@ -97,6 +97,8 @@ INVOLVED = {
     "INVOLVING A AS OF": "",
     "INVOLVING 02 CARS AND 3 CARS, AS OF": "5 CAR",
     "INVOLVING 9171234567 CARS AS OF": "9171234567 CAR",
+    f"INVOLVING {'9' * 38} CARS AND {'9' * 38} CARS AS OF": "CAR",
+    "INVOLVING PICKUP, PICK UPS AND 3 PICK- UP AS OF": "1 PICK UPS|4 PICK-UP",
     "INVOLVING CAR AT THE END": None,
     "INVOLVING CAR OFFICE": "1 CAR",
     "RALLY MORE OR LESS 0250 PAX": "1 250",
@@ -178,3 +180,11 @@ def test_accuracy(spark):
 def test_strip_knows_all_white_space(spark):
     spaces = "\t\n\x0b\x0c\r\x1c\x1f \x85\xa0     　"
     assert column(spark, tx.strip, [f"{spaces}a b{spaces}"]) == ["a b"]
+
+
+def test_plurals_and_aliases_are_apart_so_that_one_lookup_serves_for_both():
+    from roadlark import rules
+
+    plurals, aliases = rules.VEHICLE_PLURALS, rules.VEHICLE_ALIASES
+    assert not set(plurals) & set(aliases) and not set(plurals.values()) & set(aliases)
+    assert not any(rules.WHEELER_HINT in name for name in (*plurals, *aliases))
