@@ -1,6 +1,7 @@
 """One batch of raw posts to enriched events and classified vehicles."""
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
@@ -18,6 +19,57 @@ from roadlark.session import empty_table, materialise
 Resolver = Callable[[DataFrame], DataFrame]
 
 
+@dataclass(frozen=True)
+class Places:
+    """A location dimension and what resolving the unknown locations of a batch adds.
+
+    ``new_locations`` are the rows to insert, ``dim`` includes them, ``unresolved`` lists
+    the locations that neither the dimension nor the resolver knows.
+    """
+
+    dim: DataFrame
+    new_locations: DataFrame
+    unresolved: DataFrame
+
+
+def resolve_places(
+    events: DataFrame, dim_locations: DataFrame, resolver: Resolver | None = None, keep_unresolved: bool = False
+) -> Places:
+    """Ask the resolver for the locations the dimension lacks. Its answers are written
+    once, as it may be slow or not repeatable. Locations without a city stay out of the
+    dimension, so that they are asked again next time, unless they are to be kept."""
+    missing = missing_locations(events, dim_locations)
+    if resolver is None:
+        nothing = empty_table(events.sparkSession, schemas.TABLES["dim_locations"][0])
+        return Places(dim_locations, nothing, missing)
+    resolved = materialise(resolver(missing), "resolved")
+    nowhere = F.col("city") == ""
+    found = resolved if keep_unresolved else resolved.where(~nowhere)
+    added = new_locations(found, dim_locations)
+    unresolved = resolved.where(nowhere).select("location")
+    return Places(dim_locations.unionByName(added), added, unresolved)
+
+
+def attach_places(
+    events: DataFrame, places: Places, one_per_location: bool = True, **join_options
+) -> DataFrame:
+    """Events with the dimension columns of their location."""
+    dim = one_row_per_location(places.dim) if one_per_location else places.dim
+    return known_locations(events, dim, **join_options)
+
+
+def enrich_locations(
+    events: DataFrame,
+    dim_locations: DataFrame,
+    resolver: Resolver | None = None,
+    one_per_location: bool = True,
+    keep_unresolved: bool = False,
+) -> tuple[DataFrame, Places]:
+    """Resolve the unknown locations of a table of events and attach all of them."""
+    places = resolve_places(events, dim_locations, resolver, keep_unresolved)
+    return attach_places(events, places, one_per_location), places
+
+
 class Batch:
     """The tables that come out of a batch of raw posts; see ``process_batch``.
 
@@ -46,39 +98,23 @@ class Batch:
         self.parsed = materialise(parse_posts(posts, carry=(order, *groups)), "parsed")
 
     @cached_property
-    def resolved(self) -> DataFrame:
-        """The resolver's answers for the locations the dimension lacks, written once, as
-        a resolver may be slow or not repeatable."""
-        if self.resolver is None:
-            return empty_table(self.parsed.sparkSession, schemas.RESOLVED_LOCATIONS)
-        return materialise(
-            self.resolver(missing_locations(self.parsed, self.dim_locations)), "resolved"
-        )
+    def places(self) -> Places:
+        return resolve_places(self.parsed, self.dim_locations, self.resolver, self.keep_unresolved)
 
-    @cached_property
+    @property
     def new_locations(self) -> DataFrame:
-        """Rows to add to the location dimension. Locations without a city stay out, so
-        that they are asked again next time, unless they are to be kept."""
-        found = self.resolved if self.keep_unresolved else self.resolved.where(F.col("city") != "")
-        return new_locations(found, self.dim_locations)
+        return self.places.new_locations
 
-    @cached_property
+    @property
     def unresolved(self) -> DataFrame:
-        """Locations that neither the dimension nor the resolver knows."""
-        if self.resolver is None:
-            return missing_locations(self.parsed, self.dim_locations)
-        return self.resolved.where(F.col("city") == "").select("location")
+        return self.places.unresolved
 
     @cached_property
     def events(self) -> DataFrame:
         """Enriched events: times filled, location attached."""
         timed = fill_event_time(self.parsed, self.order, self.groups)
-        dim = self.dim_locations
-        if self.resolver is not None:
-            dim = dim.unionByName(self.new_locations)
-        if self.one_per_location:
-            dim = one_row_per_location(dim)
-        return known_locations(timed, dim, keys_from=self.parsed).select(*schemas.EVENT_COLUMNS)
+        located = attach_places(timed, self.places, self.one_per_location, keys_from=self.parsed)
+        return located.select(*schemas.EVENT_COLUMNS)
 
     @cached_property
     def vehicles(self) -> DataFrame:

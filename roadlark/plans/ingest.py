@@ -9,6 +9,7 @@ from roadlark.plans.batch import Batch, Resolver, process_batch
 from roadlark.plans.load import load_locations, load_warehouse
 from roadlark.session import materialise, spread
 from roadlark.sources import posts as raw, tables
+from roadlark.sources.pages import extract_posts
 from roadlark.sources.tables import Warehouse
 
 EVENTS_FOLDER, VEHICLES_FOLDER = "events", "vehicles"
@@ -77,6 +78,24 @@ def _ordered(posts: DataFrame) -> DataFrame:
     return spread(materialise(raw.with_file_order(posts), "raw"))
 
 
+def ingest_pages(
+    warehouse: Warehouse, pages: DataFrame, clean_root: str, order: str = "page_id",
+    day: dt.date | None = None, **options,
+) -> Batch:
+    """Timeline pages straight to clean rows, without CSV files between; times are filled
+    in the order of pages and positions."""
+    posts = extract_posts(pages, day=day, order=order)
+    return transform(posts, warehouse, clean_root, groups=(), **options)
+
+
+def ingest_day_folders(
+    warehouse: Warehouse, raw_root: str, clean_root: str, start: dt.date, end: dt.date, **options
+) -> Batch:
+    """A date range of the folders that ``write_day_folders`` makes."""
+    posts = _ordered(raw.read_day_folders(warehouse.spark, raw_root, start, end))
+    return transform(posts, warehouse, clean_root, **options)
+
+
 def load_days(
     warehouse: Warehouse, clean_root: str, start: dt.date, end: dt.date | None = None,
     own_dates: bool = True,

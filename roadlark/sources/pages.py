@@ -43,13 +43,16 @@ def public_link(href: Column, hosts: tuple[str, str] = rules.LINK_HOSTS) -> Colu
 
 
 def page_items(pages: DataFrame, html: str = "html", carry: tuple[str, ...] = ("page_id",)) -> DataFrame:
-    """Every complete item of every page; one with a missing field is dropped."""
+    """Every complete item of every page with its position; one with a missing field is
+    dropped."""
     items = pages.select(
-        *carry, F.explode(F.regexp_extract_all(html, F.lit(_ITEM), F.lit(1))).alias("item")
+        *carry,
+        F.posexplode(F.regexp_extract_all(html, F.lit(_ITEM), F.lit(1))).alias("position", "item"),
     )
     anchor = F.regexp_extract("item", _DATE_LINK, 1)
     fields = items.select(
         *carry,
+        "position",
         visible_text(F.regexp_extract("item", _CONTENT, 1)).alias("content"),
         F.col("item").rlike(_CONTENT).alias("has_content"),
         public_link(_unescape(tx.blank_to_null(F.regexp_extract(anchor, _HREF, 1)))).alias("tweetlinkid"),
@@ -59,12 +62,30 @@ def page_items(pages: DataFrame, html: str = "html", carry: tuple[str, ...] = ("
     return fields.where(whole).drop("has_content")
 
 
+# Positions a page has room for in the order of its posts.
+PAGE_ROOM = 1 << 20
+
+
 def extract_posts(
-    pages: DataFrame, html: str = "html", day: dt.date | None = None, mark: str = rules.POST_MARK
+    pages: DataFrame,
+    html: str = "html",
+    day: dt.date | None = None,
+    mark: str = rules.POST_MARK,
+    order: str | None = None,
 ) -> DataFrame:
-    """Posts of the pages that carry the alert mark, of one day or of all."""
-    posts = page_items(pages, html, ()).where(F.contains("content", F.lit(mark)))
-    return posts if day is None else posts.where(F.col("created_at") == F.lit(day))
+    """Posts of the pages that carry the alert mark, of one day or of all.
+
+    With ``order``, a unique non-negative integer column of the pages such as their crawl
+    number, the posts get a ``post_seq`` that follows pages and positions.
+    """
+    items = page_items(pages, html, (order,) if order else ())
+    posts = items.where(F.contains("content", F.lit(mark)))
+    if day is not None:
+        posts = posts.where(F.col("created_at") == F.lit(day))
+    columns = ["content", "tweetlinkid", "created_at"]
+    if order:
+        columns.append((F.col(order).cast("bigint") * PAGE_ROOM + F.col("position")).alias("post_seq"))
+    return posts.select(*columns)
 
 
 def next_link(html: Column) -> Column:

@@ -81,6 +81,8 @@ def test_extract_posts(spark):
         ("MMDA ALERT: C", "https://x.com/MMDA/status/2#m", dt.date(2024, 1, 15)),
     ]
     assert timeline.extract_posts(pages, day=dt.date(2024, 1, 15)).count() == 1
+    ordered = timeline.extract_posts(pages, order="page_id").orderBy("post_seq").collect()
+    assert [r.post_seq - timeline.PAGE_ROOM for r in ordered] == [0, 1]
 
 
 def test_next_link(spark):

@@ -6,6 +6,7 @@ import pytest
 from roadlark import schemas
 from roadlark.operators.locations import resolve_from_gazetteer
 from roadlark.plans import ingest
+from roadlark.plans.batch import enrich_locations
 from roadlark.plans.load import audit, load_locations, load_warehouse
 from roadlark.sources import posts as raw, tables
 from roadlark.sources.tables import Warehouse
@@ -185,3 +186,35 @@ def test_rows_without_a_date_are_compared_with_all(spark, star, tmp_path):
     assert tables.staged_days(batch.vehicles) is not None
     assert tables.staged_days(batch.vehicles.selectExpr("cast(null as date) date")) is None
     assert tables.staged_days(batch.vehicles, most=1) is None
+
+
+def test_pages_straight_to_the_warehouse(spark, star, tmp_path):
+    item = (
+        '<div class="timeline-item "><span class="tweet-date"><a href="https://nitter.net/MMDA/status/{}" '
+        'title="Jan 1, 2025 · 8:00 AM UTC">x</a></span><div class="tweet-content">{}</div></div>'
+    )
+    texts = [line for lines in LINES.values() for line in lines]
+    pages = spark.createDataFrame(
+        [(0, "".join(item.format(i, t) for i, t in enumerate(texts[:2]))),
+         (1, "".join(item.format(i, t) for i, t in enumerate(texts[2:])))],
+        "page_id long, html string",
+    )
+    batch = ingest.ingest_pages(star, pages, str(tmp_path / "clean"))
+    assert {r.time for r in batch.events.collect()} == {"08:05", "13:00"}
+    assert ingest.load_days(star, str(tmp_path / "clean"), DAY1)["fact_events"] == 5
+
+
+def test_day_folders_can_be_ingested(spark, star, tmp_path):
+    root, clean = str(tmp_path / "folders"), str(tmp_path / "clean")
+    posts = raw.read_posts(spark, [day_path(write_raw(tmp_path), d) for d in LINES])
+    raw.write_day_folders(posts, root)
+    ingest.ingest_day_folders(star, root, clean, DAY2, DAY2)
+    assert ingest.load_days(star, clean, DAY1, DAY2)["fact_events"] == 2
+
+
+def test_enrich_locations(spark, star):
+    events = spark.createDataFrame([(1, "EDSA SHAW"), (2, "NOWHERE"), (3, "")], "n int, location string")
+    located, places = enrich_locations(events, star.read("dim_locations"), gazetteer(spark))
+    assert sorted((r.n, r.city or "") for r in located.collect()) == [(1, "MANDALUYONG"), (2, ""), (3, "")]
+    assert [r.location for r in places.new_locations.collect()] == ["EDSA SHAW"]
+    assert sorted(r.location for r in places.unresolved.collect()) == ["", "NOWHERE"]
