@@ -3,18 +3,61 @@
 Each field can also be had alone: Catalyst drops the steps behind columns not selected.
 """
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from roadlark.functions import fields, involved, keys, text as tx
+from roadlark.session import built_once
+
+
+@built_once
+def _list_columns() -> list[Column]:
+    """From a participants text in ``_list`` to the counted list, step by step."""
+    steps = [*involved.LIST_STEPS, involved.count_entries, involved.involved_text]
+    return [step(F.col("_list")) for step in steps]
+
+
+@built_once
+def _searches() -> dict[str, Column]:
+    post = F.col("post")
+    return {
+        "_time": fields.time_text(post),
+        "_place": fields.place_text(post),
+        "direction": fields.direction(post),
+        "type": fields.incident_type(post),
+        "_lanes": fields.lanes_text(post),
+        "_participants": fields.participants_text(post),
+    }
+
+
+@built_once
+def _readings() -> dict[str, Column]:
+    return {
+        "_time": fields.clock(F.col("_time")),
+        "_place": fields.place_words(F.col("post"), F.col("_place")),
+        "lanes_blocked": fields.number_word(F.col("_lanes")),
+    }
+
+
+@built_once
+def _names() -> dict[str, Column]:
+    return {"time": fields.clock_time(F.col("_time")), "location": fields.place_name(F.col("_place"))}
+
+
+@built_once
+def _identity() -> list[Column]:
+    date, time, location, post = (F.col(c) for c in ("date", "time", "location", "post"))
+    return [
+        keys.event_id(date, time, location, post).alias("event_id"),
+        fields.event_timestamp(date, time).alias("event_timestamp"),
+    ]
 
 
 def with_involved(df: DataFrame, participants: str, into: str = "involved") -> DataFrame:
     """Add the counted vehicle list of a participants text; null where there is none."""
     df = df.withColumn("_list", tx.blank_to_null(F.col(participants)))
-    for step in involved.LIST_STEPS:
-        df = df.withColumn("_list", step(F.col("_list")))
-    df = df.withColumn("_list", involved.count_entries(F.col("_list")))
-    return df.withColumn(into, involved.involved_text(F.col("_list"))).drop("_list")
+    for step in _list_columns():
+        df = df.withColumn("_list", step)
+    return df.withColumnRenamed("_list", into)
 
 
 def parse_posts(
@@ -29,47 +72,16 @@ def parse_posts(
     What several expressions share (the cleaned post, a raw match) is a column of an
     earlier projection, so each search runs once per row.
     """
-    post, place = F.col("post"), F.col("_place")
     texts = posts.select(
         fields.post_text(F.col(content)).alias("post"),
         tx.clean_text(F.col(link)).alias("link"),
         fields.post_date(F.col(created_at), posts.schema[created_at].dataType).alias("date"),
         *carry,
     )
-    searched = texts.select(
-        "*",
-        fields.time_text(post).alias("_time"),
-        fields.place_text(post).alias("_place"),
-        fields.direction(post).alias("direction"),
-        fields.incident_type(post).alias("type"),
-        fields.lanes_text(post).alias("_lanes"),
-        fields.participants_text(post).alias("_participants"),
-    )
-    read = with_involved(
-        searched.withColumns(
-            {
-                "_time": fields.clock(F.col("_time")),
-                "_place": fields.place_words(post, place),
-                "lanes_blocked": fields.number_word(F.col("_lanes")),
-            }
-        ),
-        "_participants",
-    )
-    named = read.withColumns(
-        {"time": fields.clock_time(F.col("_time")), "location": fields.place_name(place)}
-    )
-    date, time, location = F.col("date"), F.col("time"), F.col("location")
+    read = texts.withColumns(_searches()).withColumns(_readings())
+    named = with_involved(read, "_participants").withColumns(_names())
+    event_id, event_timestamp = _identity()
     return named.select(
-        keys.event_id(date, time, location, post).alias("event_id"),
-        date,
-        time,
-        fields.event_timestamp(date, time).alias("event_timestamp"),
-        location,
-        "direction",
-        "type",
-        "lanes_blocked",
-        "involved",
-        post,
-        "link",
-        *carry,
+        event_id, "date", "time", event_timestamp, "location", "direction", "type",
+        "lanes_blocked", "involved", "post", "link", *carry,
     )

@@ -2,9 +2,14 @@
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import TypeVar
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark import SparkContext
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types
+
+T = TypeVar("T")
 
 # Settings the jobs are written for; a cluster may set more (cores, memory, partitions).
 SETTINGS = {
@@ -51,10 +56,27 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/roadlark/{name}-{uuid.uuid4().hex}"
 
 
+def built_once(build: Callable[[], T]) -> Callable[[], T]:
+    """Keep what ``build`` makes of column expressions for as long as the JVM lives.
+
+    Large expressions take hundreds of calls into the JVM to put together; they hold only
+    column names, so every plan can use the same ones.
+    """
+    kept: dict = {}
+
+    def get() -> T:
+        jvm = SparkContext._jvm
+        if kept.get("jvm") is not jvm:
+            kept.update(jvm=jvm, value=build())
+        return kept["value"]
+
+    return get
+
+
 def literal_rows(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     """A few fixed rows (texts, numbers, truth values) as a local relation, which plans as
     one small task."""
-    schema = T.StructType.fromDDL(ddl)
+    schema = types.StructType.fromDDL(ddl)
     if not rows:
         nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
         return spark.range(0).select(*nothing)
