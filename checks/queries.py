@@ -311,8 +311,9 @@ def load_star(t):
     warehouse.append("dim_locations", t.dim_locations())
     batch = _batch(t)
     warehouse.append("dim_locations", batch.new_locations)
+    events, vehicle_rows = materialise(batch.events, "events"), materialise(batch.vehicles, "vehicles")
     for _ in range(2):
-        load_warehouse(warehouse, batch.events, batch.vehicles)
+        load_warehouse(warehouse, events, vehicle_rows)
     listed = warehouse.read("fact_event_vehicles").groupBy("event_id").agg(
         F.count("*").alias("vehicle_types"), F.sum("vehicle_count").alias("vehicles")
     )

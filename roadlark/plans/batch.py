@@ -36,8 +36,9 @@ def resolve_places(
     events: DataFrame, dim_locations: DataFrame, resolver: Resolver | None = None, keep_unresolved: bool = False
 ) -> Places:
     """Ask the resolver for the locations the dimension lacks. Its answers are written
-    once, as it may be slow or not repeatable. Locations without a city stay out of the
-    dimension, so that they are asked again next time, unless they are to be kept."""
+    once, as it may be slow or not repeatable, and so are the rows they add, which several
+    plans read. Locations without a city stay out of the dimension, so that they are asked
+    again next time, unless they are to be kept."""
     missing = missing_locations(events, dim_locations)
     if resolver is None:
         nothing = empty_table(events.sparkSession, schemas.TABLES["dim_locations"][0])
@@ -45,7 +46,7 @@ def resolve_places(
     resolved = materialise(resolver(missing), "resolved")
     nowhere = F.col("city") == ""
     found = resolved if keep_unresolved else resolved.where(~nowhere)
-    added = new_locations(found, dim_locations)
+    added = materialise(new_locations(found, dim_locations), "new-locations")
     unresolved = resolved.where(nowhere).select("location")
     return Places(dim_locations.unionByName(added), added, unresolved)
 

@@ -23,6 +23,7 @@ def load_warehouse(warehouse: Warehouse, events: DataFrame, vehicles: DataFrame)
 
     Each step inserts only absent keys, so a load that was interrupted is simply run
     again: nothing is inserted twice. The facts are compared with those of the same days.
+    Both inputs are read several times, so they should be tables rather than long plans.
     A ``date`` column of ``vehicles`` must be the date of their event; leave it out if it
     is another one, and all days are compared.
     """

@@ -43,8 +43,10 @@ def start_ingest(
         ordered = batch.withColumn("post_seq", F.monotonically_increasing_id())
         posts = spread(materialise(ordered, f"raw-{batch_id}"))
         done = transform(posts, warehouse, clean_root, resolver, **options)
+        events = materialise(done.events, "events")
+        vehicles = materialise(done.vehicles, "vehicles")
         own_dates = options.get("date_mode", "own") == "own"
-        load_warehouse(warehouse, done.events, done.vehicles if own_dates else done.vehicles.drop("date"))
+        load_warehouse(warehouse, events, vehicles if own_dates else vehicles.drop("date"))
 
     return (
         post_stream(warehouse.spark, raw_root, max_files)
