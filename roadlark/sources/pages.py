@@ -9,7 +9,7 @@ from roadlark.functions import text as tx
 
 # An item runs from its own opening tag up to the next one.
 _ITEM = r'(?s)<div class="timeline-item[^"]*"[^>]*>(.*?)(?=<div class="timeline-item|\z)'
-_CONTENT = r'(?s)<div class="tweet-content[^"]*"[^>]*>(.*?)</div>'
+_CONTENT = r'(?s)<div class="tweet-content[^"]*"[^>]*>.*?</div>'
 _DATE_LINK = r'(?s)<span class="tweet-date[^"]*"[^>]*>\s*(<a [^>]*>)'
 _TITLE = r'\btitle="([^"]*)"'
 _HREF = r'\bhref="([^"]*)"'
@@ -32,6 +32,10 @@ def visible_text(fragment: Column) -> Column:
     return tx.strip(_unescape(F.regexp_replace(lines, _TAG, "")))
 
 
+def _attribute(tag, pattern: str) -> Column:
+    return _unescape(tx.blank_to_null(F.regexp_extract(tag, pattern, 1)))
+
+
 def title_date(title: Column) -> Column:
     """Date before the separator, ``Jan 5, 2024 · 8:00 AM UTC``."""
     written = F.split_part(title, F.lit(rules.PAGE_DATE_SEPARATOR), F.lit(1))
@@ -44,22 +48,27 @@ def public_link(href: Column, hosts: tuple[str, str] = rules.LINK_HOSTS) -> Colu
 
 def page_items(pages: DataFrame, html: str = "html", carry: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """Every complete item of every page with its position; one with a missing field is
-    dropped."""
-    items = pages.select(
-        *carry,
-        F.posexplode(F.regexp_extract_all(html, F.lit(_ITEM), F.lit(1))).alias("position", "item"),
+    dropped.
+
+    The searches in an item run inside the generator: a filter on the fields is not moved
+    below it, where it would repeat them.
+    """
+    found = F.transform(
+        F.regexp_extract_all(html, F.lit(_ITEM), F.lit(1)),
+        lambda item: F.struct(
+            F.regexp_substr(item, F.lit(_CONTENT)).alias("content"),
+            F.regexp_extract(item, _DATE_LINK, 1).alias("anchor"),
+        ),
     )
-    anchor = F.regexp_extract("item", _DATE_LINK, 1)
+    items = pages.select(*carry, F.posexplode(found).alias("position", "item"))
     fields = items.select(
         *carry,
         "position",
-        visible_text(F.regexp_extract("item", _CONTENT, 1)).alias("content"),
-        F.col("item").rlike(_CONTENT).alias("has_content"),
-        public_link(_unescape(tx.blank_to_null(F.regexp_extract(anchor, _HREF, 1)))).alias("tweetlinkid"),
-        title_date(_unescape(F.regexp_extract(anchor, _TITLE, 1))).alias("created_at"),
+        visible_text(F.col("item.content")).alias("content"),
+        public_link(_attribute("item.anchor", _HREF)).alias("tweetlinkid"),
+        title_date(_attribute("item.anchor", _TITLE)).alias("created_at"),
     )
-    whole = F.col("has_content") & F.col("tweetlinkid").isNotNull() & F.col("created_at").isNotNull()
-    return fields.where(whole).drop("has_content")
+    return fields.dropna(subset=["content", "tweetlinkid", "created_at"])
 
 
 # Positions a page has room for in the order of its posts.
@@ -92,7 +101,7 @@ def next_link(html: Column) -> Column:
     """Link of the last show-more block as written, null if there is none."""
     anchors = F.regexp_extract_all(html, F.lit(_MORE), F.lit(1))
     last = F.try_element_at(anchors, F.lit(-1))
-    return _unescape(tx.blank_to_null(F.regexp_extract(last, _HREF, 1)))
+    return _attribute(last, _HREF)
 
 
 def resolve_link(link: Column, base: str = rules.PAGE_BASE, account: str = rules.PAGE_ACCOUNT) -> Column:
