@@ -6,6 +6,10 @@ first; two nodes can only be linked if they share a shingle of their prefixes, s
 are joined by shingle. Pairs pass a length, a positional and a suffix filter and are then
 verified once on their whole sets, read again from the texts.
 
+A shingle with many nodes, as in a large group of near copies, does not pair them all. Its
+largest node is its centre. The others are verified against the centre, and what they
+differ by from it is prefix-filtered in its turn (see ``_crowded``).
+
 How frequent a shingle is comes from a table of counters over all documents, as large for
 any input. It only orders the shingles; links are the same for every order.
 """
@@ -18,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadlark.llm.common import components, text_of
 from roadlark.operators.joins import lookup_join
@@ -28,8 +32,9 @@ WORDS = 4
 PERCENT = 85  # of the union that the intersection must be at least
 SKETCH_BITS = 22  # counters for the frequency of shingles
 CHUNKS = 64  # pieces the counters travel in
-PIVOTS = 16  # parts of a set that the suffix filter compares by size
+PIVOTS = 64  # parts of a set that the suffix filter compares by size
 CHUNK_BYTES = 1 << 14
+CROWD = 32  # nodes under a shingle that are paired with each other, at most
 
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256)) + 1
@@ -157,7 +162,7 @@ def prefixes(table: np.ndarray, words: int, percent: int) -> Column:
                 rarity = table[(found >> np.uint64(64 - bits)).astype(np.int64)]
                 order = np.lexsort((found, rarity))
                 length = len(found) - -(-percent * len(found) // 100) + 1 if len(found) else 0
-                parts = np.bincount((found >> np.uint64(60)).astype(np.int64), minlength=PIVOTS)
+                parts = np.bincount((found >> np.uint64(58)).astype(np.int64), minlength=PIVOTS)
                 digest = xxhash.xxh3_128(found.tobytes()).digest()
                 prefix = found[order[:length]].astype(np.int64)
                 rows.append((len(found), digest, prefix, parts.astype(np.int32).tobytes()))
@@ -217,17 +222,14 @@ def _sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int) -> Da
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = materialise(nodes.join(ends, "node").select("node", "digest", F.col("any_id").alias("_doc")), "wanted")
 
-    @F.pandas_udf("binary")
-    def whole(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: shingles(text, words).tobytes())
-
-    @F.pandas_udf("binary")
-    def digest(sets: pd.Series) -> pd.Series:
-        return sets.map(lambda found: xxhash.xxh3_128(found).digest())
+    @F.pandas_udf("set binary, digest binary")
+    def whole(texts: pd.Series) -> pd.DataFrame:
+        sets = [shingles(text, words).tobytes() for text in texts]
+        return pd.DataFrame({"set": sets, "digest": [xxhash.xxh3_128(x).digest() for x in sets]})
 
     texts = docs.select(_doc_key().alias("_doc"), text_of().alias("text"))
     chosen = lookup_join(texts, wanted.select("_doc").distinct(), "_doc", "inner")
-    found = chosen.select(whole("text").alias("set")).withColumn("digest", digest("set"))
+    found = chosen.select(whole("text").alias("_s")).select("_s.*")
     # Rows with one id may have several texts, and several rows one text.
     one = found.join(wanted.select("node", "digest"), "digest").select("node", "set")
     return materialise(one.dropDuplicates(["node"]), "sets")
@@ -237,71 +239,96 @@ def _doc_key() -> Column:
     return F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
 
 
-def _links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs that are linked, each verified once."""
-    pairs = materialise(_plausible(pairs, nodes, percent), "pairs")
-    sets = _sets(docs, nodes, pairs, words)
+def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     for end in ("a", "b"):
         pairs = pairs.join(sets.select(F.col("node").alias(end), F.col("set").alias(f"_set_{end}")), end)
-    return materialise(pairs.where(_verified(percent)).select("a", "b"), "edges")
+    return pairs
 
 
-def _neighbours(entries: DataFrame, percent: int) -> DataFrame:
-    """One candidate (a, b) for each node: of the nodes next to it, by size, under the
-    shingles of its prefix, the one it meets most often. At most one row a node."""
+def _crossed(left: DataFrame, right: DataFrame, on: list[str], percent: int) -> DataFrame:
+    """Pairs of different nodes under one key that pass the length filter, with the n and
+    the place of each; a has the smaller number."""
+    rest = ("node", "n", "place")
+    one = left.select(*on, *[F.col(c).alias(f"{c}_a") for c in rest])
+    other = right.select(*on, *[F.col(c).alias(f"{c}_b") for c in rest])
+    return one.join(other, on).where(
+        (F.col("node_a") != F.col("node_b")) & _close(F.col("n_a"), F.col("n_b"), percent)
+    )
 
-    def adjacent(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last = None
-        for batch in batches:
-            rows = batch if last is None else pd.concat([last, batch], ignore_index=True)
-            last = rows.tail(1)
-            here, after = rows.iloc[:-1], rows.iloc[1:]
-            same = here["hash"].to_numpy() == after["hash"].to_numpy()
-            small, large = here["n"].to_numpy()[same], after["n"].to_numpy()[same]
-            near = 100 * small >= percent * large
-            yield pd.DataFrame({"a": here["node"].to_numpy()[same][near], "b": after["node"].to_numpy()[same][near]})
-
-    order = ["hash", "n", "node"]
-    ranges = entries.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
-    met = ranges.mapInPandas(adjacent, "a long, b long").groupBy("a", "b").count()
-    best = met.groupBy("a").agg(F.max(F.struct("count", "b")).alias("best"))
-    ends = [F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")]
-    return best.select(*ends).distinct()
-
-
-def _candidates(entries: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) that share a shingle of their prefixes, are not yet connected and
-    pass the length and positional filters. A shingle all of whose nodes are connected
-    makes no pair."""
-    placed = entries.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    placed = materialise(placed, "placed")
-    mixed = placed.groupBy("hash").agg(F.min("root").alias("_least"), F.max("root").alias("_most"))
-    open_hashes = mixed.where(F.col("_least") != F.col("_most")).select("hash")
-    rows = materialise(placed.join(open_hashes, "hash"), "open")
-    left = rows.select("hash", *[F.col(c).alias(f"{c}_a") for c in ("node", "root", "n", "place")])
-    right = rows.select("hash", *[F.col(c).alias(f"{c}_b") for c in ("node", "root", "n", "place")])
-    met = left.join(right, "hash").where(
-        (F.col("node_a") < F.col("node_b"))
-        & (F.col("root_a") != F.col("root_b"))
-        & _close(F.col("n_a"), F.col("n_b"), percent)
+
+def _few(entries: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) under shingles with few nodes that pass the length and positional
+    filters."""
+    rows = entries.where(F.col("nodes") <= CROWD)
+    met = _crossed(rows, rows, ["hash"], percent).where(F.col("node_a") < F.col("node_b"))
+    # Shingles with many nodes may be shared too: as many as stand before this one.
+    before = F.least("place_a", "place_b")
+    rest = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) - 1
+    most = before + 1 + rest
+    near = met.where(100 * most >= percent * (F.col("n_a") + F.col("n_b") - most))
+    return near.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
+def _crowded(
+    docs: DataFrame, nodes: DataFrame, entries: DataFrame, words: int, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """(edges, pairs) for the shingles with many nodes: links to their centres, and the
+    pairs beside them that may be linked and connect what the centres do not.
+
+    Let D(x) be what x and the centre c differ by. Sets of s shingles together are linked
+    if they differ by no more than K = (100 - percent) * s / (100 + percent) of them. What
+    a and b differ by is what D(a) and D(b) do not share, and c is the largest set, so K
+    is largest with c. Where a and b are both linked to c they are connected. Otherwise,
+    let a be not linked to c, so |D(a)| > K: then a and b can only be linked if they share
+    more than half of D(b), and at least |D(a)| - K of D(a), or half of it if that is
+    less. So prefixes of D, rare ones first, must share an element, where an element of
+    one D only cannot be shared.
+    """
+    crowds = entries.where(F.col("nodes") > CROWD)
+    centres = crowds.groupBy("hash").agg(F.max(F.struct("n", "node")).alias("_c"))
+    stars = crowds.join(centres.select("hash", F.col("_c.node").alias("b")), "hash")
+    stars = stars.select(F.col("node").alias("a"), "b").where(F.col("a") != F.col("b")).distinct()
+    stars = materialise(stars, "stars")
+    sets = _sets(docs, nodes, stars, words)
+
+    @F.pandas_udf("n long, most long, linked boolean, difference array<long>")
+    def compared(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        rows = []
+        for left, right in zip(a, b):
+            x, y = np.frombuffer(left, np.int64), np.frombuffer(right, np.int64)
+            difference = np.setxor1d(x, y, assume_unique=True)
+            most = (100 - percent) * (len(x) + len(y)) // (100 + percent)
+            rows.append((len(x), most, len(difference) <= most, difference))
+        return pd.DataFrame(rows, columns=["n", "most", "linked", "difference"])
+
+    found = _with_sets(stars, sets).select("a", "b", compared("_set_a", "_set_b").alias("_d"))
+    found = materialise(found.select(F.col("a").alias("node"), F.col("b").alias("centre"), "_d.*"), "differences")
+    edges = found.where("linked").select(F.col("node").alias("a"), F.col("centre").alias("b"))
+
+    parts = found.select(
+        "node", "centre", "n", "most", "linked", F.size("difference").alias("size"), F.explode("difference").alias("part")
     )
-    pairs = met.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(
-        F.count("*").alias("shared"),
-        F.first("n_a").alias("n_a"),
-        F.first("n_b").alias("n_b"),
-        F.max("place_a").alias("place_a"),
-        F.max("place_b").alias("place_b"),
+    often = parts.groupBy("centre", "part").agg(F.count("*").alias("often")).where(F.col("often") > 1)
+    order = Window.partitionBy("centre", "node").orderBy("often", "part")
+    everywhere = Window.partitionBy("centre", "node")
+    size = F.col("size")
+    half = F.ceil((size + 1) / 2)
+    shared = parts.join(often, ["centre", "part"]).withColumns(
+        # Places in the difference: its elements that no other one has stand in front.
+        {"place": size - F.count("*").over(everywhere) + F.row_number().over(order) - 1}
     )
-    # Beyond the last shared shingle of the prefixes no more than the shorter rest is shared.
-    rest = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) - 1
-    most = F.col("shared") + rest
-    return pairs.where(100 * most >= percent * (F.col("n_a") + F.col("n_b") - most)).select("a", "b")
+    most_places = F.when(F.col("linked"), size - half).otherwise(size - F.least(size - F.col("most"), half)) + 1
+    placed = materialise(shared.where(F.col("place") < most_places), "parts")
+    on = ["centre", "part"]
+    met = _crossed(placed.where(~F.col("linked")), placed.where(F.col("place") <= size - half), on, percent)
+    pairs = met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
+    return edges, pairs.distinct()
 
 
 def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(members, edges). members: doc_id, n and node of every row, node null without
     shingles. edges: linked pairs (a, b) of nodes that connect all that are linked in any
-    number of steps; of a group whose nodes are connected already no more pairs are made.
+    number of steps.
     """
     table = frequency_table(docs, words)
     described = docs.select("doc_id", prefixes(table, words, percent).alias("_d")).select("doc_id", "_d.*")
@@ -319,15 +346,16 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[D
     )
     nodes = materialise(classes, "nodes")
     exploded = nodes.select("node", "n", F.posexplode("prefix").alias("place", "hash"))
-    repeated = nodes.select(F.explode("prefix").alias("hash")).groupBy("hash").count().where(F.col("count") > 1)
-    entries = materialise(lookup_join(exploded, materialise(repeated.select("hash"), "repeated"), "hash", "inner"), "entries")
+    repeated = nodes.select(F.explode("prefix").alias("hash")).groupBy("hash").agg(F.count("*").alias("nodes"))
+    entries = materialise(exploded.join(repeated.where(F.col("nodes") > 1), "hash"), "entries")
 
-    tried = materialise(_neighbours(entries, percent), "tried")
-    first = _links(docs, nodes, tried, words, percent)
-    others = _candidates(entries, components(first), percent).join(tried, ["a", "b"], "left_anti")
-    rest = _links(docs, nodes, others, words, percent)
+    edges, more = _crowded(docs, nodes, entries, words, percent)
+    pairs = _few(entries, percent).union(more).distinct()
+    pairs = materialise(_plausible(pairs, nodes, percent), "pairs")
+    verified = _with_sets(pairs, _sets(docs, nodes, pairs, words)).where(_verified(percent))
+    edges = materialise(edges.union(verified.select("a", "b")), "edges")
     members = described.select("doc_id", "n", "digest").join(nodes.select("digest", "node"), "digest", "left")
-    return materialise(members.drop("digest"), "members"), first.union(rest)
+    return materialise(members.drop("digest"), "members"), edges
 
 
 def deduplicate(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
