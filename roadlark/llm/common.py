@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from roadlark.session import materialise
 
 SAMPLE_BUCKETS = 1 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 500
 
 
 def text_of(column: str = "text") -> Column:
@@ -14,6 +16,14 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(f"`{column}`"), F.lit(""))
 
 
+def small_batches(rows: DataFrame) -> None:
+    """Lets the session send whole texts to Python in batches of BATCH_ROWS at most, so
+    that a worker holds few of them at a time."""
+    conf = rows.sparkSession.conf
+    if int(conf.get(BATCH_SETTING)) > BATCH_ROWS:
+        conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
 def remainder(column: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as empty text."""
     written = F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))

@@ -14,6 +14,8 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from roadlark.llm.common import small_batches
+
 # Element names of HTML by what they mean for the text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset(
@@ -254,6 +256,7 @@ def extract(pages: DataFrame, html_column: str = "html") -> DataFrame:
     def article(batch: pd.Series) -> pd.Series:
         return batch.map(main_text)
 
+    small_batches(pages)
     html = F.coalesce(F.col(f"`{html_column}`"), F.lit(""))
     return pages.select("page_id", "url", article(html).alias("text")).withColumn(
         "n_chars", F.length("text").cast("long")

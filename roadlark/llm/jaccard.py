@@ -24,7 +24,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from roadlark.llm.common import components, text_of
+from roadlark.llm.common import components, small_batches, text_of
 from roadlark.operators.joins import lookup_join
 from roadlark.session import materialise
 
@@ -330,6 +330,7 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[D
     shingles. edges: linked pairs (a, b) of nodes that connect all that are linked in any
     number of steps.
     """
+    small_batches(docs)
     table = frequency_table(docs, words)
     described = docs.select("doc_id", prefixes(table, words, percent).alias("_d")).select("doc_id", "_d.*")
     described = materialise(described, "prefixes")

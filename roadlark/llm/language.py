@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from roadlark.llm.common import SAMPLE_BUCKETS, remainder, text_of
+from roadlark.llm.common import SAMPLE_BUCKETS, remainder, small_batches, text_of
 from roadlark.session import materialise
 
 FIT_DOCS = 20_000  # documents the models are fitted on, about, at most
@@ -266,6 +266,7 @@ def identify(docs: DataFrame, path: str) -> DataFrame:
     no language could be learnt. Repeated rows get equal results. Columns beside doc_id,
     lang and text are not looked at.
     """
+    small_batches(docs)
     model = train(docs, path)
     held_out = remainder("doc_id", FOLDS) == HELD_OUT
     rows = docs.select("doc_id", held_out.alias("held_out"), predicted(model).alias("_p"))

@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from roadlark.llm.common import text_of
+from roadlark.llm.common import small_batches, text_of
 from roadlark.session import materialise
 
 SEQUENCE = 4096
@@ -122,6 +122,7 @@ def pack(docs: DataFrame, path: str, length: int = SEQUENCE) -> DataFrame:
     last are full. Repeated rows are packed each for itself. An empty table gives no piece.
     Columns beside doc_id and text are not looked at.
     """
+    small_batches(docs)
     with open(path, encoding="utf-8") as file:
         definition = file.read()
     tokens = materialise(tokenised(docs, definition), "tokens")

@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from roadlark.llm.common import labelled_sample, remainder, text_of
+from roadlark.llm.common import labelled_sample, remainder, small_batches, text_of
 
 FIT_DOCS = 20_000  # labelled documents the model is fitted on, at most
 SHRINKAGE = 0.3
@@ -117,6 +117,7 @@ def fit(sample: DataFrame, shrinkage: float = SHRINKAGE) -> Model:
 
 def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Model:
     """Learns labels of documents outside the held-out fold, of ``fit_docs`` at most."""
+    small_batches(docs)
     learn = remainder("doc_id", FOLDS) != 0
     sample = labelled_sample(docs, labels, "quality", learn, fit_docs)
     return fit(sample.withColumn("label", F.col("label").cast("int")))

@@ -16,7 +16,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from roadlark.llm.common import labelled_sample, remainder, text_of
+from roadlark.llm.common import labelled_sample, remainder, small_batches, text_of
 from roadlark.session import materialise
 
 FIT_DOCS = 20_000  # labelled documents the model is fitted on, at most
@@ -129,6 +129,7 @@ def fit(sample: DataFrame, penalty: float = PENALTY) -> Model:
 
 def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> Model:
     """Learns labels of documents outside the held-out fold, of ``fit_docs`` at most."""
+    small_batches(docs)
     learn = remainder("doc_id", FOLDS) != HELD_OUT
     return fit(labelled_sample(docs, labels, "toxic", learn, fit_docs))
 
