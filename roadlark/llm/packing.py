@@ -8,7 +8,9 @@ other share sequences, and only the last sequence needs padding.
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +24,8 @@ SEQUENCE = 4096
 END = 2  # id behind each document
 DIMENSIONS = 4
 GRID_BITS = 10  # of each dimension
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000  # of a worker process
+TAIL = ".,;:!?%$#&*"  # signs that the tokenizer always parts from a letter before them
 
 
 def _tokenizer(definition: str):
@@ -65,27 +68,62 @@ def _words(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
+class Words:
+    """Ids of words as bytes, each word encoded once while it is kept."""
+
+    def __init__(self, definition: str) -> None:
+        self.tokenizer = _tokenizer(definition)
+        self.size = max(self.tokenizer.get_vocab_size(), END + 1)
+        self.code = "H" if self.size <= 1 << 16 else "I"
+        self.known: dict[str, bytes] = {"": b""}
+
+    @staticmethod
+    def of_worker(definition: str) -> Words:
+        """Those of this worker process, which serves one task after the other."""
+        kept = vars(sys.modules["__main__"]).setdefault("_packing_words", {})
+        if definition not in kept:
+            kept.clear()
+            kept[definition] = Words(definition)
+        return kept[definition]
+
+    def _encode(self, words: list[str]) -> None:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        self.known.update((w, array(self.code, x.ids).tobytes()) for w, x in zip(words, found))
+
+    def add(self, words: set[str]) -> None:
+        """A word of ASCII letters is encoded in lower case, as the tokenizer takes it, and
+        apart from the signs behind it."""
+        if len(self.known) > CACHED_WORDS:
+            self.known = {"": b""}
+        parts = {}
+        for word in words.difference(self.known):
+            body = word.rstrip(TAIL)
+            if body and body[-1].isalnum():
+                parts[word] = (body.lower() if body.isascii() else body, word[len(body) :])
+            else:
+                parts[word] = (word, "")
+        self._encode(list({p for pair in parts.values() for p in pair}.difference(self.known)))
+        known = self.known
+        known.update((word, known[body] + known[tail]) for word, (body, tail) in parts.items())
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, the last one included."""
+        split = [_words(t) for t in texts]
+        self.add(set().union(*split))
+        last, find = array(self.code, [END]).tobytes(), self.known.__getitem__
+        return [b"".join(map(find, words)) + last for words in split]
+
+
 def tokenised(docs: DataFrame, definition: str) -> DataFrame:
     """_row, doc_id, n (tokens with the last one), key, ids (as bytes) of each document."""
 
     @F.pandas_udf("n long, key long, ids binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        tokenizer = _tokenizer(definition)
-        size = max(tokenizer.get_vocab_size(), END + 1)
-        kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        table = np.random.default_rng(5).normal(size=(size, DIMENSIONS)).astype(np.float32)
-        known: dict[str, bytes] = {"": b""}
-        last = np.array([END], kind).tobytes()
+        words = Words.of_worker(definition)
+        kind = np.dtype(f"<u{array(words.code).itemsize}")
+        table = np.random.default_rng(5).normal(size=(words.size, DIMENSIONS)).astype(np.float32)
         for texts in batches:
-            if len(known) > CACHED_WORDS:
-                known = {"": b""}
-            blobs = []
-            for text in texts:
-                words = _words(text)
-                fresh = [w for w in dict.fromkeys(words) if w not in known]
-                for word, found in zip(fresh, tokenizer.encode_batch_fast(fresh, add_special_tokens=False)):
-                    known[word] = np.array(found.ids, kind).tobytes()
-                blobs.append(b"".join(map(known.__getitem__, words)) + last)
+            blobs = words.ids(texts.to_list())
             sizes = np.array([len(b) // kind.itemsize for b in blobs], np.int64)
             means = np.zeros((len(blobs), DIMENSIONS))
             for i, blob in enumerate(blobs):
@@ -126,13 +164,13 @@ def pack(docs: DataFrame, path: str, length: int = SEQUENCE) -> DataFrame:
     with open(path, encoding="utf-8") as file:
         definition = file.read()
     tokens = materialise(tokenised(docs, definition), "tokens")
-    wide = _tokenizer(definition).get_vocab_size() > 1 << 16
+    code = Words(definition).code
 
     @F.pandas_udf("array<struct<start: long, length: long, ids_crc32: long>>")
     def pieces(ids: pd.Series, first: pd.Series) -> pd.Series:
         found = []
         for blob, place in zip(ids, first):
-            whole = np.frombuffer(blob, "<u4" if wide else "<u2").astype("<u4")
+            whole = np.frombuffer(blob, f"<u{array(code).itemsize}").astype("<u4")
             cuts = [0, *range(length - place % length, len(whole), length), len(whole)]
             found.append(
                 [
