@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from roadlark.functions import fields
 
 BLOCK_BITS = 16
-ORDER_BITS = 48
+ORDER_BITS = 63
 
 
 def _last_known(at: str) -> Column:

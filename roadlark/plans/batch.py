@@ -40,14 +40,17 @@ def resolve_places(
     plans read. Locations without a city stay out of the dimension, so that they are asked
     again next time, unless they are to be kept."""
     missing = missing_locations(events, dim_locations)
-    if resolver is None:
+    if resolver is not None:
+        missing = materialise(missing, "missing")
+    else:
         nothing = empty_table(events.sparkSession, schemas.TABLES["dim_locations"][0])
         return Places(dim_locations, nothing, missing)
     resolved = materialise(resolver(missing), "resolved")
     nowhere = F.col("city") == ""
     found = resolved if keep_unresolved else resolved.where(~nowhere)
     added = materialise(new_locations(found, dim_locations), "new-locations")
-    unresolved = resolved.where(nowhere).select("location")
+    # Also what the resolver has not answered at all.
+    unresolved = missing.select("location").join(resolved.where(~nowhere), "location", "left_anti")
     return Places(dim_locations.unionByName(added), added, unresolved)
 
 

@@ -53,8 +53,10 @@ def ingest_range(
     return transform(posts, warehouse, clean_root, **options)
 
 
-def ingest_daily(warehouse: Warehouse, raw_root: str, clean_root: str, as_of: dt.date, **options) -> Batch:
-    """The day before ``as_of``."""
+def ingest_daily(
+    warehouse: Warehouse, raw_root: str, clean_root: str, as_of: dt.date | None = None, **options
+) -> Batch:
+    """The day before ``as_of``, which is today in Manila if it is left out."""
     day = raw.day_before(as_of)
     return ingest_range(warehouse, raw_root, clean_root, day, day, **options)
 
@@ -73,7 +75,7 @@ def _ordered(posts: DataFrame) -> DataFrame:
     A multi-line file is read by one task however large it is; what follows this narrow
     copy is split by Parquet row groups again, or spread if it is small.
     """
-    if not posts.inputFiles():
+    if posts.isEmpty():
         return posts.select("*", F.lit("").alias("source_file"), F.lit(0).cast("bigint").alias("post_seq"))
     return spread(materialise(raw.with_file_order(posts), "raw"))
 
@@ -110,7 +112,7 @@ def load_days(
     return load_warehouse(warehouse, events, vehicles if own_dates else vehicles.drop("date"))
 
 
-def load_daily(warehouse: Warehouse, clean_root: str, as_of: dt.date) -> dict[str, int]:
+def load_daily(warehouse: Warehouse, clean_root: str, as_of: dt.date | None = None) -> dict[str, int]:
     return load_days(warehouse, clean_root, raw.day_before(as_of))
 
 

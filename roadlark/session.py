@@ -40,16 +40,14 @@ def local_session(name: str = "roadlark", cores: int | str = "*", **extra: str)
 def work_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local session may fall back on a temporary folder of its own machine.
+    Only a local session, whose one process is all there is, may do without the setting.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="roadlark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return f"{tempfile.gettempdir()}/roadlark-work"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

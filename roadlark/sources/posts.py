@@ -1,6 +1,7 @@
 """Raw posts in CSV files, one file or folder per day."""
 
 import datetime as dt
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -61,8 +62,8 @@ def read_posts(spark: SparkSession, paths: str | list[str], multi_line: bool = T
 
 def historical_as_posts(raw: DataFrame) -> DataFrame:
     """Only text, date and source of the historical file; its other columns are parsed anew."""
-    return raw.select("Tweet", "Date", "Source").withColumnsRenamed(
-        {"Tweet": "content", "Date": "created_at", "Source": "tweetlinkid"}
+    return raw.select(
+        F.col("Tweet").alias("content"), F.col("Date").alias("created_at"), F.col("Source").alias("tweetlinkid")
     )
 
 
@@ -70,8 +71,11 @@ def read_historical(spark: SparkSession, paths: str | list[str], multi_line: boo
     return historical_as_posts(read_csv(spark, paths, schemas.RAW_HISTORICAL, multi_line))
 
 
-def day_before(as_of: dt.date) -> dt.date:
-    return as_of - dt.timedelta(days=1)
+def day_before(as_of: dt.date | None = None) -> dt.date:
+    """The day before ``as_of``, or before today where the posts come from, whatever the
+    clock of this machine says."""
+    today = as_of or dt.datetime.now(ZoneInfo("Asia/Manila")).date()
+    return today - dt.timedelta(days=1)
 
 
 def days_between(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:

@@ -10,6 +10,9 @@ from roadlark.session import empty_table, literal_rows, observed
 from roadlark.sources.posts import existing_paths
 
 
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"  # the folder of rows whose date is null
+
+
 def write_by_date(df: DataFrame, path: str, replace_days: bool = False) -> None:
     """Parquet partitioned by ``date``, appended or, with ``replace_days``, replacing each
     touched day whole. The rebalance hint writes a crowded day with several tasks."""
@@ -22,16 +25,26 @@ def write_by_date(df: DataFrame, path: str, replace_days: bool = False) -> None:
     )
 
 
+def data_children(spark: SparkSession, path: str) -> dict[str, str]:
+    """Name and path of what a table's folder holds, without markers and work files: one
+    listing, which does not look into the folders of days."""
+    found = existing_paths(spark, [f"{path}/*"])
+    names = {p.rstrip("/").rsplit("/", 1)[1]: p for p in found}
+    return {name: p for name, p in names.items() if name[0] not in "_."}
+
+
 def read_by_date(
     spark: SparkSession, path: str, schema: str, start: dt.date, end: dt.date | None = None
 ) -> DataFrame:
-    """The rows of a day or of an inclusive range; other days are not listed or read.
+    """The rows of a day or of an inclusive range; the files of other days are not listed.
 
     ``schema`` (DDL) includes ``date``.
     """
-    if not existing_paths(spark, [f"{path}/date=*"]):
+    first, last = f"date={start}", f"date={end or start}"
+    days = [p for name, p in sorted(data_children(spark, path).items()) if first <= name <= last]
+    if not days:
         return empty_table(spark, schema)
-    return spark.read.schema(schema).parquet(path).where(F.col("date").between(start, end or start))
+    return spark.read.option("basePath", path).schema(schema).parquet(*days)
 
 
 def seed_directions(spark: SparkSession) -> DataFrame:
@@ -43,17 +56,18 @@ def seed_vehicles(spark: SparkSession) -> DataFrame:
     return literal_rows(spark, rows, schemas.TABLES["dim_vehicles"][0])
 
 
-def staged_days(staging: DataFrame, date: str = "date", most: int = 1000) -> list[dt.date] | None:
-    """The days of a staging table; None if some row has no date or there are very many."""
-    days = [row[0] for row in staging.select(date).distinct().limit(most + 1).collect()]
-    return None if None in days or len(days) > most else days
+def staged_days(staging: DataFrame, date: str = "date") -> list[dt.date]:
+    """The days of a staging table, of which the calendar has few."""
+    days = staging.select(date).where(F.col(date).isNotNull()).distinct()
+    return [row[0] for row in days.collect()]
 
 
 class Warehouse:
     """The star schema as Parquet tables below one folder.
 
-    Tables only grow, by rows whose key they lack. A write that fails leaves no rows
-    behind, and running it again inserts what is missing.
+    Tables only grow, by rows whose key they lack. What counts are the data files, not a
+    marker: whatever rows a write that broke off has left are seen, and running it again
+    inserts those that are missing.
 
     The fact tables lie in folders by event date. The date is part of what the event id
     is a digest of, so a row can only be present already in the folder of its own date:
@@ -70,16 +84,19 @@ class Warehouse:
     def read(self, name: str, days: list[dt.date] | None = None) -> DataFrame:
         """A table; of a fact table, if ``days`` are given, only the rows a staging table
         of these days could meet again."""
-        ddl = schemas.TABLES[name][0]
-        if not existing_paths(self.spark, [f"{self.path(name)}/_SUCCESS"]):
-            return empty_table(self.spark, ddl)
+        ddl, path = schemas.TABLES[name][0], self.path(name)
+        children = data_children(self.spark, path)
         if name not in schemas.DATED_TABLES:
-            return self.spark.read.schema(ddl).parquet(self.path(name))
-        date = F.col(schemas.EVENT_DATE)
-        dated = self.spark.read.schema(f"{ddl}, {schemas.EVENT_DATE} DATE").parquet(self.path(name))
+            return self.spark.read.schema(ddl).parquet(path) if children else empty_table(self.spark, ddl)
         if days is not None:
-            dated = dated.where(date.isin(days) | date.isNull())
-        return dated.drop(schemas.EVENT_DATE)
+            values = [*map(str, days), NO_DATE]
+            folders = {f"{schemas.EVENT_DATE}={value}" for value in values}
+            children = {n: p for n, p in children.items() if n in folders}
+        if not children:
+            return empty_table(self.spark, ddl)
+        paths = [path] if days is None else sorted(children.values())
+        dated = self.spark.read.option("basePath", path).schema(f"{ddl}, {schemas.EVENT_DATE} DATE")
+        return dated.parquet(*paths).drop(schemas.EVENT_DATE)
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in schemas.TABLES}

@@ -35,10 +35,10 @@ def bag(columns, rows):
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) == set(entry.ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_query_equals_sql(spark, duck, name):
     df = entry.queries()[name](spark, FOLDER)
     cursor = duck.execute(entry.oracle_sql()[name])

@@ -4,9 +4,9 @@ import re
 import pytest
 
 from roadlark import schemas
-from roadlark.operators.locations import resolve_from_gazetteer
+from roadlark.operators.locations import resolve_from_gazetteer, resolve_with
 from roadlark.plans import ingest
-from roadlark.plans.batch import enrich_locations
+from roadlark.plans.batch import enrich_locations, resolve_places
 from roadlark.plans.load import audit, load_locations, load_warehouse
 from roadlark.sources import posts as raw, tables
 from roadlark.sources.tables import Warehouse
@@ -158,7 +158,7 @@ def test_read_by_date_lists_only_the_range(spark, tmp_path):
     tables.write_by_date(df, path)
     got = tables.read_by_date(spark, path, "n int, date date", DAY2)
     assert sorted(r.n for r in got.collect()) == [2, 3]
-    assert "PartitionFilters: [isnotnull(date" in got._jdf.queryExecution().executedPlan().toString()
+    assert got.inputFiles() and all(f"date={DAY2}" in p for p in got.inputFiles())
 
 
 def test_loading_a_day_reads_only_that_day_of_the_facts(spark, star, tmp_path):
@@ -183,9 +183,46 @@ def test_rows_without_a_date_are_compared_with_all(spark, star, tmp_path):
     other.seed()
     assert load_warehouse(other, batch.events, batch.vehicles)["fact_event_vehicles"] == 6
     assert load_warehouse(other, batch.events, batch.vehicles.drop("date"))["fact_event_vehicles"] == 0
-    assert tables.staged_days(batch.vehicles) is not None
-    assert tables.staged_days(batch.vehicles.selectExpr("cast(null as date) date")) is None
-    assert tables.staged_days(batch.vehicles, most=1) is None
+    assert tables.staged_days(batch.vehicles.selectExpr("cast(null as date) date")) == []
+
+
+def test_rows_are_seen_without_a_marker_file(spark, tmp_path):
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        warehouse = Warehouse(spark, str(tmp_path / "star"))
+        for _ in range(2):
+            warehouse.seed()
+        assert warehouse.read("dim_direction").count() == 4
+        batch = ingest.ingest_range(warehouse, write_raw(tmp_path), None, DAY1, DAY2)
+        assert load_warehouse(warehouse, batch.events, batch.vehicles)["fact_events"] == 5
+        assert set(load_warehouse(warehouse, batch.events, batch.vehicles).values()) == {0}
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_only_the_files_of_the_days_are_listed(spark, star, tmp_path):
+    batch = ingest.ingest_range(star, write_raw(tmp_path), str(tmp_path / "clean"), DAY1, DAY2)
+    undated = batch.events.where(f"date = '{DAY2}'").selectExpr(
+        "concat(event_id, 'x') event_id", "cast(null as date) date", "* except (event_id, date)"
+    )
+    rows = batch.events.unionByName(undated)
+    load_warehouse(star, rows, batch.vehicles)
+    days = {p.rsplit("event_date=", 1)[1].split("/")[0] for p in star.read("fact_events", [DAY1]).inputFiles()}
+    assert days == {str(DAY1), tables.NO_DATE}
+    assert load_warehouse(star, rows, batch.vehicles)["fact_events"] == 0
+    clean = tables.read_by_date(spark, str(tmp_path / "clean/events"), "event_id string, date date", DAY2)
+    assert {p.rsplit("date=", 1)[1].split("/")[0] for p in clean.inputFiles()} == {str(DAY2)}
+
+
+def test_places_without_an_answer_are_listed(spark, star):
+    events = spark.createDataFrame([("A",), ("B",), ("C",)], "location string")
+    short = lambda missing: resolve_with(
+        missing.coalesce(1).orderBy("location"), lambda asked: [{"city": "X", "latitude": 1.0, "longitude": 2.0}]
+    )
+    places = resolve_places(events, star.read("dim_locations"), short)
+    assert [r.location for r in places.new_locations.collect()] == ["A"]
+    assert sorted(r.location for r in places.unresolved.collect()) == ["B", "C"]
 
 
 def test_pages_straight_to_the_warehouse(spark, star, tmp_path):
