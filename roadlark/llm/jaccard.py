@@ -6,8 +6,8 @@ first; two nodes can only be linked if they share a shingle of their prefixes, s
 are joined by shingle. Pairs pass a length, a positional and a suffix filter and are then
 verified once on their whole sets, read again from the texts.
 
-A shingle with many nodes, as in a large group of near copies, does not pair them all. Its
-largest node is its centre. The others are verified against the centre, and what they
+A shingle with many nodes, as in a large group of near copies, does not pair them all. One
+of its nodes is its centre. The others are verified against the centre, and what they
 differ by from it is prefix-filtered in its turn (see ``_crowded``).
 
 How frequent a shingle is comes from a table of counters over all documents, as large for
@@ -275,17 +275,20 @@ def _crowded(
     """(edges, pairs) for the shingles with many nodes: links to their centres, and the
     pairs beside them that may be linked and connect what the centres do not.
 
-    Let D(x) be what x and the centre c differ by. Sets of s shingles together are linked
-    if they differ by no more than K = (100 - percent) * s / (100 + percent) of them. What
-    a and b differ by is what D(a) and D(b) do not share, and c is the largest set, so K
-    is largest with c. Where a and b are both linked to c they are connected. Otherwise,
-    let a be not linked to c, so |D(a)| > K: then a and b can only be linked if they share
-    more than half of D(b), and at least |D(a)| - K of D(a), or half of it if that is
-    less. So prefixes of D, rare ones first, must share an element, where an element of
-    one D only cannot be shared.
+    The centre is the node with the fewest shingles of its own, which the texts of a group
+    are likely to come from. Let D(x) be what x and the centre c differ by. Sets of s
+    shingles together are linked if they differ by no more than (100 - percent) * s /
+    (100 + percent) of them; let M(x) be that for x and the largest set it can be linked
+    to. What a and b differ by is what D(a) and D(b) do not share. Where both are linked
+    to c they are connected. Otherwise, let a be not linked to c. To be linked, a and b
+    must then share at least |D(a)| - M(a) of D(a), and half of |D(b)| less the slack,
+    which is M(a) - |D(a)| where that is above 0. So prefixes of D, rare ones first, must
+    share an element, where an element of one D only cannot be shared; or they share none,
+    and |D(b)| is within the slack.
     """
     crowds = entries.where(F.col("nodes") > CROWD)
-    centres = crowds.groupBy("hash").agg(F.max(F.struct("n", "node")).alias("_c"))
+    best = F.struct(-F.col("own"), "n", "node")
+    centres = crowds.groupBy("hash").agg(F.max(best).alias("_c"))
     stars = crowds.join(centres.select("hash", F.col("_c.node").alias("b")), "hash")
     stars = stars.select(F.col("node").alias("a"), "b").where(F.col("a") != F.col("b")).distinct()
     stars = materialise(stars, "stars")
@@ -297,32 +300,41 @@ def _crowded(
         for left, right in zip(a, b):
             x, y = np.frombuffer(left, np.int64), np.frombuffer(right, np.int64)
             difference = np.setxor1d(x, y, assume_unique=True)
-            most = (100 - percent) * (len(x) + len(y)) // (100 + percent)
-            rows.append((len(x), most, len(difference) <= most, difference))
+            limit, size = 100 - percent, 100 + percent
+            linked = len(difference) * size <= limit * (len(x) + len(y))
+            most = limit * (len(x) + 100 * len(x) // percent) // size
+            rows.append((len(x), most, linked, difference))
         return pd.DataFrame(rows, columns=["n", "most", "linked", "difference"])
 
     found = _with_sets(stars, sets).select("a", "b", compared("_set_a", "_set_b").alias("_d"))
-    found = materialise(found.select(F.col("a").alias("node"), F.col("b").alias("centre"), "_d.*"), "differences")
+    found = found.select(F.col("a").alias("node"), F.col("b").alias("centre"), "_d.*")
+    found = materialise(found.withColumn("size", F.size("difference")), "differences")
     edges = found.where("linked").select(F.col("node").alias("a"), F.col("centre").alias("b"))
 
-    parts = found.select(
-        "node", "centre", "n", "most", "linked", F.size("difference").alias("size"), F.explode("difference").alias("part")
-    )
+    apart = found.where(~F.col("linked")).withColumn("room", F.col("most") - F.col("size"))
+    slack = apart.groupBy("centre").agg(F.greatest(F.max("room"), F.lit(0)).alias("slack"))
+    parts = found.select("node", "centre", "n", "most", "linked", "size", F.explode("difference").alias("part"))
     often = parts.groupBy("centre", "part").agg(F.count("*").alias("often")).where(F.col("often") > 1)
     order = Window.partitionBy("centre", "node").orderBy("often", "part")
     everywhere = Window.partitionBy("centre", "node")
     size = F.col("size")
-    half = F.ceil((size + 1) / 2)
-    shared = parts.join(often, ["centre", "part"]).withColumns(
-        # Places in the difference: its elements that no other one has stand in front.
-        {"place": size - F.count("*").over(everywhere) + F.row_number().over(order) - 1}
-    )
-    most_places = F.when(F.col("linked"), size - half).otherwise(size - F.least(size - F.col("most"), half)) + 1
-    placed = materialise(shared.where(F.col("place") < most_places), "parts")
-    on = ["centre", "part"]
-    met = _crossed(placed.where(~F.col("linked")), placed.where(F.col("place") <= size - half), on, percent)
-    pairs = met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
-    return edges, pairs.distinct()
+    # Places in the difference: its elements that no other one has stand in front.
+    place = size - F.count("*").over(everywhere) + F.row_number().over(order) - 1
+    shared = parts.join(often, ["centre", "part"]).withColumn("place", place).join(slack, "centre")
+    long = size - F.greatest(size - F.col("most"), F.lit(1)) + 1
+    short = size - F.greatest(F.ceil((size - F.col("slack")) / 2), F.lit(1)) + 1
+    inside = F.col("place") < F.when(F.col("linked"), short).otherwise(F.greatest(long, short))
+    placed = materialise(shared.where(inside), "parts")
+    left = placed.where(~F.col("linked") & (F.col("place") < long))
+    met = _crossed(left, placed.where(F.col("place") < short), ["centre", "part"], percent)
+    # Without a shared element only what is next to the centre can make up for the rest.
+    one = apart.where(F.col("room") >= 0).select("centre", "room", F.col("node").alias("node_a"))
+    other = found.join(slack, "centre").where(size <= F.col("slack"))
+    other = other.select("centre", "size", F.col("node").alias("node_b"))
+    beside = one.join(other, "centre").where((F.col("size") <= F.col("room")) & (F.col("node_a") != F.col("node_b")))
+    pairs = met.select("node_a", "node_b").union(beside.select("node_a", "node_b"))
+    ends = [F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")]
+    return edges, pairs.select(*ends).distinct()
 
 
 def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -349,6 +361,11 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[D
     exploded = nodes.select("node", "n", F.posexplode("prefix").alias("place", "hash"))
     repeated = nodes.select(F.explode("prefix").alias("hash")).groupBy("hash").agg(F.count("*").alias("nodes"))
     entries = materialise(exploded.join(repeated.where(F.col("nodes") > 1), "hash"), "entries")
+    # How many shingles of a node's prefix no other prefix has.
+    shared = entries.groupBy("node").agg(F.count("*").alias("_shared"))
+    own = nodes.select("node", F.size("prefix").alias("_size")).join(shared, "node")
+    own = own.select("node", (F.col("_size") - F.col("_shared")).alias("own"))
+    entries = materialise(entries.join(own, "node"), "entries")
 
     edges, more = _crowded(docs, nodes, entries, words, percent)
     pairs = _few(entries, percent).union(more).distinct()
