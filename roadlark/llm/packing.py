@@ -8,6 +8,7 @@ other share sequences, and only the last sequence needs padding.
 
 from __future__ import annotations
 
+import os
 import sys
 import zlib
 from array import array
@@ -24,8 +25,10 @@ SEQUENCE = 4096
 END = 2  # id behind each document
 DIMENSIONS = 4
 GRID_BITS = 10  # of each dimension
-CACHED_WORDS = 600_000  # of a worker process
+CACHED_WORDS = 1_000_000  # of a worker process
 TAIL = ".,;:!?%$#&*"  # signs that the tokenizer always parts from a letter before them
+BORDER = " 0"  # one id that no word of letters has
+LINE_WORDS = 500  # words encoded as one text with borders between them
 
 
 def _tokenizer(definition: str):
@@ -72,14 +75,23 @@ class Words:
     """Ids of words as bytes, each word encoded once while it is kept."""
 
     def __init__(self, definition: str) -> None:
+        from tokenizers import normalizers, pre_tokenizers
+
         self.tokenizer = _tokenizer(definition)
         self.size = max(self.tokenizer.get_vocab_size(), END + 1)
         self.code = "H" if self.size <= 1 << 16 else "I"
         self.known: dict[str, bytes] = {"": b""}
+        # Words of a to z between spaces are in normal form and one piece each.
+        self.plain = _tokenizer(definition)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.border = self.tokenizer.encode(BORDER, add_special_tokens=False).ids
 
     @staticmethod
     def of_worker(definition: str) -> Words:
-        """Those of this worker process, which serves one task after the other."""
+        """Those of this worker process, which serves one task after the other. Spark gives
+        every core its task, so the tokenizer starts no threads of its own."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         kept = vars(sys.modules["__main__"]).setdefault("_packing_words", {})
         if definition not in kept:
             kept.clear()
@@ -87,24 +99,46 @@ class Words:
         return kept[definition]
 
     def _encode(self, words: list[str]) -> None:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        self.known.update((w, array(self.code, x.ids).tobytes()) for w, x in zip(words, found))
+        """Words of letters are encoded many at a time, as one text cut at the borders."""
+        plain, letters, other = [], [], []
+        for word in words:
+            kind = other if not word.isalpha() else plain if word.isascii() and word.islower() else letters
+            kind.append(word)
+        for tokenizer, kind in ((self.plain, plain), (self.tokenizer, letters)):
+            lines = [kind[i : i + LINE_WORDS] for i in range(0, len(kind), LINE_WORDS)]
+            texts = [f"{BORDER} ".join(line) + BORDER for line in lines]
+            for line, found in zip(lines, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                ids = np.array(found.ids, self.code)
+                ends = np.flatnonzero(ids == self.border[0])
+                if len(self.border) != 1 or len(ends) != len(line):
+                    other += line
+                    continue
+                blob, starts = ids.tobytes(), np.append(0, ends[:-1] + 1) * ids.itemsize
+                self.known.update((w, blob[a:b]) for w, a, b in zip(line, starts.tolist(), (ends * ids.itemsize).tolist()))
+        found = self.tokenizer.encode_batch_fast(other, add_special_tokens=False)
+        self.known.update((w, array(self.code, x.ids).tobytes()) for w, x in zip(other, found))
 
     def add(self, words: set[str]) -> None:
         """A word of ASCII letters is encoded in lower case, as the tokenizer takes it, and
         apart from the signs behind it."""
         if len(self.known) > CACHED_WORDS:
             self.known = {"": b""}
-        parts = {}
-        for word in words.difference(self.known):
-            body = word.rstrip(TAIL)
+        known, parts, bodies = self.known, {}, set()
+        for word in words.difference(known):
+            lower = word.lower() if word.isascii() else word
+            if word.isalpha():
+                parts[word] = lower, ""
+                bodies.add(lower)
+                continue
+            body = lower.rstrip(TAIL)
             if body and body[-1].isalnum():
-                parts[word] = (body.lower() if body.isascii() else body, word[len(body) :])
+                parts[word] = body, lower[len(body) :]
+                bodies.update(parts[word])
             else:
-                parts[word] = (word, "")
-        self._encode(list({p for pair in parts.values() for p in pair}.difference(self.known)))
-        known = self.known
-        known.update((word, known[body] + known[tail]) for word, (body, tail) in parts.items())
+                parts[word] = word, ""
+                bodies.add(word)
+        self._encode(list(bodies.difference(known)))
+        known.update([(word, known[body] + known[tail]) for word, (body, tail) in parts.items()])
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, the last one included."""
@@ -155,7 +189,8 @@ def starts(tokens: DataFrame) -> DataFrame:
 def pack(docs: DataFrame, path: str, length: int = SEQUENCE) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    ``path`` names a tokenizer file, read on the driver. A null or empty text is one id,
+    ``path`` names the file of a tokenizer that takes texts in lower case and bytes as its
+    alphabet; it is read on the driver. A null or empty text is one id,
     the last one. Every document is cut where a sequence is full, so all sequences but the
     last are full. Repeated rows are packed each for itself. An empty table gives no piece.
     Columns beside doc_id and text are not looked at.
