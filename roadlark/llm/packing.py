@@ -9,7 +9,7 @@ other share sequences, and only the last sequence needs padding.
 from __future__ import annotations
 
 import os
-import sys
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -25,7 +25,7 @@ SEQUENCE = 4096
 END = 2  # id behind each document
 DIMENSIONS = 4
 GRID_BITS = 10  # of each dimension
-CACHED_WORDS = 1_000_000  # of a worker process
+CACHED_WORDS = 1_000_000  # of a task
 TAIL = ".,;:!?%$#&*"  # signs that the tokenizer always parts from a letter before them
 BORDER = " 0"  # one id that no word of letters has
 LINE_WORDS = 500  # words encoded as one text with borders between them
@@ -81,29 +81,23 @@ class Words:
         self.size = max(self.tokenizer.get_vocab_size(), END + 1)
         self.code = "H" if self.size <= 1 << 16 else "I"
         self.known: dict[str, bytes] = {"": b""}
-        # Words of a to z between spaces are in normal form and one piece each.
+        # For words of letters that are in lower case and in normal form, one piece each.
+        bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.plain = _tokenizer(definition)
         self.plain.normalizer = normalizers.Sequence([])
-        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytewise])
         self.border = self.tokenizer.encode(BORDER, add_special_tokens=False).ids
 
-    @staticmethod
-    def of_worker(definition: str) -> Words:
-        """Those of this worker process, which serves one task after the other. Spark gives
-        every core its task, so the tokenizer starts no threads of its own."""
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        kept = vars(sys.modules["__main__"]).setdefault("_packing_words", {})
-        if definition not in kept:
-            kept.clear()
-            kept[definition] = Words(definition)
-        return kept[definition]
-
     def _encode(self, words: list[str]) -> None:
         """Words of letters are encoded many at a time, as one text cut at the borders."""
         plain, letters, other = [], [], []
         for word in words:
-            kind = other if not word.isalpha() else plain if word.isascii() and word.islower() else letters
-            kind.append(word)
+            if not word.isalpha():
+                other.append(word)
+            elif word == word.lower() and unicodedata.is_normalized("NFC", word):
+                plain.append(word)
+            else:
+                letters.append(word)
         for tokenizer, kind in ((self.plain, plain), (self.tokenizer, letters)):
             lines = [kind[i : i + LINE_WORDS] for i in range(0, len(kind), LINE_WORDS)]
             texts = [f"{BORDER} ".join(line) + BORDER for line in lines]
@@ -119,13 +113,13 @@ class Words:
         self.known.update((w, array(self.code, x.ids).tobytes()) for w, x in zip(other, found))
 
     def add(self, words: set[str]) -> None:
-        """A word of ASCII letters is encoded in lower case, as the tokenizer takes it, and
-        apart from the signs behind it."""
+        """A word is encoded in lower case, as the tokenizer takes it, and apart from the
+        signs behind it. A capital sigma is left: its lower case depends on its place."""
         if len(self.known) > CACHED_WORDS:
             self.known = {"": b""}
         known, parts, bodies = self.known, {}, set()
         for word in words.difference(known):
-            lower = word.lower() if word.isascii() else word
+            lower = word if "Σ" in word else word.lower()
             if word.isalpha():
                 parts[word] = lower, ""
                 bodies.add(lower)
@@ -153,7 +147,9 @@ def tokenised(docs: DataFrame, definition: str) -> DataFrame:
 
     @F.pandas_udf("n long, key long, ids binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        words = Words.of_worker(definition)
+        # Spark gives every core its task: the tokenizer needs no threads of its own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        words = Words(definition)
         kind = np.dtype(f"<u{array(words.code).itemsize}")
         table = np.random.default_rng(5).normal(size=(words.size, DIMENSIONS)).astype(np.float32)
         for texts in batches:
