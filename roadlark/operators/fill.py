@@ -20,13 +20,13 @@ def _last_known(at: str) -> Column:
 
 
 def _left_on(rows: DataFrame, blocks: DataFrame, groups: list[str], position: str) -> DataFrame:
-    """Attach ``entering`` of the block of each row; null groups match each other."""
+    """Attach ``entering`` of the block of each row."""
     right = blocks.select(
         *[F.col(g).alias(f"_{g}") for g in groups], F.col("at").alias("_at"), F.col("entering")
     )
     on = rows[position] == right["_at"]
     for g in groups:
-        on = on & rows[g].eqNullSafe(right[f"_{g}"])
+        on = on & (rows[g] == right[f"_{g}"])
     return rows.join(right, on, "left").drop("_at", *[f"_{g}" for g in groups])
 
 
@@ -66,10 +66,13 @@ def forward_fill(
     should be a table rather than a long computation. ``order_bits`` declares the width of
     the order values; wider values stay right but enlarge the topmost block.
     """
-    groups = list(groups)
+    # One struct as the key: never null itself, and null fields inside are equal, so plain
+    # joins on it match null groups and keep the partitioning of the rows.
+    keys = [F.struct(*groups).alias("_group")] if groups else []
+    groups = ["_group"] if groups else []
     block = F.shiftright(F.col(order).cast("bigint"), block_bits)
     slim = df.select(
-        *groups, F.col(order).alias("_order"), F.col(value).alias("known"), block.alias("at")
+        *keys, F.col(order).alias("_order"), F.col(value).alias("known"), block.alias("at")
     ).repartition(*groups, "at")
     blocks = slim.groupBy(*groups, "at").agg(_last_known("_order"))
     w = (

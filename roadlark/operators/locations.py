@@ -61,12 +61,14 @@ def resolve_from_gazetteer(
     found = missing.join(hits, "location", "left")
     city = F.col("city")
     if city_points is not None:
-        rounded = [F.round(c, digits) for c in ("latitude", "longitude")]
+        # Many places may share a city's centre, so the point is a key like any other.
+        known = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+        rounded = F.struct(F.round("latitude", digits).alias("x"), F.round("longitude", digits).alias("y"))
         points = (
-            city_points.groupBy(*[r.alias(f"_{i}") for i, r in enumerate(rounded)])
+            city_points.where(known).groupBy(rounded.alias("_point"))
             .agg(F.min("city").alias("point_city"))
         )
-        found = found.join(points, (rounded[0] == F.col("_0")) & (rounded[1] == F.col("_1")), "left")
+        found = lookup_join(found.withColumn("_point", F.when(known, rounded)), points, "_point")
         city = F.coalesce(F.when(city != "", city), F.col("point_city"))
     return found.select(*_resolved_columns(city))
 

@@ -121,13 +121,20 @@ class Batch:
         return located.select(*schemas.EVENT_COLUMNS)
 
     @cached_property
-    def vehicles(self) -> DataFrame:
-        """Classified vehicles with the date of their event, or of the batch."""
+    def dated_vehicles(self) -> DataFrame:
+        """Classified vehicles with the date of their event, or of the batch, and always
+        their event's own as ``event_date``, by which the facts are kept."""
         listed = explode_vehicles(self.parsed, ("date",), self.drop_numeric)
         classified = classify_vehicles(listed, self.dim_vehicles)
+        own = classified.withColumn(schemas.EVENT_DATE, F.col("date"))
         if self.date_mode == "first":
-            return classified.withColumn("date", F.lit(first_date(self.parsed, self.order)))
-        return classified
+            return own.withColumn("date", F.lit(first_date(self.parsed, self.order)))
+        return own
+
+    @property
+    def vehicles(self) -> DataFrame:
+        """Classified vehicles with the date of their event, or of the batch."""
+        return self.dated_vehicles.drop(schemas.EVENT_DATE)
 
 
 def process_batch(posts: DataFrame, dim_locations: DataFrame, dim_vehicles: DataFrame, **options) -> Batch:

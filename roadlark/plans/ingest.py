@@ -21,7 +21,7 @@ _EVENT_DDL = (
 )
 _VEHICLE_DDL = (
     "event_id STRING, vehicle_type STRING, vehicle_count INT, vehicle_group STRING, "
-    "suggested_from STRING, is_verified BOOLEAN, date DATE"
+    "suggested_from STRING, is_verified BOOLEAN, date DATE, event_date DATE"
 )
 
 
@@ -40,7 +40,7 @@ def transform(
         warehouse.append("dim_locations", batch.new_locations)
     if clean_root is not None:
         tables.write_by_date(batch.events, f"{clean_root}/{EVENTS_FOLDER}", replace_days)
-        tables.write_by_date(batch.vehicles, f"{clean_root}/{VEHICLES_FOLDER}", replace_days)
+        tables.write_by_date(batch.dated_vehicles, f"{clean_root}/{VEHICLES_FOLDER}", replace_days)
     return batch
 
 
@@ -99,17 +99,16 @@ def ingest_day_folders(
 
 
 def load_days(
-    warehouse: Warehouse, clean_root: str, start: dt.date, end: dt.date | None = None,
-    own_dates: bool = True,
+    warehouse: Warehouse, clean_root: str, start: dt.date, end: dt.date | None = None
 ) -> dict[str, int]:
     """Clean rows of a day or range into the warehouse, as one partition-pruned scan;
     returns the rows inserted per table. The clean folders are the staging area: their
-    rows stay, and loading a day again inserts nothing. Pass ``own_dates=False`` for
-    vehicles written with ``date_mode="first"``."""
+    rows stay, and loading a day again inserts nothing, under whichever date a batch has
+    written its vehicles."""
     spark = warehouse.spark
     events = tables.read_by_date(spark, f"{clean_root}/{EVENTS_FOLDER}", _EVENT_DDL, start, end)
     vehicles = tables.read_by_date(spark, f"{clean_root}/{VEHICLES_FOLDER}", _VEHICLE_DDL, start, end)
-    return load_warehouse(warehouse, events, vehicles if own_dates else vehicles.drop("date"))
+    return load_warehouse(warehouse, events, vehicles)
 
 
 def load_daily(warehouse: Warehouse, clean_root: str, as_of: dt.date | None = None) -> dict[str, int]:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame
 
+from roadlark import schemas
 from roadlark.operators import upsert
 from roadlark.operators.audit import fk_audit, pk_audit
 from roadlark.sources.tables import Warehouse, staged_days
@@ -24,8 +25,8 @@ def load_warehouse(warehouse: Warehouse, events: DataFrame, vehicles: DataFrame)
     Each step inserts only absent keys, so a load that was interrupted is simply run
     again: nothing is inserted twice. The facts are compared with those of the same days.
     Both inputs are read several times, so they should be tables rather than long plans.
-    A ``date`` column of ``vehicles`` must be the date of their event; leave it out if it
-    is another one, and all days are compared.
+    ``vehicles`` carry the date of their event as ``event_date``, or else as ``date``;
+    without either, all days are compared.
     """
     have, append = warehouse.read, warehouse.append
     event_days = staged_days(events)
@@ -37,8 +38,8 @@ def load_warehouse(warehouse: Warehouse, events: DataFrame, vehicles: DataFrame)
     types = upsert.new_vehicle_types(vehicles, have("dim_vehicles"), key_is_unique=True)
     inserted["dim_vehicles"] = append("dim_vehicles", types)
 
-    date = "date" if "date" in vehicles.columns else None
-    vehicle_days = staged_days(vehicles) if date else None
+    date = next((c for c in (schemas.EVENT_DATE, "date") if c in vehicles.columns), None)
+    vehicle_days = staged_days(vehicles, date) if date else None
     new_pairs = upsert.new_event_vehicles(
         vehicles, have("fact_event_vehicles", vehicle_days), True, carry=(date,) if date else ()
     )

@@ -1,30 +1,60 @@
 """Timeline pages (HTML text) to raw posts, and the link to the next page."""
 
 import datetime as dt
+import json
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadlark import rules
 from roadlark.functions import text as tx
 
+
+
+def _opening(name: str) -> str:
+    """Opening tag of any element that has the class, wherever it stands in the tag."""
+    before, after = r"(?:[^\"'<>]*\s)?", r"(?:\s[^\"'<>]*)?"
+    return rf"<([a-zA-Z][\w-]*)\s(?:[^<>]*\s)?class\s*=\s*[\"']{before}{name}{after}[\"'][^<>]*>"
+
+
 # An item runs from its own opening tag up to the next one.
-_ITEM = r'(?s)<div class="timeline-item[^"]*"[^>]*>(.*?)(?=<div class="timeline-item|\z)'
-_CONTENT = r'(?s)<div class="tweet-content[^"]*"[^>]*>.*?</div>'
-_DATE_LINK = r'(?s)<span class="tweet-date[^"]*"[^>]*>\s*(<a [^>]*>)'
-_TITLE = r'\btitle="([^"]*)"'
-_HREF = r'\bhref="([^"]*)"'
-_MORE = r'(?s)<div class="show-more[^"]*"[^>]*>\s*(<a [^>]*>)'
+_ITEM = _opening("timeline-item")
+_CONTENT = rf"(?s){_opening('tweet-content')}.*?</\1>"
+_DATE_LINK = rf"{_opening('tweet-date')}\s*(<a\s[^>]*>)"
+_TITLE = r"\stitle\s*=\s*([\"'])(.*?)\1"
+_HREF = r"\shref\s*=\s*([\"'])(.*?)\1"
+_MORE = rf"{_opening('show-more')}\s*(<a\s[^>]*>)"
 _BREAK = r"(?i)<br\s*/?>"
 _TAG = r"<[^>]*>"
 
-# fixed values: character references, the ampersand last
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"), ("&amp;", "&")]
+_REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
+
+
+def _named() -> Column:
+    names = {name[:-1]: chars for name, chars in html5.items() if name.endswith(";")}
+    return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
+
+
+def _decoded(piece: Column) -> Column:
+    """What follows an ampersand, with the reference it completes decoded; the ampersand
+    stays where there is none."""
+    name = F.regexp_extract(piece, _REFERENCE, 1)
+    digits = F.when(F.rlike(name, F.lit("^#[0-9]")), F.conv(F.substring(name, 2, 7), 10, 16))
+    code = F.lpad(F.coalesce(digits, F.substring(name, 3, 6)), 8, "0")
+    # Neither a surrogate half nor beyond the last code point.
+    valid = (F.lower(code) <= "0010ffff") & ~F.rlike(F.lower(code), F.lit("^0000d[89a-f]"))
+    numeric = F.decode(F.when(valid, F.unhex(code)), "UTF-32")
+    char = F.when(F.startswith(name, F.lit("#")), numeric).otherwise(F.try_element_at(_named(), name))
+    rest = F.substr(piece, F.length(name) + 2)
+    return F.coalesce(F.concat(F.when(name != "", char), rest), F.concat(F.lit("&"), piece))
 
 
 def _unescape(text: Column) -> Column:
-    for written, char in ENTITIES:
-        text = F.replace(text, F.lit(written), F.lit(char))
-    return text
+    """Named and numeric character references, each decoded once."""
+    pieces = F.split(text, "&", -1)
+    rest = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), _decoded)
+    whole = F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))
+    return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
 
 
 def visible_text(fragment: Column) -> Column:
@@ -33,7 +63,7 @@ def visible_text(fragment: Column) -> Column:
 
 
 def _attribute(tag, pattern: str) -> Column:
-    return _unescape(tx.blank_to_null(F.regexp_extract(tag, pattern, 1)))
+    return _unescape(tx.blank_to_null(F.regexp_extract(tag, pattern, 2)))
 
 
 def title_date(title: Column) -> Column:
@@ -42,8 +72,17 @@ def title_date(title: Column) -> Column:
     return F.to_date(F.try_to_timestamp(written, F.lit(rules.PAGE_DATE_FORMAT)))
 
 
+def absolute_link(href: Column, base: str = rules.PAGE_BASE) -> Column:
+    """A link of a page as the browser sees it."""
+    return (
+        F.when(F.startswith(href, F.lit("//")), F.concat(F.lit("https:"), href))
+        .when(F.startswith(href, F.lit("/")), F.concat(F.lit(base), href))
+        .otherwise(href)
+    )
+
+
 def public_link(href: Column, hosts: tuple[str, str] = rules.LINK_HOSTS) -> Column:
-    return F.replace(href, F.lit(hosts[0]), F.lit(hosts[1]))
+    return F.replace(absolute_link(href), F.lit(hosts[0]), F.lit(hosts[1]))
 
 
 def page_items(pages: DataFrame, html: str = "html", carry: tuple[str, ...] = ("page_id",)) -> DataFrame:
@@ -53,11 +92,12 @@ def page_items(pages: DataFrame, html: str = "html", carry: tuple[str, ...] = ("
     The searches in an item run inside the generator: a filter on the fields is not moved
     below it, where it would repeat them.
     """
+    pieces = F.split(html, _ITEM, -1)
     found = F.transform(
-        F.regexp_extract_all(html, F.lit(_ITEM), F.lit(1)),
+        F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))),
         lambda item: F.struct(
             F.regexp_substr(item, F.lit(_CONTENT)).alias("content"),
-            F.regexp_extract(item, _DATE_LINK, 1).alias("anchor"),
+            F.regexp_extract(item, _DATE_LINK, 2).alias("anchor"),
         ),
     )
     items = pages.select(*carry, F.posexplode(found).alias("position", "item"))
@@ -93,13 +133,18 @@ def extract_posts(
         posts = posts.where(F.col("created_at") == F.lit(day))
     columns = ["content", "tweetlinkid", "created_at"]
     if order:
-        columns.append((F.col(order).cast("bigint") * PAGE_ROOM + F.col("position")).alias("post_seq"))
+        number = F.col(order).cast("bigint")
+        fits = number.between(0, (1 << 43) - 1) & (F.col("position") < PAGE_ROOM)
+        beyond = F.raise_error(F.lit("a page number or its count of items is beyond the range of post_seq"))
+        columns.append(
+            F.when(~fits, beyond.cast("bigint")).otherwise(number * PAGE_ROOM + F.col("position")).alias("post_seq")
+        )
     return posts.select(*columns)
 
 
 def next_link(html: Column) -> Column:
     """Link of the last show-more block as written, null if there is none."""
-    anchors = F.regexp_extract_all(html, F.lit(_MORE), F.lit(1))
+    anchors = F.regexp_extract_all(html, F.lit(_MORE), F.lit(2))
     last = F.try_element_at(anchors, F.lit(-1))
     return _attribute(last, _HREF)
 

@@ -1,6 +1,7 @@
 """Raw posts in CSV files, one file or folder per day."""
 
 import datetime as dt
+import logging
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -8,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from roadlark import schemas
 from roadlark.session import empty_table
 
+log = logging.getLogger(__name__)
+
 # Quoting that pandas and most tools write: a quote inside a quoted field is doubled.
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
 READ_OPTIONS = {
@@ -100,8 +103,23 @@ def day_files(spark: SparkSession, root: str, start: dt.date, end: dt.date) -> l
 def read_days(
     spark: SparkSession, root: str, start: dt.date, end: dt.date, multi_line: bool = True
 ) -> DataFrame:
-    """All day files of a date range in one job; missing days are skipped."""
-    return read_posts(spark, day_files(spark, root, start, end), multi_line)
+    """All days of a range in one job, from day files and from the folders that
+    ``write_day_folders`` makes; missing days are skipped, a range without any is logged."""
+    found = existing_days(spark, root, start, end)
+    if not found:
+        log.warning("no raw posts below %s from %s to %s", root, start, end)
+    return read_posts(spark, found, multi_line)
+
+
+def existing_days(spark: SparkSession, root: str, start: dt.date, end: dt.date) -> list[str]:
+    """Day files and day folders of a range: two listings a month, none of other months."""
+    days = [start + dt.timedelta(n) for n in range((end - start).days + 1)]
+    months = sorted({d.replace(day=1) for d in days})
+    patterns = [f"{root}/{m:%Y/%m}/scrape_data_*.csv" for m in months]
+    patterns += [f"{root}/year={m:%Y}/month={m:%m}/day=*" for m in months]
+    wanted = {f"{d:%Y/%m}/scrape_data_{d:%Y%m%d}.csv" for d in days}
+    wanted |= {f"year={d:%Y}/month={d:%m}/day={d:%d}" for d in days}
+    return [p for p in existing_paths(spark, patterns) if "/".join(p.rsplit("/", 3)[1:]) in wanted]
 
 
 def write_day_folders(posts: DataFrame, root: str, mode: str = "overwrite") -> None:

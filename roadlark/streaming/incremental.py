@@ -44,9 +44,8 @@ def start_ingest(
         posts = spread(materialise(ordered, f"raw-{batch_id}"))
         done = transform(posts, warehouse, clean_root, resolver, **options)
         events = materialise(done.events, "events")
-        vehicles = materialise(done.vehicles, "vehicles")
-        own_dates = options.get("date_mode", "own") == "own"
-        load_warehouse(warehouse, events, vehicles if own_dates else vehicles.drop("date"))
+        vehicles = materialise(done.dated_vehicles, "vehicles")
+        load_warehouse(warehouse, events, vehicles)
 
     return (
         post_stream(warehouse.spark, raw_root, max_files)

@@ -41,6 +41,20 @@ def test_result_does_not_depend_on_partitions(spark):
     assert results[0][:6] == [(0, None), (1, None), (2, None), (3, None), (4, None), (5, "00005")]
 
 
+def test_null_groups_fill_each_other_and_running_rows_move_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(None, 0, "a"), (None, 2**61, None), ("g", 1, None), ("g", 2, "b"), ("g", 2**62, None)]
+        df = spark.createDataFrame(rows, "g string, n bigint, v string")
+        filled = forward_fill(df, "v", "n", ("g",))
+        got = {(r.g, r.n): r.v for r in filled.collect()}
+        text = filled._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {(None, 0): "a", (None, 2**61): "a", ("g", 1): None, ("g", 2): "b", ("g", 2**62): "b"}
+    assert "coalesce(_group" not in text
+
+
 def test_fill_event_time_rebuilds_the_timestamp(spark):
     day = dt.date(2025, 1, 2)
     df = spark.createDataFrame(

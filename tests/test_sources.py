@@ -85,6 +85,37 @@ def test_extract_posts(spark):
     assert [r.post_seq - timeline.PAGE_ROOM for r in ordered] == [0, 1]
 
 
+def test_pages_as_servers_write_them(spark):
+    item = (
+        '<article id="a" class=\'card timeline-item\' data-n="1"><div dir="auto" class="tweet-content media-body">'
+        'MMDA ALERT: Do&ntilde;a &#209;o &#xF1; &amp;lt; &amp;#38; R&D &bogus; &#xD800; &#9999999;</div>'
+        '<p class="x tweet-date"><a title="Jan 5, 2024 &middot; 8:00 AM UTC" href="{href}">x</a></p></article>'
+    )
+    links = {1: "/MMDA/status/1#m", 2: "//nitter.net/MMDA/status/2", 3: "https://nitter.net/MMDA/status/3"}
+    near = '<div class="timeline-items"></div><div data-class="timeline-item"></div>'
+    pages = spark.createDataFrame([(n, page(near, item.format(href=h), near)) for n, h in links.items()],
+                                  "page_id int, html string")
+    rows = timeline.extract_posts(pages).orderBy("tweetlinkid").collect()
+    assert [r.tweetlinkid for r in rows] == [
+        "https://x.com/MMDA/status/1#m", "https://x.com/MMDA/status/2", "https://x.com/MMDA/status/3"]
+    assert {r.content for r in rows} == {
+        "MMDA ALERT: Doña Ño ñ &lt; &#38; R&D &bogus; &#xD800; &#9999999;"}
+    assert {r.created_at for r in rows} == {dt.date(2024, 1, 5)}
+
+
+def test_both_layouts_of_days_are_read(spark, tmp_path, caplog):
+    root = tmp_path / "raw"
+    (root / "2025" / "01").mkdir(parents=True)
+    (root / "2025" / "01" / "scrape_data_20250101.csv").write_text("content,tweetlinkid,created_at\na,u,2025-01-01\n")
+    later = [("b", "u", dt.date(2025, 1, 2)), ("c", "u", dt.date(2025, 2, 1)), ("d", "u", dt.date(2025, 2, 2))]
+    raw.write_day_folders(spark.createDataFrame(later, schemas.RAW_POSTS), str(root))
+    got = raw.read_days(spark, str(root), dt.date(2025, 1, 1), dt.date(2025, 2, 1))
+    assert sorted(r.content for r in got.collect()) == ["a", "b", "c"]
+    assert got.columns == ["content", "tweetlinkid", "created_at"] and not caplog.records
+    assert raw.read_days(spark, str(root), dt.date(2026, 1, 1), dt.date(2026, 1, 2)).count() == 0
+    assert "no raw posts" in caplog.text
+
+
 def test_next_link(spark):
     more = '<div class="show-more"><a href="{}">more</a></div>'
     cases = {

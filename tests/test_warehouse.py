@@ -151,6 +151,16 @@ def test_date_mode_first(spark, star, tmp_path):
     assert {r.date for r in first.vehicles.collect()} == {DAY1}
 
 
+def test_pairs_under_two_first_dates_are_loaded_once(spark, star, tmp_path):
+    root, clean = write_raw(tmp_path), str(tmp_path / "clean")
+    ingest.ingest_range(star, root, clean, DAY1, DAY2, date_mode="first")
+    ingest.ingest_range(star, root, clean, DAY2, DAY2, date_mode="first")
+    ingest.load_days(star, clean, DAY1)
+    ingest.load_days(star, clean, DAY2)
+    pairs = star.read("fact_event_vehicles")
+    assert pairs.count() == pairs.select("event_id", "vehicle_type").distinct().count() > 0
+
+
 def test_read_by_date_lists_only_the_range(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([(DAY1, 1), (DAY2, 2), (DAY2, 3)], "date date, n int")
