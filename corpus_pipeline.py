@@ -9,6 +9,10 @@ from roadlark.llm import jaccard, mixing, packing, quality, toxicity
 from roadlark.llm.queries import read
 from roadlark.session import materialise
 
+# What a stage on word shingles takes; op5_jaccard has a contract of its own (4 words, 85%).
+WORDS = 5
+PERCENT = 80
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.accepted(docs, read(spark, sf_dir, "labels"))
@@ -19,7 +23,7 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard.kept(docs)
+    return jaccard.kept(docs, words=WORDS, percent=PERCENT)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

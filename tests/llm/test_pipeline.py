@@ -27,6 +27,37 @@ def test_stages_take_effect(spark):
     assert corpus_pipeline.run(spark, FOLDER).count() == kept[4]
 
 
+def plainly_linked(texts):
+    """The smallest place each text is linked to, pair by pair: 0.8 of five-word shingles."""
+    sets = []
+    for text in texts:
+        words = text.lower().split()
+        size = min(5, len(words))
+        sets.append({tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if words else set())
+    root = list(range(len(sets)))
+    for j, b in enumerate(sets):
+        for i in range(j):
+            if root[i] != root[j] and b and 5 * len(sets[i] & b) >= 4 * len(sets[i] | b):
+                root = [min(root[i], root[j]) if r in (root[i], root[j]) else r for r in root]
+    return root
+
+
+def test_near_duplicates_take_five_words_and_four_fifths(spark):
+    words = [f"w{i}" for i in range(104)]
+    texts = [" ".join(words)]  # 100 shingles of five words
+    for cut in (0, 15, 16, 20, 21, 30):  # the similarity is 1 - cut / 100
+        texts.append(" ".join(words[: 104 - cut]))
+    apart = [f"v{i}" for i in range(104)]
+    texts += [" ".join(apart), " ".join([*apart[:52], "x", *apart[52:]]), " ".join([*apart[:20], "y", *apart[20:60], "z", *apart[60:]])]
+    alone = [f"u{i}" for i in range(104)]
+    texts += [" ".join(alone), " ".join(alone[:84])]  # at 0.8, and by 0.802 of 4 words below 85%
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    kept = sorted(r.doc_id for r in stage(spark, docs, FOLDER).collect())
+    assert kept == sorted(set(plainly_linked(texts))) and 11 not in kept
+
+
 def test_registered():
     names = set(entry.queries())
     assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 11)}
