@@ -16,6 +16,7 @@ any input. It only orders the shingles; links are the same for every order.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -337,14 +338,18 @@ def _crowded(
     return edges, pairs.select(*ends).distinct()
 
 
-def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+def join(
+    docs: DataFrame, words: int = WORDS, percent: int = PERCENT, keys: dict[str, Column] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(members, edges). members: doc_id, n and node of every row, node null without
-    shingles. edges: linked pairs (a, b) of nodes that connect all that are linked in any
-    number of steps.
+    shingles, and the columns ``keys`` of ``docs``. edges: linked pairs (a, b) of nodes that
+    connect all that are linked in any number of steps.
     """
     small_batches(docs)
     table = frequency_table(docs, words)
-    described = docs.select("doc_id", prefixes(table, words, percent).alias("_d")).select("doc_id", "_d.*")
+    carried = ["doc_id", *(keys or {})]
+    own = [column.alias(name) for name, column in (keys or {}).items()]
+    described = docs.select("doc_id", *own, prefixes(table, words, percent).alias("_d")).select(*carried, "_d.*")
     described = materialise(described, "prefixes")
     classes = (
         described.where(F.col("n") > 0)
@@ -372,10 +377,20 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[D
     pairs = materialise(_plausible(pairs, nodes, percent), "pairs")
     verified = _with_sets(pairs, _sets(docs, nodes, pairs, words)).where(_verified(percent))
     edges = materialise(edges.union(verified.select("a", "b")), "edges")
-    members = described.select("doc_id", "n", "digest").join(nodes.select("digest", "node"), "digest", "left")
+    members = described.select(*carried, "n", "digest").join(nodes.select("digest", "node"), "digest", "left")
     return materialise(members.drop("digest"), "members"), edges
 
 
+def _rooted(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, _id, root) of every node: its smallest id and its component."""
+    roots = components(edges)
+    # Minima by node before the join, so that the copies of a text cost a row a task.
+    smallest = members.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("_id"))
+    return materialise(
+        smallest.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted"
+    )
+
+
 def deduplicate(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, node.
 
@@ -385,12 +400,7 @@ def deduplicate(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     row of it has one. Columns beside doc_id and text are not looked at.
     """
     members, edges = join(docs, words, percent)
-    roots = components(edges)
-    # Minima by node before the join, so that the copies of a text cost a row a task.
-    smallest = members.where(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("_id"))
-    rooted = materialise(
-        smallest.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted"
-    )
+    rooted = _rooted(members, edges)
     named = rooted.groupBy("root").agg(F.min("_id").alias("component_id"))
     components_of = rooted.join(named, "root").select("node", "component_id")
     return members.join(components_of, "node", "left").select(
@@ -401,12 +411,35 @@ def deduplicate(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     )
 
 
-def kept(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The documents, with their columns, that have the smallest id of their group.
+def _row_key(docs: DataFrame) -> Column:
+    """128 bits of a row's values, the same wherever it is read again. Maps and variants
+    cannot be hashed and do not count."""
+    values = [F.col(f"`{c}`") for c, kind in docs.dtypes if not re.search(r"\b(map<|variant\b)", kind)]
+    # A null leaves a hash as it is, so where the nulls are is hashed too.
+    nulls = F.concat(*[v.isNull().cast("string") for v in values])
+    return F.concat_ws(" ", F.xxhash64(nulls, *values), F.xxhash64(F.lit(1), nulls, *values))
 
-    Rows with one id are one document and stay or go together; rows without an id, or
-    without a word, are kept.
+
+def kept(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The documents, with their columns, that stay of their groups: exactly one row of
+    each, the one with the smallest id (rows without an id come last) and of several such
+    the one with the smallest key of its values. Of equal rows one stays. Rows without a
+    word are linked with nothing and are kept.
     """
-    found = deduplicate(docs, words, percent)
-    dropped = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    members, edges = join(docs, words, percent, {"row": _row_key(docs)})
+    roots = _rooted(members, edges).select("node", "root")
+    # Equal rows are in one node: from here on a row for each different one.
+    rows = members.where(F.col("node").isNotNull()).groupBy("node", "doc_id", "row").agg(F.count("*").alias("copies"))
+    rows = materialise(rows.join(roots, "node"), "rows")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("_first")
+    stays = rows.groupBy("root").agg(first).select("root", F.col("_first.row").alias("first"))
+    fates = rows.join(stays, "root").select("row", (F.col("row") == F.col("first")).alias("stays"), "copies")
+    fates = materialise(fates.where(~F.col("stays") | (F.col("copies") > 1)), "fates")
+
+    whole = docs.select(_row_key(docs).alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    left = lookup_join(whole, fates, "row", keys_from=members).where(F.col("stays").isNull()).select("doc.*")
+    copied = fates.where("stays").select("row")
+    if copied.isEmpty():
+        return left
+    several = lookup_join(whole, copied, "row", "inner", keys_from=members)
+    return left.union(several.groupBy("row").agg(F.first("doc").alias("doc")).select("doc.*"))

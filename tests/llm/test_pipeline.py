@@ -58,6 +58,28 @@ def test_near_duplicates_take_five_words_and_four_fifths(spark):
     assert kept == sorted(set(plainly_linked(texts))) and 11 not in kept
 
 
+def test_one_row_of_each_group_stays(spark):
+    words = [f"w{i}" for i in range(60)]
+    near, other = " ".join(words), " ".join([*words[:59], "x"])
+    rows = [
+        (1, near, "a"), (1, near, "a"), (1, near, "b"), (2, other, "a"), (None, near, "a"),
+        (2, "a text that no other row of this table has", "a"),  # beside a copy with its id
+        (None, "rows without an id that are equal", "a"), (None, "rows without an id that are equal", "a"),
+        (None, "rows without an id that are equal", None),
+        (None, "with a smaller id beside it", "a"), (9, "with a smaller id beside it", "a"),
+        (3, "twice the same row", None), (3, "twice the same row", None),
+        (4, "", "a"), (4, "", "a"), (None, None, "a"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string")
+    stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    found = stage(spark, docs, FOLDER)
+    assert found.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in found.collect()) == [
+        (0, ""), (0, "rows without an id that are equal"), (1, near), (2, "a text that no other row of this table has"),
+        (3, "twice the same row"), (4, ""), (4, ""), (9, "with a smaller id beside it"),
+    ]
+
+
 def test_registered():
     names = set(entry.queries())
     assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 11)}
