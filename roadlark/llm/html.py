@@ -2,7 +2,10 @@
 
 Every paragraph has points for its length and its commas, less its share of link text; it
 passes them on to its ancestors, ever less with the distance. The container with the most
-points is the article; siblings that score well or are paragraphs of prose are kept too.
+points is the article; what stands beside it and is prose too, not links, is kept with it.
+
+Forms, and elements whose class or id says that they are no article, go before that unless
+they hold most of the page's points or its title; where little is left they come back.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from roadlark.llm.common import small_batches
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset(
     "head title script style noscript template svg math canvas iframe object audio video nav header footer "
-    "aside form button select textarea input label fieldset menu dialog".split()
+    "aside button select textarea input label fieldset menu dialog".split()
 )
 BLOCKS = frozenset(
     "address article blockquote body center dd details div dl dt figcaption figure h1 h2 h3 h4 h5 h6 hgroup "
@@ -32,31 +35,45 @@ SAME_LEVEL = {
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
 LEVEL_ENDS = frozenset("ul ol dl table tbody thead tfoot article body div section".split())
-UNLIKELY = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adbox|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|header|"
+_WORDS = (
+    r"(?:ads?|advert\w*|adbox|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|header|"
     r"masthead|menu|modal|nav|navbar|navigation|newsletter|notice|outbrain|pagination|pager|popup|promo\w*|"
     r"related|replies|respond|share|sharing|sidebar|skip|social|sponsor\w*|subscribe|taboola|toolbar|widgets?)"
-    r"(?:$|[\s_-])",
+)
+# A whole token of a class or id: such words only, but for what goes with them.
+UNLIKELY = re.compile(
+    rf"(?:(?:site|global|primary|secondary|top|bottom)[_-]+)*{_WORDS}"
+    rf"(?:[_-]+(?:{_WORDS}|posts?|box|links?|list|form|area|\d+))*",
+    re.I,
+)
+# Of these, what may be longer than the article and is none for that.
+NEVER = re.compile(
+    r"(?:comments?|disqus|replies|respond|ads?|advert\w*|adbox|banner|cookies?|consent|modal|newsletter|outbrain|"
+    r"popup|promo\w*|sponsor\w*|subscribe|taboola)(?:[_-]|$)",
     re.I,
 )
 UNLIKELY_ROLES = frozenset(
-    "navigation banner contentinfo complementary search menu menubar dialog alert alertdialog form toolbar".split()
+    "navigation banner contentinfo complementary search menu menubar dialog alert alertdialog toolbar".split()
 )
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 ARTICLES = frozenset(("article", "main"))
 
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+PASS_ON = frozenset("p pre li td dd blockquote".split())  # their points go to the parent
+
 SIBLING_SHARE = 0.2  # of the best container's points that make a sibling part of the text
+LITTLE_LETTERS = 200  # a text below that may be what is left of a page dropped by mistake
+LITTLE_SHARE = 0.25  # of the page's points
 
 
 class Node:
     """An element; ``parts`` are texts and elements in page order."""
 
-    __slots__ = ("tag", "parent", "parts", "dropped", "points")
+    __slots__ = ("tag", "parent", "parts", "dropped")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool) -> None:
         self.tag, self.parent, self.dropped = tag, parent, dropped
         self.parts: list[str | Node] = []
-        self.points = 0.0
 
 
 class Tree(HTMLParser):
@@ -66,6 +83,8 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.top = self.at = Node("html", None, False)
         self.open: dict[str, int] = {}
+        self.doubtful: list[tuple[Node, bool]] = []  # in page order, and whether its length does not count
+        self.signs: list[Node] = []  # elements that an article has
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "html":
@@ -79,8 +98,15 @@ class Tree(HTMLParser):
             at.parts.append(" ")
         if tag in VOID:
             return
-        dropped = at.dropped or tag in DROPPED or (tag not in ARTICLES and tag != "body" and unlikely(attrs))
+        free = tag in ARTICLES or tag == "body"
+        dropped = at.dropped or tag in DROPPED or (not free and hidden(attrs))
         node = Node(tag, at, dropped)
+        if not dropped:
+            named = None if free else unlikely(attrs)
+            if named or tag == "form":
+                self.doubtful.append((node, bool(named and NEVER.match(named))))
+            if tag in ARTICLES or tag == "h1":
+                self.signs.append(node)
         if not dropped or not at.dropped:
             at.parts.append(node)
         self.at = node
@@ -115,17 +141,14 @@ class Tree(HTMLParser):
             node = node.parent
 
 
-def unlikely(attrs: list) -> bool:
-    """Whether an element's attributes say that it is not part of an article."""
+def hidden(attrs: list) -> bool:
+    """Whether an element's attributes say that it is not shown, or no text."""
     for name, value in attrs:
         if name == "hidden":
             return True
         if not value:
             continue
-        if name in ("class", "id"):
-            if UNLIKELY.search(value):
-                return True
-        elif name == "role":
+        if name == "role":
             if value.lower() in UNLIKELY_ROLES:
                 return True
         elif name == "aria-hidden":
@@ -136,6 +159,16 @@ def unlikely(attrs: list) -> bool:
     return False
 
 
+def unlikely(attrs: list) -> str | None:
+    """The token of an element's class or id that says that it is no part of an article."""
+    for name, value in attrs:
+        if value and (name == "class" or name == "id"):
+            for token in value.split():
+                if UNLIKELY.fullmatch(token):
+                    return token
+    return None
+
+
 def walk(top: Node) -> Iterator[tuple[str, Node, str]]:
     """("open" or "close", element, "") and ("text", parent, text) in page order."""
     stack: list[tuple[Node, int]] = [(top, 0)]
@@ -186,31 +219,105 @@ def blocks(top: Node) -> list[tuple[Node, str, int]]:
     return found
 
 
+def is_heading(node: Node) -> bool:
+    return node.tag in HEADINGS
+
+
+def points_of(text: str, linked: int) -> float:
+    return (1 + text.count(",") + len(text) / 100) * (1 - linked / len(text))
+
+
+def drop_doubtful(tree: Tree) -> float:
+    """Drops the doubtful elements but for those that seem to hold the article; the points
+    of the page with all of them."""
+    weight: dict[Node, float] = {}
+    for holder, text, linked in blocks(tree.top):
+        node, points = holder, 0.0 if is_heading(holder) else points_of(text, linked)
+        while node is not None:
+            weight[node] = weight.get(node, 0.0) + points
+            node = node.parent
+    total = weight.get(tree.top, 0.0)
+    titles = sum(node.tag == "h1" for node in tree.signs)
+    needed: set[Node] = set()
+    for sign in tree.signs:
+        if sign.tag == "h1":
+            tells = titles == 1
+        else:
+            tells = sign.tag == "main" or weight.get(sign, 0.0) > LITTLE_SHARE * total
+        node = sign if tells else None
+        while node is not None and node not in needed:
+            needed.add(node)
+            node = node.parent
+    for node, never in tree.doubtful:
+        most = not never and 2 * weight.get(node, 0.0) > total
+        node.dropped = node not in needed and not most
+    return total
+
+
 def main_text(html: str) -> str:
     """The text of the page's article; empty if it has none."""
     tree = Tree()
     tree.feed(html)
     tree.close()
-    found = blocks(tree.top)
+    if not tree.doubtful:
+        return scored(tree.top)[0]
+    total = drop_doubtful(tree)
+    text, points, sure = scored(tree.top)
+    if not sure and len(text) < LITTLE_LETTERS and points <= LITTLE_SHARE * total:
+        for node, _ in tree.doubtful:
+            node.dropped = False
+        text = scored(tree.top)[0]
+    return text
+
+
+class Sums:
+    """Of an element: points, and letters of its text, in links and in headings."""
+
+    __slots__ = ("points", "letters", "linked", "headings")
+
+    def __init__(self) -> None:
+        self.points, self.letters, self.linked, self.headings = 0.0, 0, 0, 0
+
+
+def beside(best: Node, sums: dict[Node, Sums]) -> list[Node]:
+    """``best`` and the siblings that are part of its text, in page order."""
+    least = SIBLING_SHARE * sums[best].points
+    kept = []
+    for row in best.parent.parts:
+        if isinstance(row, Node) and row in sums and not row.dropped:
+            own = sums[row]
+            prose = row.tag == "p" and own.linked < own.letters / 4
+            if row is best or prose or own.points > least > 0:
+                kept.append(row)
+    return kept
+
+
+def scored(top: Node) -> tuple[str, float, bool]:
+    """The article's text, its points, and whether the page itself calls it one."""
+    found = blocks(top)
     if not found:
-        return ""
-    plain: dict[int, tuple[int, int]] = {}
+        return "", 0.0, False
+    sums: dict[Node, Sums] = {}
     for holder, text, linked in found:
-        if holder.tag[0] == "h" and holder.tag[1:].isdigit():
-            continue
-        points = (1 + text.count(",") + len(text) / 100) * (1 - linked / len(text))
-        distance, node = 1, holder.parent if holder.tag in ("p", "pre", "li", "td", "dd", "blockquote") else holder
+        heading = is_heading(holder)
+        points = 0.0 if heading else points_of(text, linked)
+        distance = 0 if holder.tag in PASS_ON else 1
+        node = holder
         while node is not None:
-            node.points += points / distance
+            own = sums.get(node)
+            if own is None:
+                own = sums[node] = Sums()
+            own.points += points / distance if distance else 0.0
+            own.letters += len(text)
+            own.linked += linked
+            own.headings += len(text) if heading else 0
             distance, node = distance + 1, node.parent
-        length, links = plain.get(id(holder), (0, 0))
-        plain[id(holder)] = (length + len(text), links + linked)
     best, seen = None, set()
     for holder, _, _ in found:
         node = holder
-        while node is not None and id(node) not in seen:
-            seen.add(id(node))
-            if best is None or node.points > best.points:
+        while node is not None and node not in seen:
+            seen.add(node)
+            if best is None or sums[node].points > sums[best].points:
                 best = node
             node = node.parent
     node = best
@@ -218,30 +325,27 @@ def main_text(html: str) -> str:
         if node.tag in ARTICLES:
             best = node
         node = node.parent
-    kept = {id(best)}
+    kept = {best}
     if best.tag not in ARTICLES and best.parent is not None:
-        for sibling in best.parent.parts:
-            if isinstance(sibling, Node) and not sibling.dropped:
-                length, links = plain.get(id(sibling), (0, 0))
-                prose = sibling.tag == "p" and length and links < length / 4
-                if prose or sibling.points > SIBLING_SHARE * best.points > 0:
-                    kept.add(id(sibling))
-    inside: dict[int, bool] = {}
+        kept.update(beside(best, sums))
+    inside: dict[Node, bool] = {}
 
     def belongs(node: Node | None) -> bool:
         path = []
-        while node is not None and id(node) not in inside:
-            if id(node) in kept:
-                inside[id(node)] = True
+        while node is not None and node not in inside:
+            if node in kept:
+                inside[node] = True
                 break
             path.append(node)
             node = node.parent
-        answer = node is not None and inside[id(node)]
+        answer = node is not None and inside[node]
         for passed in path:
-            inside[id(passed)] = answer
+            inside[passed] = answer
         return answer
 
-    return " ".join(text for holder, text, _ in found if belongs(holder))
+    chosen = [entry for entry in found if belongs(entry[0])]
+    points = sum(points_of(text, linked) for holder, text, linked in chosen if not is_heading(holder))
+    return " ".join(text for _, text, _ in chosen), points, best.tag in ARTICLES
 
 
 def extract(pages: DataFrame, html_column: str = "html") -> DataFrame:

@@ -128,6 +128,31 @@ def test_main_text_of_pages():
     assert html.main_text("<div>" * 3000 + "deep" + "</div>" * 2000) == "deep"
 
 
+PROSE = " ".join(["A long sentence, with commas, that an article might hold, and with more words to follow."] * 6)
+
+
+@pytest.mark.parametrize(
+    "wrapper", ["div class='page has-sidebar'", "div class='content no-sidebar'", "div class='post comments-open'",
+                "div id='page-header'", "div class='post header'", "form id='aspnetForm'", "section class='widget'"]
+)
+def test_main_text_in_a_wrapper_with_an_unlikely_name(wrapper):
+    tag = wrapper.split()[0]
+    body = f"<p>{PROSE}</p><div class='comments'><p>Me too.</p></div><form>Name</form><p>{PROSE}</p>"
+    for rest in ("", "<div>All rights reserved.</div>"):
+        assert html.main_text(f"<body><{wrapper}>{body}</{tag}>{rest}") == f"{PROSE} {PROSE}"
+    inside = f"<body><{wrapper}><h1>Title</h1><p>{PROSE}</p></{tag}><div class='comments'><p>{PROSE}</p><p>{PROSE}</p></div>"
+    assert html.main_text(inside) == f"Title {PROSE}"
+
+
+def test_main_text_drops_what_is_named_so():
+    for name in ("comments", "comment-list", "site-footer", "cookie-notice", "widget-2", "nav_menu", "related-posts"):
+        page = f"<body><div><p>{PROSE}</p></div><div class='x {name}'><p>{PROSE[:400]}</p></div>"
+        assert html.main_text(page) == PROSE
+    # A long discussion below a short article is dropped too; alone on its page it is what there is.
+    assert html.main_text(f"<p>{PROSE}</p><div id=comments>{f'<p>{PROSE}</p>' * 9}</div>") == PROSE
+    assert html.main_text(f"<div id=comments><p>{PROSE}</p></div>") == PROSE
+
+
 def test_extract_pages(spark, table):
     pages = spark.createDataFrame(
         [(1, "u", "<p>Hello, you.</p>", 5), (1, "u", "<p>Hello, you.</p>", 5), (2, None, None, None), (None, "v", "", 1)],
