@@ -59,9 +59,12 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 ARTICLES = frozenset(("article", "main"))
 
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+BESIDE = HEADINGS | frozenset("pre blockquote ul ol dl table figure".split())
 PASS_ON = frozenset("p pre li td dd blockquote".split())  # their points go to the parent
 
 SIBLING_SHARE = 0.2  # of the best container's points that make a sibling part of the text
+LINK_SHARE = 0.25  # of a text's letters; prose has fewer in links
+SECTION_LETTERS = 100  # a sibling of so many letters that are prose is part of the text
 LITTLE_LETTERS = 200  # a text below that may be what is left of a page dropped by mistake
 LITTLE_SHARE = 0.25  # of the page's points
 
@@ -281,15 +284,35 @@ class Sums:
 
 def beside(best: Node, sums: dict[Node, Sums]) -> list[Node]:
     """``best`` and the siblings that are part of its text, in page order."""
+    rows = [part for part in best.parent.parts if isinstance(part, Node) and part in sums and not part.dropped]
     least = SIBLING_SHARE * sums[best].points
-    kept = []
-    for row in best.parent.parts:
-        if isinstance(row, Node) and row in sums and not row.dropped:
-            own = sums[row]
-            prose = row.tag == "p" and own.linked < own.letters / 4
-            if row is best or prose or own.points > least > 0:
-                kept.append(row)
-    return kept
+    taken = []
+    for row in rows:
+        own = sums[row]
+        few_links = own.linked < LINK_SHARE * own.letters
+        text = own.letters - own.headings
+        whole = row.tag not in BESIDE and text and (row.tag == "p" or own.headings or own.letters >= SECTION_LETTERS)
+        taken.append(row is best or own.points > least > 0 or (few_links and bool(whole)))
+    first, last = taken.index(True), len(taken) - 1 - taken[::-1].index(True)
+
+    def goes_with(i: int, inside: bool) -> bool:
+        row, own = rows[i], sums[rows[i]]
+        # A heading may be one link.
+        if own.headings == own.letters:
+            return True
+        return own.linked < LINK_SHARE * own.letters and (inside or row.tag in BESIDE)
+
+    for i in range(first, last):
+        taken[i] = taken[i] or goes_with(i, True)
+    for i in range(first - 1, -1, -1):
+        if not goes_with(i, False):
+            break
+        taken[i] = True
+    for i in range(last + 1, len(rows)):
+        if not goes_with(i, False):
+            break
+        taken[i] = True
+    return [row for row, yes in zip(rows, taken) if yes]
 
 
 def scored(top: Node) -> tuple[str, float, bool]:
@@ -326,8 +349,14 @@ def scored(top: Node) -> tuple[str, float, bool]:
             best = node
         node = node.parent
     kept = {best}
-    if best.tag not in ARTICLES and best.parent is not None:
-        kept.update(beside(best, sums))
+    while best.tag not in ARTICLES and best.parent is not None:
+        row = beside(best, sums)
+        kept.update(row)
+        # A parent whose whole text is kept stands for it: the article may go on beside it.
+        if sum(sums[node].letters for node in row) < sums[best.parent].letters:
+            break
+        best = best.parent
+        kept.add(best)
     inside: dict[Node, bool] = {}
 
     def belongs(node: Node | None) -> bool:
@@ -343,7 +372,13 @@ def scored(top: Node) -> tuple[str, float, bool]:
             inside[passed] = answer
         return answer
 
-    chosen = [entry for entry in found if belongs(entry[0])]
+    answers = [belongs(holder) for holder, _, _ in found]
+    first, last = answers.index(True), len(answers) - answers[::-1].index(True)
+    chosen = []
+    for answer, (holder, text, linked) in zip(answers[first:last], found[first:last]):
+        # Text between kept elements that is in no element of its own.
+        if answer or (holder is best.parent and linked < LINK_SHARE * len(text)):
+            chosen.append((holder, text, linked))
     points = sum(points_of(text, linked) for holder, text, linked in chosen if not is_heading(holder))
     return " ".join(text for _, text, _ in chosen), points, best.tag in ARTICLES
 

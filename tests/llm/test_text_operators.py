@@ -153,6 +153,27 @@ def test_main_text_drops_what_is_named_so():
     assert html.main_text(f"<div id=comments><p>{PROSE}</p></div>") == PROSE
 
 
+@pytest.mark.parametrize("tag", ["div", "section"])
+def test_main_text_keeps_an_article_of_several_parts(tag):
+    long, short, note = PROSE * 9, PROSE, "A note of few words, all prose."
+    links = "".join(f"<li><a href=/{i}>Another page of this site {i}</a></li>" for i in range(9))
+    nav, plain = f"<{tag}><ul>{links}</ul></{tag}>", "x" * 30
+    a, b = f"<{tag}>{long}</{tag}>", f"<{tag}>{short}</{tag}>"
+    pages = {
+        f"{a}{b}": f"{long} {short}",
+        f"{b}{a}{nav}": f"{short} {long}",
+        f"{nav}<h1>Title</h1>{a}<h2>More</h2><pre>{plain}</pre>{b}": f"Title {long} More {plain} {short}",
+        f"{a}<blockquote>{note}</blockquote><ul><li>one</li><li>two</li></ul>{nav}": f"{long} {note} one two",
+        f"<{tag}><h1>Title</h1></{tag}>{a}{b}": f"Title {long} {short}",
+        f"{a}{note}<{tag}>{note}</{tag}>{nav}{b}": f"{long} {note} {note} {short}",
+        f"{a}<{tag}><h3>Last</h3><p>{note}</p></{tag}><{tag}>(c) me</{tag}>": f"{long} Last {note}",
+        f"{nav}<div><{tag}>{a}</{tag}><{tag}>{b}</{tag}></div>": f"{long} {short}",
+        f"<div><div><p>{short}</p><p>{short}</p></div></div><div><p>{note}</p>{b}</div>": f"{short} {short} {note} {short}",
+    }
+    for page, expected in pages.items():
+        assert html.main_text(f"<body>{page}") == expected, page
+
+
 def test_extract_pages(spark, table):
     pages = spark.createDataFrame(
         [(1, "u", "<p>Hello, you.</p>", 5), (1, "u", "<p>Hello, you.</p>", 5), (2, None, None, None), (None, "v", "", 1)],
