@@ -39,6 +39,17 @@ def test_classifiers_on_the_held_out_fold(spark, odd_documents, operator, label,
     assert len({r.score for r in odd if r.doc_id == 1}) == 1
 
 
+def test_toxic_documents_of_every_language_are_found(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").where("toxic is not null")
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = toxicity.classify(docs, labels).where("held_out").join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    rows = rows.select("lang", "toxic", "predicted").collect()
+    for lang in ("de", "en", "es", "fr"):
+        found = [r.predicted for r in rows if r.toxic and r.lang == lang]
+        assert len(found) >= 10 and np.mean(found) > 0.5, lang
+    assert np.mean([r.predicted for r in rows if not r.toxic]) < 0.01
+
+
 def plain_scan(text):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     places, labels = [], set()
