@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadlark.llm import html, jaccard, language, lattice, licenses, mixing, neighbours, packing, quality, toxicity
+from roadlark.llm import html, jaccard, language, lattice, licenses, mixing, negatives, neighbours, packing, quality, sharding, toxicity
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -55,6 +55,16 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), tokenizer)
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.mine(read(spark, folder, "embeddings"), vec_id % 50 == 0, moved)
+
+
+def op13_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard(read(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_quality": op2_quality,
@@ -66,4 +76,6 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_language": op9_language,
     "op10_packing": op10_packing,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_kd_shards": op13_kd_shards,
 }
