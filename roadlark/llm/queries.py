@@ -5,7 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadlark.llm import html, jaccard, language, lattice, licenses, mixing, negatives, neighbours, packing, quality, sharding, toxicity
+from roadlark.llm import (
+    alignment, html, jaccard, language, lattice, licenses, mixing, negatives, neighbours, packing, quality, sharding,
+    toxicity,
+)
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -55,6 +58,11 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read(spark, folder, "documents"), tokenizer)
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    a, b = (str(public_tokenizers.path(name)) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(read(spark, folder, "documents"), a, b)
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     vec_id, label = F.col("vec_id"), F.col("label")
     moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
@@ -76,6 +84,7 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_language": op9_language,
     "op10_packing": op10_packing,
+    "op11_alignment": op11_alignment,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_kd_shards": op13_kd_shards,
 }
