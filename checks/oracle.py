@@ -311,6 +311,37 @@ union all select 'fact_event_vehicles', fev_id, count(*) from staged_fev group b
 select {_FACT}, vehicle_types, vehicles from loaded_events left join (
   select event_id, count(*) as vehicle_types, cast(sum(vehicle_count) as bigint) as vehicles from loaded_vehicles group by event_id
 ) using (event_id)
+"""),
+    "replay_unmarked_batch": _sql("".join(
+        f"""{union}
+select '{step}' as step, 'fact_events' as table_name, event_id as key, null::int as vehicle_count
+from (select distinct event_id from parsed where {days})
+union all
+select '{step}', 'fact_event_vehicles', fev_id, vehicle_count
+from (select fev_id, vehicle_count from staged_fev where {days}
+      qualify row_number() over (partition by fev_id order by vehicle_count nulls first) = 1)
+"""
+        for union, step, days in (("", "broken", f"date < date '{SECOND_LOAD}'"), ("union all", "replayed", "true"))
+    )),
+    "staged_locations": _sql("""
+select sha256(city || location) as location_id, city, location, latitude, longitude, accuracy,
+  case when location < 'D' then 'first' else 'second' end as batch_id
+from resolved
+"""),
+    "load_counts": _sql("""
+select 'dim_direction' as table_name, null::date as event_date, count(*) as rows from dim_direction
+union all select 'dim_vehicles', null, count(distinct vehicle_type) from (
+  select vehicle_type from dim_vehicles union all select vehicle_type from classified)
+union all select 'dim_locations', null, count(*) from grown_locations
+union all select 'fact_events', date, count(distinct event_id) from parsed group by date
+union all select 'fact_event_vehicles', date, count(distinct fev_id) from staged_fev group by date
+"""),
+    "audit_after_load": _sql("""
+select 'orphan' as kind, 'fact_events.direction_id->dim_direction.short_name' as subject, direction_id as key_value, count(*) as found
+from loaded_events where direction_id not in (select short_name from dim_direction) group by direction_id
+union all
+select 'orphan', 'fact_events.location_id->dim_locations.location_id', location_id, count(*)
+from loaded_events where location_id not in (select location_id from grown_locations) group by location_id
 """),
     "daily_paths": _sql("""
 select cast(d.day as date) as day, strftime(d.day, 'raw/scrape/%Y/%m/scrape_data_%Y%m%d.csv') as path, count(p.post_seq) as posts
