@@ -13,7 +13,6 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,9 +26,20 @@ from roadlark.session import materialise
 SPACE = "▁"  # the pieces' sign for a space
 CONTAINER_DOCS = 1 << 16
 CONTAINER_POSTINGS = 1_000_000  # a container ends with the batch that passes this
-KEPT_UNITS = 150_000  # units whose tokens a task keeps
+KEPT_UNITS = 250_000  # units whose tokens a task keeps
 KEPT_LETTERS = 16 << 20
 
+# Cuts of a text across which neither side has a token: before a space behind anything but
+# white space; and, where B has no piece across, between a letter and a sign and around a
+# line end between other signs. The first group only says where to look.
+LETTER, SIGN = "[A-Za-zÀ-ÖØ-öø-ɏ]", "[.,;:!?%$#&*]"
+SPACES = r"(?<=\S)(?= )"
+ALL_CUTS = (
+    rf"(?=[ \n.,;:!?%$#&*])(?:{SPACES}|(?<={LETTER})(?={SIGN})|(?<=\S)(?=\n\S))"
+    r"|(?<=\n)(?<=\S\n)(?=\S)"
+)
+LARGE = 4096  # links of a group that are counted before they are kept
+
 STATS = ("n_a", "n_b", "n_groups", "n_links")
 DIGEST = "n_a long, n_b long, n_groups long, n_links long"
 
@@ -42,27 +52,20 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
-def grouped(a: list[int], b: list[int], a_sizes: list[int], b_sizes: list[int]) -> list[tuple[list[int], list[int]]]:
-    """The groups between the byte offsets at which tokens of both sides end."""
-    groups, i, j, at_a, at_b, first_a, first_b = [], 0, 0, 0, 0, 0, 0
-    while i < len(a):
-        at_a += a_sizes[i]
-        i += 1
-        while at_b < at_a:
-            at_b += b_sizes[j]
-            j += 1
-        if at_a == at_b:
-            groups.append((a[first_a:i], b[first_b:j]))
-            first_a, first_b = i, j
-    return groups
+def joined(sizes: np.ndarray) -> np.ndarray:
+    """Where lists of these sizes begin when they lie one behind the other, and the end."""
+    return np.concatenate([[0], np.cumsum(sizes)])
 
 
-class Units:
-    """Tokens of a text's units. A unit begins with a space behind anything but white
-    space, where neither side has a token across: it is encoded once while it is kept.
+def counted_up(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, … for each of these sizes, one behind the other."""
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
-    A unit is known by its letters without that first space, which B adds by itself.
-    """
+
+class Units:
+    """Tokens of a text's units, the pieces between its cuts. A unit is encoded once while
+    it is kept. One that does not begin with a space is given to B, which adds a space to
+    what it gets, behind a line end; the tokens of both are taken off again."""
 
     def __init__(self, definition: str, model: bytes) -> None:
         from sentencepiece import SentencePieceProcessor
@@ -73,18 +76,25 @@ class Units:
         self.a.encode_special_tokens = True  # their strings in a text are ordinary text
         self.b = SentencePieceProcessor(model_proto=model)
         letters = _byte_letters()
-        self.a_bytes: dict[int, bytes] = {
-            i: bytes(letters[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()
-        }
+        self.a_bytes = [b""] * self.a.get_vocab_size(with_added_tokens=True)
+        for token, i in self.a.get_vocab(with_added_tokens=False).items():
+            self.a_bytes[i] = bytes(letters[c] for c in token)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)
         ]
-        self.space = [self.b.piece_to_id(SPACE)]
-        self.width = len(pieces)
+        self.a_sizes = np.array(list(map(len, self.a_bytes)), np.int64)
+        self.b_sizes = np.array(list(map(len, self.b_bytes)), np.int64)
+        self.width, self.ids = len(pieces), max(len(self.a_bytes), len(pieces))
+        self.names = [f"{i}{sign}" for sign in ",|;" for i in range(self.ids)]
+        self.name_sizes = np.array(list(map(len, self.names)), np.int64)
+        self.space, self.line = [self.b.piece_to_id(SPACE)], self.b.encode("\n")
         # No piece goes on with a space behind other letters, or else a text is one unit.
         whole = any(SPACE in p.lstrip(SPACE) for p in pieces)
-        self.cut = re.compile(r"(?!)" if whole else r"(?<=\S) ")
+        across = re.compile(rf"{LETTER}{SIGN}|\n")
+        fine = len(self.line) == 2 and self.line[0] == self.space[0] and self.b.is_byte(self.line[1])
+        fine = fine and not any(across.search(p) for p in pieces)
+        self.cut = re.compile(r"(?!)" if whole else ALL_CUTS if fine else SPACES)
         self.clear()
 
     def clear(self) -> None:
@@ -98,42 +108,81 @@ class Units:
         self.times = np.zeros(0, np.int64)
 
     def split(self, text: str) -> list[str]:
-        parts = self.cut.split(" " + text)
-        parts[0] = parts[0][1:]
-        return parts
+        return self.cut.split(" " + text)
 
     def add(self, units: list[str]) -> None:
         """Encodes new units."""
-        from_a = [x.ids for x in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
-        from_b = [ids if u else self.space for u, ids in zip(units, self.b.encode(units, num_threads=1))]
-        stats, good, sizes, pairs, times = [], [], [], [], []
-        for unit, a, b in zip(units, from_a, from_b):
-            self.index[unit] = len(self.groups)
-            self.letters += len(unit)
-            a_parts, b_parts = [self.a_bytes.get(i, b"") for i in a], [self.b_bytes[i] for i in b]
-            whole = (" " + unit).encode()
-            fine = b"".join(a_parts) == whole == b"".join(b_parts)
-            groups = grouped(a, b, list(map(len, a_parts)), list(map(len, b_parts))) if fine else []
-            self.groups.append(";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups))
-            links: Counter = Counter()
-            for x, y in groups:
-                if len(x) == len(y) == 1:
-                    links[x[0] * self.width + y[0]] += 1
-                else:
-                    right = Counter(y).items()
-                    for i, n in Counter(x).items():
-                        for j, m in right:
-                            links[i * self.width + j] += n * m
-            stats.append((len(a), len(b), len(groups), sum(links.values())))
-            good.append(fine)
-            sizes.append(len(links))
-            pairs += links.keys()
-            times += links.values()
-        self.stats = np.concatenate([self.stats, np.array(stats, np.int64).reshape(-1, len(STATS))])
-        self.good = np.concatenate([self.good, np.array(good, bool)])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.array(sizes, np.int64))])
-        self.pairs = np.concatenate([self.pairs, np.array(pairs, np.int64)])
-        self.times = np.concatenate([self.times, np.array(times, np.int64)])
+        from_a = [x.ids for x in self.a.encode_batch_fast(units, add_special_tokens=False)]
+        spaced = [u[0] == " " for u in units]
+        from_b = self.b.encode([u[1:] if s else "\n" + u for u, s in zip(units, spaced)], num_threads=1)
+        skip = len(self.line)
+        from_b = [self.space if u == " " else b if s else b[skip:] for u, s, b in zip(units, spaced, from_b)]
+        sizes = np.array([len(u) if u.isascii() else len(u.encode()) for u in units], np.int64)
+        good = self._good(units, from_a, from_b)
+        stats = np.array([(len(a), len(b), 0, 0) for a, b in zip(from_a, from_b)], np.int64)
+        some = np.flatnonzero(good).tolist()
+        texts, inner, pairs, times, of = self._groups([from_a[i] for i in some], [from_b[i] for i in some], sizes[good])
+        stats[good, 2:] = inner
+        named = iter(texts)
+        self.groups += [next(named) if g else "" for g in good.tolist()]
+        self.index.update(zip(units, range(len(self.index), len(self.index) + len(units))))
+        self.letters += sum(map(len, units))
+        counts = np.zeros(len(units), np.int64)
+        counts[good] = np.bincount(of, minlength=len(some))
+        self.stats = np.concatenate([self.stats, stats])
+        self.good = np.concatenate([self.good, good])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
+        self.pairs = np.concatenate([self.pairs, pairs])
+        self.times = np.concatenate([self.times, times])
+
+    def _good(self, units: list[str], from_a: list[list[int]], from_b: list[list[int]]) -> np.ndarray:
+        """Whether the tokens of both sides give the unit's bytes."""
+        fine = np.ones(len(units), bool)
+        for tokens, known in ((from_a, self.a_bytes), (from_b, self.b_bytes)):
+            get = known.__getitem__
+            fine &= np.array([b"".join(map(get, ids)) == u.encode() for ids, u in zip(tokens, units)], bool)
+        return fine
+
+    def _groups(
+        self, from_a: list[list[int]], from_b: list[list[int]], sizes: np.ndarray
+    ) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of units laid one behind the other: each one's groups as text, its groups and
+        links, and all pairs with their times and units, in the units' order."""
+        a_n, b_n = (np.array(list(map(len, x)), np.int64) for x in (from_a, from_b))
+        a, b = (np.fromiter((i for ids in x for i in ids), np.int64, int(n.sum())) for x, n in ((from_a, a_n), (from_b, b_n)))
+        ends_a, ends_b = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        last_a, last_b = np.searchsorted(ends_a, cuts) + 1, np.searchsorted(ends_b, cuts) + 1
+        first_a, first_b = np.concatenate([[0], last_a])[:-1], np.concatenate([[0], last_b])[:-1]
+        wide, high = last_a - first_a, last_b - first_b
+        unit = np.searchsorted(np.cumsum(sizes), cuts)
+        links = wide * high
+        numbers = np.zeros((len(sizes), 2), np.int64)
+        np.add.at(numbers, unit, np.column_stack([np.ones_like(links), links]))
+
+        # Each group's A tokens, then its B tokens, with the sign that follows each.
+        in_a, in_b = np.repeat(np.arange(len(cuts)), wide), np.repeat(np.arange(len(cuts)), high)
+        names = np.zeros(len(a) + len(b), np.int64)
+        sign_a, sign_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        sign_a[last_a - 1], sign_b[last_b - 1] = 1, 2
+        names[np.arange(len(a)) + first_b[in_a]] = a + sign_a * self.ids
+        names[np.arange(len(b)) + last_a[in_b]] = b + sign_b * self.ids
+        text = "".join(map(self.names.__getitem__, names.tolist()))
+        at = joined(self.name_sizes[names])[joined(a_n + b_n)].tolist()
+        texts = [text[i : j - 1] for i, j in zip(at, at[1:])]
+
+        few = np.flatnonzero(links <= LARGE)
+        group, place = np.repeat(few, links[few]), counted_up(links[few])
+        pairs = a[first_a[group] + place // high[group]] * self.width + b[first_b[group] + place % high[group]]
+        times, of = np.ones(len(pairs), np.int64), unit[group]
+        for g in np.flatnonzero(links > LARGE).tolist():
+            x, n = np.unique(a[first_a[g] : last_a[g]], return_counts=True)
+            y, m = np.unique(b[first_b[g] : last_b[g]], return_counts=True)
+            pairs = np.concatenate([pairs, np.add.outer(x * self.width, y).ravel()])
+            times = np.concatenate([times, np.multiply.outer(n, m).ravel()])
+            of = np.concatenate([of, np.full(len(x) * len(y), unit[g])])
+        order = np.argsort(of, kind="stable")
+        return texts, numbers, pairs[order], times[order], of[order]
 
     def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[list[int]]]:
         """Of each text: its numbers, whether it has tokens, its units."""
