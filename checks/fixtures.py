@@ -67,6 +67,18 @@ select city, cast(latitude as double) as latitude, cast(longitude as double) as
 from (values ('PARAÑAQUE', 14.5810, 120.9760), ('MAKATI', 14.5600, 121.0650)) as v(city, latitude, longitude)
 """
 
+# A large dimension of types, and names like them: shortened, stretched, misspelt, run together.
+PART_TYPES = """
+select name as vehicle_type, min(p_brand) as vehicle_group
+from (select upper(p_name || ' ' || p_type || ' ' || p_brand || ' ' || cast(p_size as string)) as name, p_brand from {part}) as n
+group by name
+"""
+PART_NAMES = """
+select distinct case p_size % 4 when 0 then substr(name, 2) when 1 then replace(name, 'E', 'EE')
+    when 2 then replace(name, 'A', 'O') else replace(name, ' ', '') end as vehicle_type
+from (select p_size, upper(p_name || ' ' || p_type || ' ' || p_brand || ' ' || cast(p_size as string)) as name from {part}) as n
+"""
+
 DATE_TEXTS = """
 select event_id,
   case event_id % 5
@@ -131,6 +143,12 @@ class Inputs:
     def date_texts(self) -> DataFrame:
         return self.spark.sql(DATE_TEXTS, events=self.events())
 
+    def part_types(self) -> DataFrame:
+        return self.spark.sql(PART_TYPES, part=self.table("part"))
+
+    def part_names(self) -> DataFrame:
+        return self.spark.sql(PART_NAMES, part=self.table("part"))
+
     def gazetteer(self) -> DataFrame:
         return self.spark.sql(GAZETTEER)
 

@@ -7,7 +7,7 @@ The data tables of ``roadlark.rules`` are shared, the logic is not.
 import re
 
 from checks.fixtures import (
-    CITY_POINTS, DATE_TEXTS, DIM_LOCATIONS, GAZETTEER, PAGE_BLOCKS, PAGES, POSTS, SECOND_LOAD,
+    CITY_POINTS, DATE_TEXTS, DIM_LOCATIONS, GAZETTEER, PAGE_BLOCKS, PAGES, PART_NAMES, PART_TYPES, POSTS, SECOND_LOAD,
 )
 from roadlark import rules
 
@@ -200,6 +200,14 @@ from vehicles as v left join dim_vehicles as d using (vehicle_type) left join su
     "page_blocks": PAGE_BLOCKS.replace("{posts}", "posts"),
     "timeline": PAGES.replace("{joined}", "string_agg(block, '' order by post_seq)")
     .replace("{page_blocks}", "page_blocks").replace("{pages}", "pages"),
+    "part_types": PART_TYPES.replace("{part}", "part"),
+    "part_names": PART_NAMES.replace("{part}", "part"),
+    "part_scores": """
+select n.vehicle_type, t.vehicle_type as candidate, t.vehicle_group,
+  1 - levenshtein(n.vehicle_type, t.vehicle_type) / greatest(length(n.vehicle_type), length(t.vehicle_type))::double
+  + case when contains(n.vehicle_type, t.vehicle_type) or contains(t.vehicle_type, n.vehicle_type) then 0.15 else 0.0 end::double as score
+from part_names as n cross join part_types as t
+""",
     "date_texts": DATE_TEXTS.replace("{events}", "events"),
 }
 
@@ -262,6 +270,10 @@ union all select sha256(city || location), city, location, latitude, longitude,
     "vehicle_suggestions": _sql(
         "select vehicle_type, candidate as suggested_from, vehicle_group, round(score, 9) as match_score from suggestions"
     ),
+    "suggest_large_dimension": _sql("""
+select vehicle_type, candidate as suggested_from, vehicle_group, round(score, 9) as match_score
+from part_scores qualify row_number() over (partition by vehicle_type order by score desc, candidate) = 1
+"""),
     "classify_vehicles": _sql("select * from classified"),
     "first_date_vehicles": _sql(
         "select * replace ((select date from parsed where date is not null order by post_seq limit 1) as date) from classified"
@@ -354,6 +366,10 @@ select content, tweetlinkid, created_at from posts where created_at between date
     "historical_round_trip": _sql(
         "select event_id, date, location, direction, type, lanes_blocked, involved, post, link from parsed"
     ),
+    "historical_parallel": _sql("""
+select case when post_seq % 3 = 0 then content else 'He said "stop",' || chr(10) || content || chr(10) || '"' || post_seq end as content,
+  tweetlinkid, created_at from posts
+"""),
     "partition_round_trip": _sql(
         "select * from parsed where date between date '2024-01-05' and date '2024-01-20'"
     ),

@@ -12,6 +12,7 @@ from roadlark.operators import locations, upsert, vehicles
 from roadlark.operators.audit import fk_audit, pk_audit
 from roadlark.operators.directions import direction_lookup, fact_rows
 from roadlark.operators.fill import fill_event_time
+from roadlark.operators.fuzzy import best_matches
 from roadlark.operators.parse import parse_posts
 from roadlark.plans.batch import process_batch
 from roadlark.plans.ingest import ingest_historical
@@ -20,6 +21,7 @@ from roadlark.plans.audits import audit_batch, merged_audit
 from roadlark.session import empty_table, fresh_path, materialise
 from roadlark.sources import pages as timeline, posts as raw, tables
 from roadlark.sources.batches import BatchWarehouse
+from roadlark.sources.records import read_historical
 from roadlark.sources.tables import Warehouse, seed_directions, seed_vehicles
 from roadlark.streaming.incremental import run_ingest
 
@@ -177,6 +179,18 @@ def vehicle_suggestions(t):
     return found.withColumn("match_score", F.round("match_score", 9))
 
 
+@query
+def suggest_large_dimension(t):
+    """The best of thousands of types for thousands of names, by index."""
+    names = t.part_names().select(F.col("vehicle_type").alias("name"))
+    types = t.part_types().toDF("candidate", "candidate_group")
+    found = best_matches(names, types, vehicles.match_score).found
+    return found.select(
+        F.col("name").alias("vehicle_type"), F.col("candidate").alias("suggested_from"),
+        F.col("candidate_group").alias("vehicle_group"), F.round("score", 9).alias("match_score"),
+    )
+
+
 @query
 def classify_vehicles(t):
     return staged_vehicles(t)
@@ -434,12 +448,9 @@ def csv_round_trip(t):
     return raw.read_day_folders(t.spark, root, dt.date(2024, 1, 5), dt.date(2024, 1, 20))
 
 
-@query
-def historical_round_trip(t):
-    """A historical file with pre-parsed columns through its own ingest, to clean rows."""
-    path, clean = fresh_path(t.spark, "historical"), fresh_path(t.spark, "clean")
+def _historical_rows(posts: DataFrame) -> DataFrame:
     blank = F.lit(None)
-    file = t.posts().select(
+    return posts.select(
         F.col("created_at").alias("Date"), blank.cast("string").alias("Time"),
         F.lit("Somewhere").alias("City"), blank.cast("string").alias("Location"),
         F.lit(0.5).alias("Latitude"), F.lit(0.5).alias("Longitude"), F.lit(1.0).alias("High_Accuracy"),
@@ -447,6 +458,13 @@ def historical_round_trip(t):
         blank.cast("string").alias("Involved"), F.col("content").alias("Tweet"),
         F.col("tweetlinkid").alias("Source"),
     )
+
+
+@query
+def historical_round_trip(t):
+    """A historical file with pre-parsed columns through its own ingest, to clean rows."""
+    path, clean = fresh_path(t.spark, "historical"), fresh_path(t.spark, "clean")
+    file = _historical_rows(t.posts())
     file.write.options(**raw.WRITE_OPTIONS).csv(path)
     warehouse = Warehouse(t.spark, fresh_path(t.spark, "star"))
     warehouse.seed()
@@ -455,6 +473,23 @@ def historical_round_trip(t):
     return events.select("event_id", "date", "location", "direction", "type", "lanes_blocked", "involved", "post", "link")
 
 
+@query
+def historical_parallel(t):
+    """One historical file whose fields hold quotes, commas and line breaks, by many tasks."""
+    posts = t.posts()
+    text = F.concat(F.lit('He said "stop",\n'), "content", F.lit('\n"'), F.col("post_seq").cast("string"))
+    path = fresh_path(t.spark, "historical")
+    rows = _historical_rows(posts.withColumn("content", F.when(F.col("post_seq") % 3 == 0, F.col("content")).otherwise(text)))
+    rows.coalesce(1).write.options(**raw.WRITE_OPTIONS).csv(path)
+    old = t.spark.conf.get("spark.sql.files.maxPartitionBytes")
+    t.spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 << 10))
+    try:
+        found = read_historical(t.spark, f"{path}/part-*")
+    finally:
+        t.spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    return found.select("content", "tweetlinkid", "created_at")
+
+
 @query
 def partition_round_trip(t):
     """Parsed events through the date folders: appended, replaced whole, a range read back."""

@@ -1,15 +1,14 @@
 """Vehicles of an event: explode the involved list, classify types by fuzzy match."""
 
-import math
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadlark import rules, schemas
 from roadlark.functions import involved, text as tx
+from roadlark.operators.fuzzy import best_matches
 from roadlark.operators.joins import lookup_join, measure
 from roadlark.session import materialise
 
-# Candidates scored against a type inside one row; a larger dimension makes more blocks.
+# Candidates scored against a type inside one row; a larger dimension is indexed.
 BLOCK_CANDIDATES = 2048
 
 
@@ -49,19 +48,28 @@ def match_score(name: Column, candidate: Column) -> Column:
 def suggest_types(unknown: DataFrame, verified: DataFrame, min_score: float | None = None) -> DataFrame:
     """Best verified candidate of each distinct unknown type; ties go to the first name.
 
-    The verified types travel as sorted arrays and one fold per type keeps the best, so
+    The verified types travel as a sorted array and one fold per type keeps the best, so
     no (type, candidate) pair ever becomes a row. A dimension of more than
-    ``BLOCK_CANDIDATES`` types is cut into several arrays; a type then meets each array
-    once and the best of its few partial winners is taken, which is still exact.
+    ``BLOCK_CANDIDATES`` types is indexed instead (``fuzzy.best_matches``), and a type is
+    scored against the few that can be its best; the winners are the same.
     """
     n_types, n_bytes = measure(verified)
-    n_blocks = max(1, math.ceil(n_types / BLOCK_CANDIDATES))
+    if n_types > BLOCK_CANDIDATES:
+        names = unknown.select(F.col("vehicle_type").alias("name")).distinct()
+        dimension = verified.select(
+            F.col("vehicle_type").alias("candidate"), F.col("vehicle_group").alias("candidate_group")
+        )
+        matches = best_matches(names, dimension, match_score).found.select(
+            F.col("name").alias("vehicle_type"),
+            F.col("candidate").alias("suggested_from"),
+            F.col("candidate_group").alias("vehicle_group"),
+            F.col("score").alias("match_score"),
+        )
+        return matches if min_score is None else matches.where(F.col("match_score") >= min_score)
     entry = F.struct(
         F.col("vehicle_type").alias("candidate"), F.col("vehicle_group").alias("candidate_group")
     )
-    blocks = verified.groupBy(
-        F.pmod(F.xxhash64("vehicle_type"), F.lit(n_blocks)).cast("int").alias("block")
-    ).agg(F.array_sort(F.collect_list(entry)).alias("candidates"))
+    blocks = verified.groupBy(F.lit(0).alias("block")).agg(F.array_sort(F.collect_list(entry)).alias("candidates"))
     name = F.col("vehicle_type")
     start = F.lit(None).cast("struct<score:double,candidate:string,candidate_group:string>")
 
@@ -72,19 +80,11 @@ def suggest_types(unknown: DataFrame, verified: DataFrame, min_score: float | No
     def better(best, c):
         return F.when(best.isNull() | (c["score"] > best["score"]), c).otherwise(best)
 
-    asked = unknown.select(
-        "vehicle_type", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block")
-    )
-    # An array holds both text columns of its rows, which is what was measured.
+    # The array holds both text columns of its rows, which is what was measured.
+    asked = unknown.select("vehicle_type", F.lit(0).alias("block"))
     partial = lookup_join(asked, blocks, "block", "inner", lookup_bytes=n_bytes).select(
         "vehicle_type", F.reduce(F.transform("candidates", scored), start, better).alias("best")
     )
-    if n_blocks > 1:
-        partial = partial.groupBy("vehicle_type").agg(
-            F.min(
-                F.struct(-F.col("best.score"), "best.candidate", "best.candidate_group", "best.score")
-            ).alias("best")
-        )
     found = partial.select(
         "vehicle_type",
         F.col("best.candidate").alias("suggested_from"),

@@ -63,10 +63,10 @@ def read_posts(spark: SparkSession, paths: str | list[str], multi_line: bool = T
     return read_csv(spark, paths, schemas.RAW_POSTS, multi_line)
 
 
-def historical_as_posts(raw: DataFrame) -> DataFrame:
+def historical_as_posts(raw: DataFrame, *carry) -> DataFrame:
     """Only text, date and source of the historical file; its other columns are parsed anew."""
     return raw.select(
-        F.col("Tweet").alias("content"), F.col("Date").alias("created_at"), F.col("Source").alias("tweetlinkid")
+        F.col("Tweet").alias("content"), F.col("Date").alias("created_at"), F.col("Source").alias("tweetlinkid"), *carry
     )
 
 
