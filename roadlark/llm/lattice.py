@@ -12,6 +12,7 @@ meets first, in the order of the tables.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadlark.llm.common import components
-from roadlark.llm.vectors import main_size, usable
+from roadlark.llm.vectors import lengths, usable
 from roadlark.session import materialise
 
 COSINE = 0.98
@@ -202,30 +203,10 @@ def _meetings(nodes: DataFrame) -> DataFrame:
     return both.join(held, "node").select("group", "node", "table", "home", "copies", "vector", "codes")
 
 
-def near_duplicates(
-    vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", cosine: float = COSINE
-) -> DataFrame:
-    """One row per row: vec_id, n_links, component_id, kept.
-
-    Equal vectors of one label are one class and linked with each other; classes are
-    compared in double precision. A vector that is null, zero, of another size than most or
-    has null or non-finite components, or one without label, has no link and is its own
-    component. Repeated rows are linked; an id that is null is no component's smallest
-    unless no other is there, and such a row is not kept. Other columns are not looked at.
-    """
-    rows = vectors.select(
-        F.col(f"`{id_column}`").alias("id"),
-        F.col(f"`{vector_column}`").alias("vector"),
-        F.col("label").cast("long").alias("label"),
-    )
-    good = usable("vector") & F.col("label").isNotNull()
-    size = main_size(rows.where(good), "vector")
-    good = good & (F.size("vector") == size)
-    digest = F.md5(F.concat_ws(",", F.col("vector").cast("array<string>")).cast("binary"))
-    rows = rows.withColumn("class", F.when(good, F.concat_ws("|", "label", digest)))
+def _linked(rows: DataFrame, cosine: float) -> DataFrame:
+    """(class, component, links) of the classes of vectors of one length."""
     classes = (
-        rows.where(F.col("class").isNotNull())
-        .groupBy("class")
+        rows.groupBy("class")
         .agg(F.min("id").alias("least"), F.count("*").alias("copies"), F.first("vector").alias("vector"), F.first("label").alias("label"))
         .withColumn("node", F.monotonically_increasing_id())
     )
@@ -250,11 +231,37 @@ def near_duplicates(
     joined = nodes.select("node", "class", "least", "copies").join(roots, "node", "left")
     joined = materialise(joined.withColumn("root", F.coalesce("root", "node")), "rooted")
     named = joined.groupBy("root").agg(F.min("least").alias("component"))
-    result = (
+    return (
         joined.join(named, "root")
         .join(counts, "node", "left")
         .select("class", "component", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
     )
+
+
+def near_duplicates(
+    vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", cosine: float = COSINE
+) -> DataFrame:
+    """One row per row: vec_id, n_links, component_id, kept.
+
+    Equal vectors of one label are one class and linked with each other; classes are
+    compared in double precision, those of each length among themselves. A vector that is
+    null, zero or has null or non-finite components, or one without label, has no link and
+    is its own component. Repeated rows are linked; an id that is null is no component's smallest
+    unless no other is there, and such a row is not kept. Other columns are not looked at.
+    """
+    rows = vectors.select(
+        F.col(f"`{id_column}`").alias("id"),
+        F.col(f"`{vector_column}`").alias("vector"),
+        F.col("label").cast("long").alias("label"),
+    )
+    good = usable("vector") & F.col("label").isNotNull()
+    digest = F.md5(F.concat_ws(",", F.col("vector").cast("array<string>")).cast("binary"))
+    rows = rows.withColumn("class", F.when(good, F.concat_ws("|", "label", digest)))
+    sized = rows.where(F.col("class").isNotNull())
+    linked = [_linked(sized.where(F.size("vector") == n), cosine) for n in lengths(sized, "vector")]
+    result = functools.reduce(DataFrame.unionByName, linked) if linked else None
+    if result is None:
+        result = rows.sparkSession.createDataFrame([], "class string, component long, links long")
     component = F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component"))
     return (
         rows.select("id", "class")

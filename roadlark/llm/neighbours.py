@@ -12,6 +12,7 @@ all vectors the length of the longest one.
 
 from __future__ import annotations
 
+import functools
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -20,17 +21,18 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from roadlark.llm.vectors import main_size, usable
+from roadlark.llm.vectors import lengths, usable
 from roadlark.session import materialise
 
 NEAREST = 20
 FIT_VECTORS = 20_000  # vectors the tree is fitted on, about, at most
 CALIBRATION = 128  # queries the number of visits is calibrated on, about, at most
-RECALL = 0.97
+RECALL = 0.94  # of the calibration's queries; others lie a little below
 BRANCHES = 8
 LEAF = 48  # fitted vectors of a leaf, at most
-BUNDLE = 16  # leaves next to each other in the tree that are searched together
-BLOCK = 4096  # vectors, and queries, of a bundle that meet in one task
+BUNDLE = 128  # leaves next to each other in the tree that are searched together
+BLOCK = 16384  # vectors of a bundle that meet in one task
+QUERY_BLOCK = 4096  # queries of a bundle that meet in one task
 BUCKETS = 1 << 20
 
 
@@ -203,10 +205,11 @@ def search(
 ) -> DataFrame:
     """query_id, rank, vec_id, score: for the rows where ``is_query`` (a condition on the
     columns of ``vectors``), their ``nearest`` rows of largest inner product, ties to the
-    smaller id; all other rows if there are fewer.
+    smaller id; all other rows if there are fewer. Vectors of each length have a tree of
+    their own, as there is no product with others.
 
-    Vectors that are null, zero, of another size than most or have null or non-finite
-    components, and rows without id, take no part. Of rows with one id the smallest vector
+    Vectors that are null, zero or have null or non-finite components, and rows without id,
+    take no part. Of rows with one id the smallest vector
     counts. An empty table gives an empty result. Other columns are not looked at.
     """
     spark = vectors.sparkSession
@@ -215,13 +218,17 @@ def search(
         F.col(f"`{vector_column}`").cast("array<double>").alias("vector"),
         F.coalesce(is_query, F.lit(False)).alias("query"),
     ).where(F.col("id").isNotNull() & usable("vector"))
-    size = main_size(rows, "vector")
-    rows = rows.where(F.size("vector") == size).groupBy("id").agg(F.min("vector").alias("vector"), F.max("query").alias("query"))
+    rows = rows.groupBy("id").agg(F.min("vector").alias("vector"), F.max("query").alias("query"))
     rows = materialise(rows, "vectors")
+    found = [_search(rows.where(F.size("vector") == n), nearest, fit_vectors, recall) for n in lengths(rows, "vector")]
+    if not found:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def _search(rows: DataFrame, nearest: int, fit_vectors: int, recall: float) -> DataFrame:
+    """The neighbours among some (id, vector, query) with vectors of one length."""
     tree = fit(rows, fit_vectors)
-    schema = "query_id long, rank int, vec_id long, score double"
-    if tree is None:
-        return spark.createDataFrame([], schema)
 
     @F.pandas_udf("int")
     def leaf_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -247,7 +254,7 @@ def search(
     # Both tables have a row a bundle at most; bundles are as many as the tree has.
     bundle = F.floor(F.col("leaf") / BUNDLE).cast("int").alias("bundle")
     members = placed.groupBy(bundle).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_m"))
-    askers = walks.groupBy("bundle").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_q"))
+    askers = walks.groupBy("bundle").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("_q"))
     blocks = F.broadcast(materialise(members.join(askers, "bundle"), "blocks"))
 
     def dealt(column: str) -> Column:

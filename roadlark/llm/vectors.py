@@ -12,8 +12,7 @@ def usable(column: str) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def main_size(vectors: DataFrame, column: str) -> int:
-    """The most frequent number of components (the smallest of several); 0 without rows."""
-    sizes = vectors.groupBy(F.size(F.col(f"`{column}`")).alias("size")).count()
-    first = sizes.orderBy(F.desc("count"), "size").first()
-    return first["size"] if first else 0
+def lengths(vectors: DataFrame, column: str) -> list[int]:
+    """The numbers of components that vectors of a table have. One row for each."""
+    found = vectors.select(F.size(F.col(f"`{column}`")).alias("n")).distinct().orderBy("n")
+    return [row["n"] for row in found.collect()]
