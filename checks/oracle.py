@@ -383,6 +383,9 @@ select page_id, link, case when link like 'http%' then link when contains(link,
 from (select page_id, replace(regexp_extract(regexp_extract_all(html, '<div class="show-more[^"]*"[^>]*>\s*(<a [^>]*>)', 1)[-1],
         'href="([^"]*)"', 1), '&amp;', '&') as link from timeline)
 """),
+    "repeated_batch": _sql(
+        "select event_id, date, location, direction, type, lanes_blocked, involved, post, link from parsed"
+    ),
     "incremental_ingest": _sql(
         "select event_id, event_type, event_type_details, direction_id, lanes_blocked, post from all_events"
     ),

@@ -15,15 +15,16 @@ from roadlark.operators.fill import fill_event_time
 from roadlark.operators.fuzzy import best_matches
 from roadlark.operators.parse import parse_posts
 from roadlark.plans.batch import process_batch
-from roadlark.plans.ingest import ingest_historical
+from roadlark.plans.ingest import EVENTS_FOLDER, ingest_historical
 from roadlark.plans.load import load_warehouse
 from roadlark.plans.audits import audit_batch, merged_audit
 from roadlark.session import empty_table, fresh_path, materialise
 from roadlark.sources import pages as timeline, posts as raw, tables
-from roadlark.sources.batches import BatchWarehouse
+from roadlark.sources.batches import BatchWarehouse, Files
 from roadlark.sources.records import read_historical
 from roadlark.sources.tables import Warehouse, seed_directions, seed_vehicles
-from roadlark.streaming.incremental import run_ingest
+from roadlark.streaming.clean import read_clean
+from roadlark.streaming.incremental import run_ingest, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -528,3 +529,20 @@ def incremental_ingest(t):
     return warehouse.read("fact_events").select(
         "event_id", "event_type", "event_type_details", "direction_id", "lanes_blocked", "post"
     )
+
+
+@query
+def repeated_batch(t):
+    """Clean events of a stream whose one micro-batch is run a second time, as after a
+    failure before its commit."""
+    spark = t.spark
+    root, star, state, clean = (fresh_path(spark, n) for n in ("raw", "star", "state", "clean"))
+    warehouse = Warehouse(spark, star)
+    warehouse.seed()
+    raw.write_day_folders(t.posts(), root)
+    start_ingest(warehouse, root, state, clean).awaitTermination()
+    Files(spark).delete(f"{state}/commits/0")
+    Files(spark).delete(f"{state}/commits/.0.crc")
+    run_ingest(warehouse, root, state, clean)
+    events = read_clean(spark, clean, "ingest", EVENTS_FOLDER)
+    return events.select("event_id", "date", "location", "direction", "type", "lanes_blocked", "involved", "post", "link")

@@ -10,6 +10,7 @@ from roadlark.plans.load import load_warehouse
 from roadlark.session import materialise, spread
 from roadlark.sources.posts import READ_OPTIONS
 from roadlark.sources.tables import Warehouse
+from roadlark.streaming.clean import compact, write_pending
 
 
 def post_stream(spark: SparkSession, raw_root: str, max_files: int | None = None) -> DataFrame:
@@ -28,6 +29,7 @@ def start_ingest(
     clean_root: str | None = None,
     resolver: Resolver | None = None,
     max_files: int | None = None,
+    query: str = "ingest",
     **options,
 ) -> StreamingQuery:
     """Process every file not seen before, then stop.
@@ -35,16 +37,19 @@ def start_ingest(
     The checkpoint remembers the files. A micro-batch that is repeated after a failure,
     or a post that occurs in several files, inserts nothing twice because the load only
     inserts absent keys; that also holds for posts without an event time, which a
-    watermark could not cover. The clean folders, if asked for, are appended to and may
-    hold a repeated batch twice; the warehouse does not.
+    watermark could not cover. The clean folders, if asked for, are keyed by ``query``, which
+    names the checkpoint, and the batch: a repeated batch replaces its rows. ``run_ingest``
+    compacts them into days.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         ordered = batch.withColumn("post_seq", F.monotonically_increasing_id())
         posts = spread(materialise(ordered, f"raw-{batch_id}"))
-        done = transform(posts, warehouse, clean_root, resolver, **options)
-        events = materialise(done.events, "events")
-        vehicles = materialise(done.dated_vehicles, "vehicles")
+        done = transform(posts, warehouse, None, resolver, **options)
+        if clean_root is not None:
+            events, vehicles = write_pending(done, clean_root, query, batch_id)
+        else:
+            events, vehicles = materialise(done.events, "events"), materialise(done.dated_vehicles, "vehicles")
         load_warehouse(warehouse, events, vehicles)
 
     return (
@@ -56,8 +61,14 @@ def start_ingest(
     )
 
 
-def run_ingest(warehouse: Warehouse, raw_root: str, checkpoint: str, **options) -> None:
-    start_ingest(warehouse, raw_root, checkpoint, **options).awaitTermination()
+def run_ingest(
+    warehouse: Warehouse, raw_root: str, checkpoint: str, clean_root: str | None = None, query: str = "ingest", **options
+) -> None:
+    """Processes what is new and compacts the clean folders, if there are any."""
+    start_ingest(warehouse, raw_root, checkpoint, clean_root, query=query, **options).awaitTermination()
+    if clean_root is not None:
+        compact(warehouse.spark, clean_root, query)
+
 
 def first_of_each_event(events: DataFrame, delay: str = "2 days") -> DataFrame:
     """Streaming rows without repeats of an event id inside the watermark, for sinks
