@@ -15,6 +15,7 @@ from roadlark.operators.fill import fill_event_time
 from roadlark.operators.fuzzy import best_matches
 from roadlark.operators.parse import parse_posts
 from roadlark.plans.batch import process_batch
+from roadlark.plans import resolving
 from roadlark.plans.ingest import EVENTS_FOLDER, ingest_historical
 from roadlark.plans.load import load_warehouse
 from roadlark.plans.audits import audit_batch, merged_audit
@@ -157,6 +158,29 @@ def resolve_locations(t):
     return locations.resolve_from_gazetteer(missing, t.gazetteer(), t.city_points())
 
 
+@query
+def resolve_in_batches(t):
+    """Thousands of places asked in batches of a service that fails for the first batch
+    and has no answer for some places."""
+    places = t.part_names().select(F.col("vehicle_type").alias("location"))
+    first = places.agg(F.min("location")).first()[0]
+
+    def service(asked):
+        if first in asked:
+            raise TimeoutError("too busy")
+        answer = lambda p: {"city": "Pasig", "latitude": float(len(p)), "longitude": 121.0, "confidence": "Medium"}
+        return [answer(p) if len(p) % 3 else None for p in asked]
+
+    log = fresh_path(t.spark, "answers")
+    done = resolving.resolve_in_batches(places, service, log, tries=2, round_batches=4)
+    found = done.found.withColumn("attempts", F.lit(1))
+    lost = done.unresolved.select(
+        F.lit(None).cast("string").alias("city"), "location", *[F.lit(None).cast("double").alias(c) for c in ("latitude", "longitude", "accuracy")],
+        "attempts",
+    )
+    return found.unionByName(lost)
+
+
 @query
 def upsert_locations(t):
     missing = locations.missing_locations(parsed(t), t.dim_locations())

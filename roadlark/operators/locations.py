@@ -36,7 +36,7 @@ def missing_locations(events: DataFrame, dim: DataFrame) -> DataFrame:
     return events.select("location").distinct().join(dim.select("location"), "location", "left_anti")
 
 
-def _resolved_columns(city: Column) -> list[Column]:
+def resolved_columns(city: Column) -> list[Column]:
     """A resolver's answer as a dimension row; no hit gives no city and zeros."""
     return [
         F.when(F.col("hit"), places.city_name(city)).otherwise("").alias("city"),
@@ -70,7 +70,7 @@ def resolve_from_gazetteer(
         )
         found = lookup_join(found.withColumn("_point", F.when(known, rounded)), points, "_point")
         city = F.coalesce(F.when(city != "", city), F.col("point_city"))
-    return found.select(*_resolved_columns(city))
+    return found.select(*resolved_columns(city))
 
 
 def resolve_with(
@@ -115,7 +115,7 @@ def resolve_with(
         "location string, city string, latitude double, longitude double, confidence string, "
         "hit boolean",
     )
-    return answers.select(*_resolved_columns(F.col("city")))
+    return answers.select(*resolved_columns(F.col("city")))
 
 
 def with_location_id(resolved: DataFrame) -> DataFrame:
