@@ -383,6 +383,11 @@ select case when post_seq % 3 = 0 then content else 'He said "stop",' || chr(10)
     "extract_posts": _sql("""
 select replace(content, 'and', '&') as content, 'https://x.com/MMDA/status/' || post_seq || '#m' as tweetlinkid, created_at
 from posts where contains(content, 'MMDA ALERT') and post_seq % 50 <> 7
+"""),
+    "fill_over_pages": _sql("""
+select row_number() over (order by post_seq) - 1 as post_seq, 'https://x.com/MMDA/status/' || post_seq || '#m' as link,
+  last_value(time ignore nulls) over (order by post_seq rows between unbounded preceding and current row) as time
+from posts join times using (post_seq) where contains(content, 'MMDA ALERT') and post_seq % 50 <> 7
 """),
     "resolve_links": _sql(r"""
 select page_id, link, case when link like 'http%' then link when contains(link, 'MMDA') then 'https://nitter.net' || link

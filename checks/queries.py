@@ -531,6 +531,15 @@ def extract_posts(t):
     return timeline.extract_posts(t.pages())
 
 
+@query
+def fill_over_pages(t):
+    """Times filled over the posts of pages with very large numbers."""
+    pages = t.pages().withColumn("page_id", F.col("page_id") + (1 << 60))
+    posts = timeline.extract_posts(pages, order="page_id")
+    filled = fill_event_time(materialise(parse_posts(posts, carry=("post_seq",)), "parsed"), "post_seq")
+    return filled.select("post_seq", "link", "time")
+
+
 @query
 def resolve_links(t):
     pages = t.pages().select("page_id", timeline.next_link(F.col("html")).alias("link"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from roadlark import rules
 from roadlark.functions import text as tx
-
+from roadlark.operators.numbering import numbered
 
 
 def _opening(name: str) -> str:
@@ -111,10 +111,6 @@ def page_items(pages: DataFrame, html: str = "html", carry: tuple[str, ...] = ("
     return fields.dropna(subset=["content", "tweetlinkid", "created_at"])
 
 
-# Positions a page has room for in the order of its posts.
-PAGE_ROOM = 1 << 20
-
-
 def extract_posts(
     pages: DataFrame,
     html: str = "html",
@@ -124,22 +120,18 @@ def extract_posts(
 ) -> DataFrame:
     """Posts of the pages that carry the alert mark, of one day or of all.
 
-    With ``order``, a unique non-negative integer column of the pages such as their crawl
-    number, the posts get a ``post_seq`` that follows pages and positions.
+    With ``order``, a column that tells pages apart such as their crawl number, the posts
+    are numbered by pages and positions (``post_seq``), without gaps and once written.
     """
     items = page_items(pages, html, (order,) if order else ())
     posts = items.where(F.contains("content", F.lit(mark)))
     if day is not None:
         posts = posts.where(F.col("created_at") == F.lit(day))
     columns = ["content", "tweetlinkid", "created_at"]
-    if order:
-        number = F.col(order).cast("bigint")
-        fits = number.between(0, (1 << 43) - 1) & (F.col("position") < PAGE_ROOM)
-        beyond = F.raise_error(F.lit("a page number or its count of items is beyond the range of post_seq"))
-        columns.append(
-            F.when(~fits, beyond.cast("bigint")).otherwise(number * PAGE_ROOM + F.col("position")).alias("post_seq")
-        )
-    return posts.select(*columns)
+    if not order:
+        return posts.select(*columns)
+    placed = posts.select(*columns, F.col(order).alias("_page"), F.col("position").alias("_position"))
+    return numbered(placed, [F.col("_page"), F.col("_position")], "post_seq").drop("_page", "_position")
 
 
 def next_link(html: Column) -> Column:

@@ -82,7 +82,18 @@ def test_extract_posts(spark):
     ]
     assert timeline.extract_posts(pages, day=dt.date(2024, 1, 15)).count() == 1
     ordered = timeline.extract_posts(pages, order="page_id").orderBy("post_seq").collect()
-    assert [r.post_seq - timeline.PAGE_ROOM for r in ordered] == [0, 1]
+    assert [r.post_seq for r in ordered] == [0, 1]
+
+
+def test_posts_are_numbered_over_pages_of_any_number_and_size(spark):
+    item = lambda n: ITEM.format(n=n, title="Jan 5, 2024 · 8:00 AM UTC", text=f"MMDA ALERT: {n}")
+    numbers = [-5, 3, 2**43, 2**62]
+    pages = [(n, page(*[item(i) for i in range(40 * k, 40 * k + 40)])) for k, n in enumerate(numbers)]
+    df = spark.createDataFrame(pages[::-1], "page_id long, html string")
+    found = {r.post_seq: r.content for r in timeline.extract_posts(df, order="page_id").collect()}
+    assert found == {i: f"MMDA ALERT: {i}" for i in range(160)}
+    texts = df.select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("page_id"), "html")
+    assert timeline.extract_posts(texts, order="page_id").agg(F.max("post_seq")).first()[0] == 159
 
 
 def test_pages_as_servers_write_them(spark):
