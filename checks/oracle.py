@@ -194,6 +194,12 @@ from vehicles as v left join dim_vehicles as d using (vehicle_type) left join su
     "all_events": _smallest("located_facts", "event_id", _FACT_ORDER),
     "staged_fev": "select sha256(event_id || '|' || vehicle_type) as fev_id, event_id, vehicle_type, vehicle_count, date from classified",
     "batch": f"select p.*, {', '.join('d.' + c for c in _DIM.split(', ') if c != 'location')} from filled as p left join best_grown as d using (location)",
+    "day_filled": """
+select * replace (fill as time, cast(cast(date as varchar) || ' ' || fill || ':00' as timestamp) as event_timestamp)
+from (select *, last_value(time ignore nulls) over
+        (partition by date order by post_seq rows between unbounded preceding and current row) as fill from parsed)
+""",
+    "day_events": f"select p.*, {', '.join('d.' + c for c in _DIM.split(', ') if c != 'location')} from day_filled as p left join best_locations as d using (location)",
     "batch_facts": _facts("batch"),
     "loaded_events": _smallest("batch_facts", "event_id", _FACT_ORDER),
     "loaded_vehicles": _smallest("staged_fev", "event_id, vehicle_type", "vehicle_count nulls first"),
@@ -373,6 +379,15 @@ select content, tweetlinkid, created_at from posts where created_at between date
     "historical_round_trip": _sql(
         "select event_id, date, location, direction, type, lanes_blocked, involved, post, link from parsed"
     ),
+    "daily_ingest": _sql(f"select {_EVENT} from day_events where date = date '2024-01-10'"),
+    "range_ingest": _sql(f"""
+select {_EVENT}, event_type, direction_id
+from day_events left join (select event_id, event_type, direction_id from all_events) using (event_id)
+where date between date '2023-12-01' and date '2024-01-15'
+"""),
+    "initial_locations": _sql(
+        "select sha256(city || location) as location_id, city, location, latitude, longitude, accuracy from resolved"
+    ),
     "historical_parallel": _sql("""
 select case when post_seq % 3 = 0 then content else 'He said "stop",' || chr(10) || content || chr(10) || '"' || post_seq end as content,
   tweetlinkid, created_at from posts
@@ -383,6 +398,10 @@ select case when post_seq % 3 = 0 then content else 'He said "stop",' || chr(10)
     "extract_posts": _sql("""
 select replace(content, 'and', '&') as content, 'https://x.com/MMDA/status/' || post_seq || '#m' as tweetlinkid, created_at
 from posts where contains(content, 'MMDA ALERT') and post_seq % 50 <> 7
+"""),
+    "extract_day": _sql("""
+select replace(content, 'and', '&') as content, 'https://x.com/MMDA/status/' || post_seq || '#m' as tweetlinkid, created_at
+from posts where contains(content, 'MMDA ALERT') and post_seq % 50 <> 7 and created_at = date '2024-01-10'
 """),
     "fill_over_pages": _sql("""
 select row_number() over (order by post_seq) - 1 as post_seq, 'https://x.com/MMDA/status/' || post_seq || '#m' as link,

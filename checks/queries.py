@@ -15,7 +15,7 @@ from roadlark.operators.fill import fill_event_time
 from roadlark.operators.fuzzy import best_matches
 from roadlark.operators.parse import parse_posts
 from roadlark.plans.batch import process_batch
-from roadlark.plans import resolving
+from roadlark.plans import ingest, resolving
 from roadlark.plans.ingest import EVENTS_FOLDER, ingest_historical
 from roadlark.plans.load import load_warehouse
 from roadlark.plans.audits import audit_batch, merged_audit
@@ -498,6 +498,56 @@ def historical_round_trip(t):
     return events.select("event_id", "date", "location", "direction", "type", "lanes_blocked", "involved", "post", "link")
 
 
+def _raw_days(t) -> tuple[Warehouse, str, str]:
+    """A warehouse with known places, one raw file for each day in the order of its posts,
+    and a root for clean folders."""
+    spark = t.spark
+    root, star, clean = (fresh_path(spark, n) for n in ("raw", "star", "clean"))
+    warehouse = Warehouse(spark, star)
+    warehouse.seed()
+    warehouse.append("dim_locations", t.dim_locations())
+    day = F.col("created_at")
+    parts = {"year": "yyyy", "month": "MM", "day": "dd"}
+    rows = t.posts().withColumns({n: F.date_format(day, f) for n, f in parts.items()})
+    # In the order the writer wants, so that it does not sort again and lose that of the posts.
+    rows = rows.coalesce(1).sortWithinPartitions(*parts, "post_seq")
+    rows.select("content", "tweetlinkid", "created_at", *parts).write.options(**raw.WRITE_OPTIONS).partitionBy(*parts).csv(root)
+    return warehouse, root, clean
+
+
+@query
+def daily_ingest(t):
+    """All columns of the clean events of the day before a given one."""
+    warehouse, root, clean = _raw_days(t)
+    as_of = dt.date(2024, 1, 11)
+    ingest.ingest_daily(warehouse, root, clean, as_of)
+    day = raw.day_before(as_of)
+    return tables.read_by_date(t.spark, f"{clean}/events", ingest._EVENT_DDL, day).select(*schemas.EVENT_COLUMNS)
+
+
+@query
+def range_ingest(t):
+    """Clean events and their facts of a range most of whose days have no file."""
+    warehouse, root, clean = _raw_days(t)
+    start, end = dt.date(2023, 12, 1), dt.date(2024, 1, 15)
+    ingest.ingest_range(warehouse, root, clean, start, end)
+    ingest.load_days(warehouse, clean, start, end)
+    events = tables.read_by_date(t.spark, f"{clean}/events", ingest._EVENT_DDL, start, end)
+    facts = warehouse.read("fact_events").select("event_id", "event_type", "direction_id")
+    return events.select(*schemas.EVENT_COLUMNS).join(facts, "event_id", "left")
+
+
+@query
+def initial_locations(t):
+    """The dimension after its first load from a file of resolved places, loaded twice."""
+    warehouse, path = Warehouse(t.spark, fresh_path(t.spark, "star")), fresh_path(t.spark, "places")
+    missing = locations.missing_locations(bronze(t), t.dim_locations())
+    locations.resolve_from_gazetteer(missing, t.gazetteer(), t.city_points()).write.parquet(path)
+    for _ in range(2):
+        ingest.initial_locations(warehouse, path)
+    return warehouse.read("dim_locations")
+
+
 @query
 def historical_parallel(t):
     """One historical file whose fields hold quotes, commas and line breaks, by many tasks."""
@@ -531,6 +581,11 @@ def extract_posts(t):
     return timeline.extract_posts(t.pages())
 
 
+@query
+def extract_day(t):
+    return timeline.extract_posts(t.pages(), day=dt.date(2024, 1, 10))
+
+
 @query
 def fill_over_pages(t):
     """Times filled over the posts of pages with very large numbers."""
