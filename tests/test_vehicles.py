@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from roadlark.operators import vehicles
+from roadlark.operators import fuzzy, vehicles
 from roadlark.sources.tables import seed_vehicles
 
 
@@ -79,3 +79,21 @@ def test_explode(spark):
     odd = {r.vehicle_type: r.vehicle_count for r in vehicles.explode_vehicles(events).where("event_id = 'f'").collect()}
     assert odd == {"CAR": 1, "": 1, "B": None}
     assert vehicles.explode_vehicles(events, drop_numeric=True).where("vehicle_type = '250'").count() == 0
+
+
+def test_index_finds_the_best_with_few_comparisons(spark):
+    rng = random.Random(9)
+    words = ["TRUCK", "VAN", "JEEPNEY", "TRAILER", "BUS", "MIXER", "CLOSED", "SIX", "WHEELER", "DELIVERY", "FIRE", "TANKER"]
+    types = sorted({" ".join(rng.sample(words, 3)) + f" {rng.randint(1, 99)}" for _ in range(300)})
+    names = {"", "A", "VAN", "QQ", "ZZZZZZZZZZ"}
+    for t in rng.sample(types, 60):
+        at = rng.randrange(len(t))
+        names |= {t[:at] + t[at + 1 :], t[:at] + "X" + t[at:], t + " OLD"}
+    asked = spark.createDataFrame([(n,) for n in [*sorted(names), None]], "name string")
+    dimension = spark.createDataFrame([(t, t[:3]) for t in types], "candidate string, candidate_group string")
+    matches = fuzzy.best_matches(asked, dimension, vehicles.match_score)
+    found = {r.name: (r.candidate, r.candidate_group) for r in matches.found.collect()}
+    expected = {n: best(n, types) for n in names} | {None: types[0]}
+    assert found == {n: (t, t[:3]) for n, t in expected.items()}
+    assert matches.compared < 0.2 * len(names) * len(types)
+    assert fuzzy.best_matches(asked, dimension.limit(0), vehicles.match_score).found.where("name is not null").count() == 0
