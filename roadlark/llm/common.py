@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from roadlark.session import materialise
@@ -24,6 +29,32 @@ def small_batches(rows: DataFrame) -> None:
         conf.set(BATCH_SETTING, str(BATCH_ROWS))
 
 
+def lean(function: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over the batches of a task that, when it ends, gives the memory it has
+    freed back to the system. Workers outlive their tasks, and those of several stages
+    otherwise keep what the largest of each has taken."""
+
+    @functools.wraps(function)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def give_back() -> None:
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def remainder(column: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as empty text."""
     written = F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))

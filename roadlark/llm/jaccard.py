@@ -25,7 +25,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from roadlark.llm.common import components, small_batches, text_of
+from roadlark.llm.common import components, lean, small_batches, text_of
 from roadlark.operators.joins import lookup_join
 from roadlark.session import materialise
 
@@ -104,6 +104,7 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
 def _summed(blobs: DataFrame, keys: list[str]) -> DataFrame:
     """Sums the counters of each (chunk, part), reading them as a stream."""
 
+    @lean
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
@@ -122,21 +123,23 @@ def frequency_table(docs: DataFrame, words: int, bits: int = SKETCH_BITS) -> np.
     """Logarithmic class of the number of documents with a shingle, by the first ``bits``
     bits of its hash; counted over all documents."""
 
+    @lean
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counters = np.zeros(1 << bits, np.int64)
+        counters = np.zeros(1 << bits, np.int32)  # of the documents of one task
         number = 0
         for batch in batches:
             for text in batch["text"]:
                 number += 1
                 counters[(shingles(text, words) >> np.uint64(64 - bits)).astype(np.int64)] += 1
         if number:
-            blobs = [zlib.compress(piece.tobytes(), 1) for piece in np.split(counters, CHUNKS)]
+            blobs = [zlib.compress(piece.astype(np.int64).tobytes(), 1) for piece in np.split(counters, CHUNKS)]
             yield pd.DataFrame({"chunk": range(CHUNKS), "part": int(counters.sum()) % CHUNKS, "counters": blobs})
 
     partial = docs.select(text_of().alias("text")).mapInPandas(count, "chunk int, part int, counters binary")
     by_part = _summed(partial, ["chunk", "part"])
     whole = _summed(by_part.withColumn("part", F.lit(0)), ["chunk"])
 
+    @lean
     def classes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             logs = [np.log2(np.frombuffer(zlib.decompress(b), np.int64) + 1.0) for b in batch["counters"]]
@@ -155,6 +158,7 @@ def prefixes(table: np.ndarray, words: int, percent: int) -> Column:
     bits = len(table).bit_length() - 1
 
     @F.pandas_udf("n long, digest binary, prefix array<long>, parts binary")
+    @lean
     def described(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             rows = []
@@ -196,16 +200,18 @@ def _suffix_filter(percent: int) -> Column:
 
 def _verified(percent: int) -> Column:
     @F.pandas_udf("boolean")
-    def linked(a: pd.Series, b: pd.Series) -> pd.Series:
-        answers = []
-        for left, right in zip(a, b):
-            x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-            if len(x) > len(y):
-                x, y = y, x
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            shared = int((y[at] == x).sum())
-            answers.append(100 * shared >= percent * (len(x) + len(y) - shared))
-        return pd.Series(answers, dtype=bool)
+    @lean
+    def linked(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for a, b in batches:
+            answers = []
+            for left, right in zip(a, b):
+                x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+                if len(x) > len(y):
+                    x, y = y, x
+                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                shared = int((y[at] == x).sum())
+                answers.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            yield pd.Series(answers, dtype=bool)
 
     return linked("_set_a", "_set_b")
 
@@ -224,9 +230,11 @@ def _sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int) -> Da
     wanted = materialise(nodes.join(ends, "node").select("node", "digest", F.col("any_id").alias("_doc")), "wanted")
 
     @F.pandas_udf("set binary, digest binary")
-    def whole(texts: pd.Series) -> pd.DataFrame:
-        sets = [shingles(text, words).tobytes() for text in texts]
-        return pd.DataFrame({"set": sets, "digest": [xxhash.xxh3_128(x).digest() for x in sets]})
+    @lean
+    def whole(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            sets = [shingles(text, words).tobytes() for text in texts]
+            yield pd.DataFrame({"set": sets, "digest": [xxhash.xxh3_128(x).digest() for x in sets]})
 
     texts = docs.select(_doc_key().alias("_doc"), text_of().alias("text"))
     chosen = lookup_join(texts, wanted.select("_doc").distinct(), "_doc", "inner")
@@ -296,16 +304,18 @@ def _crowded(
     sets = _sets(docs, nodes, stars, words)
 
     @F.pandas_udf("n long, most long, linked boolean, difference array<long>")
-    def compared(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-        rows = []
-        for left, right in zip(a, b):
-            x, y = np.frombuffer(left, np.int64), np.frombuffer(right, np.int64)
-            difference = np.setxor1d(x, y, assume_unique=True)
-            limit, size = 100 - percent, 100 + percent
-            linked = len(difference) * size <= limit * (len(x) + len(y))
-            most = limit * (len(x) + 100 * len(x) // percent) // size
-            rows.append((len(x), most, linked, difference))
-        return pd.DataFrame(rows, columns=["n", "most", "linked", "difference"])
+    @lean
+    def compared(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for a, b in batches:
+            rows = []
+            for left, right in zip(a, b):
+                x, y = np.frombuffer(left, np.int64), np.frombuffer(right, np.int64)
+                difference = np.setxor1d(x, y, assume_unique=True)
+                limit, size = 100 - percent, 100 + percent
+                linked = len(difference) * size <= limit * (len(x) + len(y))
+                most = limit * (len(x) + 100 * len(x) // percent) // size
+                rows.append((len(x), most, linked, difference))
+            yield pd.DataFrame(rows, columns=["n", "most", "linked", "difference"])
 
     found = _with_sets(stars, sets).select("a", "b", compared("_set_a", "_set_b").alias("_d"))
     found = found.select(F.col("a").alias("node"), F.col("b").alias("centre"), "_d.*")

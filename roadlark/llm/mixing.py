@@ -167,8 +167,10 @@ def mix(
 def repeated(
     docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, most: int = 2
 ) -> DataFrame:
-    """The documents of the mix, each row as often as it is taken, with their columns."""
+    """The documents of the mix, each row as often as it is taken, with their columns,
+    whatever they are called. Nulls, repeated rows and empty tables are as in ``mix``."""
     _, cuts = plan(docs, weights, share, most)
-    rows = mixed(measured(docs), cuts).where(F.col("_copies") > 0)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = mixed(measured(docs.select("doc_id", "source", "text", row)), cuts).where(F.col("_copies") > 0)
     copies = F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    return rows.withColumn("_copy", copies).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.select("_row", copies.alias("_copy")).select("_row.*")

@@ -18,14 +18,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from roadlark.llm.common import small_batches, text_of
+from roadlark.llm.common import give_back, lean, small_batches, text_of
 from roadlark.session import materialise
 
 SEQUENCE = 4096
 END = 2  # id behind each document
 DIMENSIONS = 4
 GRID_BITS = 10  # of each dimension
-CACHED_WORDS = 1_000_000  # of a task
+CACHED_WORDS = 300_000  # of a task
+CACHED_LETTERS = 8 << 20
+UNSTABLE = "Σİ"  # letters whose lower case depends on others or is more than one
 TAIL = ".,;:!?%$#&*"  # signs that the tokenizer always parts from a letter before them
 BORDER = " 0"  # one id that no word of letters has
 LINE_WORDS = 500  # words encoded as one text with borders between them
@@ -34,9 +36,7 @@ LINE_WORDS = 500  # words encoded as one text with borders between them
 def _tokenizer(definition: str):
     from tokenizers import Tokenizer
 
-    made = Tokenizer.from_str(definition)
-    made.encode_special_tokens = True  # their strings in a text are ordinary text
-    return made
+    return Tokenizer.from_str(definition)
 
 
 def hilbert(grid: np.ndarray, bits: int) -> np.ndarray:
@@ -75,18 +75,22 @@ class Words:
     """Ids of words as bytes, each word encoded once while it is kept."""
 
     def __init__(self, definition: str) -> None:
-        from tokenizers import normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = _tokenizer(definition)
         self.size = max(self.tokenizer.get_vocab_size(), END + 1)
         self.code = "H" if self.size <= 1 << 16 else "I"
         self.known: dict[str, bytes] = {"": b""}
+        self.letters = 0
+        # Texts with one of these go to the tokenizer whole: it has ids for them.
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # For words of letters that are in lower case and in normal form, one piece each.
         bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.plain = _tokenizer(definition)
+        self.plain = Tokenizer(self.tokenizer.model)  # one model for both
         self.plain.normalizer = normalizers.Sequence([])
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytewise])
         self.border = self.tokenizer.encode(BORDER, add_special_tokens=False).ids
+        give_back()  # what reading the definition took
 
     def _encode(self, words: list[str]) -> None:
         """Words of letters are encoded many at a time, as one text cut at the borders."""
@@ -114,12 +118,17 @@ class Words:
 
     def add(self, words: set[str]) -> None:
         """A word is encoded in lower case, as the tokenizer takes it, and apart from the
-        signs behind it. A capital sigma is left: its lower case depends on its place."""
-        if len(self.known) > CACHED_WORDS:
-            self.known = {"": b""}
+        signs behind it. Words with UNSTABLE letters are left as they are."""
+        if len(self.known) > CACHED_WORDS or self.letters > CACHED_LETTERS:
+            self.known, self.letters = {"": b""}, 0
         known, parts, bodies = self.known, {}, set()
         for word in words.difference(known):
-            lower = word if "Σ" in word else word.lower()
+            self.letters += len(word)
+            if any(letter in word for letter in UNSTABLE):
+                parts[word] = word, ""
+                bodies.add(word)
+                continue
+            lower = word.lower()
             if word.isalpha():
                 parts[word] = lower, ""
                 bodies.add(lower)
@@ -136,16 +145,22 @@ class Words:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, the last one included."""
-        split = [_words(t) for t in texts]
+        whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
+        split = [[] if i in whole else _words(t) for i, t in enumerate(texts)]
         self.add(set().union(*split))
         last, find = array(self.code, [END]).tobytes(), self.known.__getitem__
-        return [b"".join(map(find, words)) + last for words in split]
+        found = [b"".join(map(find, words)) + last for words in split]
+        for i in whole:
+            ids = self.tokenizer.encode(texts[i], add_special_tokens=False).ids
+            found[i] = array(self.code, ids).tobytes() + last
+        return found
 
 
 def tokenised(docs: DataFrame, definition: str) -> DataFrame:
     """_row, doc_id, n (tokens with the last one), key, ids (as bytes) of each document."""
 
     @F.pandas_udf("n long, key long, ids binary")
+    @lean
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         # Spark gives every core its task: the tokenizer needs no threads of its own.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"

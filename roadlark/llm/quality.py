@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from roadlark.llm.common import labelled_sample, remainder, small_batches, text_of
+from roadlark.llm.common import labelled_sample, lean, remainder, small_batches, text_of
 
 FIT_DOCS = 20_000  # labelled documents the model is fitted on, at most
 SHRINKAGE = 0.3
@@ -82,6 +82,7 @@ def fit(sample: DataFrame, shrinkage: float = SHRINKAGE) -> Model:
     """The model of a (text, label) table. Without both labels it is the share of label 1,
     one half if there is no row."""
 
+    @lean
     def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:

@@ -17,7 +17,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from roadlark.llm.common import labelled_sample, remainder, small_batches, text_of
+from roadlark.llm.common import labelled_sample, lean, remainder, small_batches, text_of
 from roadlark.session import materialise
 
 FIT_DOCS = 20_000  # labelled documents the model is fitted on, at most
@@ -72,6 +72,7 @@ def log_count_ratios(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     size = (1 << HASH_BITS) // PIECES
 
+    @lean
     def presence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros((2, 1 << HASH_BITS), np.int32)
         for batch in batches:
@@ -84,6 +85,7 @@ def log_count_ratios(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def unpacked(blob: bytes) -> np.ndarray:
         return np.frombuffer(zlib.decompress(blob), np.int32).reshape(2, size)
 
+    @lean
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -95,6 +97,7 @@ def log_count_ratios(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     partial = sample.mapInPandas(presence, "piece int, counts binary")
     counts = materialise(partial.repartition("piece").mapInPandas(add, partial.schema), "ngram-counts")
 
+    @lean
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for blob in batch["counts"]:
@@ -108,6 +111,7 @@ def log_count_ratios(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def surprise(seen: np.ndarray, total: int, both: np.ndarray) -> np.ndarray:
         return seen * np.log(np.maximum(seen, 1) / (both * (total / (clean + toxic))))
 
+    @lean
     def telling(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for piece, blob in zip(batch["piece"], batch["counts"]):
@@ -169,6 +173,7 @@ def score(model: Model) -> Column:
     """Probability that the column ``text`` is toxic."""
 
     @F.pandas_udf("double")
+    @lean
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table = model.table()
         known = table != 0

@@ -211,6 +211,34 @@ def test_neighbours_of_odd_vectors(spark):
     assert neighbours.search(odd_vectors(spark).limit(0), F.lit(True)).count() == 0
 
 
+def test_vectors_of_two_lengths_are_all_searched_and_compared(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(size=8 if i % 3 else 16)], i % 2) for i in range(300)]
+    rows += [(1000 + i, [x * 1.001 for x in v], label) for i, v, label in rows]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    links = {r.vec_id: (r.n_links, r.component_id) for r in lattice.near_duplicates(df).collect()}
+    assert all(links[i][0] >= 1 and links[1000 + i][1] == links[i][1] for i in range(300))
+    found = defaultdict(set)
+    for r in neighbours.search(df, F.col("vec_id") % 20 == 0).collect():
+        found[r.query_id].add(r.vec_id)
+    vectors = {i: np.array(v) for i, v, _ in rows}
+    assert set(found) == {i for i in vectors if i % 20 == 0}
+    hits = 0
+    for query, near in found.items():
+        same = [i for i in vectors if i != query and len(vectors[i]) == len(vectors[query])]
+        true = sorted(same, key=lambda i: (-vectors[i] @ vectors[query], i))[:20]
+        assert near <= set(same) and len(near) == 20
+        hits += len(near & set(true))
+    assert hits >= 0.9 * 20 * len(found)
+
+
+def test_repeated_rows_keep_columns_of_any_name(spark):
+    schema = "doc_id long, text string, source string, target int, source_size int, _size int, _hash int, _copies int"
+    docs = spark.createDataFrame([(i, "some words " * i, "ab"[i % 2], 1, 2, 5, 6, 7) for i in range(30)], schema)
+    rows = mixing.repeated(docs).collect()
+    assert rows and {tuple(r)[3:] for r in rows} == {(1, 2, 5, 6, 7)}
+
+
 def test_hilbert_curve_visits_neighbours():
     side = np.arange(16)
     grid = np.stack([x.ravel() for x in np.meshgrid(side, side, side)], axis=1)
@@ -221,8 +249,9 @@ def test_hilbert_curve_visits_neighbours():
 
 def test_packing_round_trip(spark, table, odd_documents, no_documents):
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
-    for docs in (table("documents"), odd_documents):
+    texts = ["a<|endoftext|>b ΑΣ.Β", "x <|startoftext|> y", "İΣ. ΟΔΟΣ, İstanbul! ΣΑΣİ;", "<|ENDOFTEXT|> ΑΣΣ?İ"]
+    special = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for docs in (table("documents"), odd_documents, special):
         rows = packing.pack(docs, TOKENIZER).collect()
         sequences, pieces = defaultdict(list), defaultdict(list)
         for r in rows:
