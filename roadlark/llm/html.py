@@ -3,6 +3,7 @@
 Every paragraph has points for its length and its commas, less its share of link text; it
 passes them on to its ancestors, ever less with the distance. The container with the most
 points is the article; what stands beside it and is prose too, not links, is kept with it.
+Sums go up the tree once, so that a page's cost grows with its length, however deep it is.
 
 Forms, and elements whose class or id says that they are no article, go before that unless
 they hold most of the page's points or its title; where little is left they come back.
@@ -35,6 +36,7 @@ SAME_LEVEL = {
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
 LEVEL_ENDS = frozenset("ul ol dl table tbody thead tfoot article body div section".split())
+LEVELS = LEVEL_ENDS | frozenset(tag for tags in SAME_LEVEL.values() for tag in tags) | frozenset(SAME_LEVEL)
 _WORDS = (
     r"(?:ads?|advert\w*|adbox|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|header|"
     r"masthead|menu|modal|nav|navbar|navigation|newsletter|notice|outbrain|pagination|pager|popup|promo\w*|"
@@ -64,19 +66,24 @@ PASS_ON = frozenset("p pre li td dd blockquote".split())  # their points go to t
 
 SIBLING_SHARE = 0.2  # of the best container's points that make a sibling part of the text
 LINK_SHARE = 0.25  # of a text's letters; prose has fewer in links
-SECTION_LETTERS = 100  # a sibling of so many letters that are prose is part of the text
+SECTION_LETTERS = 100  # a sibling of so many letters that are prose is part of the text; a shorter one
+SENTENCE = re.compile(r"\w+\W+\w.*[.!?\u2026\u3002][\"'\u201d\u2019\u00bb)\]]*$", re.S)  # if it ends as a sentence does
+NOTICE = re.compile(r"\u00a9|\(c\)|copyright|rights reserved|cookie|newsletter|subscribe|sponsored|advertis", re.I)  # and is none
 LITTLE_LETTERS = 200  # a text below that may be what is left of a page dropped by mistake
 LITTLE_SHARE = 0.25  # of the page's points
+DISTANCES = 16  # levels up to which each distance has its own sum; points from below count at their mean distance
 
 
 class Node:
     """An element; ``parts`` are texts and elements in page order."""
 
-    __slots__ = ("tag", "parent", "parts", "dropped")
+    __slots__ = ("tag", "parent", "parts", "dropped", "level")
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool) -> None:
         self.tag, self.parent, self.dropped = tag, parent, dropped
         self.parts: list[str | Node] = []
+        # The nearest element, itself included, that list and table elements heed.
+        self.level: Node | None = self if parent is None or tag in LEVELS else parent.level
 
 
 class Tree(HTMLParser):
@@ -101,14 +108,16 @@ class Tree(HTMLParser):
             at.parts.append(" ")
         if tag in VOID:
             return
-        free = tag in ARTICLES or tag == "body"
+        named = unlikely(attrs)
+        never = bool(named and NEVER.match(named))
+        # An article named a comment or an advertisement is none.
+        free = tag in ("main", "body") or (tag == "article" and not never)
         dropped = at.dropped or tag in DROPPED or (not free and hidden(attrs))
         node = Node(tag, at, dropped)
         if not dropped:
-            named = None if free else unlikely(attrs)
-            if named or tag == "form":
-                self.doubtful.append((node, bool(named and NEVER.match(named))))
-            if tag in ARTICLES or tag == "h1":
+            if (named and not free) or tag == "form":
+                self.doubtful.append((node, never))
+            if (tag in ARTICLES and free) or tag == "h1":
                 self.signs.append(node)
         if not dropped or not at.dropped:
             at.parts.append(node)
@@ -136,12 +145,12 @@ class Tree(HTMLParser):
 
     def _close_level(self, tags: set[str]) -> None:
         """Close an open element of ``tags`` unless a list, table or section stands between."""
-        node = self.at
+        node = self.at.level
         while node.parent is not None and node.tag not in LEVEL_ENDS:
             if node.tag in tags:
                 self._close(node.tag)
                 return
-            node = node.parent
+            node = node.parent.level
 
 
 def hidden(attrs: list) -> bool:
@@ -230,15 +239,92 @@ def points_of(text: str, linked: int) -> float:
     return (1 + text.count(",") + len(text) / 100) * (1 - linked / len(text))
 
 
+class Sums:
+    """Of an element: its points, and letters of its text, in links, in headings, in lists and
+    the like, in articles; ``first`` and ``last`` are the places of its blocks of text."""
+
+    __slots__ = (
+        "points", "letters", "linked", "headings", "listed", "articles", "first", "last", "by_distance", "far", "moment"
+    )
+
+    def __init__(self) -> None:
+        self.points, self.far, self.moment = 0.0, 0.0, 0.0
+        self.letters = self.linked = self.headings = self.listed = self.articles = 0
+        self.first, self.last = -1, -1
+        self.by_distance: list[float] = []
+
+    def add(self, distance: int, points: float) -> None:
+        if distance >= DISTANCES:
+            self.far += points
+            self.moment += points * distance
+            return
+        while len(self.by_distance) <= distance:
+            self.by_distance.append(0.0)
+        self.by_distance[distance] += points
+
+    def end(self) -> None:
+        """Points for what was added, the less the farther it is."""
+        self.points = sum(points / d for d, points in enumerate(self.by_distance) if d)
+        if self.far:
+            self.points += self.far * self.far / self.moment
+
+    def pass_on(self, above: Sums) -> None:
+        for distance, points in enumerate(self.by_distance):
+            above.add(distance + 1, points)
+        self.by_distance = []
+        above.far += self.far
+        above.moment += self.moment + self.far
+        above.letters += self.letters
+        above.linked += self.linked
+        above.headings += self.headings
+        above.listed += self.listed
+        above.articles += self.articles
+        above.first = self.first if above.first < 0 else min(above.first, self.first)
+        above.last = max(above.last, self.last)
+
+
+def summed(top: Node, found: list[tuple[Node, str, int]]) -> dict[Node, Sums]:
+    """The sums of every element that has text; each element passes its own to its parent once."""
+    sums: dict[Node, Sums] = {}
+    for i, (holder, text, linked) in enumerate(found):
+        own = sums.get(holder)
+        if own is None:
+            own = sums[holder] = Sums()
+            own.first = i
+        own.last = i
+        own.letters += len(text)
+        own.linked += linked
+        if is_heading(holder):
+            own.headings += len(text)
+        else:
+            own.add(0 if holder.tag in PASS_ON else 1, points_of(text, linked))
+    # What comes later in page order is never above what comes before.
+    for node in reversed([node for event, node, _ in walk(top) if event == "open"]):
+        own = sums.get(node)
+        if own is None:
+            continue
+        own.end()
+        if node.tag in BESIDE:
+            own.listed = own.letters
+        if node.tag == "article":
+            own.articles = own.letters
+        if node is not top:
+            above = sums.get(node.parent)
+            if above is None:
+                above = sums[node.parent] = Sums()
+            own.pass_on(above)
+    return sums
+
+
 def drop_doubtful(tree: Tree) -> float:
     """Drops the doubtful elements but for those that seem to hold the article; the points
     of the page with all of them."""
     weight: dict[Node, float] = {}
     for holder, text, linked in blocks(tree.top):
-        node, points = holder, 0.0 if is_heading(holder) else points_of(text, linked)
-        while node is not None:
-            weight[node] = weight.get(node, 0.0) + points
-            node = node.parent
+        weight[holder] = weight.get(holder, 0.0) + (0.0 if is_heading(holder) else points_of(text, linked))
+    for node in reversed([node for event, node, _ in walk(tree.top) if event == "open"]):
+        if node in weight and node is not tree.top:
+            weight[node.parent] = weight.get(node.parent, 0.0) + weight[node]
     total = weight.get(tree.top, 0.0)
     titles = sum(node.tag == "h1" for node in tree.signs)
     needed: set[Node] = set()
@@ -273,17 +359,15 @@ def main_text(html: str) -> str:
     return text
 
 
-class Sums:
-    """Of an element: points, and letters of its text, in links and in headings."""
-
-    __slots__ = ("points", "letters", "linked", "headings")
-
-    def __init__(self) -> None:
-        self.points, self.letters, self.linked, self.headings = 0.0, 0, 0, 0
+def beside(best: Node, sums: dict[Node, Sums], found: list[tuple[Node, str, int]]) -> list[Node]:
+    """``best`` and the siblings that are part of its text, in page order."""
 
+    def is_sentence(own: Sums) -> bool:
+        if own.letters >= SECTION_LETTERS:
+            return True
+        text = " ".join(text for _, text, _ in found[own.first : own.last + 1])
+        return bool(SENTENCE.search(text)) and not NOTICE.search(text)
 
-def beside(best: Node, sums: dict[Node, Sums]) -> list[Node]:
-    """``best`` and the siblings that are part of its text, in page order."""
     rows = [part for part in best.parent.parts if isinstance(part, Node) and part in sums and not part.dropped]
     least = SIBLING_SHARE * sums[best].points
     taken = []
@@ -291,7 +375,7 @@ def beside(best: Node, sums: dict[Node, Sums]) -> list[Node]:
         own = sums[row]
         few_links = own.linked < LINK_SHARE * own.letters
         text = own.letters - own.headings
-        whole = row.tag not in BESIDE and text and (row.tag == "p" or own.headings or own.letters >= SECTION_LETTERS)
+        whole = row.tag not in BESIDE and text and (row.tag == "p" or own.headings or is_sentence(own))
         taken.append(row is best or own.points > least > 0 or (few_links and bool(whole)))
     first, last = taken.index(True), len(taken) - 1 - taken[::-1].index(True)
 
@@ -300,7 +384,7 @@ def beside(best: Node, sums: dict[Node, Sums]) -> list[Node]:
         # A heading may be one link.
         if own.headings == own.letters:
             return True
-        return own.linked < LINK_SHARE * own.letters and (inside or row.tag in BESIDE)
+        return own.linked < LINK_SHARE * own.letters and (inside or own.listed == own.letters)
 
     for i in range(first, last):
         taken[i] = taken[i] or goes_with(i, True)
@@ -315,26 +399,30 @@ def beside(best: Node, sums: dict[Node, Sums]) -> list[Node]:
     return [row for row, yes in zip(rows, taken) if yes]
 
 
+def articles_beside(best: Node, sums: dict[Node, Sums]) -> list[Node]:
+    """The article ``best`` and those beside it, in wrappers of their own or none, that are prose
+    too: a page may cut its text into several."""
+    at = best
+    while at.parent is not None and sums[at.parent].letters == sums[at].letters:
+        at = at.parent
+    if at.parent is None:
+        return [best]
+    rows = [part for part in at.parent.parts if isinstance(part, Node) and part in sums and not part.dropped]
+    return [best] + [
+        row
+        for row in rows
+        if row is not at
+        and sums[row].articles == sums[row].letters
+        and sums[row].linked < LINK_SHARE * sums[row].letters
+    ]
+
+
 def scored(top: Node) -> tuple[str, float, bool]:
     """The article's text, its points, and whether the page itself calls it one."""
     found = blocks(top)
     if not found:
         return "", 0.0, False
-    sums: dict[Node, Sums] = {}
-    for holder, text, linked in found:
-        heading = is_heading(holder)
-        points = 0.0 if heading else points_of(text, linked)
-        distance = 0 if holder.tag in PASS_ON else 1
-        node = holder
-        while node is not None:
-            own = sums.get(node)
-            if own is None:
-                own = sums[node] = Sums()
-            own.points += points / distance if distance else 0.0
-            own.letters += len(text)
-            own.linked += linked
-            own.headings += len(text) if heading else 0
-            distance, node = distance + 1, node.parent
+    sums = summed(top, found)
     best, seen = None, set()
     for holder, _, _ in found:
         node = holder
@@ -348,9 +436,9 @@ def scored(top: Node) -> tuple[str, float, bool]:
         if node.tag in ARTICLES:
             best = node
         node = node.parent
-    kept = {best}
+    kept = set(articles_beside(best, sums)) if best.tag == "article" else {best}
     while best.tag not in ARTICLES and best.parent is not None:
-        row = beside(best, sums)
+        row = beside(best, sums, found)
         kept.update(row)
         # A parent whose whole text is kept stands for it: the article may go on beside it.
         if sum(sums[node].letters for node in row) < sums[best.parent].letters:
@@ -377,7 +465,7 @@ def scored(top: Node) -> tuple[str, float, bool]:
     chosen = []
     for answer, (holder, text, linked) in zip(answers[first:last], found[first:last]):
         # Text between kept elements that is in no element of its own.
-        if answer or (holder is best.parent and linked < LINK_SHARE * len(text)):
+        if answer or (best.tag != "article" and holder is best.parent and linked < LINK_SHARE * len(text)):
             chosen.append((holder, text, linked))
     points = sum(points_of(text, linked) for holder, text, linked in chosen if not is_heading(holder))
     return " ".join(text for _, text, _ in chosen), points, best.tag in ARTICLES

@@ -1,6 +1,7 @@
 """Operators on single texts: nulls, empty tables, brute force and held-out accuracy."""
 
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -185,6 +186,52 @@ def test_main_text_keeps_an_article_of_several_parts(tag):
         assert html.main_text(f"<body>{page}") == expected, page
 
 
+def test_main_text_of_short_siblings_and_several_articles():
+    long, end = PROSE * 9, "It was over by noon."
+    teaser = "<article><h2><a href=/x>Another story of this site, with a long title</a></h2><p>Short.</p></article>"
+    comment = f"<article class='comment'><p>{PROSE}</p></article>"
+    pages = {
+        f"<div>{long}</div><div>{end}</div>": f"{long} {end}",
+        f"<div>{end}</div><div>{long}</div>": f"{end} {long}",
+        f"<div>{long}</div><div><ul><li>one</li><li>two</li></ul></div>": f"{long} one two",
+        f"<div>{long}</div><div>Copyright 2024, all rights reserved.</div><div>Share</div>": long,
+        f"<article>{long}</article><article>{end}</article>": f"{long} {end}",
+        f"<article>{end}</article><div>Buy!</div><article>{long}</article>": f"{end} {long}",
+        f"<div><article>{long}</article></div><div><article>{PROSE}</article></div>": f"{long} {PROSE}",
+        f"<article>{long}</article>{teaser}{comment}{comment}": long,
+        f"<article>{long}<section>{comment}</section></article>": long,
+    }
+    for page, expected in pages.items():
+        assert html.main_text(f"<body>{page}") == expected, page
+
+
+def test_points_of_every_element_equal_brute_force(table):
+    pages = [r.html for r in table("pages").limit(40).collect()] + ["<div>" * 12 + "<p>a, b<div>c</div>" + "</div>" * 5 + "d"]
+    for page in pages:
+        tree = html.Tree()
+        tree.feed(page)
+        tree.close()
+        found, points = html.blocks(tree.top), {}
+        for holder, text, linked in found:
+            own, distance = 0.0 if html.is_heading(holder) else html.points_of(text, linked), int(holder.tag not in html.PASS_ON)
+            while holder is not None:
+                points[holder] = points.get(holder, 0.0) + (own / distance if distance else 0.0)
+                holder, distance = holder.parent, distance + 1
+        sums = html.summed(tree.top, found)
+        assert sums.keys() == points.keys()
+        assert all(abs(sums[node].points - points[node]) < 1e-9 for node in points)
+
+
+@pytest.mark.parametrize("unit", ["<div>word, ", "<p><b>word, ", "<li><div><i>", "<i>x<li>", "<form class=nav>a<h1>", "<td><i>"])
+def test_main_text_of_deep_pages_takes_time_by_their_length(unit):
+    times = []
+    for repeats in (12_500, 100_000):
+        start = time.process_time()
+        html.main_text("<body>" + unit * repeats)
+        times.append(time.process_time() - start)
+    assert times[1] < 30 * max(times[0], 0.1), times
+
+
 def test_extract_pages(spark, table):
     pages = spark.createDataFrame(
         [(1, "u", "<p>Hello, you.</p>", 5), (1, "u", "<p>Hello, you.</p>", 5), (2, None, None, None), (None, "v", "", 1)],
@@ -196,6 +243,12 @@ def test_extract_pages(spark, table):
     ]
     assert html.extract(pages.limit(0)).count() == 0
     for row in html.extract(table("pages")).join(table("pages"), "page_id").collect():
+        start, article, rest = row.html.partition("<article>")
+        whole, close, rest = rest.partition("</article>")
+        for cut in re.finditer(r"</p>", whole):
+            halves = f"{whole[: cut.end()]}</article><article>{whole[cut.end() :]}"
+            assert html.main_text(start + article + halves + close + rest) == row.text
+            break
         inside = re.search(r"<article>(.*?)</article>", row.html, re.S)
         expected = re.sub(r"<[^>]*>", " ", inside[1])
         for written, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "'"), ("&amp;", "&")):
