@@ -3,11 +3,14 @@
 The pieces are those of a fixed public vocabulary. Each language has a probability for
 each piece, estimated by expectation maximisation on a sample of documents. The forward
 algorithm sums the probability of all ways to cut a word into pieces; a text's likelihood
-is the product over its words, since no piece goes beyond a word.
+is the product over its words, since no piece goes beyond a word. A long word is cut where
+none of its pieces reaches over, which changes no sum; what is still long is summed in logarithms.
 """
 
 from __future__ import annotations
 
+import functools
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,20 +25,26 @@ FIT_DOCS = 20_000  # documents the models are fitted on, about, at most
 FOLDS = 4
 HELD_OUT = 2
 ROUNDS = 2  # of expectation maximisation
-BLOCK = 32  # letters: longer words are scored in blocks of so many
+PLAIN = 32  # letters: products over so many are within the range of doubles
 UNKNOWN = 1e-8  # probability of a letter that is no piece, in every language
 SMOOTHING = 0.1  # added to the expected count of each piece
 CACHED_WORDS = 200_000
+LETTERS = 200_000  # of words scored at a time, or one longer word
 UNDETERMINED = "und"
 
 _START = "▁"
 _FILTER_BITS = 22
-_PLACES = np.random.default_rng(3).integers(1 << 62, 1 << 63, BLOCK + 1, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+@functools.cache
+def _places(letters: int) -> np.ndarray:
+    """An odd factor for each place in a piece."""
+    return np.random.default_rng(3).integers(1 << 62, 1 << 63, letters, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _hash(piece: str) -> int:
     codes = np.array([ord(c) for c in piece], np.uint64)
-    return int((codes * _PLACES[: len(codes)]).sum(dtype=np.uint64))
+    return int((codes * _places(1024)[: len(codes)]).sum(dtype=np.uint64))
 
 
 @dataclass
@@ -57,7 +66,7 @@ class Vocabulary:
             for i in range(model.get_piece_size())
             if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))
         }
-        plain = [p for p in pieces if p and _START not in p[1:] and len(p) <= BLOCK]
+        plain = [p for p in pieces if p and _START not in p[1:]]
         return Vocabulary(np.unique(np.array([_hash(p) for p in plain], np.uint64)), max(map(len, plain)))
 
     def quick(self) -> np.ndarray:
@@ -70,8 +79,10 @@ class Vocabulary:
 class Lattice:
     """Every way to cut a list of words, as arcs between the places of their letters.
 
-    A word of n letters has n + 1 nodes; an arc is a piece (its index, or the number of
-    pieces for a letter that is none) from the node before it to the node behind it.
+    A word is one part; one of more than PLAIN letters is several, cut where no piece reaches
+    over, so that its probability is the product of theirs. A part of n letters has n + 1
+    nodes; an arc is a piece (its index, or the number of pieces for a letter that is none)
+    from the node before it to the node behind it.
     """
 
     def __init__(self, words: list[str], vocabulary: Vocabulary, quick: np.ndarray) -> None:
@@ -79,18 +90,14 @@ class Lattice:
         codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
         word = np.repeat(np.arange(len(words)), lengths)
         begin = np.cumsum(lengths) - lengths
-        at = np.arange(len(codes)) - begin[word]  # place in the word
-        room = lengths[word] - at
-        self.first = begin + np.arange(len(words))  # node in front of each word
-        self.last = self.first + lengths
-        node = np.arange(len(codes)) + word
-        self.nodes = len(codes) + len(words)
+        room = (begin + lengths)[word] - np.arange(len(codes))
+        places = _places(1024)
         value = np.zeros(len(codes) + 1, np.uint64)
-        starts, ends, pieces, steps = [], [], [], []
+        starts, pieces, sizes = [], [], []
         for length in range(1, vocabulary.longest + 1):
             if len(codes) < length:
                 break
-            value = value[:-1] + codes[length - 1 :] * _PLACES[length - 1]
+            value = value[:-1] + codes[length - 1 :] * places[length - 1]
             fits = room[: len(value)] >= length
             maybe = np.flatnonzero(fits & quick[(value >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
             piece = np.minimum(np.searchsorted(vocabulary.hashes, value[maybe]), len(vocabulary.hashes) - 1)
@@ -101,42 +108,61 @@ class Lattice:
                 maybe, piece = np.arange(len(codes)), own
             else:
                 maybe, piece = maybe[known], piece[known]
-            starts.append(node[maybe])
-            ends.append(node[maybe] + length)
+            starts.append(maybe)
             pieces.append(piece)
-            steps.append(at[maybe] + length)
-        self.start = np.concatenate(starts)
-        self.end = np.concatenate(ends)
+            sizes.append(np.full(len(maybe), length))
+        letter, size = np.concatenate(starts), np.concatenate(sizes)
         self.piece = np.concatenate(pieces)
-        self.step = np.concatenate(steps)
-        self.place = at, node
+        # Arcs over the gap in front of each letter: where there are none, a long word is cut.
+        over = np.bincount(letter + 1, minlength=len(codes) + 2) - np.bincount(letter + size, minlength=len(codes) + 2)
+        new = (np.cumsum(over)[: len(codes)] == 0) & (lengths > PLAIN)[word]
+        new[begin] = True
+        part = np.cumsum(new) - 1
+        begin = np.flatnonzero(new)
+        count = np.diff(np.append(begin, len(codes)))
+        self.parts = np.bincount(word[begin], minlength=len(words))  # of each word
+        self.first = begin + np.arange(len(begin))  # node in front of each part
+        self.last = self.first + count
+        self.nodes = len(codes) + len(begin)
+        self.start = letter + part[letter]
+        self.end = self.start + size
+        self.step = letter - begin[part[letter]] + size
+        self.long = (count > PLAIN)[part[letter]]
 
     def _waves(self, order: np.ndarray, steps: np.ndarray) -> Iterator[np.ndarray]:
         bounds = np.flatnonzero(np.diff(steps[order])) + 1
-        yield from np.split(order, bounds)
+        yield from np.split(order, bounds) if len(order) else ()
 
-    def forward(self, probability: np.ndarray) -> np.ndarray:
-        """(nodes, languages): probability of all ways from a word's start to the node."""
+    def _sums(self, probability: np.ndarray, at: np.ndarray, origin: np.ndarray, goal: np.ndarray, steps: np.ndarray) -> np.ndarray:
+        """Logarithms of the sums that arcs carry from ``origin`` to ``goal``, in order of ``steps``."""
+        order = np.lexsort((goal, steps))
         total = np.zeros((self.nodes, probability.shape[1]))
-        total[self.first] = 1.0
-        order = np.lexsort((self.end, self.step))
-        for arcs in self._waves(order, self.step):
-            ends = self.end[arcs]
-            cut = np.flatnonzero(np.append(True, ends[1:] != ends[:-1]))
-            total[ends[cut]] = np.add.reduceat(total[self.start[arcs]] * probability[self.piece[arcs]], cut, axis=0)
+        total[at] = 1.0
+        for arcs in self._waves(order[~self.long[order]], steps):
+            goals = goal[arcs]
+            cut = np.flatnonzero(np.append(True, goals[1:] != goals[:-1]))
+            total[goals[cut]] = np.add.reduceat(total[origin[arcs]] * probability[self.piece[arcs]], cut, axis=0)
+        with np.errstate(divide="ignore"):
+            total = np.log(total)
+        if self.long.any():
+            logs = np.log(probability)
+            for arcs in self._waves(order[self.long[order]], steps):
+                goals = goal[arcs]
+                cut = np.flatnonzero(np.append(True, goals[1:] != goals[:-1]))
+                total[goals[cut]] = np.logaddexp.reduceat(total[origin[arcs]] + logs[self.piece[arcs]], cut, axis=0)
         return total
 
+    def forward(self, probability: np.ndarray) -> np.ndarray:
+        """(nodes, languages): log probability of all ways from a part's start to the node."""
+        return self._sums(probability, self.first, self.start, self.end, self.step)
+
     def backward(self, probability: np.ndarray) -> np.ndarray:
-        """(nodes, languages): probability of all ways from the node to its word's end."""
-        total = np.zeros((self.nodes, probability.shape[1]))
-        total[self.last] = 1.0
-        from_place = self.step - (self.end - self.start)
-        order = np.lexsort((self.start, -from_place))
-        for arcs in self._waves(order, from_place):
-            starts = self.start[arcs]
-            cut = np.flatnonzero(np.append(True, starts[1:] != starts[:-1]))
-            total[starts[cut]] = np.add.reduceat(total[self.end[arcs]] * probability[self.piece[arcs]], cut, axis=0)
-        return total
+        """(nodes, languages): log probability of all ways from the node to its part's end."""
+        return self._sums(probability, self.last, self.end, self.start, self.end - self.start - self.step)
+
+    def by_word(self, of_parts: np.ndarray) -> np.ndarray:
+        """Sums of the parts' values for each word."""
+        return np.add.reduceat(of_parts, np.cumsum(self.parts) - self.parts, axis=0)
 
 
 def words_of(text: str) -> list[str]:
@@ -144,12 +170,18 @@ def words_of(text: str) -> list[str]:
     return [_START + w for w in text.lower().split()]
 
 
-def blocks_of(words: list[str]) -> tuple[list[str], np.ndarray]:
-    """The words in blocks of at most BLOCK letters, and the number of each one's blocks."""
-    if all(len(w) <= BLOCK for w in words):
-        return words, np.ones(len(words), np.int64)
-    cut = [[w[i : i + BLOCK] for i in range(0, len(w), BLOCK)] for w in words]
-    return [b for parts in cut for b in parts], np.array([len(parts) for parts in cut])
+def by_letters(words: list[str], most: int = LETTERS) -> Iterator[list[str]]:
+    """The words in order, in lists of ``most`` letters or of one longer word."""
+    taken: list[str] = []
+    letters = 0
+    for word in words:
+        if taken and letters + len(word) > most:
+            yield taken
+            taken, letters = [], 0
+        taken.append(word)
+        letters += len(word)
+    if taken:
+        yield taken
 
 
 @dataclass
@@ -162,10 +194,11 @@ class Model:
 
     def log_likelihoods(self, words: list[str], quick: np.ndarray) -> np.ndarray:
         """(words, languages)"""
-        parts, counts = blocks_of(words)
-        lattice = Lattice(parts, self.vocabulary, quick)
-        logs = np.log(lattice.forward(self.probability)[lattice.last])
-        return np.add.reduceat(logs, np.cumsum(counts) - counts, axis=0)
+        found = []
+        for some in by_letters(words):
+            lattice = Lattice(some, self.vocabulary, quick)
+            found.append(lattice.by_word(lattice.forward(self.probability)[lattice.last]))
+        return np.concatenate(found)
 
 
 def expected_counts(
@@ -180,15 +213,19 @@ def expected_counts(
         for batch in batches:
             for name, rows in batch.groupby("lang"):
                 column = probability[:, [index[name]]]
-                parts, counts = blocks_of([_START + w for w in rows["word"]])
-                lattice = Lattice(parts, vocabulary, quick)
-                ahead, behind = lattice.forward(column)[:, 0], lattice.backward(column)[:, 0]
-                often = np.repeat(rows["n"].to_numpy(float), counts) / ahead[lattice.last]
-                node_often = np.repeat(often, lattice.last - lattice.first + 1)
-                share = ahead[lattice.start] * column[lattice.piece, 0] * behind[lattice.end]
-                total[:, index[name]] += np.bincount(
-                    lattice.piece, share * node_often[lattice.start], minlength=len(total)
-                )
+                often = dict(zip(rows["word"], rows["n"]))
+                for words in by_letters(list(often)):
+                    lattice = Lattice(words, vocabulary, quick)
+                    ahead, behind = lattice.forward(column)[:, 0], lattice.backward(column)[:, 0]
+                    part = np.repeat(np.arange(len(lattice.first)), lattice.last - lattice.first + 1)[lattice.start]
+                    share = np.exp(
+                        ahead[lattice.start]
+                        + np.log(column[lattice.piece, 0])
+                        + behind[lattice.end]
+                        - ahead[lattice.last][part]
+                    )
+                    times = np.repeat(np.array([often[w] for w in words], float), lattice.parts)
+                    total[:, index[name]] += np.bincount(lattice.piece, share * times[part], minlength=len(total))
         for i in range(len(languages)):
             seen = np.flatnonzero(total[:, i])
             yield pd.DataFrame({"language": i, "piece": seen, "n": total[seen, i]})
@@ -200,6 +237,14 @@ def expected_counts(
     return counts[:-1]
 
 
+def counted_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """How often each word occurs in the texts of a batch, cut as they are for a prediction."""
+    for batch in batches:
+        seen = Counter((lang, word) for lang, text in zip(batch["lang"], batch["text"]) for word in words_of(text))
+        rows = [(lang, word, n) for (lang, word), n in seen.items()]
+        yield pd.DataFrame(rows, columns=["lang", "word", "n"])
+
+
 def train(docs: DataFrame, path: str, fit_docs: int = FIT_DOCS, rounds: int = ROUNDS) -> Model:
     """Learns text and language of documents outside the held-out fold, of about
     ``fit_docs`` at most; a hash of the text decides which."""
@@ -207,8 +252,10 @@ def train(docs: DataFrame, path: str, fit_docs: int = FIT_DOCS, rounds: int = RO
     learn = docs.where((remainder("doc_id", FOLDS) != HELD_OUT) & F.col("lang").isNotNull())
     share = min(1.0, fit_docs / max(1, learn.count()))
     drawn = F.pmod(F.xxhash64("doc_id", text_of()), SAMPLE_BUCKETS) < share * SAMPLE_BUCKETS
-    words = learn.where(drawn).select("lang", F.explode(F.split(F.lower(text_of()), r"\s+")).alias("word"))
-    counted = words.where(F.length("word") > 0).groupBy("lang", "word").agg(F.count("*").alias("n"))
+    words = learn.where(drawn).select("lang", text_of().alias("text")).mapInPandas(
+        counted_words, "lang string, word string, n long"
+    )
+    counted = words.groupBy("lang", "word").agg(F.sum("n").alias("n"))
     sample = materialise(counted, "words")
     languages = sorted(r["lang"] for r in sample.select("lang").distinct().collect())
     size = len(vocabulary.hashes)
@@ -238,8 +285,8 @@ def predicted(model: Model) -> Column:
                 places += [index.setdefault(w, len(index)) for w in words]
                 counts.append(len(words))
             fresh = list(index)[len(known) :]
-            for i in range(0, len(fresh), 20_000):
-                known = np.concatenate([known, model.log_likelihoods(fresh[i : i + 20_000], quick)])
+            if fresh:
+                known = np.concatenate([known, model.log_likelihoods(fresh, quick)])
             sums = np.zeros((len(texts), len(model.languages)))
             if places:
                 full = np.flatnonzero(counts)

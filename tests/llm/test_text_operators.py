@@ -1,9 +1,12 @@
 """Operators on single texts: nulls, empty tables, brute force and held-out accuracy."""
 
+import math
 import re
 import time
+from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -112,16 +115,45 @@ def test_forward_sums_all_segmentations():
         probability[np.searchsorted(hashes, np.uint64(language._hash(p))), 0] = weight[p]
 
     def ways(word):
-        if not word:
-            return 1.0
-        found = sum(weight[p] * ways(word[len(p) :]) for p in pieces if word.startswith(p))
-        return found + (language.UNKNOWN * ways(word[1:]) if word[0] not in weight else 0.0)
-
-    words = ["▁ab", "▁abba", "▁", "▁bxab"]
+        """Logarithm of the sum, one letter after the other in exact fractions."""
+        ahead = [Fraction(1)]
+        for end in range(1, len(word) + 1):
+            found = sum(Fraction(weight[p]) * ahead[end - len(p)] for p in pieces if word[:end].endswith(p))
+            if word[end - 1] not in weight:
+                found += Fraction(language.UNKNOWN) * ahead[end - 1]
+            ahead.append(Fraction(found))
+        return math.log(ahead[-1].numerator) - math.log(ahead[-1].denominator)
+
+    long = ["▁" + "ab" * 35, "▁" + "x" * 70, "▁" + "ab" * 20 + "x" + "ba" * 30, "▁" + "abx" * 200, "▁" + "a" * 31, "▁" + "a" * 32]
+    words = ["▁ab", "▁abba", "▁", "▁bxab", *long]
     lattice = language.Lattice(words, vocabulary, vocabulary.quick())
-    ahead = lattice.forward(probability)[lattice.last, 0]
+    assert lattice.parts[:4].tolist() == [1] * 4 and lattice.parts[4] == 1 and lattice.parts[5] > 60
+    ahead = lattice.by_word(lattice.forward(probability)[lattice.last, 0])
     assert np.allclose(ahead, [ways(w) for w in words])
-    assert np.allclose(lattice.backward(probability)[lattice.first, 0], ahead)
+    assert np.allclose(lattice.by_word(lattice.backward(probability)[lattice.first, 0]), ahead)
+    model = language.Model(vocabulary, ["a", "b"], np.hstack([probability, probability / 2]))
+    assert [len(g) for g in language.by_letters(words, 80)] == [4, 1, 1, 1, 1, 2]
+    assert np.allclose(model.log_likelihoods(words, vocabulary.quick())[:, 0], ahead)
+
+
+def test_expected_counts_of_long_words_equal_brute_force(spark):
+    pieces = ["▁", "a", "b", "ab"]
+    hashes = np.unique(np.array([language._hash(p) for p in pieces], np.uint64))
+    at = {p: int(np.searchsorted(hashes, np.uint64(language._hash(p)))) for p in pieces}
+    vocabulary = language.Vocabulary(hashes, 2)
+    probability = np.full((5, 1), 0.2)
+    # Each pair of letters is "ab", or "a" and "b".
+    sample = spark.createDataFrame([("l", "▁" + "ab" * k, n) for k, n in ((1, 3), (40, 2))], "lang string, word string, n long")
+    counts = language.expected_counts(sample, vocabulary, ["l"], probability)[:, 0]
+    pairs = 1 * 3 + 40 * 2
+    one = 0.2 / (0.2 + 0.04)
+    assert np.allclose([counts[at[p]] for p in pieces], [5, pairs * (1 - one), pairs * (1 - one), pairs * one])
+
+
+def test_words_are_cut_alike_in_learning_and_prediction():
+    text = "Ünï\u00a0Code\u3000wide \u2003thin\x1cfile İstanbul  "
+    rows = [r for b in language.counted_words(iter([pd.DataFrame({"lang": ["a"], "text": [text]})])) for r in b["word"]]
+    assert rows == language.words_of(text) and len(rows) == 6
 
 
 def test_main_text_of_pages():
