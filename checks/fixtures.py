@@ -123,6 +123,8 @@ select -1 - page_id, url, html from {pages}
 
 # The days before this one are loaded first in the two-step load queries.
 SECOND_LOAD = "2024-01-11"
+# Of those, each day of the month that this divides arrives with the second load.
+HELD_BACK = 5
 
 
 class Inputs:

@@ -7,7 +7,7 @@ The data tables of ``roadlark.rules`` are shared, the logic is not.
 import re
 
 from checks.fixtures import (
-    CITY_POINTS, DATE_TEXTS, DIM_LOCATIONS, GAZETTEER, PAGE_BLOCKS, PAGES, PART_NAMES, PART_TYPES, POSTS, SECOND_LOAD,
+    CITY_POINTS, DATE_TEXTS, DIM_LOCATIONS, GAZETTEER, HELD_BACK, PAGE_BLOCKS, PAGES, PART_NAMES, PART_TYPES, POSTS, SECOND_LOAD,
 )
 from roadlark import rules
 
@@ -420,4 +420,14 @@ from (select page_id, replace(regexp_extract(regexp_extract_all(html, '<div clas
     "incremental_ingest": _sql(
         "select event_id, event_type, event_type_details, direction_id, lanes_blocked, post from all_events"
     ),
+    "stream_first_of_each_event": _sql(f"""
+select distinct event_id, event_timestamp, date from (
+  select *, date < date '{SECOND_LOAD}' and day(date) % {HELD_BACK} <> 0 as early,
+    coalesce(event_timestamp, date + interval 86399 seconds) as placed
+  from parsed
+)
+where early or placed > (
+  select max(coalesce(event_timestamp, date + interval 86399 seconds)) - interval 2 days
+  from parsed where date < date '{SECOND_LOAD}' and day(date) % {HELD_BACK} <> 0
+)"""),
 }

@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from checks.fixtures import SECOND_LOAD, Inputs
+from checks.fixtures import HELD_BACK, SECOND_LOAD, Inputs
 from roadlark import schemas
 from roadlark.functions import fields, keys
 from roadlark.operators import locations, upsert, vehicles
@@ -25,7 +25,7 @@ from roadlark.sources.batches import BatchWarehouse, Files
 from roadlark.sources.records import read_historical
 from roadlark.sources.tables import Warehouse, seed_directions, seed_vehicles
 from roadlark.streaming.clean import read_clean
-from roadlark.streaming.incremental import run_ingest, start_ingest
+from roadlark.streaming.incremental import first_of_each_event, run_ingest, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -634,3 +634,19 @@ def repeated_batch(t):
     run_ingest(warehouse, root, state, clean)
     events = read_clean(spark, clean, "ingest", EVENTS_FOLDER)
     return events.select("event_id", "date", "location", "direction", "type", "lanes_blocked", "involved", "post", "link")
+
+
+@query
+def stream_first_of_each_event(t):
+    """Events that a stream without a look-up lets through in two runs: the second brings
+    every row again, and days that are late by then."""
+    spark = t.spark
+    folder, state, out = (fresh_path(spark, n) for n in ("arrived", "state", "out"))
+    events = bronze(t).select("event_id", "event_timestamp", "date")
+    held_back = F.day("date") % HELD_BACK == 0
+    for rows in (events.where((F.col("date") < SECOND_LOAD) & ~held_back), events):
+        rows.write.mode("append").parquet(folder)
+        stream = first_of_each_event(spark.readStream.schema(events.schema).parquet(folder))
+        sink = stream.writeStream.option("checkpointLocation", state).trigger(availableNow=True)
+        sink.format("parquet").start(out).awaitTermination()
+    return spark.read.schema(events.schema).parquet(out)

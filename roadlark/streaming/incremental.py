@@ -71,7 +71,28 @@ def run_ingest(
 
 
 def first_of_each_event(events: DataFrame, delay: str = "2 days") -> DataFrame:
-    """Streaming rows without repeats of an event id inside the watermark, for sinks
-    that cannot look up what they hold."""
-    timed = events.withColumn("_at", F.col("event_timestamp").cast("timestamp"))
-    return timed.withWatermark("_at", delay).dropDuplicatesWithinWatermark(["event_id"]).drop("_at")
+    """Streaming rows without repeats of an event id, for sinks that cannot look up what
+    they hold.
+
+    A row counts at its ``event_timestamp``; without one at the last second of its ``date``,
+    so that it is late only when its whole day is. Rows later than ``delay`` behind the
+    newest of the batches before are dropped. As an id tells its event's time, a repeat is
+    either late or still remembered, and the state holds ``delay`` worth of ids. Rows with
+    neither are never late; their ids are remembered for good.
+    """
+    at = F.col("event_timestamp").cast("timestamp")
+    if "date" in events.columns:
+        day_end = F.col("date").cast("timestamp") + F.expr("interval 86399 seconds")
+        at = F.coalesce(at, day_end)
+    placed = events.withColumn("_at", at)
+    timed = placed.where(F.col("_at").isNotNull()).withWatermark("_at", delay)
+    undated = placed.where(F.col("_at").isNull()).dropDuplicates(["event_id"])
+    return timed.dropDuplicatesWithinWatermark(["event_id"]).unionByName(undated).drop("_at")
+
+
+def remembered_ids(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(event_id): what a stopped stream of ``first_of_each_event`` still knows, from its state."""
+    states = [
+        spark.read.format("statestore").option("operatorId", n).load(checkpoint).select("key.event_id") for n in (0, 1)
+    ]
+    return states[0].union(states[1])
