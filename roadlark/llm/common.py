@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from roadlark.session import materialise
+from roadlark.session import fresh_path, materialise
 
 SAMPLE_BUCKETS = 1 << 20
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -55,6 +55,28 @@ def give_back() -> None:
         pass
 
 
+class Shelf:
+    """Written tables that an operator gives up once what it made of them is written too, so
+    that they do not all lie on the disk to its end."""
+
+    def __init__(self) -> None:
+        self._held: dict[int, tuple[DataFrame, str]] = {}
+
+    def write(self, rows: DataFrame, name: str) -> DataFrame:
+        path = fresh_path(rows.sparkSession, name)
+        rows.write.parquet(path)
+        table = rows.sparkSession.read.schema(rows.schema).parquet(path)
+        self._held[id(table)] = table, path
+        return table
+
+    def give_up(self, *tables: DataFrame) -> None:
+        """Deletes tables; nothing that is not written yet may read them."""
+        for table in tables:
+            context = table.sparkSession.sparkContext
+            path = context._jvm.org.apache.hadoop.fs.Path(self._held.pop(id(table))[1])
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def remainder(column: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as empty text."""
     written = F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))

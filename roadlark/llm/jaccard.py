@@ -25,7 +25,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from roadlark.llm.common import components, lean, small_batches, text_of
+from roadlark.llm.common import Shelf, components, lean, small_batches, text_of
 from roadlark.operators.joins import lookup_join
 from roadlark.session import materialise
 
@@ -224,10 +224,10 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.where(_close(F.col("_n_a"), F.col("_n_b"), percent)).where(_suffix_filter(percent)).select("a", "b")
 
 
-def _sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+def _sets(shelf: Shelf, docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
     """(node, set) of the nodes in ``pairs``, from the text of one document of each."""
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = materialise(nodes.join(ends, "node").select("node", "digest", F.col("any_id").alias("_doc")), "wanted")
+    wanted = shelf.write(nodes.join(ends, "node").select("node", "digest", F.col("any_id").alias("_doc")), "wanted")
 
     @F.pandas_udf("set binary, digest binary")
     @lean
@@ -241,7 +241,9 @@ def _sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int) -> Da
     found = chosen.select(whole("text").alias("_s")).select("_s.*")
     # Rows with one id may have several texts, and several rows one text.
     one = found.join(wanted.select("node", "digest"), "digest").select("node", "set")
-    return materialise(one.dropDuplicates(["node"]), "sets")
+    sets = shelf.write(one.dropDuplicates(["node"]), "sets")
+    shelf.give_up(wanted)
+    return sets
 
 
 def _doc_key() -> Column:
@@ -279,9 +281,9 @@ def _few(entries: DataFrame, percent: int) -> DataFrame:
 
 
 def _crowded(
-    docs: DataFrame, nodes: DataFrame, entries: DataFrame, words: int, percent: int
+    shelf: Shelf, docs: DataFrame, nodes: DataFrame, entries: DataFrame, words: int, percent: int
 ) -> tuple[DataFrame, DataFrame]:
-    """(edges, pairs) for the shingles with many nodes: links to their centres, and the
+    """Written (edges, pairs) for the shingles with many nodes: links to their centres, and the
     pairs beside them that may be linked and connect what the centres do not.
 
     The centre is the node with the fewest shingles of its own, which the texts of a group
@@ -300,8 +302,8 @@ def _crowded(
     centres = crowds.groupBy("hash").agg(F.max(best).alias("_c"))
     stars = crowds.join(centres.select("hash", F.col("_c.node").alias("b")), "hash")
     stars = stars.select(F.col("node").alias("a"), "b").where(F.col("a") != F.col("b")).distinct()
-    stars = materialise(stars, "stars")
-    sets = _sets(docs, nodes, stars, words)
+    stars = shelf.write(stars, "stars")
+    sets = _sets(shelf, docs, nodes, stars, words)
 
     @F.pandas_udf("n long, most long, linked boolean, difference array<long>")
     @lean
@@ -319,7 +321,8 @@ def _crowded(
 
     found = _with_sets(stars, sets).select("a", "b", compared("_set_a", "_set_b").alias("_d"))
     found = found.select(F.col("a").alias("node"), F.col("b").alias("centre"), "_d.*")
-    found = materialise(found.withColumn("size", F.size("difference")), "differences")
+    found = shelf.write(found.withColumn("size", F.size("difference")), "differences")
+    shelf.give_up(stars, sets)
     edges = found.where("linked").select(F.col("node").alias("a"), F.col("centre").alias("b"))
 
     apart = found.where(~F.col("linked")).withColumn("room", F.col("most") - F.col("size"))
@@ -335,7 +338,7 @@ def _crowded(
     long = size - F.greatest(size - F.col("most"), F.lit(1)) + 1
     short = size - F.greatest(F.ceil((size - F.col("slack")) / 2), F.lit(1)) + 1
     inside = F.col("place") < F.when(F.col("linked"), short).otherwise(F.greatest(long, short))
-    placed = materialise(shared.where(inside), "parts")
+    placed = shelf.write(shared.where(inside), "parts")
     left = placed.where(~F.col("linked") & (F.col("place") < long))
     met = _crossed(left, placed.where(F.col("place") < short), ["centre", "part"], percent)
     # Without a shared element only what is next to the centre can make up for the rest.
@@ -345,7 +348,9 @@ def _crowded(
     beside = one.join(other, "centre").where((F.col("size") <= F.col("room")) & (F.col("node_a") != F.col("node_b")))
     pairs = met.select("node_a", "node_b").union(beside.select("node_a", "node_b"))
     ends = [F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")]
-    return edges, pairs.select(*ends).distinct()
+    edges, pairs = shelf.write(edges, "edges"), shelf.write(pairs.select(*ends).distinct(), "pairs")
+    shelf.give_up(found, placed)
+    return edges, pairs
 
 
 def join(
@@ -360,7 +365,8 @@ def join(
     carried = ["doc_id", *(keys or {})]
     own = [column.alias(name) for name, column in (keys or {}).items()]
     described = docs.select("doc_id", *own, prefixes(table, words, percent).alias("_d")).select(*carried, "_d.*")
-    described = materialise(described, "prefixes")
+    shelf = Shelf()
+    described = shelf.write(described, "prefixes")
     classes = (
         described.where(F.col("n") > 0)
         .groupBy("digest")
@@ -372,23 +378,29 @@ def join(
         )
         .withColumn("node", F.monotonically_increasing_id())
     )
-    nodes = materialise(classes, "nodes")
+    nodes = shelf.write(classes, "nodes")
+    members = described.select(*carried, "n", "digest").join(nodes.select("digest", "node"), "digest", "left")
+    members = materialise(members.drop("digest"), "members")
+    shelf.give_up(described)
     exploded = nodes.select("node", "n", F.posexplode("prefix").alias("place", "hash"))
     repeated = nodes.select(F.explode("prefix").alias("hash")).groupBy("hash").agg(F.count("*").alias("nodes"))
-    entries = materialise(exploded.join(repeated.where(F.col("nodes") > 1), "hash"), "entries")
+    several = shelf.write(exploded.join(repeated.where(F.col("nodes") > 1), "hash"), "several")
     # How many shingles of a node's prefix no other prefix has.
-    shared = entries.groupBy("node").agg(F.count("*").alias("_shared"))
+    shared = several.groupBy("node").agg(F.count("*").alias("_shared"))
     own = nodes.select("node", F.size("prefix").alias("_size")).join(shared, "node")
     own = own.select("node", (F.col("_size") - F.col("_shared")).alias("own"))
-    entries = materialise(entries.join(own, "node"), "entries")
+    entries = shelf.write(several.join(own, "node"), "entries")
+    shelf.give_up(several)
 
-    edges, more = _crowded(docs, nodes, entries, words, percent)
+    central, more = _crowded(shelf, docs, nodes, entries, words, percent)
     pairs = _few(entries, percent).union(more).distinct()
-    pairs = materialise(_plausible(pairs, nodes, percent), "pairs")
-    verified = _with_sets(pairs, _sets(docs, nodes, pairs, words)).where(_verified(percent))
-    edges = materialise(edges.union(verified.select("a", "b")), "edges")
-    members = described.select(*carried, "n", "digest").join(nodes.select("digest", "node"), "digest", "left")
-    return materialise(members.drop("digest"), "members"), edges
+    pairs = shelf.write(_plausible(pairs, nodes, percent), "pairs")
+    shelf.give_up(entries, more)
+    sets = _sets(shelf, docs, nodes, pairs, words)
+    verified = _with_sets(pairs, sets).where(_verified(percent))
+    edges = materialise(central.union(verified.select("a", "b")), "edges")
+    shelf.give_up(central, nodes, pairs, sets)
+    return members, edges
 
 
 def _rooted(members: DataFrame, edges: DataFrame) -> DataFrame:
