@@ -1,8 +1,10 @@
 """Asking a slow service for places, with a log of what it has answered.
 
 The unknown locations are numbered once, in their own order, and cut into batches. Rounds
-of a few batches each are asked as one small job and appended to the log; so a run that
-breaks off has lost one round at most, and the next one goes on where the log ends. A
+of batches are asked as one job each and appended to the log. The first round has a few
+batches and each later one twice as many, so their number hardly grows with the batches. A
+task puts its answers into the log when it ends; so a run that breaks off has lost what
+its running tasks were asking, and the next one goes on with the batches the log lacks. A
 batch whose call fails is recorded with its error and asked again in later rounds, a few
 times; an answer shorter than the batch leaves the rest of it unanswered.
 
@@ -10,6 +12,7 @@ times; an answer shorter than the batch leaves the rest of it unanswered.
     <log>/answers/   (batch, attempt, location, …, answered, error), appended by rounds
 """
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -24,7 +27,10 @@ from roadlark.sources.batches import Files
 Resolver = Callable[[list[str]], list[dict | None]]
 
 TRIES = 3
-ROUND_BATCHES = 64  # batches asked before their answers are written
+ROUND_BATCHES = 64  # batches of the first round
+TASK_BATCHES = 256  # batches a task asks, about, where that makes a task for each core
+# A task's file is put in place when the task ends, not when all have.
+AS_TASKS_END = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
 ANSWERS = (
     "batch bigint, attempt int, location string, city string, latitude double, longitude double, confidence string, "
     "hit boolean, answered boolean, error string"
@@ -88,6 +94,7 @@ def resolve_in_batches(
     spark = missing.sparkSession
     book = AnswerLog(spark, log)
     asked = book.asked(missing, batch)
+    total = asked.agg(F.coalesce(F.max("batch") + 1, F.lit(0))).first()[0]
 
     def answer(hit: dict | None) -> tuple:
         """(city, latitude, longitude, confidence, hit, answered)"""
@@ -113,16 +120,21 @@ def resolve_in_batches(
                 names = [c.split()[0] for c in ANSWERS.split(", ")]
                 yield pd.DataFrame(lines, columns=names)
 
+    size = round_batches
     while True:
         waiting = book.open_batches(asked, tries)
-        turn = waiting.orderBy("attempt", "batch").limit(round_batches).collect()
-        if not turn:
+        first = waiting.agg(F.min(F.struct("attempt", "batch")).alias("first")).first()["first"]
+        if first is None:
             break
-        chosen = spark.createDataFrame([tuple(r) for r in turn], "batch bigint, attempt int")
-        calls = asked.join(F.broadcast(chosen), "batch").groupBy("batch", "attempt")
+        near = F.col("batch").between(first.batch, first.batch + size - 1)
+        turn = waiting.where((F.col("attempt") == first.attempt) & near)
+        calls = asked.join(turn, "batch").groupBy("batch", "attempt")
         lists = calls.agg(F.collect_list("location").alias("locations"))
-        parts = min(len(turn), spark.sparkContext.defaultParallelism)
-        lists.repartition(parts, "batch").mapInPandas(ask, ANSWERS).write.mode("append").parquet(f"{book.path}/answers")
+        parts = min(size, max(spark.sparkContext.defaultParallelism, math.ceil(size / TASK_BATCHES)))
+        told = lists.repartition(parts, "batch").mapInPandas(ask, ANSWERS)
+        told.write.mode("append").options(**AS_TASKS_END).parquet(f"{book.path}/answers")
+        # A round is a stretch of batch numbers: none is longer than all of them.
+        size = min(2 * size, max(size, total))
     answers = book.answers()
     told = answers.where("answered")
     found = told.where("hit").select(*resolved_columns(F.col("city")))
