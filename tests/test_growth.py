@@ -77,3 +77,24 @@ def test_finished_tasks_of_a_broken_round_stay_in_the_log(spark, tmp_path):
     resolving.resolve_in_batches(places, service, log, batch=1, round_batches=40)
     assert len(os.listdir(calls)) - before == 40 - kept
     assert resolving.AnswerLog(spark, log).answers().count() == 40
+
+
+def test_checks_of_an_audit_write_side_by_side(spark, tmp_path):
+    warehouse = BatchWarehouse(spark, str(tmp_path / "star"))
+    warehouse.seed()
+    ddl = schemas.TABLES["fact_events"][0]
+    rows = spark.range(4).select(
+        *[
+            {"event_id": F.lit("1"), "location_id": F.lit("nowhere"), "direction_id": F.lit("NORTH")}
+            .get(name.split()[0], F.lit(None)).cast(name.split()[1]).alias(name.split()[0])
+            for name in ddl.split(", ")
+        ],
+        F.lit(dt.date(2024, 1, 5)).alias("date"),
+    )
+    warehouse._write("fact_events", rows, "a", "x", "date")
+    warehouse._commit("a", "x")
+    audits.audit_batch(warehouse, "a")
+    found = {(r.kind, r.key_value, r.found) for r in audits.merged_audit(warehouse).collect()}
+    assert found == {("copies", "1", 4), ("orphan", "nowhere", 4), ("orphan", "NORTH", 4)}
+    parts = [f for f in os.listdir(tmp_path / "star/_batches/a/audit") if f.startswith("part-")]
+    assert len(parts) > 1
