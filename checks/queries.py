@@ -509,8 +509,9 @@ def _raw_days(t) -> tuple[Warehouse, str, str]:
     day = F.col("created_at")
     parts = {"year": "yyyy", "month": "MM", "day": "dd"}
     rows = t.posts().withColumns({n: F.date_format(day, f) for n, f in parts.items()})
-    # In the order the writer wants, so that it does not sort again and lose that of the posts.
-    rows = rows.coalesce(1).sortWithinPartitions(*parts, "post_seq")
+    # A day is in one task, so in one file, and no task has more than its days. In the order
+    # the writer wants, so that it does not sort again and lose that of the posts.
+    rows = rows.repartition(*parts).sortWithinPartitions(*parts, "post_seq")
     rows.select("content", "tweetlinkid", "created_at", *parts).write.options(**raw.WRITE_OPTIONS).partitionBy(*parts).csv(root)
     return warehouse, root, clean
 

@@ -98,3 +98,22 @@ def test_checks_of_an_audit_write_side_by_side(spark, tmp_path):
     assert found == {("copies", "1", 4), ("orphan", "nowhere", 4), ("orphan", "NORTH", 4)}
     parts = [f for f in os.listdir(tmp_path / "star/_batches/a/audit") if f.startswith("part-")]
     assert len(parts) > 1
+
+
+def test_raw_files_of_many_days_are_written_by_many_tasks(spark, no_coalescing):
+    posts = spark.range(60).select(
+        F.col("id").alias("post_seq"), F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 20).cast("int")).alias("created_at"),
+        F.format_string("link %02d", "id").alias("tweetlinkid"), F.format_string("MMDA ALERT: %02d", "id").alias("content"),
+    )
+
+    class Given(queries.Inputs):
+        def posts(self):
+            return posts
+
+    (_, root, _), tasks = tasks_by_stage(spark, "raw-days", lambda: queries._raw_days(Given(spark, "")))
+    files = [f"{d}/{f}" for d, _, names in os.walk(root) for f in names if f.startswith("part-")]
+    assert len(files) == 20 and tasks[-1] > 1
+    for file in files:
+        with open(file) as lines:
+            written = [line.split(",")[1] for line in lines][1:]
+        assert len(written) == 3 and written == sorted(written)
