@@ -557,12 +557,7 @@ def historical_parallel(t):
     path = fresh_path(t.spark, "historical")
     rows = _historical_rows(posts.withColumn("content", F.when(F.col("post_seq") % 3 == 0, F.col("content")).otherwise(text)))
     rows.coalesce(1).write.options(**raw.WRITE_OPTIONS).csv(path)
-    old = t.spark.conf.get("spark.sql.files.maxPartitionBytes")
-    t.spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 << 10))
-    try:
-        found = read_historical(t.spark, f"{path}/part-*")
-    finally:
-        t.spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    found = read_historical(t.spark, f"{path}/part-*", split_bytes=64 << 10)
     return found.select("content", "tweetlinkid", "created_at")
 
 

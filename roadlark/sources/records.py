@@ -15,6 +15,8 @@ from roadlark.operators.fill import forward_fill
 from roadlark.session import empty_table, materialise
 from roadlark.sources.posts import READ_OPTIONS, existing_paths, historical_as_posts
 
+SPLIT_SETTING = "spark.sql.files.maxPartitionBytes"
+LINE_TASKS = 1024  # that read the lines of files, at most, unless there are more cores
 POSITION_BITS = 34  # of a line in its split; the split's number stands before them
 
 
@@ -37,20 +39,30 @@ def stays_inside(marks: Column) -> Column:
     return (marks == "") | ends_inside(F.substring(marks, 2, 1 << 30))
 
 
-def numbered_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+def numbered_lines(spark: SparkSession, paths: list[str], split_bytes: int | None = None) -> DataFrame:
     """(source_file, line, no) of text files, written once; ``no`` is unique and follows the
-    order of the lines in their file.
+    order of the lines in their file. ``split_bytes`` cuts the files, and nothing read
+    later, into splits of that size instead of the session's.
 
-    Rows come in the order of a split's lines, and a split knows where it begins. There is
-    one row for each split in the table that numbers them.
+    Rows come in the order of a split's lines, and a split knows where it begins. A task
+    reads one split or several one after the other, so that the tasks, of which each
+    reports to the driver, are no more than ``LINE_TASKS`` for a file of any size. There
+    is one row for each split in the table that numbers them.
     """
-    lines = spark.read.option("lineSep", "\n").text(paths).select(
-        F.col("value").alias("line"),
-        F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_block_start").alias("_begin"),
-        F.monotonically_increasing_id().alias("_id"),
-    )
-    lines = materialise(lines, "lines")
+    old = spark.conf.get(SPLIT_SETTING)
+    if split_bytes:
+        spark.conf.set(SPLIT_SETTING, str(split_bytes))
+    try:
+        lines = spark.read.option("lineSep", "\n").text(paths).select(
+            F.col("value").alias("line"),
+            F.col("_metadata.file_path").alias("source_file"),
+            F.col("_metadata.file_block_start").alias("_begin"),
+        )
+        tasks = max(LINE_TASKS, spark.sparkContext.defaultParallelism)
+        lines = lines.coalesce(tasks).withColumn("_id", F.monotonically_increasing_id())
+        lines = materialise(lines, "lines")
+    finally:
+        spark.conf.set(SPLIT_SETTING, old)
     splits = lines.groupBy("source_file", "_begin").agg(F.min("_id").alias("_first"))
     before = Window.orderBy("source_file", "_begin")
     splits = splits.select("source_file", "_begin", "_first", (F.row_number().over(before) - 1).cast("long").alias("_split"))
@@ -111,7 +123,9 @@ def records(lines: DataFrame) -> DataFrame:
     return single.unionByName(joined.withColumnRenamed("_start", "no"))
 
 
-def read_records(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
+def read_records(
+    spark: SparkSession, paths: str | list[str], schema: str, split_bytes: int | None = None
+) -> DataFrame:
     """The rows of CSV files with a header, as ``posts.read_csv`` reads them, with the file
     and the number of each (``source_file``, ``no``); paths that do not exist are skipped.
 
@@ -121,7 +135,7 @@ def read_records(spark: SparkSession, paths: str | list[str], schema: str) -> Da
     found = existing_paths(spark, [paths] if isinstance(paths, str) else paths)
     if not found:
         return empty_table(spark, f"{schema}, source_file STRING, no BIGINT")
-    rows = records(numbered_lines(spark, found)).where(~F.col("record").rlike(r"^[ \t\r]*$"))
+    rows = records(numbered_lines(spark, found, split_bytes)).where(~F.col("record").rlike(r"^[ \t\r]*$"))
     head = rows.groupBy("source_file").agg(F.min("no").alias("_head"))
     body = rows.join(F.broadcast(head), "source_file").where(F.col("no") != F.col("_head"))
     text = F.regexp_replace("record", "\r$", "")
@@ -130,7 +144,14 @@ def read_records(spark: SparkSession, paths: str | list[str], schema: str) -> Da
     return body.select(parsed.alias("_row"), "source_file", "no").select("_row.*", "source_file", "no")
 
 
-def read_historical(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def read_posts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Posts of large raw files in many tasks, with ``source_file`` and ``post_seq``."""
+    return read_records(spark, paths, schemas.RAW_POSTS).withColumnRenamed("no", "post_seq")
+
+
+def read_historical(
+    spark: SparkSession, paths: str | list[str], split_bytes: int | None = None
+) -> DataFrame:
     """Posts of a historical file in many tasks, with ``source_file`` and ``post_seq``."""
-    rows = read_records(spark, paths, schemas.RAW_HISTORICAL)
+    rows = read_records(spark, paths, schemas.RAW_HISTORICAL, split_bytes)
     return historical_as_posts(rows, "source_file", F.col("no").alias("post_seq"))

@@ -117,3 +117,15 @@ def test_raw_files_of_many_days_are_written_by_many_tasks(spark, no_coalescing):
         with open(file) as lines:
             written = [line.split(",")[1] for line in lines][1:]
         assert len(written) == 3 and written == sorted(written)
+
+
+def test_splits_beyond_a_number_share_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(records, "LINE_TASKS", 8)
+    path = tmp_path / "many.csv"
+    path.write_text("a,b,c\n" + "".join(f'x,"y\n{i}",{i}\n' for i in range(5000)))
+    old = spark.conf.get(records.SPLIT_SETTING)
+    found, tasks = tasks_by_stage(
+        spark, "splits", lambda: records.read_records(spark, str(path), "a string, b string, c int", split_bytes=512)
+    )
+    assert max(tasks) <= 8 and spark.conf.get(records.SPLIT_SETTING) == old
+    assert [r.c for r in found.orderBy("no").collect()] == list(range(5000))
