@@ -8,10 +8,11 @@ from roadlark import schemas
 from roadlark.plans.batch import Batch, Resolver, process_batch
 from roadlark.plans.load import load_locations, load_warehouse
 from roadlark.session import materialise, spread
-from roadlark.sources import posts as raw, tables
+from roadlark.sources import posts as raw, records, tables
 from roadlark.sources.pages import extract_posts
 from roadlark.sources.tables import Warehouse
 
+LARGE_FILE = 128 << 20  # bytes of a multi-line file that one task may read
 EVENTS_FOLDER, VEHICLES_FOLDER = "events", "vehicles"
 
 _EVENT_DDL = (
@@ -49,7 +50,11 @@ def ingest_range(
 ) -> Batch:
     """All day files of an inclusive range in one job; missing days are skipped. Times
     are filled inside each file."""
-    posts = _ordered(raw.read_days(warehouse.spark, raw_root, start, end))
+    found = raw.existing_days(warehouse.spark, raw_root, start, end)
+    if raw.largest_file(warehouse.spark, found) > LARGE_FILE:
+        posts = _written(records.read_posts(warehouse.spark, found))
+    else:
+        posts = _ordered(raw.read_days(warehouse.spark, raw_root, start, end))
     return transform(posts, warehouse, clean_root, **options)
 
 
@@ -65,19 +70,27 @@ def ingest_historical(
     warehouse: Warehouse, path: str, clean_root: str, multi_line: bool = True, **options
 ) -> Batch:
     """One large file with pre-parsed columns, of which only the text is used."""
-    posts = _ordered(raw.read_historical(warehouse.spark, path, multi_line))
+    if multi_line and raw.largest_file(warehouse.spark, path) > LARGE_FILE:
+        posts = _written(records.read_historical(warehouse.spark, path))
+    else:
+        posts = _ordered(raw.read_historical(warehouse.spark, path, multi_line))
     return transform(posts, warehouse, clean_root, **options)
 
 
 def _ordered(posts: DataFrame) -> DataFrame:
     """Raw posts with their file order, written once.
 
-    A multi-line file is read by one task however large it is; what follows this narrow
-    copy is split by Parquet row groups again, or spread if it is small.
+    A multi-line file of no more than ``LARGE_FILE`` bytes is read by one task; larger ones
+    are read by many (``records``).
     """
     if posts.isEmpty():
         return posts.select("*", F.lit("").alias("source_file"), F.lit(0).cast("bigint").alias("post_seq"))
-    return spread(materialise(raw.with_file_order(posts), "raw"))
+    return _written(raw.with_file_order(posts))
+
+
+def _written(posts: DataFrame) -> DataFrame:
+    """Posts as a narrow table of their own, parsed by many tasks."""
+    return spread(materialise(posts, "raw"))
 
 
 def ingest_pages(

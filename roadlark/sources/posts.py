@@ -33,6 +33,18 @@ def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
     return found
 
 
+def largest_file(spark: SparkSession, paths: str | list[str]) -> int:
+    """Bytes of the largest file that the given paths or globs name or hold."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    most = 0
+    for path in existing_paths(spark, [paths] if isinstance(paths, str) else paths):
+        hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+        files = hadoop_path.getFileSystem(conf).listFiles(hadoop_path, True)
+        while files.hasNext():
+            most = max(most, files.next().getLen())
+    return most
+
+
 def read_csv(spark: SparkSession, paths: str | list[str], schema: str, multi_line: bool = True) -> DataFrame:
     """CSV files as one scan; paths that do not exist are skipped, and with none left
     the result is empty.

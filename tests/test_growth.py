@@ -119,6 +119,25 @@ def test_raw_files_of_many_days_are_written_by_many_tasks(spark, no_coalescing):
         assert len(written) == 3 and written == sorted(written)
 
 
+def test_a_large_multi_line_file_is_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    rows = "".join(f'"MMDA ALERT: Stalled car\ndue to {i}, ""x""",link {i},2024-01-05\n' for i in range(3000))
+    path = tmp_path / "2024/01"
+    path.mkdir(parents=True)
+    (path / "scrape_data_20240105.csv").write_text("content,tweetlinkid,created_at\n" + rows)
+    read = []
+    numbered_lines = records.numbered_lines
+    monkeypatch.setattr(records, "numbered_lines", lambda s, p, n=None: read.append(p) or numbered_lines(s, p, 8 << 10))
+    found = {}
+    for name, limit in (("whole", ingest.LARGE_FILE), ("many", 1 << 10)):
+        monkeypatch.setattr(ingest, "LARGE_FILE", limit)
+        star = ingest.Warehouse(spark, str(tmp_path / f"star-{name}"))
+        star.seed()
+        batch = ingest.ingest_daily(star, str(tmp_path), str(tmp_path / f"clean-{name}"), dt.date(2024, 1, 6))
+        found[name] = sorted((r.event_id, r.post, r.link) for r in batch.events.collect())
+    assert len(found["whole"]) == 3000 and found["many"] == found["whole"]
+    assert len(read) == 1
+
+
 def test_splits_beyond_a_number_share_tasks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(records, "LINE_TASKS", 8)
     path = tmp_path / "many.csv"
