@@ -1,5 +1,6 @@
 """Session settings and the shared working folder."""
 
+import math
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -114,11 +115,17 @@ def observed(counter: Observation, name: str) -> int:
         return 0
 
 
+TASK_ROWS = 1 << 18  # rows that one task parses, about
+
+
 def spread(scan: DataFrame) -> DataFrame:
-    """Give the parser every core when a scan has fewer splits than there are cores, as
-    one small or unsplittable file has. A large scan is left as it is.
+    """Give the parser every core, and each task no more than about ``TASK_ROWS`` rows,
+    when a scan has fewer splits than that takes: a few bytes in a file are many rows to
+    parse. A scan with more splits is left as it is.
 
-    For plain scans only: the splits of anything with a shuffle are not known in advance.
+    For plain Parquet scans only: the splits of anything with a shuffle are not known in
+    advance, and these count their rows by the files' footers.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    tasks = max(cores, math.ceil(scan.count() / TASK_ROWS))
+    return scan.repartition(tasks) if scan.rdd.getNumPartitions() < tasks else scan

@@ -148,3 +148,10 @@ def test_splits_beyond_a_number_share_tasks(spark, tmp_path, monkeypatch):
     )
     assert max(tasks) <= 8 and spark.conf.get(records.SPLIT_SETTING) == old
     assert [r.c for r in found.orderBy("no").collect()] == list(range(5000))
+
+
+def test_a_small_file_of_many_rows_is_parsed_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    path = str(tmp_path / "rows")
+    spark.range(0, 5000, 1, 1).write.parquet(path)
+    assert session.spread(spark.read.parquet(path)).rdd.getNumPartitions() == 50
