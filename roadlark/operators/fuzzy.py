@@ -1,28 +1,32 @@
 """Best match of each name in a large dimension, without comparing it with all of it.
 
 The score of a pair is ``match_score``: 1 - edit distance / longer length, plus a bonus if
-one name contains the other. A floor under a name's best score bounds what is worth a
-look: the lengths that can reach it, and the edits within each length. An edit changes at
-most two of a name's pairs of letters and moves the others by one place. So of any
-``2 d + n`` pairs, a name within ``d`` edits has ``n``, each within ``d`` places: the
-rarest ones are looked up in an index by length and pair of letters, and names with fewer
-hits are not compared. Names that contain one another are found by one rare pair each.
-
-Names are looked up under a high floor first. Where the best found reaches the floor it
-is the best of all; the others come again under a lower one, in the end under their own
-best so far. The winners are those of a comparison with every name.
+one name contains the other. Names that contain one another are found by one rare pair of
+letters each. The others are found by their edits: of the ``d + 1`` pieces that a candidate
+is cut into, ``d`` edits leave one as it is, and where in the name it can then stand is
+known within few places. So the pieces of all candidates are an index by length, piece and
+text, in which the stretches of a name are looked up.
+
+Names are looked up with few edits first. Where the best found is better than all with
+more edits can be, it is the best of all; the others come again with more edits, and with
+every candidate whose length can reach their best so far once the pieces would get too
+short. The winners are those of a comparison with every name. A pair that is found is
+scored where it is found: only the best of each score leave the task.
 """
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from roadlark.operators.joins import lookup_join, measure
+from roadlark.operators.numbering import numbered
 from roadlark.session import materialise, observed
 
 GRAM = 2  # letters that are looked up together
-FLOORS = (0.9, 0.75, 0.65)  # of the first visits
-HITS = 16  # pairs of letters that two names must share to be compared, where there are enough
+EDITS = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32)  # of the visits
+LETTERS = 3  # of a name for each piece, or it is compared with all that can be better
+TASK_NAMES = 1 << 10  # looked up by one task, where that makes enough tasks
 ROUNDING = 1e-9  # kept on the safe side of every bound
 ANY = ""  # stands for all names of a length
 
@@ -42,7 +46,7 @@ def letter_pairs(name: Column) -> Column:
     return F.when(F.length(name) >= GRAM, pairs).otherwise(F.array().cast("array<struct<gram: string, pos: int>>"))
 
 
-def best_matches(names: DataFrame, dimension: DataFrame, score, floors: tuple[float, ...] = FLOORS) -> Matches:
+def best_matches(names: DataFrame, dimension: DataFrame, score, edits: tuple[int, ...] = EDITS) -> Matches:
     """The best candidate of each ``name``; of equal scores the first in the order of names.
 
     ``names`` has a column ``name`` of distinct values, ``dimension`` (candidate,
@@ -53,43 +57,58 @@ def best_matches(names: DataFrame, dimension: DataFrame, score, floors: tuple[fl
     index = _Index(dimension)
     asked = _ranked(names.where(F.col("name").isNotNull()), index.frequency)
     waiting = materialise(asked.withColumn("best", F.lit(None).cast(_BEST)), "waiting")
-    done, compared = [_of_null(names, dimension)], 0
-    for floor in (*floors, None):
-        pairs = index.near(waiting, floor)
-        if floor == (*floors, None)[0]:
-            pairs = pairs.unionByName(index.containing(waiting)).unionByName(index.contained(waiting)).distinct()
+    tasks = max(4 * names.sparkSession.sparkContext.defaultParallelism, math.ceil(waiting.count() / TASK_NAMES))
+    done, compared = [_of_null(names, index.known)], 0
+
+    def visited(pairs: DataFrame) -> DataFrame:
+        """``waiting`` with the best of ``pairs`` too."""
+        nonlocal compared
         seen = Observation()
-        pairs = pairs.observe(seen, F.count(F.lit(1)).alias("pairs"))
-        value = score(F.col("name"), F.col("candidate"))
-        new = pairs.select("name", F.struct((-value).alias("minus"), "candidate", "candidate_group").alias("best"))
-        new = materialise(new.groupBy("name").agg(F.min("best").alias("_new")), "best")
+        scored = pairs.observe(seen, F.count(F.lit(1)).alias("pairs")).select(
+            "name", "rank", score(F.col("name"), F.col("candidate")).alias("value")
+        )
+        # Fixed-size keys and minima, which collapse in the task without being sorted.
+        firsts = scored.groupBy("name", "value").agg(F.min("rank").alias("rank"))
+        new = firsts.groupBy("name").agg(F.min(F.struct((-F.col("value")).alias("minus"), "rank")).cast(_BEST).alias("_new"))
+        new = materialise(new, "best")
         compared += observed(seen, "pairs")
         joined = waiting.join(new, "name", "left")
-        better = F.when(F.col("best").isNull() | (F.col("_new") < F.col("best")), F.col("_new")).otherwise(F.col("best"))
-        joined = joined.withColumn("best", F.when(F.col("_new").isNull(), F.col("best")).otherwise(better)).drop("_new")
-        if floor is None:
-            done.append(joined.select("name", "best"))
-            break
-        joined = materialise(joined, "waiting")
-        sure = F.coalesce(-F.col("best.minus") >= floor, F.lit(False))
-        done.append(joined.where(sure).select("name", "best"))
-        waiting = joined.where(~sure)
+        better = F.col("best").isNull() | (F.col("_new") < F.col("best"))
+        best = F.when(F.col("_new").isNotNull() & better, F.col("_new")).otherwise(F.col("best"))
+        return materialise(joined.withColumn("best", best).drop("_new"), "waiting")
+
+    for most in (0, *edits, None):
+        short = F.lit(True) if most is None else F.col("size") < LETTERS * (most + 1)
+        # A name is a small row and much work.
+        waiting = waiting.repartition(tasks, "name")
+        if most == 0:  # without an edit the names contain one another
+            short = F.lit(False)
+            pairs = index.containing(waiting).unionByName(index.contained(waiting)).distinct()
+        else:
+            pairs = index.reaching(waiting.where(short))
+            if most is not None:
+                pairs = pairs.unionByName(index.near(waiting.where(~short), most))
+        waiting = visited(pairs)
+        # A candidate not met has more edits, and is at best by those longer.
+        others = F.col("size") / (F.col("size") + ((most or 0) + 1)) + ROUNDING
+        sure = short | F.coalesce(-F.col("best.minus") > others, F.lit(False))
+        done.append(waiting.where(sure).select("name", "best"))
+        waiting = waiting.where(~sure)
         if waiting.isEmpty():
             break
     found = done[0]
     for part in done[1:]:
         found = found.unionByName(part)
-    found = found.where(F.col("best").isNotNull()).select(
-        "name", "best.candidate", "best.candidate_group", (-F.col("best.minus")).alias("score")
-    )
-    return Matches(found, compared)
+    found = found.where(F.col("best").isNotNull()).select("name", "best.rank", (-F.col("best.minus")).alias("score"))
+    named = found.join(index.known, "rank").select("name", "candidate", "candidate_group", "score")
+    return Matches(named, compared)
 
 
-_BEST = "struct<minus: double, candidate: string, candidate_group: string>"
+_BEST = "struct<minus: double, rank: bigint>"
 
 
-def _of_null(names: DataFrame, dimension: DataFrame) -> DataFrame:
-    first = dimension.agg(F.min(F.struct(F.lit(-1.0).alias("minus"), "candidate", "candidate_group")).cast(_BEST).alias("best"))
+def _of_null(names: DataFrame, known: DataFrame) -> DataFrame:
+    first = known.where(F.col("rank") == 0).select(F.struct(F.lit(-1.0).alias("minus"), "rank").cast(_BEST).alias("best"))
     return names.where(F.col("name").isNull()).select("name").join(F.broadcast(first))
 
 
@@ -103,66 +122,82 @@ def _ranked(names: DataFrame, frequency: DataFrame) -> DataFrame:
 
 
 class _Index:
-    """The dimension by length and pair of letters, written once."""
+    """The dimension, numbered in the order of names, by pairs of letters and by pieces."""
 
     def __init__(self, dimension: DataFrame):
-        known = dimension.select("candidate", "candidate_group", F.length("candidate").alias("long"))
-        pairs = known.withColumn("_p", F.explode(letter_pairs(F.col("candidate")))).select(*known.columns, "_p.*")
-        counts = pairs.select("candidate", "gram").distinct().groupBy("gram").agg(F.count("*").cast("int").alias("df"))
+        placed = numbered(dimension.select("candidate", "candidate_group"), [F.col("candidate")], "rank")
+        self.known = placed.withColumn("long", F.length("candidate"))
+        self.bytes = measure(self.known)[1]
+        self.longest = self.known.agg(F.coalesce(F.max("long"), F.lit(0))).first()[0]
+        grams = F.array_distinct(F.transform(letter_pairs(F.col("candidate")), lambda p: p["gram"]))
+        pairs = self.known.select("candidate", "rank", F.explode(grams).alias("gram"))
+        counts = pairs.groupBy("gram").agg(F.count("*").cast("int").alias("df"))
         self.frequency = materialise(counts, "grams")
-        every = known.select(*known.columns, F.lit(ANY).alias("gram"), F.lit(0).alias("pos"))
+        every = self.known.select("candidate", "rank", F.lit(ANY).alias("gram"))
         self.entries = materialise(pairs.unionByName(every), "index")
-        self.bytes = measure(self.entries)[1]
-        self.longest = self.entries.agg(F.coalesce(F.max("long"), F.lit(0))).first()[0]
-        ranked = _ranked(dimension.select(F.col("candidate").alias("name")), self.frequency)
+        ranked = _ranked(self.known.select(F.col("candidate").alias("name")), self.frequency)
         rarest = ranked.select(
             F.col("name").alias("candidate"), F.coalesce(F.try_element_at("ranked", F.lit(1))["gram"], F.lit(ANY)).alias("gram")
         )
-        self.rarest = materialise(rarest.join(known, "candidate"), "rarest")
-
-    def near(self, waiting: DataFrame, floor: float | None) -> DataFrame:
-        """Pairs that may score ``floor`` (None: the best so far) without containing one
-        another, and some others."""
-        low = F.greatest(F.coalesce(-F.col("best.minus"), F.lit(0.0)), F.lit(floor or 0.0))
-        first = F.greatest(F.lit(0), F.ceil(low * F.col("size") - ROUNDING)).cast("int")
-        last = F.when(low > 0, F.least(F.lit(self.longest), F.floor(F.col("size") / low + ROUNDING))).otherwise(self.longest)
-        lengths = F.when(first <= last, F.sequence(first, last.cast("int"))).otherwise(F.array().cast("array<int>"))
-        spread = waiting.select("name", "size", "ranked", low.alias("low"), F.explode(lengths).alias("long"))
-        edits = F.floor((1 - F.col("low")) * F.greatest("size", "long") + ROUNDING).cast("int")
-        some = spread.withColumn("edits", edits).withColumn("_safe", F.size("ranked") - F.col("edits") * GRAM)
-        needed = F.least(F.lit(HITS), F.col("_safe"))
-        rare = F.slice("ranked", F.lit(1), F.col("edits") * GRAM + F.greatest(needed, F.lit(1)))
-        every = F.array(F.struct(F.lit(0).alias("df"), F.lit(ANY).alias("gram"), F.lit(0).alias("pos")))
-        looked = F.when(F.col("_safe") < 1, every).otherwise(F.filter(rare, lambda p: p["df"] > 0))
-        probes = some.select("name", "long", "edits", needed.alias("needed"), F.explode(looked).alias("_p")).select(
-            "name", "edits", "needed", _key("long", "_p.gram"), F.col("_p.pos").alias("_at")
-        )
-        index = self.entries.select(_key("long", "gram"), "pos", "candidate", "candidate_group")
-        hits = lookup_join(probes, index, "_key", "inner", lookup_bytes=self.bytes)
-        near = hits.where(F.abs(F.col("pos") - F.col("_at")) <= F.col("edits"))
-        # A pair of letters counts once, however often the candidate has it.
-        counted = near.groupBy(*_PAIR, "needed").agg(F.size(F.collect_set("_at")).alias("_hits"))
-        return counted.where(F.col("_hits") >= F.col("needed")).select(*_PAIR)
+        self.rarest = materialise(rarest.join(self.known.select("candidate", "rank"), "candidate"), "rarest")
+
+    def _lengths(self, most: int | None) -> Column:
+        """array of the lengths of candidates that can be as good as the best so far, with
+        no more than ``most`` edits."""
+        best, size = F.coalesce(-F.col("best.minus"), F.lit(0.0)), F.col("size")
+        first = F.ceil(F.least(best, F.lit(1.0)) * size - ROUNDING).cast("int")
+        last = F.when(best > 0, F.floor(size / F.least(best, F.lit(1.0)) + ROUNDING)).otherwise(self.longest)
+        if most is not None:
+            first, last = F.greatest(first, size - most), F.least(last, size + most)
+        last = F.least(last, F.lit(self.longest)).cast("int")
+        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+
+    def near(self, waiting: DataFrame, most: int) -> DataFrame:
+        """Pairs with no more than ``most`` edits that may be as good as the best so far; one
+        may come more than once."""
+        piece, long = F.col("_i"), F.col("long")
+        begin = F.floor(piece * long / (most + 1)).cast("int")
+        end = F.floor((piece + 1) * long / (most + 1)).cast("int")
+        pieces = F.explode(F.sequence(F.lit(0), F.lit(most))).alias("_i")
+        cut = self.known.where(long > most).select("candidate", "rank", "long", pieces)
+        cut = cut.withColumns({"_from": begin, "_to": end})
+        text = F.substr("candidate", F.col("_from") + 1, F.col("_to") - F.col("_from"))
+        index = materialise(cut.select(_key("long", "_i", text), "candidate", "rank"), "pieces")
+        asked = waiting.select("name", "size", F.explode(self._lengths(most)).alias("long"))
+        asked = asked.select("*", pieces).withColumns({"_from": begin, "_to": end})
+        # Edits before the piece move it, and so do those behind it, seen from the end.
+        longer, wide = F.col("size") - long, F.col("_to") - F.col("_from")
+        left = F.greatest(F.lit(0), F.col("_from") - piece, F.col("_from") + longer - (most - piece))
+        right = F.least(F.col("size") - wide, F.col("_from") + piece, F.col("_from") + longer + (most - piece))
+        places = F.when(left <= right, F.sequence(left, right)).otherwise(F.array().cast("array<int>"))
+        stretches = F.array_distinct(F.transform(places, lambda at: F.substr("name", at + 1, wide)))
+        probes = asked.select("name", "long", "_i", F.explode(stretches).alias("_text"))
+        probes = probes.select("name", _key("long", "_i", F.col("_text")))
+        hits = lookup_join(probes, index, "_key", "inner")
+        return hits.where(F.levenshtein("name", "candidate", most) >= 0).select(*_PAIR)
+
+    def reaching(self, waiting: DataFrame) -> DataFrame:
+        """Pairs whose lengths let them be as good as the best so far."""
+        asked = waiting.select("name", F.explode(self._lengths(None)).alias("long"))
+        return lookup_join(asked, self.known, "long", "inner", lookup_bytes=self.bytes).select(*_PAIR)
 
     def containing(self, waiting: DataFrame) -> DataFrame:
         """Pairs whose candidate contains the name."""
         rarest = F.coalesce(F.try_element_at("ranked", F.lit(1))["gram"], F.lit(ANY))
         probes = waiting.select("name", rarest.alias("gram"))
-        index = self.entries.select("gram", "candidate", "candidate_group").distinct()
-        hits = lookup_join(probes, index, "gram", "inner", lookup_bytes=self.bytes)
+        hits = lookup_join(probes, self.entries, "gram", "inner")
         return hits.where(F.contains("candidate", "name")).select(*_PAIR)
 
     def contained(self, waiting: DataFrame) -> DataFrame:
         """Pairs whose name contains the candidate."""
         grams = F.array_union(F.transform("ranked", lambda p: p["gram"]), F.array(F.lit(ANY)))
         probes = waiting.select("name", F.explode(grams).alias("gram"))
-        index = self.rarest.select("gram", "candidate", "candidate_group")
-        hits = lookup_join(probes, index, "gram", "inner", lookup_bytes=self.bytes)
+        hits = lookup_join(probes, self.rarest, "gram", "inner")
         return hits.where(F.contains("name", "candidate")).select(*_PAIR)
 
 
-_PAIR = ("name", "candidate", "candidate_group")
+_PAIR = ("name", "candidate", "rank")
 
 
-def _key(long: str, gram: str) -> Column:
-    return F.concat_ws(":", F.col(long).cast("string"), F.col(gram)).alias("_key")
+def _key(long: str, piece: str, text: Column) -> Column:
+    return F.concat_ws(":", F.col(long).cast("string"), F.col(piece).cast("string"), text).alias("_key")

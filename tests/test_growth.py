@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import queries
 from roadlark import schemas, session
+from roadlark.operators import fuzzy, vehicles
 from roadlark.plans import audits, ingest, resolving
 from roadlark.sources import records
 from roadlark.sources.batches import BatchWarehouse
@@ -155,3 +156,22 @@ def test_a_small_file_of_many_rows_is_parsed_by_many_tasks(spark, tmp_path, monk
     path = str(tmp_path / "rows")
     spark.range(0, 5000, 1, 1).write.parquet(path)
     assert session.spread(spark.read.parquet(path)).rdd.getNumPartitions() == 50
+
+
+def test_pairs_of_like_names_are_scored_where_they_are_found(spark):
+    words = ["LARGE RING", "SMALL RING", "HOT BOLT", "OLD PLATE"]
+    types = sorted(f"{w} ECONOMY BRAND#{b} {n}" for w in words for b in range(1, 9) for n in range(10, 16))
+    names = sorted({t.replace("A", "O") for t in types[::5]} | {t.replace(" ", "") for t in types[::7]} | {"RING", "Q"})
+    dimension = spark.createDataFrame([(t, t[:3]) for t in types], "candidate string, candidate_group string")
+    asked = spark.createDataFrame([(n,) for n in names], "name string")
+    found = fuzzy.best_matches(asked, dimension, vehicles.match_score).found
+    score = vehicles.match_score(F.col("name"), F.col("candidate"))
+    every = asked.crossJoin(dimension).select("name", F.struct((-score).alias("m"), "candidate").alias("best"))
+    expected = {r.name: (r.best.candidate, -r.best.m) for r in every.groupBy("name").agg(F.min("best").alias("best")).collect()}
+    assert {r.name: (r.candidate, r.score) for r in found.collect()} == expected
+    # Not brought together by pair, which is a row for each piece that like names share.
+    index = fuzzy._Index(dimension)
+    waiting = fuzzy._ranked(asked, index.frequency).withColumn("best", F.lit(None).cast(fuzzy._BEST))
+    waiting = session.materialise(waiting, "waiting")
+    plan = index.near(waiting, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(name" not in plan and "Aggregate" not in plan
