@@ -256,10 +256,12 @@ def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs
 
 
-def _crossed(left: DataFrame, right: DataFrame, on: list[str], percent: int) -> DataFrame:
-    """Pairs of different nodes under one key that pass the length filter, with the n and
-    the place of each; a has the smaller number."""
-    rest = ("node", "n", "place")
+def _crossed(
+    left: DataFrame, right: DataFrame, on: list[str], percent: int, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """Pairs of different nodes under one key that pass the length filter, with the n, the
+    place and the columns ``carry`` of each."""
+    rest = ("node", "n", "place", *carry)
     one = left.select(*on, *[F.col(c).alias(f"{c}_a") for c in rest])
     other = right.select(*on, *[F.col(c).alias(f"{c}_b") for c in rest])
     return one.join(other, on).where(
@@ -340,7 +342,12 @@ def _crowded(
     inside = F.col("place") < F.when(F.col("linked"), short).otherwise(F.greatest(long, short))
     placed = shelf.write(shared.where(inside), "parts")
     left = placed.where(~F.col("linked") & (F.col("place") < long))
-    met = _crossed(left, placed.where(F.col("place") < short), ["centre", "part"], percent)
+    # At the first element that a and b share, what stands behind it in either must make up
+    # for what their whole sets may not differ by.
+    behind = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
+    may_differ = F.floor((100 - percent) * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+    enough = 2 * behind >= F.col("size_a") + F.col("size_b") - may_differ
+    met = _crossed(left, placed.where(F.col("place") < short), ["centre", "part"], percent, ("size",)).where(enough)
     # Without a shared element only what is next to the centre can make up for the rest.
     one = apart.where(F.col("room") >= 0).select("centre", "room", F.col("node").alias("node_a"))
     other = found.join(slack, "centre").where(size <= F.col("slack"))

@@ -111,6 +111,30 @@ def test_near_copies_of_a_crowd(spark, monkeypatch, crowd):
     assert {r.doc_id: r.component_id for r in found} == plain_components(docs, jaccard.PERCENT)
 
 
+def test_pairs_of_a_crowd_are_few(spark, monkeypatch):
+    """Of near copies that are not linked to their centre, few pairs that cannot be linked meet."""
+    rng, made = np.random.default_rng(3), []
+    base = [f"w{i}" for i in range(100)]
+    docs = []
+    for copy in range(300):
+        changed = list(base)
+        for at in rng.choice(100, rng.integers(1, 5), replace=False):
+            changed[at] = f"c{rng.integers(4)}"
+        docs.append((copy, " ".join(changed)))
+    plausible = jaccard._plausible
+
+    def counted(pairs, nodes, percent):
+        made.append(pairs.count())
+        return plausible(pairs, nodes, percent)
+
+    monkeypatch.setattr(jaccard, "_plausible", counted)
+    found = jaccard.deduplicate(spark.createDataFrame(docs, "doc_id long, text string"), 5, 80).collect()
+    sets = [frozenset(jaccard.shingles(text, 5).tolist()) for _, text in docs]
+    linked = sum(100 * len(a & b) >= 80 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    assert made[0] <= 2 * linked
+    assert 1 < len({r.component_id for r in found}) < len(docs)
+
+
 def test_jaccard_of_odd_rows(odd_documents, no_documents):
     rows = jaccard.deduplicate(odd_documents).collect()
     assert len(rows) == odd_documents.count()
