@@ -9,6 +9,7 @@ other share sequences, and only the last sequence needs padding.
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
 import zlib
 from array import array
@@ -16,6 +17,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from roadlark.llm.common import give_back, lean, small_batches, text_of
@@ -31,6 +34,14 @@ UNSTABLE = "Σİ"  # letters whose lower case depends on others or is more than
 TAIL = ".,;:!?%$#&*"  # signs that the tokenizer always parts from a letter before them
 BORDER = " 0"  # one id that no word of letters has
 LINE_WORDS = 500  # words encoded as one text with borders between them
+# Letters and signs of which every Unicode version says the same; what else a text may hold
+# is left to the tokenizer.
+FOREIGN = re.compile("[^\\t-\\r -~¡-±´-¸»¿-\u024f\u2010-\u2027\u20ac]")
+# Signs that a space may stand in front of, unless another sign does.
+PART = ".,;:!?"
+SIGNS = re.compile(rf"[!-/:-@\[-`{{-~¡-¿×÷\u2010-\u2027\u20ac][{PART}] ")
+# Where the tokenizer cuts a word of these in lower case. Digits have an id each.
+PIECES = re.compile(r"'(?:[stmd]|re|ve|ll)|[^\W\d_]+|[0-9]{1,3}|(?:[^\w\s]|_)+")
 
 
 def _tokenizer(definition: str):
@@ -71,6 +82,19 @@ def _words(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
+def _lowered(text: str) -> str | None:
+    """The text as the tokenizer cuts it; None where that is not sure."""
+    if FOREIGN.search(text) or any(letter in text for letter in UNSTABLE):
+        return None
+    lower = text.lower()
+    if not all(unicodedata.is_normalized("NFC", t) for t in (text, lower)):
+        return None
+    if not SIGNS.search(lower):  # so that words with a sign behind them are no words of their own
+        for sign in PART:
+            lower = lower.replace(f"{sign} ", f" {sign} ")
+    return lower
+
+
 class Words:
     """Ids of words as bytes, each word encoded once while it is kept."""
 
@@ -92,13 +116,14 @@ class Words:
         self.border = self.tokenizer.encode(BORDER, add_special_tokens=False).ids
         give_back()  # what reading the definition took
 
-    def _encode(self, words: list[str]) -> None:
-        """Words of letters are encoded many at a time, as one text cut at the borders."""
+    def _encode(self, words: list[str], lower: bool = False) -> None:
+        """Words of letters are encoded many at a time, as one text cut at the borders.
+        ``lower`` tells that all are in lower case and in normal form."""
         plain, letters, other = [], [], []
         for word in words:
             if not word.isalpha():
                 other.append(word)
-            elif word == word.lower() and unicodedata.is_normalized("NFC", word):
+            elif lower or word == word.lower() and unicodedata.is_normalized("NFC", word):
                 plain.append(word)
             else:
                 letters.append(word)
@@ -116,11 +141,14 @@ class Words:
         found = self.tokenizer.encode_batch_fast(other, add_special_tokens=False)
         self.known.update((w, array(self.code, x.ids).tobytes()) for w, x in zip(other, found))
 
+    def _make_room(self) -> None:
+        if len(self.known) > CACHED_WORDS or self.letters > CACHED_LETTERS:
+            self.known, self.letters = {"": b""}, 0
+
     def add(self, words: set[str]) -> None:
         """A word is encoded in lower case, as the tokenizer takes it, and apart from the
         signs behind it. Words with UNSTABLE letters are left as they are."""
-        if len(self.known) > CACHED_WORDS or self.letters > CACHED_LETTERS:
-            self.known, self.letters = {"": b""}, 0
+        self._make_room()
         known, parts, bodies = self.known, {}, set()
         for word in words.difference(known):
             self.letters += len(word)
@@ -143,17 +171,47 @@ class Words:
         self._encode(list(bodies.difference(known)))
         known.update([(word, known[body] + known[tail]) for word, (body, tail) in parts.items()])
 
+    def _gathered(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts in lower case without foreign signs. Each different word of
+        them is looked up once."""
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+        words = split.flatten().dictionary_encode()
+        self._make_room()
+        known, different = self.known, words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        cut = {word: PIECES.findall(word) for word in different if word not in known}
+        new = list(set().union(*cut.values()).difference(known))
+        self.letters += sum(map(len, new))
+        self._encode(new, lower=True)
+        find = known.__getitem__
+        blobs = [b"".join(map(find, cut[word])) if word in cut else known[word] for word in different]
+        ids = np.frombuffer(b"".join(blobs), self.code)
+        sizes = np.array([len(b) for b in blobs], np.int64) // ids.itemsize
+        at = words.indices.to_numpy()
+        starts, counts = (np.cumsum(sizes) - sizes)[at], sizes[at]
+        ends = np.append(0, np.cumsum(counts))
+        places = np.arange(ends[-1]) + np.repeat(starts - ends[:-1], counts)
+        cuts = ends[np.append(0, np.cumsum(pc.list_value_length(split).to_numpy()))].tolist()
+        return [ids[places[a:b]].tobytes() for a, b in zip(cuts, cuts[1:])]
+
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, the last one included."""
-        whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
-        split = [[] if i in whole else _words(t) for i, t in enumerate(texts)]
+        found: list[bytes] = [b""] * len(texts)
+        whole = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
+        lower = {i: low for i in set(range(len(texts))).difference(whole) if (low := _lowered(texts[i])) is not None}
+        other = sorted(set(range(len(texts))).difference(whole, lower))
+        if lower:
+            for i, blob in zip(lower, self._gathered(list(lower.values()))):
+                found[i] = blob
+        split = [_words(texts[i]) for i in other]
         self.add(set().union(*split))
-        last, find = array(self.code, [END]).tobytes(), self.known.__getitem__
-        found = [b"".join(map(find, words)) + last for words in split]
+        find = self.known.__getitem__
+        for i, words in zip(other, split):
+            found[i] = b"".join(map(find, words))
         for i in whole:
             ids = self.tokenizer.encode(texts[i], add_special_tokens=False).ids
-            found[i] = array(self.code, ids).tobytes() + last
-        return found
+            found[i] = array(self.code, ids).tobytes()
+        last = array(self.code, [END]).tobytes()
+        return [blob + last for blob in found]
 
 
 def tokenised(docs: DataFrame, definition: str) -> DataFrame:

@@ -271,6 +271,21 @@ def test_hilbert_curve_visits_neighbours():
     assert (np.abs(np.diff(grid[np.argsort(key)], axis=0)).sum(axis=1) == 1).all()
 
 
+def test_packing_looks_up_each_piece_once():
+    """Case, white space and the signs around a word make no words of their own, and the ids
+    are those of the whole text."""
+    with open(TOKENIZER, encoding="utf-8") as file:
+        words = packing.Words(file.read())
+    words.ids(["Word word, (WORD) word;\tword. Word's WORD! 12word 34", "wOrD\nword: \"word\""])
+    assert len(words.known) <= 14
+    rng = np.random.default_rng(5)
+    signs = [chr(c) for c in range(9, 0x300)] + ["'", "s", "'re", "LL", " ", ", ", ".. ", "e\u0301", "İ", "Σ", "”", "½", "\x1c", "字"] * 20
+    texts = ["".join(rng.choice(signs, 12)) for _ in range(3000)] + ["", " ", "a,, b", "it's 'tis x_y 3.14, e."]
+    found = words.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    whole = [packing.array(words.code, [*f.ids, packing.END]).tobytes() for f in found]
+    assert words.ids(texts) == whole
+
+
 def test_packing_round_trip(spark, table, odd_documents, no_documents):
     tokenizer = Tokenizer.from_file(TOKENIZER)
     texts = ["a<|endoftext|>b ΑΣ.Β", "x <|startoftext|> y", "İΣ. ΟΔΟΣ, İstanbul! ΣΑΣİ;", "<|ENDOFTEXT|> ΑΣΣ?İ"]
