@@ -389,13 +389,14 @@ def join(
     members = described.select(*carried, "n", "digest").join(nodes.select("digest", "node"), "digest", "left")
     members = materialise(members.drop("digest"), "members")
     shelf.give_up(described)
-    exploded = nodes.select("node", "n", F.posexplode("prefix").alias("place", "hash"))
-    repeated = nodes.select(F.explode("prefix").alias("hash")).groupBy("hash").agg(F.count("*").alias("nodes"))
-    several = shelf.write(exploded.join(repeated.where(F.col("nodes") > 1), "hash"), "several")
+    # Dealt by shingle once: the window counts the nodes of a shingle where its rows are.
+    exploded = nodes.select("node", F.posexplode("prefix").alias("place", "hash"))
+    counted = exploded.withColumn("nodes", F.count("*").over(Window.partitionBy("hash")))
+    several = shelf.write(counted.where(F.col("nodes") > 1), "several")
     # How many shingles of a node's prefix no other prefix has.
     shared = several.groupBy("node").agg(F.count("*").alias("_shared"))
-    own = nodes.select("node", F.size("prefix").alias("_size")).join(shared, "node")
-    own = own.select("node", (F.col("_size") - F.col("_shared")).alias("own"))
+    own = nodes.select("node", "n", F.size("prefix").alias("_size")).join(shared, "node")
+    own = own.select("node", "n", (F.col("_size") - F.col("_shared")).alias("own"))
     entries = shelf.write(several.join(own, "node"), "entries")
     shelf.give_up(several)
 

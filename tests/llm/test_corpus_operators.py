@@ -135,6 +135,25 @@ def test_pairs_of_a_crowd_are_few(spark, monkeypatch):
     assert 1 < len({r.component_id for r in found}) < len(docs)
 
 
+def test_shingles_are_dealt_once(spark, monkeypatch):
+    """The counts of the shingles need no shuffle beside that of the prefixes."""
+    plans, write = [], jaccard.Shelf.write
+
+    def seen(shelf, rows, name):
+        if name == "several":
+            plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return write(shelf, rows, name)
+
+    monkeypatch.setattr(jaccard.Shelf, "write", seen)
+    docs = spark.createDataFrame([(i, f"a b c d e {i}") for i in range(9)], "doc_id long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert {r.component_id for r in jaccard.deduplicate(docs).collect()} == set(range(9))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plans[0].count("Exchange hashpartitioning") == 1
+
+
 def test_jaccard_of_odd_rows(odd_documents, no_documents):
     rows = jaccard.deduplicate(odd_documents).collect()
     assert len(rows) == odd_documents.count()
