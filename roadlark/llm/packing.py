@@ -178,8 +178,9 @@ class Words:
         words = split.flatten().dictionary_encode()
         self._make_room()
         known, different = self.known, words.dictionary.to_numpy(zero_copy_only=False).tolist()
-        cut = {word: PIECES.findall(word) for word in different if word not in known}
-        new = list(set().union(*cut.values()).difference(known))
+        fresh = [word for word in different if word not in known]
+        cut = {word: PIECES.findall(word) for word in fresh if not word.isalpha()}
+        new = list(set(filter(str.isalpha, fresh)).union(*cut.values()).difference(known))
         self.letters += sum(map(len, new))
         self._encode(new, lower=True)
         find = known.__getitem__
