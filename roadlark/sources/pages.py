@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from roadlark import rules
 from roadlark.functions import text as tx
 from roadlark.operators.numbering import numbered
+from roadlark.session import materialise
 
 
 def _opening(name: str) -> str:
@@ -85,9 +86,17 @@ def public_link(href: Column, hosts: tuple[str, str] = rules.LINK_HOSTS) -> Colu
     return F.replace(absolute_link(href), F.lit(hosts[0]), F.lit(hosts[1]))
 
 
+_FIELDS = ["content", "tweetlinkid", "created_at"]
+
+
 def page_items(pages: DataFrame, html: str = "html", carry: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """Every complete item of every page with its position; one with a missing field is
-    dropped.
+    dropped."""
+    return _item_fields(pages, html, carry).dropna(subset=_FIELDS)
+
+
+def _item_fields(pages: DataFrame, html: str, carry: tuple[str, ...]) -> DataFrame:
+    """Every item of every page with its position and what there is of its fields.
 
     The searches in an item run inside the generator: a filter on the fields is not moved
     below it, where it would repeat them.
@@ -101,14 +110,13 @@ def page_items(pages: DataFrame, html: str = "html", carry: tuple[str, ...] = ("
         ),
     )
     items = pages.select(*carry, F.posexplode(found).alias("position", "item"))
-    fields = items.select(
+    return items.select(
         *carry,
         "position",
         visible_text(F.col("item.content")).alias("content"),
         public_link(_attribute("item.anchor", _HREF)).alias("tweetlinkid"),
         title_date(_attribute("item.anchor", _TITLE)).alias("created_at"),
     )
-    return fields.dropna(subset=["content", "tweetlinkid", "created_at"])
 
 
 def extract_posts(
@@ -121,16 +129,20 @@ def extract_posts(
     """Posts of the pages that carry the alert mark, of one day or of all.
 
     With ``order``, a column that tells pages apart such as their crawl number, the posts
-    are numbered by pages and positions (``post_seq``), without gaps and once written.
+    are numbered by pages and positions (``post_seq``), without gaps and once written. What
+    is read from the pages is written first: to find the ranges of the order Spark goes over
+    the rows twice, and a filter on a computed column computes it again.
     """
-    items = page_items(pages, html, (order,) if order else ())
+    if order:
+        items = materialise(_item_fields(pages, html, (order,)), "items").dropna(subset=_FIELDS)
+    else:
+        items = page_items(pages, html, ())
     posts = items.where(F.contains("content", F.lit(mark)))
     if day is not None:
         posts = posts.where(F.col("created_at") == F.lit(day))
-    columns = ["content", "tweetlinkid", "created_at"]
     if not order:
-        return posts.select(*columns)
-    placed = posts.select(*columns, F.col(order).alias("_page"), F.col("position").alias("_position"))
+        return posts.select(*_FIELDS)
+    placed = posts.select(*_FIELDS, F.col(order).alias("_page"), F.col("position").alias("_position"))
     return numbered(placed, [F.col("_page"), F.col("_position")], "post_seq").drop("_page", "_position")
 
 

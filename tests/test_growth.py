@@ -11,7 +11,7 @@ from checks import queries
 from roadlark import schemas, session
 from roadlark.operators import fuzzy, vehicles
 from roadlark.plans import audits, ingest, resolving
-from roadlark.sources import records
+from roadlark.sources import pages as timeline, records
 from roadlark.sources.batches import BatchWarehouse
 
 
@@ -175,3 +175,22 @@ def test_pairs_of_like_names_are_scored_where_they_are_found(spark):
     waiting = session.materialise(waiting, "waiting")
     plan = index.near(waiting, 2)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning(name" not in plan and "Aggregate" not in plan
+
+
+def test_pages_are_read_once_for_numbered_posts(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def looked_at(html):
+        seen.add(1)
+        return html
+
+    item = (
+        '<div class="timeline-item"><div class="tweet-content">MMDA ALERT: A &amp; B</div><span class="tweet-date">'
+        '<a href="/MMDA/status/1" title="Jan 5, 2024 · 8:00 AM UTC">Jan 5</a></span></div>'
+    )
+    pages = spark.range(0, 60, 1, 4).select(F.col("id").alias("page_id"), F.lit(item * 2).alias("html"))
+    pages = pages.withColumn("html", looked_at.asNondeterministic()("html"))
+    posts = timeline.extract_posts(pages, order="page_id")
+    assert sorted(r.post_seq for r in posts.collect()) == list(range(120))
+    assert seen.value == 60
