@@ -14,10 +14,12 @@ def post_text(content: Column) -> Column:
     return tx.clean_text(F.upper(content))
 
 
-def time_text(post: Column) -> Column:
+def time_text(post: Column, plain: Column | None = None) -> Column:
     """First ``h[:mm] AM/PM`` of the post as written."""
     tidy = F.replace(F.replace(post, F.lit(";"), F.lit(":")), F.lit("."), F.lit(""))
-    return tx.first_group(tidy, rules.TIME_PATTERN, 0)
+    # What is replaced leaves a plain post plain, and any other one as it is in that.
+    plain = tx.is_plain(post) if plain is None else plain
+    return tx.first_group(tidy, rules.TIME_PATTERN, 0, plain)
 
 
 def clock(time_text: Column) -> Column:
@@ -48,17 +50,17 @@ def number_word(word: Column) -> Column:
     return F.coalesce(known, tx.whole_number(word))
 
 
-def lanes_text(post: Column) -> Column:
-    found = tx.first_group(post, rules.LANES_PATTERN)
+def lanes_text(post: Column, plain: Column | None = None) -> Column:
+    found = tx.first_group(post, rules.LANES_PATTERN, plain=plain)
     return F.when(F.contains(post, F.lit(rules.LANES_HINT)), found)
 
 
-def incident_type(post: Column) -> Column:
-    return tx.strip(tx.first_group(post, rules.TYPE_PATTERN))
+def incident_type(post: Column, plain: Column | None = None) -> Column:
+    return tx.strip(tx.first_group(post, rules.TYPE_PATTERN, plain=plain))
 
 
-def direction(post: Column) -> Column:
-    tokens = F.regexp_extract_all(post, F.lit(rules.DIRECTION_PATTERN), F.lit(1))
+def direction(post: Column, plain: Column | None = None) -> Column:
+    tokens = tx.all_groups(post, rules.DIRECTION_PATTERN, plain)
     return F.try_element_at(tokens, F.lit(-1))
 
 
@@ -70,20 +72,21 @@ def is_stalled(post: Column) -> Column:
     return F.contains(post, F.lit(rules.STALLED_WORD))
 
 
-def place_text(post: Column) -> Column:
+def place_text(post: Column, plain: Column | None = None) -> Column:
     """The stretch of the post that names the place, as written."""
     return F.when(
-        is_rally(post), tx.first_group(post, rules.RALLY_LOCATION_PATTERN, 2)
-    ).otherwise(tx.first_group(post, rules.LOCATION_PATTERN, 2))
+        is_rally(post), tx.first_group(post, rules.RALLY_LOCATION_PATTERN, 2, plain)
+    ).otherwise(tx.first_group(post, rules.LOCATION_PATTERN, 2, plain))
 
 
-def place_words(post: Column, place: Column) -> Column:
+def place_words(post: Column, place: Column, plain: Column | None = None) -> Column:
     """The place without a trailing list of participants and without directions."""
+    plain = tx.is_plain(place) if plain is None else plain
     has_tail = ~is_rally(post) & F.contains(place, F.lit(rules.LOCATION_TAIL_HINT))
     place = F.when(
-        has_tail, F.regexp_replace(place, rules.LOCATION_TAIL_PATTERN, "")
+        has_tail, tx.replaced(place, rules.LOCATION_TAIL_PATTERN, "", plain)
     ).otherwise(place)
-    return tx.strip_direction(place)
+    return tx.strip_direction(place, plain)
 
 
 def place_name(words: Column) -> Column:
@@ -91,13 +94,13 @@ def place_name(words: Column) -> Column:
     return tx.strip(F.replace(tx.respell_place(words), F.lit("Ñ"), F.lit("N")))
 
 
-def participants_text(post: Column) -> Column:
+def participants_text(post: Column, plain: Column | None = None) -> Column:
     """Who was involved, as written; for a rally the head-count, without leading zeros."""
-    heads = tx.whole_number(tx.first_group(post, rules.RALLY_COUNT_PATTERN), "decimal(38,0)")
-    listed = tx.strip(tx.first_group(post, rules.PARTICIPANTS_PATTERN))
+    heads = tx.whole_number(tx.first_group(post, rules.RALLY_COUNT_PATTERN, plain=plain), "decimal(38,0)")
+    listed = tx.strip(tx.first_group(post, rules.PARTICIPANTS_PATTERN, plain=plain))
     return (
         F.when(is_rally(post), heads.cast("string"))
-        .when(is_stalled(post), tx.strip(tx.first_group(post, rules.STALLED_PATTERN)))
+        .when(is_stalled(post), tx.strip(tx.first_group(post, rules.STALLED_PATTERN, plain=plain)))
         .otherwise(F.rtrim(listed, F.lit(",")))
     )
 

@@ -1,5 +1,6 @@
 """Small text helpers shared by the field extractors."""
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -16,9 +17,29 @@ def clean_text(text: Column) -> Column:
     return strip(F.coalesce(text.cast("string"), F.lit("")))
 
 
-def first_group(text: Column, pattern: str, group: int = 1) -> Column:
-    """Group of the first match; ``''`` where the pattern does not occur."""
-    return F.regexp_extract(text, pattern, group)
+def is_plain(text: Column) -> Column:
+    """Whether a text may be searched by ``rules.plain`` forms of the patterns."""
+    return ~F.rlike(text, F.lit(rules.FOREIGN_PATTERN))
+
+
+def _by_plain(text: Column, plain: Column | None, search: Callable[[str], Column], pattern: str) -> Column:
+    plain = is_plain(text) if plain is None else plain
+    return F.when(plain, search(rules.plain(pattern))).otherwise(search(pattern))
+
+
+def first_group(text: Column, pattern: str, group: int = 1, plain: Column | None = None) -> Column:
+    """Group of the first match; ``''`` where the pattern does not occur. ``plain`` tells
+    whether the text is, where that is a column already."""
+    return _by_plain(text, plain, lambda p: F.regexp_extract(text, p, group), pattern)
+
+
+def all_groups(text: Column, pattern: str, plain: Column | None = None) -> Column:
+    """First group of every match."""
+    return _by_plain(text, plain, lambda p: F.regexp_extract_all(text, F.lit(p), F.lit(1)), pattern)
+
+
+def replaced(text: Column, pattern: str, by: str, plain: Column | None = None) -> Column:
+    return _by_plain(text, plain, lambda p: F.regexp_replace(text, p, by), pattern)
 
 
 def blank_to_null(text: Column) -> Column:
@@ -42,9 +63,10 @@ def lookup_or_self(text: Column, entries: dict) -> Column:
     return F.coalesce(F.try_element_at(literal_map(entries), text), text)
 
 
-def strip_direction(text: Column) -> Column:
-    spaced = F.regexp_replace(text, rules.DIRECTION_PATTERN, " ")
-    return strip(F.regexp_replace(spaced, rules.SPACES_PATTERN, " "))
+def strip_direction(text: Column, plain: Column | None = None) -> Column:
+    plain = is_plain(text) if plain is None else plain
+    spaced = replaced(text, rules.DIRECTION_PATTERN, " ", plain)
+    return strip(replaced(spaced, rules.SPACES_PATTERN, " ", plain))
 
 
 def respell_place(text: Column, place_rules=rules.LOCATION_RULES) -> Column:

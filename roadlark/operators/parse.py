@@ -18,14 +18,14 @@ def _list_columns() -> list[Column]:
 
 @built_once
 def _searches() -> dict[str, Column]:
-    post = F.col("post")
+    post, plain = F.col("post"), F.col("_plain")
     return {
-        "_time": fields.time_text(post),
-        "_place": fields.place_text(post),
-        "direction": fields.direction(post),
-        "type": fields.incident_type(post),
-        "_lanes": fields.lanes_text(post),
-        "_participants": fields.participants_text(post),
+        "_time": fields.time_text(post, plain),
+        "_place": fields.place_text(post, plain),
+        "direction": fields.direction(post, plain),
+        "type": fields.incident_type(post, plain),
+        "_lanes": fields.lanes_text(post, plain),
+        "_participants": fields.participants_text(post, plain),
     }
 
 
@@ -33,7 +33,7 @@ def _searches() -> dict[str, Column]:
 def _readings() -> dict[str, Column]:
     return {
         "_time": fields.clock(F.col("_time")),
-        "_place": fields.place_words(F.col("post"), F.col("_place")),
+        "_place": fields.place_words(F.col("post"), F.col("_place"), F.col("_plain")),
         "lanes_blocked": fields.number_word(F.col("_lanes")),
     }
 
@@ -78,7 +78,8 @@ def parse_posts(
         fields.post_date(F.col(created_at), posts.schema[created_at].dataType).alias("date"),
         *carry,
     )
-    read = texts.withColumns(_searches()).withColumns(_readings())
+    marked = texts.withColumn("_plain", tx.is_plain(F.col("post")))
+    read = marked.withColumns(_searches()).withColumns(_readings())
     named = with_involved(read, "_participants").withColumns(_names())
     event_id, event_timestamp = _identity()
     return named.select(

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadlark import rules
+from roadlark.functions import text as tx
 
 WORDS = (
     "AT ALONG ON INVOLVING STALLED NB SB SOUTHBOUND MORE OR LESS AS OF PAX DUE CAR AND A AN LANE LANES "
@@ -53,3 +54,28 @@ def test_all_matches(texts, name):
     compiled = re.compile(python_form(pattern))
     for n, put in df.select("n", F.regexp_replace("t", pattern, "#")).collect():
         assert put == compiled.sub("#", made[n]), repr(made[n])
+
+
+@pytest.mark.parametrize(
+    "name,group",
+    [("TIME_PATTERN", 0), ("LANES_PATTERN", 1), ("TYPE_PATTERN", 1), ("LOCATION_PATTERN", 2),
+     ("LOCATION_TAIL_PATTERN", 0), ("PARTICIPANTS_PATTERN", 1), ("RALLY_LOCATION_PATTERN", 2),
+     ("RALLY_COUNT_PATTERN", 1), ("STALLED_PATTERN", 1), ("DIRECTION_PATTERN", 1), ("SPACES_PATTERN", 0)],
+)
+def test_plain_form_finds_the_same_in_plain_texts(texts, name, group):
+    made, df = texts
+    pattern = getattr(rules, name)
+    plain = df.select(F.regexp_replace("t", rules.FOREIGN_PATTERN, " ").alias("t"))
+    both = [F.regexp_extract("t", p, group).alias(c) for c, p in (("a", pattern), ("b", rules.plain(pattern)))]
+    found = plain.select(tx.is_plain(F.col("t")).alias("plain"), *both).collect()
+    assert all(r.plain for r in found) and (any(r.a for r in found) or name.startswith("RALLY"))
+    assert [r.a for r in found] == [r.b for r in found]
+
+
+def test_texts_of_both_kinds_are_searched_alike(texts):
+    made, df = texts
+    assert {r.t for r in df.where(tx.is_plain(F.col("t"))).collect()} == {t for t in made if all(" " <= c <= "~" for c in t)}
+    for name in ("LOCATION_PATTERN", "PARTICIPANTS_PATTERN"):
+        pattern = getattr(rules, name)
+        got = df.select(tx.first_group(F.col("t"), pattern), F.regexp_extract("t", pattern, 1)).collect()
+        assert [r[0] for r in got] == [r[1] for r in got]
