@@ -224,8 +224,15 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.where(_close(F.col("_n_a"), F.col("_n_b"), percent)).where(_suffix_filter(percent)).select("a", "b")
 
 
-def _sets(shelf: Shelf, docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """(node, set) of the nodes in ``pairs``, from the text of one document of each."""
+def _sets(
+    shelf: Shelf, docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int
+) -> tuple[DataFrame, DataFrame]:
+    """(node, set) of the nodes in ``pairs``, from the text of one document of each, and the
+    written table that it reads.
+
+    The sets are dealt by node and not written: joins by node take them as they are dealt,
+    and both ends of a pair the same ones.
+    """
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = shelf.write(nodes.join(ends, "node").select("node", "digest", F.col("any_id").alias("_doc")), "wanted")
 
@@ -241,9 +248,7 @@ def _sets(shelf: Shelf, docs: DataFrame, nodes: DataFrame, pairs: DataFrame, wor
     found = chosen.select(whole("text").alias("_s")).select("_s.*")
     # Rows with one id may have several texts, and several rows one text.
     one = found.join(wanted.select("node", "digest"), "digest").select("node", "set")
-    sets = shelf.write(one.dropDuplicates(["node"]), "sets")
-    shelf.give_up(wanted)
-    return sets
+    return one.dropDuplicates(["node"]), wanted
 
 
 def _doc_key() -> Column:
@@ -305,7 +310,7 @@ def _crowded(
     stars = crowds.join(centres.select("hash", F.col("_c.node").alias("b")), "hash")
     stars = stars.select(F.col("node").alias("a"), "b").where(F.col("a") != F.col("b")).distinct()
     stars = shelf.write(stars, "stars")
-    sets = _sets(shelf, docs, nodes, stars, words)
+    sets, wanted = _sets(shelf, docs, nodes, stars, words)
 
     @F.pandas_udf("n long, most long, linked boolean, difference array<long>")
     @lean
@@ -324,7 +329,7 @@ def _crowded(
     found = _with_sets(stars, sets).select("a", "b", compared("_set_a", "_set_b").alias("_d"))
     found = found.select(F.col("a").alias("node"), F.col("b").alias("centre"), "_d.*")
     found = shelf.write(found.withColumn("size", F.size("difference")), "differences")
-    shelf.give_up(stars, sets)
+    shelf.give_up(stars, wanted)
     edges = found.where("linked").select(F.col("node").alias("a"), F.col("centre").alias("b"))
 
     apart = found.where(~F.col("linked")).withColumn("room", F.col("most") - F.col("size"))
@@ -404,10 +409,10 @@ def join(
     pairs = _few(entries, percent).union(more).distinct()
     pairs = shelf.write(_plausible(pairs, nodes, percent), "pairs")
     shelf.give_up(entries, more)
-    sets = _sets(shelf, docs, nodes, pairs, words)
+    sets, wanted = _sets(shelf, docs, nodes, pairs, words)
     verified = _with_sets(pairs, sets).where(_verified(percent))
     edges = materialise(central.union(verified.select("a", "b")), "edges")
-    shelf.give_up(central, nodes, pairs, sets)
+    shelf.give_up(central, nodes, pairs, wanted)
     return members, edges
 
 
