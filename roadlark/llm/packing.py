@@ -83,12 +83,11 @@ def _words(text: str) -> list[str]:
 
 
 def _lowered(text: str) -> str | None:
-    """The text as the tokenizer cuts it; None where that is not sure."""
+    """The text as the tokenizer cuts it; None where that is not sure. What is not FOREIGN
+    is in normal form, and so is its lower case."""
     if FOREIGN.search(text) or any(letter in text for letter in UNSTABLE):
         return None
     lower = text.lower()
-    if not all(unicodedata.is_normalized("NFC", t) for t in (text, lower)):
-        return None
     if not SIGNS.search(lower):  # so that words with a sign behind them are no words of their own
         for sign in PART:
             lower = lower.replace(f"{sign} ", f" {sign} ")
@@ -105,6 +104,7 @@ class Words:
         self.size = max(self.tokenizer.get_vocab_size(), END + 1)
         self.code = "H" if self.size <= 1 << 16 else "I"
         self.known: dict[str, bytes] = {"": b""}
+        self.several: dict[str, bytes] = {}  # words of several pieces
         self.letters = 0
         # Texts with one of these go to the tokenizer whole: it has ids for them.
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -142,8 +142,8 @@ class Words:
         self.known.update((w, array(self.code, x.ids).tobytes()) for w, x in zip(other, found))
 
     def _make_room(self) -> None:
-        if len(self.known) > CACHED_WORDS or self.letters > CACHED_LETTERS:
-            self.known, self.letters = {"": b""}, 0
+        if len(self.known) + len(self.several) > CACHED_WORDS or self.letters > CACHED_LETTERS:
+            self.known, self.several, self.letters = {"": b""}, {}, 0
 
     def add(self, words: set[str]) -> None:
         """A word is encoded in lower case, as the tokenizer takes it, and apart from the
@@ -173,20 +173,21 @@ class Words:
 
     def _gathered(self, texts: list[str]) -> list[bytes]:
         """The ids of texts in lower case without foreign signs. Each different word of
-        them is looked up once."""
+        them is looked up once, and what is made of it kept."""
         split = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
         words = split.flatten().dictionary_encode()
         self._make_room()
-        known, different = self.known, words.dictionary.to_numpy(zero_copy_only=False).tolist()
-        fresh = [word for word in different if word not in known]
+        known, several, different = self.known, self.several, words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        fresh = [word for word in different if word not in known and word not in several]
         cut = {word: PIECES.findall(word) for word in fresh if not word.isalpha()}
         new = list(set(filter(str.isalpha, fresh)).union(*cut.values()).difference(known))
-        self.letters += sum(map(len, new))
+        self.letters += sum(map(len, new)) + sum(map(len, cut))
         self._encode(new, lower=True)
         find = known.__getitem__
-        blobs = [b"".join(map(find, cut[word])) if word in cut else known[word] for word in different]
+        several.update([(word, b"".join(map(find, pieces))) for word, pieces in cut.items()])
+        blobs = [known[word] if word in known else several[word] for word in different]
         ids = np.frombuffer(b"".join(blobs), self.code)
-        sizes = np.array([len(b) for b in blobs], np.int64) // ids.itemsize
+        sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // ids.itemsize
         at = words.indices.to_numpy()
         starts, counts = (np.cumsum(sizes) - sizes)[at], sizes[at]
         ends = np.append(0, np.cumsum(counts))

@@ -325,6 +325,25 @@ def test_packing_looks_up_each_piece_once():
     assert words.ids(texts) == whole
 
 
+def test_packing_keeps_what_it_has_cut(monkeypatch):
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        words = packing.Words(file.read())
+    cut = []
+
+    class Pieces:
+        @staticmethod
+        def findall(word, find=packing.PIECES.findall):
+            cut.append(word)
+            return find(word)
+
+    monkeypatch.setattr(packing, "PIECES", Pieces)
+    text = "on 12:30 he paid 1999$ for x-rays, é and don't."
+    whole = words.tokenizer.encode(text, add_special_tokens=False).ids + [packing.END]
+    for _ in range(2):
+        assert np.frombuffer(words.ids([text])[0], words.code).tolist() == whole
+    assert len(cut) == len(set(cut)) > 2
+
+
 def test_packing_round_trip(spark, table, odd_documents, no_documents):
     tokenizer = Tokenizer.from_file(TOKENIZER)
     texts = ["a<|endoftext|>b ΑΣ.Β", "x <|startoftext|> y", "İΣ. ΟΔΟΣ, İstanbul! ΣΑΣİ;", "<|ENDOFTEXT|> ΑΣΣ?İ"]
