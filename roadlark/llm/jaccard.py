@@ -310,7 +310,10 @@ def _crowded(
     stars = crowds.join(centres.select("hash", F.col("_c.node").alias("b")), "hash")
     stars = stars.select(F.col("node").alias("a"), "b").where(F.col("a") != F.col("b")).distinct()
     stars = shelf.write(stars, "stars")
-    sets, wanted = _sets(shelf, docs, nodes, stars, words)
+    # Written, so that a centre's partition can be split: all of its group meets it there.
+    dealt, wanted = _sets(shelf, docs, nodes, stars, words)
+    sets = shelf.write(dealt, "sets")
+    shelf.give_up(wanted)
 
     @F.pandas_udf("n long, most long, linked boolean, difference array<long>")
     @lean
@@ -329,7 +332,7 @@ def _crowded(
     found = _with_sets(stars, sets).select("a", "b", compared("_set_a", "_set_b").alias("_d"))
     found = found.select(F.col("a").alias("node"), F.col("b").alias("centre"), "_d.*")
     found = shelf.write(found.withColumn("size", F.size("difference")), "differences")
-    shelf.give_up(stars, wanted)
+    shelf.give_up(stars, sets)
     edges = found.where("linked").select(F.col("node").alias("a"), F.col("centre").alias("b"))
 
     apart = found.where(~F.col("linked")).withColumn("room", F.col("most") - F.col("size"))
