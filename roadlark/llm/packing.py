@@ -14,6 +14,7 @@ import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -32,14 +33,11 @@ CACHED_WORDS = 300_000  # of a task
 CACHED_LETTERS = 8 << 20
 UNSTABLE = "Σİ"  # letters whose lower case depends on others or is more than one
 TAIL = ".,;:!?%$#&*"  # signs that the tokenizer always parts from a letter before them
-BORDER = " 0"  # one id that no word of letters has
-LINE_WORDS = 500  # words encoded as one text with borders between them
-# Letters and signs of which every Unicode version says the same; what else a text may hold
-# is left to the tokenizer.
-FOREIGN = re.compile("[^\\t-\\r -~¡-±´-¸»¿-\u024f\u2010-\u2027\u20ac]")
-# Signs that a space may stand in front of, unless another sign does.
-PART = ".,;:!?"
-SIGNS = re.compile(rf"[!-/:-@\[-`{{-~¡-¿×÷\u2010-\u2027\u20ac][{PART}] ")
+LINE_WORDS = 500  # words encoded as one text
+# Letters and signs of which every Unicode version says the same, and whose lower case is in
+# normal form; what else a text may hold is left to the tokenizer.
+FOREIGN = "[^\\t-\\r -~¡-±´-¸»¿-\u012f\u0131-\u024f\u2010-\u2027\u20ac]"
+PART = b".,;:!?"  # cut from the letter or digit before them, so that they make no words of their own
 # Where the tokenizer cuts a word of these in lower case. Digits have an id each.
 PIECES = re.compile(r"'(?:[stmd]|re|ve|ll)|[^\W\d_]+|[0-9]{1,3}|(?:[^\w\s]|_)+")
 
@@ -82,20 +80,30 @@ def _words(text: str) -> list[str]:
     return text.replace("\n", " ").split(" ")
 
 
-def _lowered(text: str) -> str | None:
-    """The text as the tokenizer cuts it; None where that is not sure. What is not FOREIGN
-    is in normal form, and so is its lower case."""
-    if FOREIGN.search(text) or any(letter in text for letter in UNSTABLE):
-        return None
-    lower = text.lower()
-    if not SIGNS.search(lower):  # so that words with a sign behind them are no words of their own
-        for sign in PART:
-            lower = lower.replace(f"{sign} ", f" {sign} ")
-    return lower
+def _parted(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words in lower case, without foreign signs, cut before a sign of PART at their ends that
+    stands behind a letter or digit, and how many parts each has."""
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    kinds = np.zeros(256, np.uint8)
+    kinds[list(PART)] = 1
+    kinds[list(b"abcdefghijklmnopqrstuvwxyz0123456789")] = 2
+    kinds[0xC3:0xCA] = 3  # the first byte of two, nearly always of a letter
+    ends, sizes = offsets[1:], np.diff(offsets)
+    at = np.flatnonzero(sizes > 1)
+    at = at[kinds[data[ends[at] - 1]] == 1]
+    sign = ends[at] - 1
+    last, two = data[sign - 1], kinds[data[np.maximum(sign - 2, 0)]] == 3
+    times = (data[np.maximum(sign - 2, 0)] == 0xC3) & ((last == 0x97) | (last == 0xB7))
+    cut = (kinds[last] == 2) | (last >= 0x80) & two & ~times & (sizes[at] > 2)
+    parts = np.ones(len(words), np.int64)
+    parts[at[cut]] = 2
+    borders = np.insert(offsets, at[cut] + 1, sign[cut])
+    return pa.StringArray.from_buffers(len(borders) - 1, pa.py_buffer(borders), words.buffers()[2]), parts
 
 
 class Words:
-    """Ids of words as bytes, each word encoded once while it is kept."""
+    """Ids of words, each word encoded once while it is kept."""
 
     def __init__(self, definition: str) -> None:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -103,117 +111,173 @@ class Words:
         self.tokenizer = _tokenizer(definition)
         self.size = max(self.tokenizer.get_vocab_size(), END + 1)
         self.code = "H" if self.size <= 1 << 16 else "I"
-        self.known: dict[str, bytes] = {"": b""}
-        self.several: dict[str, bytes] = {}  # words of several pieces
-        self.letters = 0
         # Texts with one of these go to the tokenizer whole: it has ids for them.
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # For words of letters that are in lower case and in normal form, one piece each.
+        # Bytes of ASCII letters stand for themselves.
+        split = pre_tokenizers.WhitespaceSplit()
         bytewise = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.plain = Tokenizer(self.tokenizer.model)  # one model for both
-        self.plain.normalizer = normalizers.Sequence([])
-        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytewise])
-        self.border = self.tokenizer.encode(BORDER, add_special_tokens=False).ids
+        self.plain = []
+        for cut in (split, pre_tokenizers.Sequence([split, bytewise])):
+            self.plain.append(Tokenizer(self.tokenizer.model))  # one model for all
+            self.plain[-1].normalizer = normalizers.Sequence([])
+            self.plain[-1].pre_tokenizer = cut
+        # Which ids end a word. Without a suffix words are encoded one by one.
+        self.last = np.zeros(self.size, bool)
+        if suffix := getattr(self.tokenizer.model, "end_of_word_suffix", None):
+            self.last[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+        self._forget()
         give_back()  # what reading the definition took
 
+    def _forget(self) -> None:
+        # Words, and words of several pieces, with their number; their ids lie in that order.
+        self.known: dict[str, int] = {"": 0}
+        self.several: dict[str, int] = {}
+        self.flat, self.sizes = np.zeros(0, self.code), np.zeros(1, np.int64)
+        self.met = np.zeros(1, np.int64)  # in how many batches of texts
+        self.letters = 0
+
+    def _make_room(self) -> None:
+        """Words of a single batch go, or all if the others are too many as well."""
+        if len(self.sizes) <= CACHED_WORDS and self.letters <= CACHED_LETTERS:
+            return
+        stay = self.met > 1
+        stay[0] = True
+        letters = sum(len(w) for kept in (self.known, self.several) for w, i in kept.items() if stay[i])
+        if 2 * stay.sum() > CACHED_WORDS or 2 * letters > CACHED_LETTERS:
+            self._forget()
+            return
+        number = (np.cumsum(stay) - 1).tolist()
+        self.known = {w: number[i] for w, i in self.known.items() if stay[i]}
+        self.several = {w: number[i] for w, i in self.several.items() if stay[i]}
+        self.flat, self.sizes = self._joined(np.flatnonzero(stay))
+        self.met, self.letters = np.ones(len(self.sizes), np.int64), letters
+
+    def _keep(self, kept: dict[str, int], words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        kept.update(zip(words, range(len(self.sizes), len(self.sizes) + len(words))))
+        self.letters += sum(map(len, words))
+        self.flat, self.sizes = np.concatenate([self.flat, ids]), np.concatenate([self.sizes, sizes])
+        self.met = np.concatenate([self.met, np.zeros(len(words), np.int64)])
+
+    def _joined(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of kept words, one behind the other, and how many each has."""
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        shift = (np.cumsum(self.sizes) - self.sizes)[numbers] - (ends - sizes)
+        return self.flat[np.repeat(shift, sizes) + np.arange(sizes.sum())], sizes
+
+    def _dealt(self, numbers: np.ndarray, before: np.ndarray) -> list[np.ndarray]:
+        """The ids of each text; ``before`` tells how many of the words stand before each text
+        and behind the last."""
+        ids, sizes = self._joined(numbers)
+        cuts = np.append(0, np.cumsum(sizes))[before].tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """The words' numbers, -1 for those not kept."""
+        numbers = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        rest = np.flatnonzero(numbers < 0).tolist()
+        numbers[rest] = list(map(self.several.get, map(words.__getitem__, rest), repeat(-1)))
+        return numbers
+
     def _encode(self, words: list[str], lower: bool = False) -> None:
-        """Words of letters are encoded many at a time, as one text cut at the borders.
-        ``lower`` tells that all are in lower case and in normal form."""
-        plain, letters, other = [], [], []
+        """Words of letters are encoded many at a time. ``lower`` tells that all are in lower
+        case and in normal form."""
+        plain, other = ([], []), []
         for word in words:
-            if not word.isalpha():
-                other.append(word)
-            elif lower or word == word.lower() and unicodedata.is_normalized("NFC", word):
-                plain.append(word)
+            if word.isalpha() and (lower or word == word.lower() and unicodedata.is_normalized("NFC", word)):
+                plain[not word.isascii()].append(word)
             else:
-                letters.append(word)
-        for tokenizer, kind in ((self.plain, plain), (self.tokenizer, letters)):
+                other.append(word)
+        done, ids, sizes = [], [], []
+        for tokenizer, kind in zip(self.plain, plain):
             lines = [kind[i : i + LINE_WORDS] for i in range(0, len(kind), LINE_WORDS)]
-            texts = [f"{BORDER} ".join(line) + BORDER for line in lines]
+            texts = list(map(" ".join, lines))
             for line, found in zip(lines, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                ids = np.array(found.ids, self.code)
-                ends = np.flatnonzero(ids == self.border[0])
-                if len(self.border) != 1 or len(ends) != len(line):
+                blob = np.array(found.ids, self.code)
+                ends = np.flatnonzero(self.last[blob])
+                if len(ends) != len(line) or ends[-1] != len(blob) - 1:
                     other += line
                     continue
-                blob, starts = ids.tobytes(), np.append(0, ends[:-1] + 1) * ids.itemsize
-                self.known.update((w, blob[a:b]) for w, a, b in zip(line, starts.tolist(), (ends * ids.itemsize).tolist()))
-        found = self.tokenizer.encode_batch_fast(other, add_special_tokens=False)
-        self.known.update((w, array(self.code, x.ids).tobytes()) for w, x in zip(other, found))
-
-    def _make_room(self) -> None:
-        if len(self.known) + len(self.several) > CACHED_WORDS or self.letters > CACHED_LETTERS:
-            self.known, self.several, self.letters = {"": b""}, {}, 0
+                done += line
+                ids.append(blob)
+                sizes.append(np.diff(ends, prepend=-1))
+        for word, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
+            done.append(word)
+            ids.append(np.array(found.ids, self.code))
+            sizes.append([len(found.ids)])
+        if done:
+            self._keep(self.known, done, np.concatenate(ids), np.concatenate(sizes))
+
+    def _join(self, cut: dict[str, list[str]]) -> None:
+        """Keeps words whose pieces are kept."""
+        if cut:
+            pieces = self._numbers(list(chain.from_iterable(cut.values())))
+            ids, sizes = self._joined(pieces)
+            self.met[pieces] += 1
+            ends = np.cumsum(sizes)[np.cumsum([len(p) for p in cut.values()]) - 1]
+            self._keep(self.several, list(cut), ids, np.diff(ends, prepend=0))
 
     def add(self, words: set[str]) -> None:
         """A word is encoded in lower case, as the tokenizer takes it, and apart from the
         signs behind it. Words with UNSTABLE letters are left as they are."""
-        self._make_room()
-        known, parts, bodies = self.known, {}, set()
-        for word in words.difference(known):
-            self.letters += len(word)
-            if any(letter in word for letter in UNSTABLE):
-                parts[word] = word, ""
-                bodies.add(word)
-                continue
-            lower = word.lower()
-            if word.isalpha():
-                parts[word] = lower, ""
-                bodies.add(lower)
-                continue
-            body = lower.rstrip(TAIL)
-            if body and body[-1].isalnum():
-                parts[word] = body, lower[len(body) :]
-                bodies.update(parts[word])
-            else:
-                parts[word] = word, ""
-                bodies.add(word)
-        self._encode(list(bodies.difference(known)))
-        known.update([(word, known[body] + known[tail]) for word, (body, tail) in parts.items()])
-
-    def _gathered(self, texts: list[str]) -> list[bytes]:
+        cut, bodies = {}, set()
+        for word in words.difference(self.known, self.several):
+            body, tail = word, ""
+            if not any(letter in word for letter in UNSTABLE):
+                lower = word.lower()
+                if word.isalpha():
+                    body = lower
+                elif (bare := lower.rstrip(TAIL)) and bare[-1].isalnum():
+                    body, tail = bare, lower[len(bare) :]
+            bodies.update((body, tail))
+            if body != word:
+                cut[word] = [body, tail]
+        self._encode(list(bodies.difference(self.known)))
+        self._join(cut)
+
+    def _gathered(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of texts in lower case without foreign signs. Each different word of
         them is looked up once, and what is made of it kept."""
-        split = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
-        words = split.flatten().dictionary_encode()
-        self._make_room()
-        known, several, different = self.known, self.several, words.dictionary.to_numpy(zero_copy_only=False).tolist()
-        fresh = [word for word in different if word not in known and word not in several]
+        split = pc.ascii_split_whitespace(texts)
+        parted, parts = _parted(split.flatten())
+        words = parted.dictionary_encode()
+        different = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        numbers = self._numbers(different)
+        missing = np.flatnonzero(numbers < 0)
+        fresh = [different[i] for i in missing.tolist()]
         cut = {word: PIECES.findall(word) for word in fresh if not word.isalpha()}
-        new = list(set(filter(str.isalpha, fresh)).union(*cut.values()).difference(known))
-        self.letters += sum(map(len, new)) + sum(map(len, cut))
-        self._encode(new, lower=True)
-        find = known.__getitem__
-        several.update([(word, b"".join(map(find, pieces))) for word, pieces in cut.items()])
-        blobs = [known[word] if word in known else several[word] for word in different]
-        ids = np.frombuffer(b"".join(blobs), self.code)
-        sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // ids.itemsize
-        at = words.indices.to_numpy()
-        starts, counts = (np.cumsum(sizes) - sizes)[at], sizes[at]
-        ends = np.append(0, np.cumsum(counts))
-        places = np.arange(ends[-1]) + np.repeat(starts - ends[:-1], counts)
-        cuts = ends[np.append(0, np.cumsum(pc.list_value_length(split).to_numpy()))].tolist()
-        return [ids[places[a:b]].tobytes() for a, b in zip(cuts, cuts[1:])]
+        new = dict.fromkeys(filter(str.isalpha, fresh))
+        new.update(dict.fromkeys(set(chain.from_iterable(cut.values())).difference(self.known)))
+        self._encode(list(new), lower=True)
+        self._join({word: pieces for word, pieces in cut.items() if word not in self.known})
+        numbers[missing] = self._numbers(fresh)
+        self.met[numbers] += 1
+        return self._dealt(numbers[words.indices.to_numpy()], np.append(0, np.cumsum(parts))[split.offsets.to_numpy()])
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, the last one included."""
-        found: list[bytes] = [b""] * len(texts)
+        self._make_room()
+        found: list[np.ndarray] = [np.zeros(0, self.code)] * len(texts)
+        foreign = pc.match_substring_regex(pa.array(texts, pa.string()), FOREIGN).to_pylist()
         whole = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
-        lower = {i: low for i in set(range(len(texts))).difference(whole) if (low := _lowered(texts[i])) is not None}
-        other = sorted(set(range(len(texts))).difference(whole, lower))
-        if lower:
-            for i, blob in zip(lower, self._gathered(list(lower.values()))):
-                found[i] = blob
-        split = [_words(texts[i]) for i in other]
-        self.add(set().union(*split))
-        find = self.known.__getitem__
-        for i, words in zip(other, split):
-            found[i] = b"".join(map(find, words))
+        rest = sorted(set(range(len(texts))).difference(whole))
+        if latin := [i for i in rest if not foreign[i]]:
+            lower = pa.array([texts[i].lower() for i in latin], pa.string())
+            for i, ids in zip(latin, self._gathered(lower)):
+                found[i] = ids
+        if other := [i for i in rest if foreign[i]]:
+            split = [_words(texts[i]) for i in other]
+            different = set().union(*split)
+            self.add(different)
+            self.met[self._numbers(list(different))] += 1
+            before = np.append(0, np.cumsum([len(words) for words in split]))
+            for i, ids in zip(other, self._dealt(self._numbers(list(chain.from_iterable(split))), before)):
+                found[i] = ids
         for i in whole:
-            ids = self.tokenizer.encode(texts[i], add_special_tokens=False).ids
-            found[i] = array(self.code, ids).tobytes()
+            found[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, self.code)
         last = array(self.code, [END]).tobytes()
-        return [blob + last for blob in found]
+        return [ids.tobytes() + last for ids in found]
 
 
 def tokenised(docs: DataFrame, definition: str) -> DataFrame:
@@ -232,7 +296,7 @@ def tokenised(docs: DataFrame, definition: str) -> DataFrame:
             sizes = np.array([len(b) // kind.itemsize for b in blobs], np.int64)
             means = np.zeros((len(blobs), DIMENSIONS))
             for i, blob in enumerate(blobs):
-                means[i] = table[np.frombuffer(blob, kind)].mean(axis=0)
+                means[i] = table.take(np.frombuffer(blob, kind), axis=0).mean(axis=0)
             # A place between 0 and 1, spread by what means of so many directions vary.
             even = 1 / (1 + np.exp(-8 * means))
             grid = np.minimum((even * (1 << GRID_BITS)).astype(np.int64), (1 << GRID_BITS) - 1)

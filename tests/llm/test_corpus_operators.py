@@ -336,6 +336,32 @@ def test_packing_keeps_what_it_has_cut(monkeypatch):
     assert len(cut) == len(set(cut)) > 2
 
 
+def test_packing_keeps_words_met_again(monkeypatch):
+    """When there is no room, words of one batch go and those of several stay; the ids are
+    those of the whole texts all along."""
+    monkeypatch.setattr(packing, "CACHED_WORDS", 400)
+    with open(TOKENIZER, encoding="utf-8") as file:
+        words = packing.Words(file.read())
+    asked = []
+    monkeypatch.setattr(words, "_encode", lambda new, *a, f=words._encode, **k: (asked.extend(new), f(new, *a, **k)))
+    again = "Often met words, \u00e9t\u00e9s \u0438 x-rays: 12."
+    texts = [[f"{again} w{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}{'uvwxyz'[j % 6]}{'abcdefghij'[j // 6]}" for j in range(60)] for i in range(50)]
+    for batch in texts:
+        found = words.tokenizer.encode_batch_fast(batch, add_special_tokens=False)
+        assert words.ids(batch) == [packing.array(words.code, [*f.ids, packing.END]).tobytes() for f in found]
+    assert asked.count("often") == 1 and len(words.sizes) <= 400 + 200
+
+
+def test_packing_cuts_signs_behind_words_wherever_they_stand():
+    """A sign behind a word makes no word of its own, also at the end of a text or beside two signs."""
+    with open(TOKENIZER, encoding="utf-8") as file:
+        words = packing.Words(file.read())
+    texts = ["a word.", "\u00e9t\u00e9,", "5:", "x.. word; a, y", "", " ", ".", "\u201d.", "\u00d7. \u00f7, \u023a!", "it's. '."]
+    found = words.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    assert words.ids(texts) == [packing.array(words.code, [*f.ids, packing.END]).tobytes() for f in found]
+    assert not {"word.", "word;", "a,", "\u00e9t\u00e9,", "5:"} & set(words.several)
+
+
 def test_packing_round_trip(spark, table, odd_documents, no_documents):
     tokenizer = Tokenizer.from_file(TOKENIZER)
     texts = ["a<|endoftext|>b ΑΣ.Β", "x <|startoftext|> y", "İΣ. ΟΔΟΣ, İstanbul! ΣΑΣİ;", "<|ENDOFTEXT|> ΑΣΣ?İ"]
