@@ -29,7 +29,7 @@ SEQUENCE = 4096
 END = 2  # id behind each document
 DIMENSIONS = 4
 GRID_BITS = 10  # of each dimension
-CACHED_WORDS = 300_000  # of a task
+CACHED_WORDS = 200_000  # of a task
 CACHED_LETTERS = 8 << 20
 UNSTABLE = "Σİ"  # letters whose lower case depends on others or is more than one
 TAIL = ".,;:!?%$#&*"  # signs that the tokenizer always parts from a letter before them
@@ -147,9 +147,9 @@ class Words:
         if 2 * stay.sum() > CACHED_WORDS or 2 * letters > CACHED_LETTERS:
             self._forget()
             return
-        number = (np.cumsum(stay) - 1).tolist()
-        self.known = {w: number[i] for w, i in self.known.items() if stay[i]}
-        self.several = {w: number[i] for w, i in self.several.items() if stay[i]}
+        number = np.cumsum(stay) - 1
+        self.known = {w: int(number[i]) for w, i in self.known.items() if stay[i]}
+        self.several = {w: int(number[i]) for w, i in self.several.items() if stay[i]}
         self.flat, self.sizes = self._joined(np.flatnonzero(stay))
         self.met, self.letters = np.ones(len(self.sizes), np.int64), letters
 
