@@ -1,17 +1,15 @@
 """Best match of each name in a large dimension, without comparing it with all of it.
 
 The score of a pair is ``match_score``: 1 - edit distance / longer length, plus a bonus if
-one name contains the other. Names that contain one another are found by one rare pair of
-letters each. The others are found by their edits: of the ``d + 1`` pieces that a candidate
-is cut into, ``d`` edits leave one as it is, and where in the name it can then stand is
-known within few places. So the pieces of all candidates are an index by length, piece and
-text, in which the stretches of a name are looked up.
+one name contains the other. The dimension is cut into blocks along the order of names. A
+task takes one block and a slice of the names and looks them up in a tree of the block's
+prefixes (``prefixes``), where names that begin alike are looked at once. It hands over
+the best it meets for each name, which is scored here.
 
 Names are looked up with few edits first. Where the best found is better than all with
 more edits can be, it is the best of all; the others come again with more edits, and with
-every candidate whose length can reach their best so far once the pieces would get too
-short. The winners are those of a comparison with every name. A pair that is found is
-scored where it is found: only the best of each score leave the task.
+every candidate whose length can reach their best so far once most of their letters would
+be edited. The winners are those of a comparison with every name.
 """
 
 import math
@@ -21,14 +19,16 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from roadlark.operators.joins import lookup_join, measure
 from roadlark.operators.numbering import numbered
+from roadlark.operators.prefixes import best_nested, best_within
 from roadlark.session import materialise, observed
 
-GRAM = 2  # letters that are looked up together
 EDITS = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32)  # of the visits
-LETTERS = 3  # of a name for each piece, or it is compared with all that can be better
-TASK_NAMES = 1 << 10  # looked up by one task, where that makes enough tasks
+LETTERS = 2  # of a name for each edit and one more, or it is compared with all that can be better
+TASK_NAMES = 1 << 10  # compared by one task, where that makes enough tasks
+BLOCK = 1 << 18  # candidates, or names, that a task holds at once
+BLOCK_LETTERS = 1 << 23  # of these candidates
+LEAST_SLICE = 1 << 6  # names for which a task takes a block
 ROUNDING = 1e-9  # kept on the safe side of every bound
-ANY = ""  # stands for all names of a length
 
 
 @dataclass(frozen=True)
@@ -39,13 +39,6 @@ class Matches:
     compared: int
 
 
-def letter_pairs(name: Column) -> Column:
-    """array of (gram, pos), empty for names that are too short."""
-    places = F.sequence(F.lit(1), F.length(name) - (GRAM - 1))
-    pairs = F.transform(places, lambda i: F.struct(F.substr(name, i, F.lit(GRAM)).alias("gram"), i.alias("pos")))
-    return F.when(F.length(name) >= GRAM, pairs).otherwise(F.array().cast("array<struct<gram: string, pos: int>>"))
-
-
 def best_matches(names: DataFrame, dimension: DataFrame, score, edits: tuple[int, ...] = EDITS) -> Matches:
     """The best candidate of each ``name``; of equal scores the first in the order of names.
 
@@ -57,8 +50,7 @@ def best_matches(names: DataFrame, dimension: DataFrame, score, edits: tuple[int
     index = _Index(dimension)
     asked = _ranked(names.where(F.col("name").isNotNull()), index.frequency)
     waiting = materialise(asked.withColumn("best", F.lit(None).cast(_BEST)), "waiting")
-    tasks = max(4 * names.sparkSession.sparkContext.defaultParallelism, math.ceil(waiting.count() / TASK_NAMES))
-    done, compared = [_of_null(names, index.known)], 0
+    done, compared, met = [_of_null(names, index.known)], 0, 0
 
     def visited(pairs: DataFrame) -> DataFrame:
         """``waiting`` with the best of ``pairs`` too."""
@@ -78,16 +70,15 @@ def best_matches(names: DataFrame, dimension: DataFrame, score, edits: tuple[int
         return materialise(joined.withColumn("best", best).drop("_new"), "waiting")
 
     for most in (0, *edits, None):
-        short = F.lit(True) if most is None else F.col("size") < LETTERS * (most + 1)
-        # A name is a small row and much work.
-        waiting = waiting.repartition(tasks, "name")
         if most == 0:  # without an edit the names contain one another
             short = F.lit(False)
-            pairs = index.containing(waiting).unionByName(index.contained(waiting)).distinct()
+            pairs = index.nested(waiting)
         else:
+            short = F.lit(True) if most is None else F.col("size") < LETTERS * (most + 1)
             pairs = index.reaching(waiting.where(short))
             if most is not None:
-                pairs = pairs.unionByName(index.near(waiting.where(~short), most))
+                pairs = pairs.unionByName(index.near(waiting.where(~short), most, met))
+                met = most
         waiting = visited(pairs)
         # A candidate not met has more edits, and is at best by those longer.
         others = F.col("size") / (F.col("size") + ((most or 0) + 1)) + ROUNDING
@@ -113,91 +104,72 @@ def _of_null(names: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def _ranked(names: DataFrame, frequency: DataFrame) -> DataFrame:
-    """``names`` with their length and their pairs of letters, the rarest first."""
-    pairs = names.select("name", F.explode_outer(letter_pairs(F.col("name"))).alias("_p")).select("name", "_p.*")
-    counted = lookup_join(pairs, frequency, "gram", "left")
-    entry = F.when(F.col("gram").isNotNull(), F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram", "pos"))
-    listed = counted.groupBy("name").agg(F.array_sort(F.collect_list(entry)).alias("ranked"))
-    return listed.withColumn("size", F.length("name"))
+    """``names`` with their length and how far it is from that of any candidate."""
+    lengths = frequency.agg(F.collect_list("long").alias("_longs"))
+    apart = F.array_min(F.transform("_longs", lambda long: F.abs(long - F.col("size"))))
+    sized = names.select("name", F.length("name").alias("size"))
+    return sized.join(F.broadcast(lengths)).select("name", "size", apart.alias("apart"))
 
 
 class _Index:
-    """The dimension, numbered in the order of names, by pairs of letters and by pieces."""
+    """The dimension, numbered in the order of names and cut into blocks."""
 
     def __init__(self, dimension: DataFrame):
         placed = numbered(dimension.select("candidate", "candidate_group"), [F.col("candidate")], "rank")
         self.known = placed.withColumn("long", F.length("candidate"))
         self.bytes = measure(self.known)[1]
-        self.longest = self.known.agg(F.coalesce(F.max("long"), F.lit(0))).first()[0]
-        grams = F.array_distinct(F.transform(letter_pairs(F.col("candidate")), lambda p: p["gram"]))
-        pairs = self.known.select("candidate", "rank", F.explode(grams).alias("gram"))
-        counts = pairs.groupBy("gram").agg(F.count("*").cast("int").alias("df"))
-        self.frequency = materialise(counts, "grams")
-        every = self.known.select("candidate", "rank", F.lit(ANY).alias("gram"))
-        self.entries = materialise(pairs.unionByName(every), "index")
-        ranked = _ranked(self.known.select(F.col("candidate").alias("name")), self.frequency)
-        rarest = ranked.select(
-            F.col("name").alias("candidate"), F.coalesce(F.try_element_at("ranked", F.lit(1))["gram"], F.lit(ANY)).alias("gram")
-        )
-        self.rarest = materialise(rarest.join(self.known.select("candidate", "rank"), "candidate"), "rarest")
-
-    def _lengths(self, most: int | None) -> Column:
-        """array of the lengths of candidates that can be as good as the best so far, with
-        no more than ``most`` edits."""
+        # How many candidates are how long.
+        counts = self.known.where(F.col("long").isNotNull()).groupBy("long").agg(F.count("*").alias("n"))
+        self.frequency = materialise(counts, "lengths")
+        total = self.frequency.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("long")).alias("letters"), F.max("long").alias("long"))
+        count, letters, self.longest = (value or 0 for value in total.first())
+        self.blocks = max(1, math.ceil(count / BLOCK), math.ceil(letters / BLOCK_LETTERS))
+        self.block = max(1, math.ceil(count / self.blocks))
+
+    def _lengths(self) -> Column:
+        """array of the lengths of candidates that can be as good as the best so far."""
         best, size = F.coalesce(-F.col("best.minus"), F.lit(0.0)), F.col("size")
         first = F.ceil(F.least(best, F.lit(1.0)) * size - ROUNDING).cast("int")
         last = F.when(best > 0, F.floor(size / F.least(best, F.lit(1.0)) + ROUNDING)).otherwise(self.longest)
-        if most is not None:
-            first, last = F.greatest(first, size - most), F.least(last, size + most)
         last = F.least(last, F.lit(self.longest)).cast("int")
         return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
 
-    def near(self, waiting: DataFrame, most: int) -> DataFrame:
-        """Pairs with no more than ``most`` edits that may be as good as the best so far; one
-        may come more than once."""
-        piece, long = F.col("_i"), F.col("long")
-        begin = F.floor(piece * long / (most + 1)).cast("int")
-        end = F.floor((piece + 1) * long / (most + 1)).cast("int")
-        pieces = F.explode(F.sequence(F.lit(0), F.lit(most))).alias("_i")
-        cut = self.known.where(long > most).select("candidate", "rank", "long", pieces)
-        cut = cut.withColumns({"_from": begin, "_to": end})
-        text = F.substr("candidate", F.col("_from") + 1, F.col("_to") - F.col("_from"))
-        index = materialise(cut.select(_key("long", "_i", text), "candidate", "rank"), "pieces")
-        asked = waiting.select("name", "size", F.explode(self._lengths(most)).alias("long"))
-        asked = asked.select("*", pieces).withColumns({"_from": begin, "_to": end})
-        # Edits before the piece move it, and so do those behind it, seen from the end.
-        longer, wide = F.col("size") - long, F.col("_to") - F.col("_from")
-        left = F.greatest(F.lit(0), F.col("_from") - piece, F.col("_from") + longer - (most - piece))
-        right = F.least(F.col("size") - wide, F.col("_from") + piece, F.col("_from") + longer + (most - piece))
-        places = F.when(left <= right, F.sequence(left, right)).otherwise(F.array().cast("array<int>"))
-        stretches = F.array_distinct(F.transform(places, lambda at: F.substr("name", at + 1, wide)))
-        probes = asked.select("name", "long", "_i", F.explode(stretches).alias("_text"))
-        probes = probes.select("name", _key("long", "_i", F.col("_text")))
-        hits = lookup_join(probes, index, "_key", "inner")
-        return hits.where(F.levenshtein("name", "candidate", most) >= 0).select(*_PAIR)
+    def _by_block(self, waiting: DataFrame, search) -> DataFrame:
+        """What ``search`` finds for each slice of the names in each block."""
+        cores = waiting.sparkSession.sparkContext.defaultParallelism
+        count, letters = waiting.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+        wanted = min(math.ceil(4 * cores / self.blocks), math.ceil(count / LEAST_SLICE))
+        slices = max(1, wanted, math.ceil(count / BLOCK), math.ceil(letters / BLOCK_LETTERS))
+        part = F.pmod(F.xxhash64("name"), F.lit(slices))
+        blocks = F.explode(F.sequence(F.lit(0), F.lit(self.blocks - 1))).alias("_block")
+        best = F.coalesce(-F.col("best.minus"), F.lit(0.0)).alias("best")
+        asked = waiting.select("name", best, part.alias("_slice"), blocks)
+        numbers = F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("_slice")
+        block = F.least(F.floor(F.col("rank") / self.block), F.lit(self.blocks - 1)).alias("_block")
+        held = self.known.where(F.col("candidate").isNotNull()).select("candidate", "rank", block, numbers)
+        # More partitions than pieces of work, so that few get two.
+        pieces, number = 3 * self.blocks * slices, (F.col("_block") * slices + F.col("_slice")).alias("_piece")
+        asked = asked.select("name", "best", number).repartition(pieces, "_piece").groupBy("_piece")
+        held = held.select("candidate", "rank", number).repartition(pieces, "_piece").groupBy("_piece")
+        return asked.cogroup(held).applyInArrow(search, "name string, candidate string, rank bigint")
+
+    def nested(self, waiting: DataFrame) -> DataFrame:
+        """Of each name in each block the best that contains it or is contained in it."""
+        return self._by_block(waiting, lambda asked, held: best_nested(asked, held))
+
+    def near(self, waiting: DataFrame, most: int, met: int = 0) -> DataFrame:
+        """Of each name in each block the best that is as good as the best so far, with no
+        more than ``most`` edits, where ``met`` edits are not enough to find it."""
+        reached = waiting.where(F.col("apart") <= most)
+        return self._by_block(reached, lambda asked, held: best_within(asked, held, most, met))
 
     def reaching(self, waiting: DataFrame) -> DataFrame:
         """Pairs whose lengths let them be as good as the best so far."""
-        asked = waiting.select("name", F.explode(self._lengths(None)).alias("long"))
+        cores = waiting.sparkSession.sparkContext.defaultParallelism
+        tasks = max(4 * cores, math.ceil(waiting.count() / TASK_NAMES))
+        # A name is a small row and much work.
+        asked = waiting.repartition(tasks, "name").select("name", F.explode(self._lengths()).alias("long"))
         return lookup_join(asked, self.known, "long", "inner", lookup_bytes=self.bytes).select(*_PAIR)
 
-    def containing(self, waiting: DataFrame) -> DataFrame:
-        """Pairs whose candidate contains the name."""
-        rarest = F.coalesce(F.try_element_at("ranked", F.lit(1))["gram"], F.lit(ANY))
-        probes = waiting.select("name", rarest.alias("gram"))
-        hits = lookup_join(probes, self.entries, "gram", "inner")
-        return hits.where(F.contains("candidate", "name")).select(*_PAIR)
-
-    def contained(self, waiting: DataFrame) -> DataFrame:
-        """Pairs whose name contains the candidate."""
-        grams = F.array_union(F.transform("ranked", lambda p: p["gram"]), F.array(F.lit(ANY)))
-        probes = waiting.select("name", F.explode(grams).alias("gram"))
-        hits = lookup_join(probes, self.rarest, "gram", "inner")
-        return hits.where(F.contains("name", "candidate")).select(*_PAIR)
-
 
 _PAIR = ("name", "candidate", "rank")
-
-
-def _key(long: str, piece: str, text: Column) -> Column:
-    return F.concat_ws(":", F.col(long).cast("string"), F.col(piece).cast("string"), text).alias("_key")
