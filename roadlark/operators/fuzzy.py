@@ -1,8 +1,8 @@
 """Best match of each name in a large dimension, without comparing it with all of it.
 
 The score of a pair is ``match_score``: 1 - edit distance / longer length, plus a bonus if
-one name contains the other. The dimension is cut into blocks along the order of names. A
-task takes one block and a slice of the names and looks them up in a tree of the block's
+one name contains the other. The dimension is cut into blocks along the order of names, and
+along that of reversed names where these are searched from their ends. A task takes one block and a slice of the names and looks them up in a tree of the block's
 prefixes (``prefixes``), where names that begin alike are looked at once. It hands over
 the best it meets for each name, which is scored here.
 
@@ -117,6 +117,7 @@ class _Index:
     def __init__(self, dimension: DataFrame):
         placed = numbered(dimension.select("candidate", "candidate_group"), [F.col("candidate")], "rank")
         self.known = placed.withColumn("long", F.length("candidate"))
+        self.turned = numbered(placed.select("candidate", "rank"), [F.reverse("candidate")], "turned")
         self.bytes = measure(self.known)[1]
         # How many candidates are how long.
         counts = self.known.where(F.col("long").isNotNull()).groupBy("long").agg(F.count("*").alias("n"))
@@ -134,8 +135,8 @@ class _Index:
         last = F.least(last, F.lit(self.longest)).cast("int")
         return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
 
-    def _by_block(self, waiting: DataFrame, search) -> DataFrame:
-        """What ``search`` finds for each slice of the names in each block."""
+    def _by_block(self, waiting: DataFrame, held: DataFrame, place: str, search) -> DataFrame:
+        """What ``search`` finds for each slice of the names in each block of ``held``, cut by ``place``."""
         cores = waiting.sparkSession.sparkContext.defaultParallelism
         count, letters = waiting.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
         wanted = min(math.ceil(4 * cores / self.blocks), math.ceil(count / LEAST_SLICE))
@@ -145,8 +146,8 @@ class _Index:
         best = F.coalesce(-F.col("best.minus"), F.lit(0.0)).alias("best")
         asked = waiting.select("name", best, part.alias("_slice"), blocks)
         numbers = F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("_slice")
-        block = F.least(F.floor(F.col("rank") / self.block), F.lit(self.blocks - 1)).alias("_block")
-        held = self.known.where(F.col("candidate").isNotNull()).select("candidate", "rank", block, numbers)
+        block = F.least(F.floor(F.col(place) / self.block), F.lit(self.blocks - 1)).alias("_block")
+        held = held.where(F.col("candidate").isNotNull()).select("candidate", "rank", block, numbers)
         # More partitions than pieces of work, so that few get two.
         pieces, number = 3 * self.blocks * slices, (F.col("_block") * slices + F.col("_slice")).alias("_piece")
         asked = asked.select("name", "best", number).repartition(pieces, "_piece").groupBy("_piece")
@@ -155,13 +156,20 @@ class _Index:
 
     def nested(self, waiting: DataFrame) -> DataFrame:
         """Of each name in each block the best that contains it or is contained in it."""
-        return self._by_block(waiting, lambda asked, held: best_nested(asked, held))
+        return self._by_block(waiting, self.known, "rank", lambda asked, held: best_nested(asked, held))
 
     def near(self, waiting: DataFrame, most: int, met: int = 0) -> DataFrame:
         """Of each name in each block the best that is as good as the best so far, with no
         more than ``most`` edits, where ``met`` edits are not enough to find it."""
         reached = waiting.where(F.col("apart") <= most)
-        return self._by_block(reached, lambda asked, held: best_within(asked, held, most, met))
+        # Cut along the order in which they are searched, most blocks are left at their first letters.
+        forwards = self._by_block(
+            reached, self.known, "rank", lambda asked, held: best_within(asked, held, most, met, False)
+        )
+        backwards = self._by_block(
+            reached, self.turned, "turned", lambda asked, held: best_within(asked, held, most, met, True)
+        )
+        return forwards.unionByName(backwards)
 
     def reaching(self, waiting: DataFrame) -> DataFrame:
         """Pairs whose lengths let them be as good as the best so far."""

@@ -313,24 +313,22 @@ def best_nested(asked, block):
     return _found(names, texts, best)
 
 
-def best_within(asked, block, most: int, met: int):
+def best_within(asked, block, most: int, met: int, backwards: bool):
     """(name, candidate, rank) as an Arrow table: of each ``name`` of ``asked`` the best candidate
     of ``block`` (candidate, rank) that is as good as the name's ``best`` and has no more than
     ``most`` edits. One that is as good with ``met`` edits at most may be left out.
 
-    One half of a candidate has half of the edits at most. So both halves are taken first
-    once, with half of the edits, where most prefixes are left behind.
+    One half of a candidate has half of the edits at most. So a search forwards and one
+    ``backwards`` each take one half first, with half of the edits, where most prefixes are
+    left behind. Both together find all.
     """
     import pyarrow.compute as pc
 
     names, texts = _texts(asked, "name"), _texts(block, "candidate")
-    least = asked["best"].to_numpy()
     best = Best(_lengths(names), _lengths(texts), block["rank"].to_numpy())
     if len(names) and len(texts):
-        tree, order = _tree(texts, by_length=True)
-        for name, text, edits in tree.within(names, least, most, met, backwards=False):
-            best.meet(name, order[text], edits)
-        tree, order = _tree(pc.utf8_reverse(texts), by_length=True)
-        for name, text, edits in tree.within(pc.utf8_reverse(names), least, most, met, backwards=True):
+        turned = pc.utf8_reverse if backwards else lambda column: column
+        tree, order = _tree(turned(texts), by_length=True)
+        for name, text, edits in tree.within(turned(names), asked["best"].to_numpy(), most, met, backwards):
             best.meet(name, order[text], edits)
     return _found(names, texts, best)
