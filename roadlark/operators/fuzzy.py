@@ -2,9 +2,10 @@
 
 The score of a pair is ``match_score``: 1 - edit distance / longer length, plus a bonus if
 one name contains the other. The dimension is cut into blocks along the order of names, and
-along that of reversed names where these are searched from their ends. A task takes one block and a slice of the names and looks them up in a tree of the block's
-prefixes (``prefixes``), where names that begin alike are looked at once. It hands over
-the best it meets for each name, which is scored here.
+along that of reversed names where these are searched from their ends. A task takes one
+block and a slice of the names and looks them up in a tree of the block's prefixes
+(``prefixes``), where names that begin alike are looked at once. It hands over the best it
+meets for each name, which is scored here.
 
 Names are looked up with few edits first. Where the best found is better than all with
 more edits can be, it is the best of all; the others come again with more edits, and with
